@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -34,10 +36,9 @@ def reject_reason(
     """
     names = [F.col(key) for key in keys]
     limit = 10 ** (digits - 2)
-    any_of = lambda tests: F.exists(F.array(*tests), lambda hit: hit)
     return (
-        F.when(any_of([name.isNull() for name in names]), "null_key")
-        .when(any_of([F.char_length(name) > length for name in names]), "too_long")
+        F.when(reduce(or_, [name.isNull() for name in names]), "null_key")
+        .when(reduce(or_, [F.char_length(name) > length for name in names]), "too_long")
         .when(F.col(amount).isNull(), "amount_null")
         .when(F.abs(F.col(amount)) >= limit, "amount_range")
         .when(F.col(day).isNull(), "date_null")
