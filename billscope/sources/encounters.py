@@ -15,8 +15,8 @@ CORRUPT = "_corrupt_record"
 def read_encounters(spark: SparkSession, path: str | list[str], keep_corrupt: bool = False) -> DataFrame:
     """Typed scan; a cell that cannot be read is NULL.
 
-    ``keep_corrupt`` adds the raw text of lines with such cells. Spark then has to convert every column of
-    every line, so the plain scan leaves it out and converts only the columns a query uses.
+    ``keep_corrupt`` adds the raw text of lines with such cells. Only cells of the columns a query uses are
+    converted, so only those can be found unreadable.
     """
     columns = schema.ENCOUNTER_FILE
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
@@ -27,12 +27,11 @@ def read_encounters(spark: SparkSession, path: str | list[str], keep_corrupt: bo
 
 
 def unreadable_rows(encounters: DataFrame) -> DataFrame:
-    """Raw lines with at least one unreadable cell, as quarantine rows."""
-    return encounters.filter(F.col(CORRUPT).isNotNull()).select(
-        *schema.BILL_KEYS,
-        "discharge_date",
-        F.col(CORRUPT).alias("raw_line"),
-        F.lit("unreadable").alias("reject_reason"),
+    """Lines with at least one unreadable cell: the cells that could be read, and the raw text."""
+    return (
+        encounters.filter(F.col(CORRUPT).isNotNull())
+        .withColumnRenamed(CORRUPT, "raw_line")
+        .withColumn("reject_reason", F.lit("unreadable"))
     )
 
 
