@@ -16,14 +16,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def bill_rows(lines: DataFrame, orders: DataFrame, customers: DataFrame, suppliers: DataFrame) -> DataFrame:
     """One bill per order line, in the columns of ``billing_columns``.
 
-    Joins carry no hints: Catalyst broadcasts a dimension only when its files are small enough, and AQE
-    splits an order, customer or supplier that holds a large share of the lines.
+    Orders grow with their lines, so these two are always merged and never broadcast, which also spreads
+    the work behind the join over all cores. Customers and suppliers are broadcast only where Catalyst
+    finds their files small enough. AQE splits an order, customer or supplier with very many lines.
     """
     payers = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_orderpriority", "c_mktsegment"
     )
     return (
-        lines.join(payers, lines.l_orderkey == payers.o_orderkey)
+        lines.join(payers.hint("merge"), lines.l_orderkey == payers.o_orderkey)
         .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
         .select(
             F.col("o_orderpriority").alias("medical_condition"),
@@ -66,7 +67,7 @@ def order_encounters(spark: SparkSession, folder: str) -> DataFrame:
         "Medication": F.col("p_type"),
     }
     joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
         .join(customers, orders.o_custkey == customers.c_custkey)
         .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
         .join(parts, lines.l_partkey == parts.p_partkey)
