@@ -36,5 +36,6 @@ def within_digits(cents_: Column, digits: int) -> Column:
 
 def mean_cents(total: Column, count: Column) -> Column:
     """``total / count`` rounded half up to a whole cent; NULL when there is nothing to average."""
-    half_up = F.call_function("div", F.abs(total) * 2 + count, F.nullif(count, F.lit(0)) * 2)
-    return F.signum(total).cast("bigint") * half_up
+    rounded = F.abs(total) + F.call_function("div", count, F.lit(2))
+    mean = F.call_function("div", rounded, F.nullif(count, F.lit(0)))
+    return F.when(total < 0, -mean).otherwise(mean)

@@ -39,6 +39,17 @@ def latest_event(ledger: DataFrame) -> DataFrame:
     return ledger.orderBy(F.desc("event_time"), F.desc("id")).limit(1)
 
 
+def stages(ledger: DataFrame) -> DataFrame:
+    """Stages that have recorded anything."""
+    return ledger.select("stage").distinct()
+
+
+def event_is(ledger: DataFrame, event_id: int | str, test: Column) -> DataFrame:
+    """Whether the event with this id passes ``test``; no such event means no."""
+    found = F.count_if((F.col("id") == event_id) & test) > 0
+    return ledger.filter(F.col("id") == event_id).agg(found.alias("event_is"))
+
+
 def upstream_done(ledger: DataFrame, done: Column, begun: Column) -> DataFrame:
     """Whether the latest ``done`` event is later than the latest ``begun`` event; no event means no."""
     last_done, last_begun = F.max(_when(done)), F.max(_when(begun))

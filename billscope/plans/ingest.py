@@ -22,6 +22,7 @@ class Loaded:
     loaded: int
     rejected: int
     last_loaded: date | None
+    late: int | None = None
 
 
 def admission_rows(bills: DataFrame, last_loaded: date | str | None, boundary: str = "after") -> DataFrame:
@@ -44,10 +45,12 @@ def ingest(
     default_start: date | None = incremental.DEFAULT_START,
     boundary: str = "after",
     at: datetime | None = None,
+    count_late: bool = False,
 ) -> Loaded:
     """Load what is new and record the run.
 
-    Without a loaded date in the ledger everything is loaded afresh. The closing event follows the data, so
+    Bills dated before the load's first day are left out; ``count_late`` counts them, which reads the
+    source's older rows once more. Without a loaded date in the ledger everything is loaded afresh. The closing event follows the data, so
     a run that broke off is repeated from the same date and replaces what it had written.
     """
     record = dict(stage=STAGE, run_id=run_id, at=at)
@@ -75,7 +78,10 @@ def ingest(
         row_count=counts["loaded"],
         **record,
     )
-    return Loaded(load_from, **counts)
+    late = None
+    if count_late:
+        late = 0 if start is None else incremental.late_rows(bills, start, boundary).count()
+    return Loaded(load_from, **counts, late=late)
 
 
 def quarantine_unreadable(spark: SparkSession, path: str, location: str) -> int:

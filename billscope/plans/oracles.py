@@ -127,6 +127,9 @@ SELECT strftime(coalesce(max(last_loaded), DATE '2019-05-08'), '%Y-%m-%d') AS la
     "ledger_latest": f"""WITH {_L} SELECT {_L_COLUMNS} FROM r
 QUALIFY row_number() OVER (PARTITION BY stage ORDER BY ts DESC, id DESC) = 1""",
     "ledger_latest_event": f"""WITH {_L} SELECT {_L_COLUMNS} FROM (SELECT * FROM r ORDER BY ts DESC, id DESC LIMIT 1)""",
+    "ledger_stages": f"WITH {_L} SELECT DISTINCT stage FROM r",
+    "ledger_event_is": f"""WITH {_L}
+SELECT coalesce((SELECT stage = 'view' FROM r WHERE id = 2), false) AS event_is""",
     "ledger_upstream_done": f"""WITH {_L}, n AS (
   SELECT stage, row_number() OVER (ORDER BY ts, id) AS n FROM r)
 SELECT coalesce(max(CASE WHEN stage = 'purchase' THEN n END) >

@@ -16,7 +16,7 @@ from billscope.functions import calendar, money
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
 from billscope.sources import billing_columns, ledger_from_events, order_encounters, read_admissions, read_encounters
-from billscope.sources.feeds import order_bills
+from billscope.sources.feeds import LINE_COLUMNS, order_bills
 from billscope.streaming import increments
 from billscope.work import materialise, new_path
 
@@ -131,6 +131,14 @@ def ledger_latest_event(spark, folder):
     return reports.runs(ledger.latest_event(ledger_from_events(spark, folder)))
 
 
+def ledger_stages(spark, folder):
+    return ledger.stages(ledger_from_events(spark, folder))
+
+
+def ledger_event_is(spark, folder):
+    return ledger.event_is(ledger_from_events(spark, folder), 2, F.col("stage") == "view")
+
+
 def ledger_upstream_done(spark, folder):
     stage = F.col("stage")
     return ledger.upstream_done(ledger_from_events(spark, folder), stage == "purchase", stage == "signup")
@@ -246,7 +254,12 @@ def incremental_stream(spark, folder):
     home = new_path(spark, "increments")
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").schema
     arrived = spark.readStream.schema(lines).option("pathGlobFilter", "lineitem.parquet").parquet(folder)
-    increments.run_available(order_bills(spark, folder, arrived), home, f"{home}/checkpoint")
+    increments.run_available(
+        arrived.select(*LINE_COLUMNS),
+        home,
+        f"{home}/checkpoint",
+        lambda batch: order_bills(batch.sparkSession, folder, batch),
+    )
     return _shown(increments.read_days(spark, home).drop("discharge_month"))
 
 
@@ -269,6 +282,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ledger_last_loaded,
         ledger_latest,
         ledger_latest_event,
+        ledger_stages,
+        ledger_event_is,
         ledger_upstream_done,
         ledger_needs_rebuild,
         load_valid_rows,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from billscope import schema
 from billscope.sinks.tables import create_if_missing
@@ -28,13 +29,14 @@ def append_event(
 ) -> None:
     """Record one event; write it only after the data it speaks of is committed."""
     at = at or datetime.now(timezone.utc)
-    event = (
-        f"{run_id}-{sequence:04d}",
-        stage,
-        status,
-        message[: schema.MESSAGE_LENGTH],
-        at,
-        last_loaded,
-        row_count,
-    )
-    spark.createDataFrame([event], schema.LEDGER).coalesce(1).write.mode("append").parquet(location)
+    event = {
+        "id": f"{run_id}-{sequence:04d}",
+        "stage": stage,
+        "status": status,
+        "message": message[: schema.MESSAGE_LENGTH],
+        "event_time": at,
+        "last_loaded": last_loaded,
+        "row_count": row_count,
+    }
+    columns = [F.lit(event[field.name]).cast(field.dataType).alias(field.name) for field in schema.LEDGER.fields]
+    spark.range(1, numPartitions=1).select(*columns).write.mode("append").parquet(location)

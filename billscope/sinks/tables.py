@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,11 +55,6 @@ def replace(df: DataFrame, location: str, kind: str = "parquet", sort_by: str |
 
 def create_if_missing(spark: SparkSession, location: str, columns: T.StructType) -> DataFrame:
     """The parquet table at ``location``, created empty if there is none."""
-    try:
-        return spark.read.schema(columns).parquet(location)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
     spark.createDataFrame([], columns).write.mode("ignore").parquet(location)
     return spark.read.schema(columns).parquet(location)
 

@@ -9,6 +9,9 @@ from billscope import schema
 from billscope.functions import money
 
 
+LINE_COLUMNS = ("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_extendedprice")
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -38,7 +41,7 @@ def bill_rows(lines: DataFrame, orders: DataFrame, customers: DataFrame, supplie
 
 
 def order_bills(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
-    """Bills of the order tables in ``folder``; ``lines`` may be a stream of order lines."""
+    """Bills of the order tables in ``folder``, of all order lines unless some are given."""
     return bill_rows(
         _table(spark, folder, "lineitem") if lines is None else lines,
         _table(spark, folder, "orders"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +38,7 @@ def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
     batch replaces itself. The averages of the months it touches are then made anew from the sums of all
     batches, which also takes in late bills. Untouched months are neither listed nor read.
     """
-    # The stream runs batches in a session of its own, where adaptive execution is off.
     spark = bills.sparkSession
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
     sums = (
         aggregates.partials(bills)
         .groupBy(*schema.DAILY_KEYS)
@@ -66,15 +66,28 @@ def day_rows(sums: DataFrame) -> DataFrame:
     return days.select(*[field.name for field in DAYS.fields])
 
 
-def run_available(bills: DataFrame, location: str, checkpoint: str) -> None:
+def run_available(
+    arrivals: DataFrame,
+    location: str,
+    checkpoint: str,
+    to_bills: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Fold in what has arrived since the last run.
 
-    ``bills`` is a stream of bills. The checkpoint remembers which files are done; it takes the place of the
-    last loaded date, so late bills count. Files per batch are bounded by the source's
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
+    ``arrivals`` is a stream of bills, or of rows that ``to_bills`` turns into bills. The checkpoint
+    remembers which files are done; it takes the place of the last loaded date, so late bills count. Files
+    per batch are bounded by the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
+
+    A stream's own plan runs without adaptive execution. Joins therefore belong into ``to_bills``, which runs
+    per batch with it, so that a hot key is split.
     """
+
+    def fold(batch: DataFrame, number: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")  # the stream's own session
+        fold_batch(to_bills(batch) if to_bills else batch, number, location)
+
     query = (
-        bills.writeStream.foreachBatch(lambda batch, number: fold_batch(batch, number, location))
+        arrivals.writeStream.foreachBatch(fold)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -197,6 +197,9 @@ def test_ledger_answers(spark):
     assert ledger.last_loaded(frame).first().last_loaded == date(2024, 3, 1)
     assert {r.stage: r.id for r in ledger.latest(frame).collect()} == {"ingest": "a-2", "segment": "b-1"}
     assert ledger.latest_event(frame).first().id == "b-1"
+    assert {r.stage for r in ledger.stages(frame).collect()} == {"ingest", "segment"}
+    is_started = lambda event: ledger.event_is(frame, event, F.col("status") == "started").first()[0]
+    assert [is_started(event) for event in ("a-1", "a-2", "z-9")] == [True, False, False]
     finished, started = F.col("status") == "finished", F.col("status") == "started"
     ingest = F.col("stage") == "ingest"
     done = lambda df: ledger.upstream_done(df, ingest & finished, ingest & started).first()[0]
