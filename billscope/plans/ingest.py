@@ -59,10 +59,10 @@ def ingest(
     start = default_start if previous is None else previous
     append_event(spark, ledger_location, sequence=1, status=ledger.STARTED, **record)
     try:
-        if previous is None:
-            quality.require_rows(bills, "encounters")
         load_from = "start" if start is None else str(start)
         counts = write_load(admission_rows(bills, start, boundary), admissions, load_from, previous is None)
+        if previous is None and counts["loaded"] + counts["rejected"] == 0:
+            raise quality.NoRowsError("no rows in encounters")
     except Exception as error:
         append_event(
             spark, ledger_location, sequence=2, status=ledger.FAILED, message=type(error).__name__, **record

@@ -12,7 +12,7 @@ from billscope import schema
 from billscope.operators import aggregates, ledger, quality, segment
 from billscope.sinks import append_event, open_ledger, replace
 from billscope.sources import read_admissions
-from billscope.work import materialise
+from billscope.work import job_folder, materialise
 
 STAGE = "segment"
 
@@ -91,11 +91,12 @@ def rebuild_segments(
         return None
     append_event(spark, ledger_location, sequence=1, status=ledger.STARTED, **record)
     try:
-        labelled = segment_bills(read_admissions(spark, admissions), **options)
         columns = [field.name for field in schema.SEGMENT.fields]
         if options.get("with_year"):
             columns.append("year")
-        rows = replace(labelled.select(*columns), segments)
+        with job_folder(spark, STAGE):
+            labelled = segment_bills(read_admissions(spark, admissions), **options)
+            rows = replace(labelled.select(*columns), segments)
     except Exception as error:
         append_event(
             spark, ledger_location, sequence=2, status=ledger.FAILED, message=type(error).__name__, **record

@@ -10,9 +10,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a private one only for a local session without it."""
@@ -27,7 +32,24 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/billscope/{name}-{uuid.uuid4().hex}"
+    home = _job_folder.get() or f"{work_dir(spark)}/billscope"
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession, job: str) -> Iterator[None]:
+    """Keep the work tables made inside together, and delete them on the way out.
+
+    For jobs that store their result. Frames handed to a caller still read their work tables.
+    """
+    folder = new_path(spark, job)
+    token = _job_folder.set(folder)
+    try:
+        yield
+    finally:
+        _job_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

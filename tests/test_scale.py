@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from billscope.plans import ingest
 from billscope.sinks import write_load
 from billscope.sources import read_admissions
 from billscope.sources.feeds import bill_rows
-from billscope.work import work_dir
+from billscope.work import job_folder, materialise, work_dir
 
 
 @contextmanager
@@ -98,5 +99,15 @@ def test_labels_enter_without_a_cross_join(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "Subquery" in plan
 
 
+def test_work_tables_of_a_job_are_deleted(spark):
+    with job_folder(spark, "job"):
+        inside = materialise(spark.range(5), "five")
+        path = inside.inputFiles()[0]
+        assert inside.count() == 5 and "/job-" in path and Path(path.removeprefix("file:")).exists()
+    assert not Path(path.removeprefix("file:")).exists()
+    outside = materialise(spark.range(5), "five")
+    assert "/job-" not in outside.inputFiles()[0]
+
+
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
