@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
@@ -15,10 +16,12 @@ from billscope import schema
 from billscope.functions import money
 from billscope.operators import lookup
 from billscope.operators.ordered import running_total
-from billscope.work import materialise
+from billscope.work import checkpoint, materialise
 
 AMOUNT = "avg_bill_amount"
 FEATURES = (AMOUNT, "hospital_index", "insurance_index", "quarter")
+ROWS_PER_FIT_PARTITION = 50_000
+MAX_FIT_PARTITIONS = 20_000
 
 
 def string_index(rows: DataFrame, column: str) -> DataFrame:
@@ -57,6 +60,10 @@ class Segmentation:
         return [list(map(float, centers[self.rank_of.index(rank)])) for rank in range(len(centers))]
 
 
+def fit_partitions(rows: int) -> int:
+    return min(MAX_FIT_PARTITIONS, max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
+
+
 def fit(
     vectors: DataFrame,
     k: int = 9,
@@ -68,18 +75,21 @@ def fit(
     """Fit KMeans so that the same rows give the same segments.
 
     KMeans draws its start per partition, so rows are first put into a fixed number of partitions by key
-    and sorted there: neither the layout of the input nor the number of executors then matters. Another
-    number of partitions gives other segments; without one, the session's shuffle partitions are used.
-    Segments are numbered by rising mean amount.
+    and sorted there: neither the layout of the input nor the size of the cluster then matters. Another
+    number of partitions gives other segments; by default it follows from the number of rows. Segments are
+    numbered by rising mean amount.
     """
-    partitions = partitions or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or fit_partitions(vectors.count())
     placed = vectors.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    # The fit evaluates its input several times, and each of its rounds must see the same partitions.
+    placed = checkpoint(placed.select("features"))
     scaler, column = None, "features"
     if scale:
         column = "scaled_features"
         scaler = StandardScaler(inputCol="features", outputCol=column).fit(placed)
         placed = scaler.transform(placed)
-    model = KMeans(k=k, seed=seed, featuresCol=column).fit(placed.select(column))
+    # Naming the solver spares a pass that chooses between the two.
+    model = KMeans(k=k, seed=seed, featuresCol=column, solver="row").fit(placed.select(column))
     amounts = [center[0] for center in model.clusterCenters()]
     by_amount = sorted(range(len(amounts)), key=lambda cluster: (amounts[cluster], cluster))
     return Segmentation(model, scaler, tuple(by_amount.index(cluster) for cluster in range(len(amounts))))

@@ -96,6 +96,12 @@ _L = """r AS (
 _L_COLUMNS = """id, stage, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time,
   strftime(last_loaded, '%Y-%m-%d') AS last_loaded"""
 
+_REPORT = f"""WITH {_E}, {_D}
+SELECT medical_condition AS "Medical Condition", hospital AS "Hospital",
+  insurance_provider AS "Insurance Provider", CAST(quarter(discharge_date) AS INTEGER) AS "Quarter",
+  strftime(discharge_date, '%Y-%m-%d') AS "Discharge Date", CAST(average_cents AS DOUBLE) / 100 AS "Average Bill Amount"
+FROM d"""
+
 ORACLES: dict[str, str] = {
     "scan_encounters": f"WITH {_E} SELECT {_E_COLUMNS} FROM e",
     "scan_encounters_csv": f"WITH {_E} SELECT {_E_COLUMNS} FROM e",
@@ -159,11 +165,8 @@ UNION ALL SELECT 0.8::DOUBLE, CAST(quantile_disc(cents, 0.8) AS DOUBLE) / 100 FR
     "segments_labelled": f"WITH {_E}, {_Q}, {_FIVE} {_LABELLED}",
     "segments_three_labels": f"WITH {_E}, {_Q}, {_THREE} {_LABELLED}",
     "label_counts": f"WITH {_E}, {_Q}, {_FIVE} SELECT bill_cat, count(*) AS segments FROM l GROUP BY bill_cat",
-    "report_admissions": f"""WITH {_E}, {_D}
-SELECT medical_condition AS "Medical Condition", hospital AS "Hospital",
-  insurance_provider AS "Insurance Provider", CAST(quarter(discharge_date) AS INTEGER) AS "Quarter",
-  strftime(discharge_date, '%Y-%m-%d') AS "Discharge Date", CAST(average_cents AS DOUBLE) / 100 AS "Average Bill Amount"
-FROM d""",
+    "report_admissions": _REPORT,
+    "report_published": _REPORT,
     "report_segments": f"""WITH {_E}, {_Q}, {_FIVE}
 SELECT medical_condition AS "Medical Condition", hospital AS "Hospital",
   insurance_provider AS "Insurance Provider", quarter AS "Quarter",

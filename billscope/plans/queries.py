@@ -15,6 +15,7 @@ from billscope import schema
 from billscope.functions import calendar, money
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
+from billscope.sinks import publish
 from billscope.sources import billing_columns, ledger_from_events, order_encounters, read_admissions, read_encounters
 from billscope.sources.feeds import LINE_COLUMNS, order_bills
 from billscope.streaming import increments
@@ -225,6 +226,13 @@ def report_admissions(spark, folder):
     return reports.admissions(daily.withColumn("quarter", calendar.quarter_of(F.col("discharge_date"))))
 
 
+def report_published(spark, folder):
+    """The admissions report as other tools read it: a headed file."""
+    report, path = report_admissions(spark, folder), new_path(spark, "report")
+    publish(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
 def report_segments(spark, folder):
     return reports.segments(segment.categorise(_segmented(spark, folder), exact=True))
 
@@ -253,7 +261,8 @@ def incremental_stream(spark, folder):
     """Daily averages folded in from a run-once stream of order lines."""
     home = new_path(spark, "increments")
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").schema
-    arrived = spark.readStream.schema(lines).option("pathGlobFilter", "lineitem.parquet").parquet(folder)
+    # A pattern, since a stream takes no path to a single file; it also matches a folder of files.
+    arrived = spark.readStream.schema(lines).parquet(f"{folder}/lineitem.parquet*")
     increments.run_available(
         arrived.select(*LINE_COLUMNS),
         home,
@@ -301,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         segments_kmeans,
         segments_flow,
         report_admissions,
+        report_published,
         report_segments,
         report_runs,
         ingest_load,

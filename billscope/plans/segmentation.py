@@ -36,7 +36,8 @@ def cluster(
     scale: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Averages with the number of their KMeans segment."""
+    """Averages, as a work table, with the number of their KMeans segment."""
+    partitions = partitions or segment.fit_partitions(averages.count())
     vectors = segment.features(feature_rows(averages))
     keys = [key for key in (*schema.QUARTER_KEYS, "year") if key in averages.columns]
     scored = segment.score(segment.fit(vectors, k, seed, scale, partitions, keys), vectors)

@@ -52,6 +52,14 @@ def job_folder(spark: SparkSession, job: str) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` on shared storage; unlike a work table it keeps its partitions and their order."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a work table and return a frame that reads it."""
     spark = df.sparkSession

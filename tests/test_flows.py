@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import random
-from datetime import date
+from datetime import date, datetime, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from billscope import schema
 from billscope.operators import aggregates, quality, segment
 from billscope.plans import ingest, report, segmentation
-from billscope.sinks import open_ledger
+from billscope.operators.reports import runs
+from billscope.sinks import append_event, open_ledger
 from billscope.sources import read_admissions, read_quarantine
 from billscope.streaming import increments
 from billscope.work import materialise
@@ -69,6 +71,14 @@ def test_first_load_then_nothing_new(spark, tables):
     assert [e.row_count for e in log] == [None, first.loaded, None, 0]
 
 
+def test_ledger_event(spark, folder):
+    at = datetime(2024, 5, 1, 12, 30, tzinfo=timezone.utc)
+    open_ledger(spark, folder + "/status")
+    append_event(spark, folder + "/status", "r", 7, "ingest", "failed", "x" * 99, date(2024, 3, 1), 5, at)
+    (event,) = runs(open_ledger(spark, folder + "/status")).collect()
+    assert tuple(event) == ("r-0007", "ingest", "failed", "x" * 40, "2024-05-01 12:30:00", "2024-03-01", 5)
+
+
 def test_two_loads_make_the_table_of_one(spark, tables):
     bills = make_bills(spark)
     ingest.ingest(spark, bills.filter(F.col("discharge_date") < "2020-09-17"), *tables, "r1", default_start=None)
@@ -116,7 +126,8 @@ def test_admissions_skip_rejected_files(spark, tables):
 def test_unreadable_lines_are_kept(spark, folder):
     header = ",".join(schema.ENCOUNTER_FILE.names)
     good = "Ann,40,F,A+,Flu,2020-01-01,Dr X,North,Acme,10.00,12,Urgent,2020-01-02,Pill,Normal"
-    (path := __import__("pathlib").Path(folder) / "e.csv").write_text(f"{header}\n{good}\n{good.replace('10.00', 'abc')}\n")
+    path = Path(folder) / "e.csv"
+    path.write_text(f"{header}\n{good}\n{good.replace('10.00', 'abc')}\n")
     assert ingest.quarantine_unreadable(spark, str(path), f"{folder}/unreadable") == 1
     assert "abc" in spark.read.parquet(f"{folder}/unreadable").first().raw_line
 
@@ -150,6 +161,20 @@ def test_segments_do_not_depend_on_layout(spark, quarter_rows):
     assert results[0] == results[1] == results[2]
 
 
+def test_fit_partitions_follow_the_rows():
+    assert [segment.fit_partitions(n) for n in (0, 1, 50_000, 50_001, 10**12)] == [1, 1, 1, 2, 20_000]
+
+
+def test_segments_do_not_depend_on_the_cluster(spark, quarter_rows):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    for partitions in ("3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        results.append({tuple(r) for r in segmentation.cluster(quarter_rows).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+
+
 def test_scaled_features(spark, quarter_rows):
     scored = segmentation.cluster(quarter_rows, k=4, scale=True)
     assert scored.count() == quarter_rows.count()
