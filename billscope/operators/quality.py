@@ -32,7 +32,7 @@ def reject_reason(
 ) -> Column:
     """First rule of the stored table a row breaks, NULL for a valid row.
 
-    An average NULL has ``amount_null``; one that needs more digits than the table holds has ``amount_range``.
+    Amounts are compared as they are stored, rounded to cents.
     """
     names = [F.col(key) for key in keys]
     limit = 10 ** (digits - 2)

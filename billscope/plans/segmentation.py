@@ -38,7 +38,8 @@ def cluster(
 ) -> DataFrame:
     """Averages, as a work table, with the number of their KMeans segment."""
     partitions = partitions or segment.fit_partitions(averages.count())
-    vectors = segment.features(feature_rows(averages))
+    # Fit, segment means and final rows all start from the features; none repeats the index joins.
+    vectors = segment.features(materialise(feature_rows(averages), "features"))
     keys = [key for key in (*schema.QUARTER_KEYS, "year") if key in averages.columns]
     scored = segment.score(segment.fit(vectors, k, seed, scale, partitions, keys), vectors)
     return scored.select(*averages.columns, "prediction")

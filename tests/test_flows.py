@@ -71,6 +71,16 @@ def test_first_load_then_nothing_new(spark, tables):
     assert [e.row_count for e in log] == [None, first.loaded, None, 0]
 
 
+def test_load_without_a_ledger_replaces_all_loads(spark, folder):
+    bills = make_bills(spark)
+    ingest.ingest(spark, bills.filter("year(discharge_date) = 2020"), f"{folder}/t", f"{folder}/old", "r1", None)
+    ingest.ingest(spark, bills, f"{folder}/t", f"{folder}/old", "r2")
+    ingest.ingest(spark, bills, f"{folder}/t", f"{folder}/new", "r3", default_start=None)
+    table = read_admissions(spark, f"{folder}/t")
+    assert rows_of(table) == rows_of(expected_rows(bills)[0])
+    assert [r.load_from for r in table.select("load_from").distinct().collect()] == ["start"]
+
+
 def test_ledger_event(spark, folder):
     at = datetime(2024, 5, 1, 12, 30, tzinfo=timezone.utc)
     open_ledger(spark, folder + "/status")
