@@ -26,6 +26,12 @@ def read_encounters(spark: SparkSession, path: str | list[str], keep_corrupt: bo
     return schema.to_internal_names(reader.schema(columns).csv(path))
 
 
+def stream_encounters(spark: SparkSession, folder: str, files_per_batch: int = 1_000) -> DataFrame:
+    """Encounter files as they arrive in ``folder``, so many per batch."""
+    reader = spark.readStream.option("header", True).option("maxFilesPerTrigger", files_per_batch)
+    return schema.to_internal_names(reader.schema(schema.ENCOUNTER_FILE).csv(folder))
+
+
 def unreadable_rows(encounters: DataFrame) -> DataFrame:
     """Lines with at least one unreadable cell: the cells that could be read, and the raw text."""
     return (
@@ -35,10 +41,12 @@ def unreadable_rows(encounters: DataFrame) -> DataFrame:
     )
 
 
-def billing_columns(encounters: DataFrame) -> DataFrame:
-    """The columns billing needs, the amount in cents; everything else is pruned from the scan."""
-    return encounters.select(
-        *schema.BILL_KEYS,
-        "discharge_date",
-        money.cents(F.col("billing_amount")).alias("bill_cents"),
-    )
+def billing_columns(encounters: DataFrame, digits: int | None = None) -> DataFrame:
+    """The columns billing needs, the amount in cents; everything else is pruned from the scan.
+
+    With ``digits`` an amount that needs more of them, cents included, counts as missing.
+    """
+    cents = money.cents(F.col("billing_amount"))
+    if digits is not None:
+        cents = money.within_digits(cents, digits)
+    return encounters.select(*schema.BILL_KEYS, "discharge_date", cents.alias("bill_cents"))

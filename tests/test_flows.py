@@ -13,7 +13,7 @@ from billscope.operators import aggregates, quality, segment
 from billscope.plans import ingest, report, segmentation
 from billscope.operators.reports import runs
 from billscope.sinks import append_event, open_ledger
-from billscope.sources import read_admissions, read_quarantine
+from billscope.sources import billing_columns, read_admissions, read_quarantine, stream_encounters
 from billscope.streaming import increments
 from billscope.work import materialise
 
@@ -260,6 +260,29 @@ def test_arrivals_make_the_batch_table(spark, folder):
     assert rows_of(days.filter("reject_reason is not null")) == rows_of(rejected)
 
 
+def test_encounter_files_arrive(spark, folder):
+    header = ",".join(schema.ENCOUNTER_FILE.names)
+    landing = Path(folder) / "landing"
+    landing.mkdir()
+
+    def arrive(number, *amounts):
+        rows = [f"Ann,40,F,A+,Flu,2020-01-01,Dr X,North,Acme,{a},12,Urgent,2020-01-02,Pill,Normal" for a in amounts]
+        (landing / f"{number}.csv").write_text("\n".join([header, *rows]) + "\n")
+
+    def run():
+        stream = stream_encounters(spark, str(landing), files_per_batch=1)
+        increments.run_available(billing_columns(stream), f"{folder}/table", f"{folder}/checkpoint")
+        (row,) = increments.read_days(spark, f"{folder}/table").collect()
+        return row.average_bill_amount, row.bill_count
+
+    arrive(1, "10.00", "abc")
+    arrive(2, "20.01")
+    assert run() == (Decimal("15.01"), 2)
+    arrive(3, "0.00")
+    assert run() == (Decimal("10.00"), 3)
+    assert run() == (Decimal("10.00"), 3)
+
+
 def test_repeated_batch_replaces_itself(spark, folder):
     bills = make_bills(spark, 200)
     half = F.col("discharge_date") < "2021-01-01"

@@ -69,6 +69,8 @@ def test_billing_columns_prune_the_scan(spark, csv):
     plan = bills._jdf.queryExecution().executedPlan().toString()
     assert "Billing Amount" in plan and "Doctor" not in plan.split("ReadSchema")[1]
     assert bills.agg(F.sum("bill_cents")).first()[0] == 1885628 + 1001 - 10852 + 12345679 + 4000
+    stored = billing_columns(read_encounters(spark, csv), digits=7)
+    assert stored.agg(F.sum("bill_cents")).first()[0] == 1885628 + 1001 - 10852 + 4000
 
 
 def test_parquet_append_and_replace(spark, folder):
