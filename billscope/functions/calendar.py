@@ -32,11 +32,13 @@ def as_date(value: date | str | Column) -> Column:
 
 
 def date_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """``2024-05-01``; a plain cast, which no session time zone can shift."""
+    return day.cast("string")
 
 
 def timestamp_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    """``2024-05-01 12:00:00``, without fractions of a second."""
+    return F.substring(moment.cast("string"), 1, 19)
 
 
 def now_text() -> Column:

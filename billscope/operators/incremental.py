@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from billscope.functions import calendar
 
+# Fixed value: the date taken as loaded before the first run.
 DEFAULT_START = date(2019, 5, 8)
 
 

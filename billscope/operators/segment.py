@@ -66,8 +66,8 @@ def fit_partitions(rows: int) -> int:
 
 def fit(
     vectors: DataFrame,
-    k: int = 9,
-    seed: int = 42,
+    k: int = schema.SEGMENT_COUNT,
+    seed: int = schema.SEGMENT_SEED,
     scale: bool = False,
     partitions: int | None = None,
     keys: Sequence[str] = schema.QUARTER_KEYS,

@@ -31,8 +31,8 @@ def feature_rows(averages: DataFrame) -> DataFrame:
 
 def cluster(
     averages: DataFrame,
-    k: int = 9,
-    seed: int = 42,
+    k: int = schema.SEGMENT_COUNT,
+    seed: int = schema.SEGMENT_SEED,
     scale: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -47,8 +47,8 @@ def cluster(
 
 def segment_bills(
     admissions: DataFrame,
-    k: int = 9,
-    seed: int = 42,
+    k: int = schema.SEGMENT_COUNT,
+    seed: int = schema.SEGMENT_SEED,
     method: str = "mean_of_means",
     with_year: bool = False,
     scale: bool = False,

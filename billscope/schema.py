@@ -38,7 +38,9 @@ MESSAGE_LENGTH = 40
 CATEGORY_LENGTH = 20
 STORED_AMOUNT_DIGITS = 7
 
-# Segment labels and the quantiles that separate them.
+# Number of segments and seed of the fit, labels and the quantiles that separate them.
+SEGMENT_COUNT = 9
+SEGMENT_SEED = 42
 SEGMENT_LABELS = ("Very Low", "Low", "Moderate", "High", "Very High")
 SEGMENT_QUANTILES = (0.2, 0.4, 0.6, 0.8)
 
