@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,13 +15,37 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
+PARTITION_BYTES = 512 * 1024**2
+MOST_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input of this size, at least one per core.
+
+    Too many cost little, as adaptive execution joins small ones; too few spill, as it cannot split a
+    partition of an aggregate.
+    """
+    return max(cores, min(MOST_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES)))
+
 
+def build_session(
+    app: str = "billscope",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    cores: int = 200,
+    **settings: str,
+) -> SparkSession:
+    """Start a session, sized for ``input_bytes`` of input where that is known.
 
-def build_session(app: str = "billscope", master: str | None = None, **settings: str) -> SparkSession:
-    """``settings`` use ``__`` for dots: ``spark__sql__shuffle__partitions="2000"``."""
+    ``settings`` use ``__`` for dots and come last: ``spark__sql__shuffle__partitions="2000"``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
+    chosen = dict(SETTINGS)
+    if input_bytes is not None:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes, cores))
+    chosen.update({key.replace("__", "."): value for key, value in settings.items()})
+    for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,16 @@ PARTIALS = T.StructType(
 DAYS = T.StructType([*schema.ADMISSION.fields, T.StructField(MONTH, T.DateType())])
 
 
-def _overwrite_partitions(df: DataFrame, location: str, folders: list[str]) -> None:
-    writer = df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite_partitions(df: DataFrame, location: str, folders: list[str]) -> list[date | None]:
+    """Replace the partitions ``df`` has rows for; returns their months, None among them for undated rows."""
+    month = F.col(MONTH)
+    rows, seen = quality.observe_counts(
+        df.hint("rebalance", MONTH), "months", months=F.collect_set(month), undated=F.count_if(month.isNull())
+    )
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*folders).parquet(location)
+    found = seen.get  # calendar months: few
+    return [*found["months"], *([None] if found["undated"] else [])]
 
 
 def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
@@ -47,14 +55,11 @@ def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
         .withColumn("batch", F.lit(batch).cast("bigint"))
     )
     partials = f"{location}/partials"
-    _overwrite_partitions(sums, partials, [MONTH, "batch"])
-
-    reader = spark.read.schema(PARTIALS).option("basePath", partials)
-    months = reader.parquet(f"{partials}/{MONTH}=*/batch={batch}").select(F.col(MONTH).cast("string")).distinct()
-    names = [row[0] or "__HIVE_DEFAULT_PARTITION__" for row in months.collect()]  # calendar months: few
-    if not names:
+    months = _overwrite_partitions(sums, partials, [MONTH, "batch"])
+    if not months:
         return
-    touched = reader.parquet(*[f"{partials}/{MONTH}={name}" for name in names])
+    folders = [f"{partials}/{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}" for month in months]
+    touched = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*folders)
     _overwrite_partitions(day_rows(touched), f"{location}/days", [MONTH])
 
 

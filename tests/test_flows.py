@@ -278,7 +278,8 @@ def test_encounter_files_arrive(spark, folder):
     arrive(1, "10.00", "abc")
     arrive(2, "20.01")
     assert run() == (Decimal("15.01"), 2)
-    arrive(3, "0.00")
+    arrive(3)
+    arrive(4, "0.00")
     assert run() == (Decimal("10.00"), 3)
     assert run() == (Decimal("10.00"), 3)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from billscope.operators import aggregates, segment
 from billscope.plans import ingest
+from billscope.session import shuffle_partitions
 from billscope.sinks import write_load
 from billscope.sources import read_admissions
 from billscope.sources.feeds import bill_rows
@@ -99,6 +100,11 @@ def test_labels_enter_without_a_cross_join(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "Subquery" in plan
 
 
+def test_shuffle_partitions_follow_the_input():
+    tera = 1024**4
+    assert [shuffle_partitions(size, 200) for size in (0, tera, 10 * tera, 100 * tera)] == [200, 2048, 20480, 100_000]
+
+
 def test_work_tables_of_a_job_are_deleted(spark):
     with job_folder(spark, "job"):
         inside = materialise(spark.range(5), "five")
