@@ -6,16 +6,19 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from billscope import schema
+from billscope.functions import money
 from billscope.operators import aggregates, quality, segment
 from billscope.plans import ingest, report, segmentation
 from billscope.operators.reports import runs
 from billscope.sinks import append_event, open_ledger
 from billscope.sources import billing_columns, read_admissions, read_quarantine, stream_encounters
 from billscope.streaming import increments
-from billscope.work import materialise
+from billscope.work import checkpoint, materialise
 
 BILLS = "medical_condition string, hospital string, insurance_provider string, admission_type string, discharge_date date, bill_cents bigint"
 
@@ -185,6 +188,36 @@ def test_segments_do_not_depend_on_the_cluster(spark, quarter_rows):
     assert results[0] == results[1]
 
 
+def test_segments_equal_those_of_the_library_steps(spark, quarter_rows):
+    """String indexers, assembler and KMeans from the library, on rows in the same place."""
+    ours = {tuple(r)[:-1]: r.prediction for r in segmentation.cluster(quarter_rows, partitions=4).collect()}
+    keys = schema.QUARTER_KEYS
+    placed = checkpoint(quarter_rows.repartition(4, *keys).sortWithinPartitions(*keys))
+    names = {"hospital": "hospital_index", "insurance_provider": "insurance_index"}
+    for column, index in names.items():
+        placed = StringIndexer(inputCol=column, outputCol=index).fit(quarter_rows).transform(placed)
+    vectors = VectorAssembler(inputCols=list(segment.FEATURES), outputCol="features").transform(placed)
+    theirs = KMeans(k=9, seed=42).fit(vectors).transform(vectors).select(*quarter_rows.columns, "prediction")
+    pairs = {(ours[tuple(r)[:-1]], r.prediction) for r in theirs.collect()}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) == 9
+
+
+def test_averages_equal_decimal_averages(spark):
+    """Cents and integer rounding give what rounded decimal averages give."""
+    bills = make_bills(spark, 4000).withColumn("bill_cents", money.within_digits(F.col("bill_cents"), 7))
+    amount = bills.withColumn("amount", money.amount(F.col("bill_cents")).cast("decimal(7,2)"))
+    day = amount.groupBy(*schema.DAILY_KEYS).agg(F.round(F.avg("amount"), 2).alias("mean"))
+    quarter = (
+        day.dropna(subset=["mean", "hospital", "discharge_date"])
+        .groupBy("medical_condition", "hospital", "insurance_provider", F.quarter("discharge_date").alias("quarter"))
+        .agg(F.round(F.avg(F.col("mean").cast("decimal(9,2)")), 2).alias("mean"))
+    )
+    daily = aggregates.daily_average_bill(bills).withColumn("quarter", F.quarter("discharge_date"))
+    ours = aggregates.quarterly_average_bill(quality.drop_incomplete(daily))
+    as_text = lambda df, name: sorted((*map(str, r[:4]), f"{r[name]:.2f}") for r in df.collect())
+    assert as_text(ours, "avg_bill_amount") == as_text(quarter, "mean")
+
+
 def test_scaled_features(spark, quarter_rows):
     scored = segmentation.cluster(quarter_rows, k=4, scale=True)
     assert scored.count() == quarter_rows.count()
