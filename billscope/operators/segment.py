@@ -121,8 +121,7 @@ def quantile_edges(
         accuracy = max(1, round(1 / relative_error))
         return rows.agg(F.percentile_approx(column, list(probabilities), accuracy).alias("edges"))
     values = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    ranked = materialise(running_total(values, [F.asc(column)], F.col("n"), "up_to"), "ranked")
-    total = ranked.agg(F.max("up_to")).scalar()
+    ranked = running_total(values, [F.asc(column)], F.col("n"), "up_to", "total")
 
     def edge(probability: float) -> Column:
         part = Fraction(str(probability))
@@ -131,7 +130,7 @@ def quantile_edges(
         )
         return F.min(F.when(F.col("up_to") >= position, F.col(column)))
 
-    return ranked.withColumn("total", total).agg(F.array(*[edge(p) for p in probabilities]).alias("edges"))
+    return ranked.agg(F.array(*[edge(p) for p in probabilities]).alias("edges"))
 
 
 def profile(rows: DataFrame, segment: str = "prediction", column: str = AMOUNT) -> DataFrame:

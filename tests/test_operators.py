@@ -226,12 +226,14 @@ def test_empty_ledger(spark):
 @given(st.dictionaries(st.integers(-1000, 1000), st.integers(0, 50), min_size=1, max_size=300))
 def test_running_total(spark, weights):
     frame = spark.createDataFrame(list(weights.items()), "value int, n int")
-    rows = running_total(frame, [F.asc("value")], F.col("n"), "total").collect()
+    rows = running_total(frame, [F.asc("value")], F.col("n"), "total", "all").collect()
     expected, total = {}, 0
     for value in sorted(weights):
         total += weights[value]
         expected[value] = total
     assert {r.value: r.total for r in rows} == expected
+    assert {r["all"] for r in rows} == {total}
+    assert rows[0].__fields__ == ["value", "n", "total", "all"]
 
 
 def test_running_total_over_many_ranges(spark):
