@@ -24,5 +24,5 @@ def attach(
     total = table.agg(F.sum(frequency)).scalar()
     hot = table.filter(F.col(frequency) * HOT_KEYS > total).drop(frequency)
     hot_rows = rows.join(F.broadcast(hot), key)
-    other_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values, key, "left")
+    other_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values.hint("merge"), key, "left")
     return hot_rows.unionByName(other_rows)

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Columns take about three times their file size in memory; broadcasts are chosen by that size.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -257,7 +257,9 @@ def test_attach_keeps_every_row_of_a_hot_key(spark, broadcast_rows):
     rows = spark.createDataFrame([(key, n) for n, key in enumerate(keys)], "key string, n int")
     counts = Counter(key for key in keys if key not in ("unknown", None))
     table = spark.createDataFrame([(k, c, float(len(k))) for k, c in counts.items()], "key string, frequency bigint, v double")
-    joined = lookup.attach(rows, table, "key", "frequency", broadcast_rows).collect()
+    frame = lookup.attach(rows, table, "key", "frequency", broadcast_rows)
+    assert ("SortMergeJoin" in frame._jdf.queryExecution().executedPlan().toString()) == (broadcast_rows == 0)
+    joined = frame.collect()
     expected = {(n, None if key in ("unknown", None) else float(len(key))) for n, key in enumerate(keys)}
     assert {(r.n, r.v) for r in joined} == expected and len(joined) == len(keys)
 
