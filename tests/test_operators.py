@@ -251,7 +251,7 @@ def test_running_total_over_many_ranges(spark):
 # Lookup
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+@pytest.mark.parametrize("broadcast_rows", [10_000, 0])
 def test_attach_keeps_every_row_of_a_hot_key(spark, broadcast_rows):
     keys = ["hot"] * 2000 + [f"k{n}" for n in range(3000)] + ["unknown", None]
     rows = spark.createDataFrame([(key, n) for n, key in enumerate(keys)], "key string, n int")
