@@ -13,21 +13,27 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
+@cache
+def _private_dir() -> str:
+    folder = tempfile.mkdtemp(prefix="billscope-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a private one only for a local session without it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="billscope-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _private_dir()
     return shared.rstrip("/")
 
 

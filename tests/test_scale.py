@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -115,5 +118,20 @@ def test_work_tables_of_a_job_are_deleted(spark):
     assert "/job-" not in outside.inputFiles()[0]
 
 
+def test_local_session_without_a_work_folder(folder):
+    """A session of its own, as the setting cannot be taken back."""
+    script = (
+        "from billscope.session import build_session; from billscope.work import checkpoint, materialise, work_dir\n"
+        "spark = build_session(master='local[2]')\n"
+        "assert not spark.conf.get('spark.checkpoint.dir', None)\n"
+        "assert checkpoint(spark.range(3)).count() == materialise(spark.range(3), 'three').count() == 3\n"
+        "print('work in', work_dir(spark))"
+    )
+    environment = {**os.environ, "SPARK_CONF_DIR": folder, "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    done = subprocess.run([sys.executable, "-c", script], env=environment, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert not Path(done.stdout.split("work in ")[1].strip()).exists()
+
+
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
