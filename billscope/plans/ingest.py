@@ -50,8 +50,9 @@ def ingest(
     """Load what is new and record the run.
 
     Bills dated before the load's first day are left out; ``count_late`` counts them, which reads the
-    source's older rows once more. Without a loaded date in the ledger everything is loaded afresh. The closing event follows the data, so
-    a run that broke off is repeated from the same date and replaces what it had written.
+    source's older rows once more. Without a loaded date in the ledger everything is loaded afresh. The
+    closing event follows the data, so a run that broke off is repeated from the same date and replaces
+    what it had written.
     """
     record = dict(stage=STAGE, run_id=run_id, at=at)
     past = open_ledger(spark, ledger_location).filter(F.col("stage") == STAGE)

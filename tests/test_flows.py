@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 from billscope import schema
 from billscope.functions import money
 from billscope.operators import aggregates, quality, segment
-from billscope.plans import ingest, report, segmentation
 from billscope.operators.reports import runs
+from billscope.plans import ingest, report, segmentation
 from billscope.sinks import append_event, open_ledger
 from billscope.sources import billing_columns, read_admissions, read_quarantine, stream_encounters
 from billscope.streaming import increments
 from billscope.work import checkpoint, materialise
 
-BILLS = "medical_condition string, hospital string, insurance_provider string, admission_type string, discharge_date date, bill_cents bigint"
+BILLS = (
+    "medical_condition string, hospital string, insurance_provider string, admission_type string, "
+    "discharge_date date, bill_cents bigint"
+)
 
 
 def make_bills(spark, count=900, seed=5, years=(2020, 2021)):

@@ -16,7 +16,10 @@ from billscope.operators import aggregates, incremental, ledger, lookup, quality
 from billscope.operators.ordered import running_total
 from billscope.work import materialise
 
-BILLS = "medical_condition string, hospital string, insurance_provider string, admission_type string, discharge_date date, bill_cents bigint"
+BILLS = (
+    "medical_condition string, hospital string, insurance_provider string, admission_type string, "
+    "discharge_date date, bill_cents bigint"
+)
 
 
 def bills(spark, rows):
@@ -302,7 +305,8 @@ def test_exact_quantiles(spark, probabilities):
 
 
 def test_exact_quantiles_of_one_hot_value(spark):
-    frame = spark.createDataFrame([(Decimal("5.00"),)] * 90 + [(Decimal(n),) for n in range(10, 20)], "avg_bill_amount decimal(12,2)")
+    values = [(Decimal("5.00"),)] * 90 + [(Decimal(n),) for n in range(10, 20)]
+    frame = spark.createDataFrame(values, "avg_bill_amount decimal(12,2)")
     assert segment.quantile_edges(frame, exact=True).first().edges == [Decimal("5.00")] * 4
 
 

@@ -53,8 +53,12 @@ def star(spark):
     orders = spark.range(40_000).select(
         F.col("id").alias("o_orderkey"), third("c", 9_000).alias("o_custkey"), F.lit("HIGH").alias("o_orderpriority")
     )
-    customers = spark.range(9_000).select(F.col("id").alias("c_custkey"), F.concat(F.lit("m"), F.col("id") % 5).alias("c_mktsegment"))
-    suppliers = spark.range(5_000).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("s"), F.col("id")).alias("s_name"))
+    customers = spark.range(9_000).select(
+        F.col("id").alias("c_custkey"), F.concat(F.lit("m"), F.col("id") % 5).alias("c_mktsegment")
+    )
+    suppliers = spark.range(5_000).select(
+        F.col("id").alias("s_suppkey"), F.concat(F.lit("s"), F.col("id")).alias("s_name")
+    )
     return lines, orders, customers, suppliers
 
 
