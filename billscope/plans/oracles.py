@@ -144,6 +144,7 @@ SELECT coalesce(max(CASE WHEN stage = 'purchase' THEN n END) >
 SELECT d IS NULL OR quarter(d) <> quarter(DATE '2024-07-01') OR year(d) <> year(DATE '2024-07-01')
   AS needs_rebuild FROM m""",
     "load_valid_rows": f"WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS} FROM c WHERE reject_reason IS NULL",
+    "load_appended": f"WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS} FROM c WHERE reject_reason IS NULL",
     "load_quarantine": f"""WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS}, reject_reason FROM c
 WHERE reject_reason IS NOT NULL""",
     "load_counts": f"""WITH {_E}, {_D}, {_C}
@@ -163,6 +164,7 @@ UNION ALL SELECT 0.6::DOUBLE, CAST(quantile_disc(cents, 0.6) AS DOUBLE) / 100 FR
 UNION ALL SELECT 0.8::DOUBLE, CAST(quantile_disc(cents, 0.8) AS DOUBLE) / 100 FROM q""",
     "segment_profile": f"WITH {_E}, {_Q} SELECT prediction, segment_mean, segment_rows FROM f",
     "segments_labelled": f"WITH {_E}, {_Q}, {_FIVE} {_LABELLED}",
+    "segments_replaced": f"WITH {_E}, {_Q}, {_FIVE} {_LABELLED}",
     "segments_three_labels": f"WITH {_E}, {_Q}, {_THREE} {_LABELLED}",
     "label_counts": f"WITH {_E}, {_Q}, {_FIVE} SELECT bill_cat, count(*) AS segments FROM l GROUP BY bill_cat",
     "report_admissions": _REPORT,

@@ -15,8 +15,15 @@ from billscope import schema
 from billscope.functions import calendar, money
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
-from billscope.sinks import publish
-from billscope.sources import billing_columns, ledger_from_events, order_encounters, read_admissions, read_encounters
+from billscope.sinks import append, create_if_missing, publish, replace
+from billscope.sources import (
+    billing_columns,
+    ledger_from_events,
+    order_encounters,
+    read_admissions,
+    read_encounters,
+    read_table,
+)
 from billscope.sources.feeds import LINE_COLUMNS, order_bills
 from billscope.streaming import increments
 from billscope.work import materialise, new_path
@@ -153,6 +160,13 @@ def load_valid_rows(spark, folder):
     return _shown(quality.split_valid(_daily(spark, folder))[0])
 
 
+def load_appended(spark, folder):
+    """Valid rows after a bulk append, read back from the table."""
+    rows, path = quality.split_valid(_daily(spark, folder))[0], new_path(spark, "appended")
+    append(rows, path, sort_by="discharge_date")
+    return _shown(read_table(spark, path, columns=rows.schema))
+
+
 def load_quarantine(spark, folder):
     return _shown(quality.split_valid(_daily(spark, folder))[1])
 
@@ -198,6 +212,14 @@ def segments_labelled(spark, folder):
     return _shown(segment.categorise(_segmented(spark, folder), exact=True))
 
 
+def segments_replaced(spark, folder):
+    """Labelled segments after replacing an earlier table, read back."""
+    path, labelled = new_path(spark, "segments"), segment.categorise(_segmented(spark, folder), exact=True)
+    create_if_missing(spark, path, schema.SEGMENT)
+    replace(labelled.select(*schema.SEGMENT.names), path)
+    return _shown(read_table(spark, path, columns=schema.SEGMENT))
+
+
 def segments_three_labels(spark, folder):
     rows = _segmented(spark, folder)
     return _shown(
@@ -296,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ledger_upstream_done,
         ledger_needs_rebuild,
         load_valid_rows,
+        load_appended,
         load_quarantine,
         load_counts,
         stage_row_counts,
@@ -305,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quantile_edges_approx,
         segment_profile,
         segments_labelled,
+        segments_replaced,
         segments_three_labels,
         label_counts,
         segments_kmeans,
