@@ -20,8 +20,8 @@ def cents(amount: Column) -> Column:
 
 
 def cents_of_double(amount: Column) -> Column:
-    """Cents of a double, rounded to the nearest."""
-    return F.floor(amount * 100 + F.lit(0.5))
+    """Cents of a double, rounded to the nearest; NaN and what no bigint holds become NULL."""
+    return F.when(F.abs(amount) < 1e16, F.floor(amount * 100 + F.lit(0.5)))
 
 
 def amount(cents_: Column) -> Column:

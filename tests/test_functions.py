@@ -47,6 +47,13 @@ def test_cents_round_trip(spark):
     assert back.schema["a"].dataType == schema.AMOUNT
 
 
+def test_cents_of_doubles(spark):
+    values = [0.0, 0.29, 104997.88, -1.01, 901.82, float("nan"), float("inf"), -1e300, None]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [row[0] for row in frame.select(money.cents_of_double(F.col("v"))).collect()]
+    assert got == [0, 29, 10499788, -101, 90182, None, None, None, None]
+
+
 def test_within_digits(spark):
     frame = spark.createDataFrame([(9999999,), (10000000,), (-9999999,), (-10000000,)], "c bigint")
     kept = [row[0] for row in frame.select(money.within_digits(F.col("c"), 7)).collect()]
