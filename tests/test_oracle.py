@@ -6,6 +6,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from billscope.plans.oracles import ORACLES
+from billscope.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"quantile_edges_approx", "segments_kmeans", "segments_flow"}
@@ -18,23 +20,24 @@ def connection():
 
 
 def test_only_approximate_queries_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
     assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, connection, name):
-    frame = contract.queries()[name](spark, FOLDER)
-    assert oracle.difference(frame, connection, contract.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, FOLDER)
+    assert oracle.difference(frame, connection, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_keeps_all_rows(spark, connection, name):
     expected = 4
     if name != "quantile_edges_approx":
-        sql = contract.oracle_sql()["quarterly_mean_of_means"]
+        sql = ORACLES["quarterly_mean_of_means"]
         expected = len(connection.execute(sql).fetchall())
-    assert contract.queries()[name](spark, FOLDER).count() == expected
+    assert QUERIES[name](spark, FOLDER).count() == expected
 
 
 def test_entry(spark):
