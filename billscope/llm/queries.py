@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from billscope.llm import packing
+from billscope.llm import decontaminate, oracles, packing, token_files
+from billscope.work import new_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +19,30 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("hits.items", lambda item: item.cast("string")))
+    hit = decontaminate.n_hit()
+    return found.select(
+        "doc_id",
+        F.col("hits.n_words").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(table(spark, folder, "documents"), path)
+    return token_files.read(spark, path)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_token_files": op3_token_files,
 }
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = oracles.ORACLES
