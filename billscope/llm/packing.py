@@ -116,9 +116,10 @@ def _cut_and_pack(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: i
 
 def _pack_again(batches: Iterator[pa.RecordBatch], capacity: int, level: int) -> Iterator[pa.RecordBatch]:
     """One round over whole underfull bins: all pieces of a bin come to the same task and keep their order."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    held = list(batches)
+    if not sum(batch.num_rows for batch in held):
         return
+    table = pa.Table.from_batches(held)
     bins, index = np.unique(table["sequence_id"].to_numpy(), return_inverse=True)
     fill = np.bincount(index, weights=table["length"].to_numpy()).astype(np.int64)
     sequences, offsets, is_open = _packed({"size": fill}, capacity, _first_id(level))

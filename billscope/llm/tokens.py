@@ -14,20 +14,17 @@ from collections.abc import Iterable, Iterator
 
 WORDS, SPACED = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Parts and bytes of parts that one Python worker remembers before it starts afresh.
-MOST_PARTS, MOST_BYTES = 400_000, 24_000_000
+MOST_PARTS, MOST_BYTES = 1_600_000, 32_000_000
 BATCH_BYTES = 4_000_000
 
 # White space as the tokenizers' patterns see it (Unicode White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
-SPACE_THEN_CUT = re.compile(
-    rb"(?:[\t-\r ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80)[ \n]"
-)
+ENDS_IN_SPACE = re.compile(f"[{SPACE}]\\Z")
 RUN_AND_WORD = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 LINE, BARE = b"\xff", b"\xfe"  # bytes that UTF-8 never holds
-STOP = re.compile(rb"(?<=[a-z])([,.])(?=[ \n])")  # a mark between a letter and white space is a token of its own
 COMBINING = re.compile(rb"[\xcc\xcd]")
-ONE_WORD = re.compile("[a-zß-öø-ÿ]+")
-ONE_SPACED_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A run of Latin letters, and a run of marks after it that begins no contraction: two tokens before merging.
+WORD_AND_MARKS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?")
 
 
 def byte_letters() -> dict[int, int]:
@@ -52,27 +49,34 @@ def location(name: str) -> str:
 def word_parts(text: bytes) -> list[bytes]:
     """Cut at ASCII white space, for tokenizers that lower the case and drop white space.
 
-    Small letters come first only where no mark could combine with a letter.
+    Small letters come first only where no accent could combine with a letter.
     """
     if not COMBINING.search(text):
         text = text.lower()
-    return STOP.sub(rb" \1", text).split()
+    return text.split()
 
 
 def spaced_parts(text: bytes) -> list[bytes]:
-    """Cut before a space or line end that follows a visible character, for byte-level tokenizers.
+    """Cut before every space and line end, for byte-level tokenizers.
 
-    A space before a part is implied; ``LINE`` stands for a line end before it and ``BARE`` for nothing.
-    White space of two or more before a cut would be split, so such texts are cut by words instead.
+    A space before a part is implied; ``LINE`` stands for a line end before it and ``BARE`` for nothing. Right
+    unless a part ends in white space, whose run the cut after it would split; ``visible_end`` tells.
     """
     if not text:
         return []
-    if text[:1] in b" \n" or SPACE_THEN_CUT.search(text):
-        return [BARE + part.encode() for part in RUN_AND_WORD.findall(text.decode())]
-    first, *rest = STOP.sub(b" " + BARE + rb"\1", text).replace(b"\n", b" " + LINE).split(b" ")
+    first, *rest = text.replace(b"\n", b" " + LINE).split(b" ")
     return [BARE + first, *rest]
 
 
+def run_parts(text: bytes) -> list[bytes]:
+    """Cut only before runs of white space, for texts that ``spaced_parts`` can't cut."""
+    return [BARE + part.encode() for part in RUN_AND_WORD.findall(text.decode())]
+
+
+def visible_end(text: str) -> bool:
+    return bool(text) and not ENDS_IN_SPACE.search(text)
+
+
 def part_text(part: bytes) -> str:
     lead = part[:1]
     if lead == BARE:
@@ -91,33 +95,59 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         drops_space = os.path.basename(name) == WORDS
         self.parts, self.text = (word_parts, bytes.decode) if drops_space else (spaced_parts, part_text)
-        self.one_word = ONE_WORD if drops_space else ONE_SPACED_WORD
+        self.lowers, self.lead = drops_space, "" if drops_space else chr(LETTERS[32])
+        self.merge = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.unsafe: set[bytes] = set()  # parts that end in white space
         self.bytes = 0
 
+    def _ids_of_word(self, part: bytes) -> list[int] | None:
+        """Ids of a word with the marks after it, which need no normalising or cutting; None for other parts."""
+        if part.isalpha():
+            letters = self.lead + part.decode()
+            return [token.id for token in self.merge(letters.lower() if self.lowers else letters)]
+        text = self.text(part)
+        found = WORD_AND_MARKS.fullmatch(text)
+        if not found:
+            return None
+        word, marks = found.groups()
+        letters = (word.lower() if self.lowers else word).encode().decode("latin-1").translate(LETTERS)
+        ids = [token.id for token in self.merge(letters)]
+        return ids + [token.id for token in self.merge(marks)] if marks else ids
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [self.parts(text) for text in texts]
-        distinct = set().union(*parts)
+        distinct = self._learn(set().union(*parts))
+        if not self.lowers and not self.unsafe.isdisjoint(distinct):
+            for number, own in enumerate(parts):
+                if not self.unsafe.isdisjoint(own):
+                    parts[number] = run_parts(texts[number])
+            self._learn(set().union(*parts))
+        look_up = self.known.__getitem__
+        return [b"".join(map(look_up, own)) for own in parts]
+
+    def _learn(self, distinct: set[bytes]) -> set[bytes]:
+        """Encode the parts that aren't known."""
         new = distinct.difference(self.known)
         size = sum(map(len, new))
         if len(self.known) + len(new) > MOST_PARTS or self.bytes + size > MOST_BYTES:
-            self.known, self.bytes, new = {}, 0, distinct
+            self.known, self.unsafe, self.bytes, new = {}, set(), 0, distinct
             size = sum(map(len, new))
         self.bytes += size
-        merge, whole = self.tokenizer.model.tokenize, []
+        whole = []
         for part in new:
-            text = self.text(part)
-            if self.one_word.fullmatch(text):  # one run of letters needs no normalising or cutting
-                letters = text.encode().decode("latin-1").translate(LETTERS)
-                self.known[part] = array("I", [token.id for token in merge(letters)]).tobytes()
+            ids = self._ids_of_word(part)
+            if ids is None:
+                whole.append(part)
             else:
-                whole.append((part, text))
+                self.known[part] = array("I", ids).tobytes()
         for at in range(0, len(whole), 20_000):
             some = whole[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([text for _, text in some], add_special_tokens=False)
-            self.known.update((part, array("I", e.ids).tobytes()) for (part, _), e in zip(some, encoded, strict=True))
-        look_up = self.known.__getitem__
-        return [b"".join(map(look_up, own)) for own in parts]
+            written = [self.text(part) for part in some]
+            encoded = self.tokenizer.encode_batch_fast(written, add_special_tokens=False)
+            self.known.update((part, array("I", e.ids).tobytes()) for part, e in zip(some, encoded, strict=True))
+            self.unsafe.update(part for part, text in zip(some, written, strict=True) if not visible_end(text))
+        return distinct
 
 
 _encoders: dict[str, Encoder] = {}
