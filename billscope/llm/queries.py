@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import decontaminate, oracles, packing, token_files
+from billscope.llm import decontaminate, language, oracles, packing, simhash, token_files
 from billscope.work import new_path
 
 
@@ -40,9 +40,27 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.groups(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs)
+    return found.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
+    "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES

@@ -13,8 +13,9 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 WORDS, SPACED = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Parts and bytes of parts that one Python worker remembers before it starts afresh.
-MOST_PARTS, MOST_BYTES = 1_600_000, 32_000_000
+#: Parts that one Python worker remembers before it starts afresh, for tokenizers that drop white space and
+#: for the others, and bytes of parts.
+MOST_PARTS, MOST_BYTES = (700_000, 1_600_000), 32_000_000
 BATCH_BYTES = 4_000_000
 
 # White space as the tokenizers' patterns see it (Unicode White_Space).
@@ -96,6 +97,7 @@ class Encoder:
         drops_space = os.path.basename(name) == WORDS
         self.parts, self.text = (word_parts, bytes.decode) if drops_space else (spaced_parts, part_text)
         self.lowers, self.lead = drops_space, "" if drops_space else chr(LETTERS[32])
+        self.most = MOST_PARTS[not drops_space]
         self.merge = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
         self.unsafe: set[bytes] = set()  # parts that end in white space
@@ -130,7 +132,7 @@ class Encoder:
         """Encode the parts that aren't known."""
         new = distinct.difference(self.known)
         size = sum(map(len, new))
-        if len(self.known) + len(new) > MOST_PARTS or self.bytes + size > MOST_BYTES:
+        if len(self.known) + len(new) > self.most or self.bytes + size > MOST_BYTES:
             self.known, self.unsafe, self.bytes, new = {}, set(), 0, distinct
             size = sum(map(len, new))
         self.bytes += size
