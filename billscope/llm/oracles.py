@@ -35,5 +35,26 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op8_substring_dedup": """
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), doc_window AS (
+  SELECT doc_id, pos, array_to_string(list_slice(words, pos, pos + 19), ' ') AS words
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM doc WHERE len(words) >= 20)
+), again AS (
+  SELECT doc_id, pos FROM doc_window
+  QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM again
+), word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM doc
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
 """,
 }

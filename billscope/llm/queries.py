@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import decontaminate, language, oracles, packing, simhash, token_files
+from billscope.llm import decontaminate, language, oracles, packing, simhash, substrings, token_files
 from billscope.work import new_path
 
 
@@ -56,11 +56,17 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.with_cut(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept_sha256")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES
