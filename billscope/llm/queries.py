@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import decontaminate, language, oracles, packing, simhash, substrings, token_files
+from billscope.llm import decontaminate, language, oracles, packing, pii, simhash, substrings, token_files
 from billscope.work import new_path
 
 
@@ -61,6 +61,23 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept_sha256")
 
 
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = pii.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    rows = F.arrays_zip("pii.kinds", "pii.starts", "pii.ends", "pii.base")
+    docs = docs.select("doc_id", rows.alias("spans"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kinds"], s["starts"], s["ends"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kinds"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(listed(base), 256).alias("base_sha256")
+    added = (F.size("spans") - F.size(base)).cast("long").alias("n_added")
+    return docs.select("doc_id", *map(count, pii.KINDS), digest, listed(F.col("spans")).alias("spans"), added)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
@@ -68,5 +85,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES
