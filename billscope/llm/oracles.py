@@ -35,6 +35,28 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op7_embedding_dedup": """
+WITH RECURSIVE vector AS (
+  SELECT row_number() OVER () AS place, vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+    coalesce(label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0, false) AS fit
+  FROM embeddings
+), link AS (
+  SELECT a.place AS a, b.place AS b FROM vector a JOIN vector b
+    ON a.label = b.label AND a.place <> b.place AND len(a.v) = len(b.v) AND a.fit AND b.fit
+    AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  SELECT place AS node, place AS other FROM vector
+  UNION
+  SELECT reached.node, link.b FROM reached JOIN link ON reached.other = link.a
+), component AS (
+  SELECT node, min(vec_id) AS component_id FROM reached JOIN vector ON other = place GROUP BY node
+), counted AS (
+  SELECT a, count(*) AS n_links FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM vector JOIN component ON node = place LEFT JOIN counted ON a = place
 """,
     "op8_substring_dedup": """
 WITH doc AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import decontaminate, language, oracles, packing, pii, simhash, substrings, token_files
+from billscope.llm import decontaminate, embeddings, language, oracles, packing, pii, simhash, substrings, token_files
 from billscope.work import new_path
 
 
@@ -56,6 +56,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.groups(table(spark, folder, "embeddings"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.with_cut(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept_sha256")
@@ -84,6 +88,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_personal_data": op10_personal_data,
 }
