@@ -1,5 +1,15 @@
 """The queries of this package as SQL, where SQL expresses them."""
 
+
+
+def _escaped(column: str) -> str:
+    """The chat template's escapes."""
+    out = f"replace({column}, '\\', '\\\\')"
+    for control in ("<s>", "</s>", "[INST]", "[/INST]", "[CTX]"):
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
 ORACLES = {
     "op2_decontamination": """
 WITH doc AS (
@@ -36,6 +46,51 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """,
+    "op6_chat_formatting": """
+WITH chat AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), counted AS (
+  SELECT *, greatest(CAST(ceil(strlen(text) / 4) AS BIGINT) + 4, 1) AS tokens,
+    length(ESC_ROLE) + length(ESC_TEXT) + 7 AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+  FROM chat
+), headed AS (
+  SELECT *, coalesce(max(CASE WHEN place = 0 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS head_tokens,
+    max(CASE WHEN place = 0 THEN chars END) OVER (PARTITION BY conv_id) AS head_chars
+  FROM counted
+), sized AS (
+  SELECT *, place = 0 AND head_tokens > 0 AS head, greatest(1024 - 128 - head_tokens, 256) AS span,
+    CASE WHEN place = 0 AND head_tokens > 0 THEN 0 ELSE tokens END AS size
+  FROM headed
+), started AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place) - size AS start FROM sized
+), placed AS (
+  SELECT *, 2 * (start // span) + CASE WHEN size > 0 AND (start + size - 1) // span > start // span THEN 1 ELSE 0 END AS part
+  FROM started
+), part AS (
+  SELECT conv_id, part, min(start) AS opens, min(place) AS first_place, any_value(head_tokens) AS head_tokens,
+    any_value(head_chars) AS head_chars
+  FROM placed GROUP BY conv_id, part
+), again AS (
+  SELECT part.conv_id, sum(chars + 5 + 6) AS chars
+  FROM part JOIN placed USING (conv_id)
+  WHERE NOT head AND size <= 128 AND place < first_place AND opens - start <= 128 GROUP BY part.conv_id
+), again_head AS (
+  SELECT conv_id, sum(head_chars + 5 + 6) AS chars FROM part WHERE first_place > 0 AND head_tokens > 0 GROUP BY conv_id
+), own AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(chars + CASE WHEN role = 'assistant' THEN 7 ELSE 6 END) AS chars
+  FROM placed GROUP BY conv_id
+)
+SELECT own.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(own.chars + coalesce(again.chars, 0) + coalesce(again_head.chars, 0) AS BIGINT) AS formatted_chars
+FROM own LEFT JOIN again ON own.conv_id IS NOT DISTINCT FROM again.conv_id
+  LEFT JOIN again_head ON own.conv_id IS NOT DISTINCT FROM again_head.conv_id
+""".replace("ESC_ROLE", _escaped("role")).replace("ESC_TEXT", _escaped("text")),
     "op7_embedding_dedup": """
 WITH RECURSIVE vector AS (
   SELECT row_number() OVER () AS place, vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
