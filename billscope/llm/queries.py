@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import chat, decontaminate, embeddings, language, oracles, packing, pii, simhash, substrings, token_files
+from billscope.llm import chat, decontaminate, embeddings, language, oracles, packing, pii, quality, simhash, substrings, token_files
 from billscope.work import new_path
 
 
@@ -104,6 +104,23 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept_sha256")
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    views, models = quality.learn(docs, table(spark, folder, "labels"), ("quality", "toxic"))
+    found = quality.score(docs, views, models)
+    good, toxic = F.col("quality.score") >= 0.5, F.col("toxic.score") >= 0.5
+    return found.select(
+        "doc_id",
+        F.col("quality.score").alias("score"),
+        F.col("quality.text_score").alias("text_score"),
+        F.col("quality.meta_score").alias("meta_score"),
+        F.col("toxic.score").alias("toxic_score"),
+        good.cast("int").alias("quality"),
+        toxic.cast("int").alias("toxic"),
+        (good & ~toxic).alias("kept"),
+    )
+
+
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = pii.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
     rows = F.arrays_zip("pii.kinds", "pii.starts", "pii.ends", "pii.base")
@@ -130,6 +147,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_formatting": op6_chat_formatting,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES
