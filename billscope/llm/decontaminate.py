@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope.llm.frames import as_bytes, free_name
+from billscope.llm.frames import as_bytes, free_name, texts_of
 from billscope.work import materialise
 
 WINDOW = 10
@@ -149,7 +149,7 @@ def _finder(broadcast):
         index = Index(broadcast.value)
         for batch in texts:
             counts, starts, ends, items = [], [], [], []
-            for text in as_bytes(batch):
+            for text in texts_of(batch):
                 words = words_of(text)
                 found = index.hits(words)
                 counts.append(len(words))
@@ -230,7 +230,7 @@ def with_hits(
 
 @F.arrow_udf(T.LongType())
 def _count(texts: pa.Array) -> pa.Array:
-    return pa.array([len(words_of(text)) for text in as_bytes(texts)], pa.int64())
+    return pa.array([len(words_of(text)) for text in texts_of(texts)], pa.int64())
 
 
 def n_hit(hits: str = "hits") -> Column:
@@ -242,7 +242,7 @@ def n_hit(hits: str = "hits") -> Column:
 def _without(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     """Texts without the given ranges of words; what stands between two words of a range goes with them."""
     out = []
-    for text, first, last in zip(as_bytes(texts), starts.to_pylist(), ends.to_pylist(), strict=True):
+    for text, first, last in zip(texts_of(texts), starts.to_pylist(), ends.to_pylist(), strict=True):
         if text and first:
             places = [(m.start(), m.end()) for m in WORD.finditer(text)]
             kept, at = [], 0

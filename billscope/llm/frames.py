@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SLICE = 256
+
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """Two columns under fixed names, whatever else the frame holds; a null text is empty."""
@@ -27,7 +29,13 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes | None]]:
-    """(doc_id, text as UTF-8) of each row."""
-    for batch in batches:
-        yield from zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True)
+def texts_of(column: pa.Array) -> Iterator[bytes | None]:
+    """Texts as UTF-8, of which few are copied at a time."""
+    for at in range(0, len(column), SLICE):
+        yield from as_bytes(column.slice(at, SLICE))
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows whose last column is a text, as UTF-8."""
+    *others, text = batch.columns
+    return zip(*(column.to_pylist() for column in others), texts_of(text), strict=True)

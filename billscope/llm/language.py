@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,9 +102,9 @@ class Profiler:
         else:
             distinct, column = np.unique(runs, return_inverse=True)
         out = np.zeros((rows, self.letters.dimensions), np.float64)
-        for at in range(0, len(distinct), 16_384):  # bounds the vectors held at once
-            some = distinct[at : at + 16_384]
-            own = (column >= at) & (column < at + len(some)) if len(distinct) > 16_384 else slice(None)
+        for at in range(0, len(distinct), 4_096):  # bounds the vectors held at once
+            some = distinct[at : at + 4_096]
+            own = (column >= at) & (column < at + len(some)) if len(distinct) > 4_096 else slice(None)
             cells = owner[own] * len(some) + (column[own] - at)
             counts = np.bincount(cells, minlength=rows * len(some)).reshape(rows, len(some))
             out += counts.astype(np.float32) @ self.letters.bound(some)
@@ -202,7 +203,8 @@ def predict(text: Column, langs: list[str], profiles: np.ndarray, seed: int = SE
         profiler = Profiler(profiles.shape[1], seed)
         for batch in texts:
             names, scores = [], []
-            for _, _, sums in profiler.sums(batch.to_pylist()):
+            parts = (batch.slice(at, CHUNK_DOCS).to_pylist() for at in range(0, len(batch), CHUNK_DOCS))
+            for _, _, sums in chain.from_iterable(map(profiler.sums, parts)):
                 size = np.linalg.norm(sums, axis=1)
                 if not langs:
                     size[:] = 0

@@ -15,6 +15,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +102,7 @@ def _cut_and_pack(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: i
             arrays, names = [*arrays, pa.array(columns[5], pa.binary())], [*names, "ids"]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    for (doc_id, _), ids in tokens.encoded(rows_of(batches), tokenizer, 1):
+    for (doc_id, _), ids in tokens.encoded(chain.from_iterable(map(rows_of, batches)), tokenizer, 1):
         ids += end
         for piece, at in enumerate(range(0, len(ids), width)):
             own = ids[at : at + width]

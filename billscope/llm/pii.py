@@ -25,13 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm import bilstm_crf
-from billscope.llm.frames import free_name
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, MOST_WINDOWS = 20_000, 1_200
 LENGTH, STRIDE, MARGIN = 64, 32, 16
 LEAST_SHARE = 0.95
-AT_ONCE = 2_048  # windows decoded together
+AT_ONCE = 2_048  # windows decoded together, texts held at a time
 
 # The patterns. Possessive and anchored forms of them match the same spans without retries.
 AT_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -282,13 +281,18 @@ def all_spans(texts: list[str | None], weights: dict[str, np.ndarray] | None) ->
     return out
 
 
+def _slices(batch: pa.Array) -> Iterator[list[str | None]]:
+    """Texts, of which some are copied at a time."""
+    return (batch.slice(at, AT_ONCE).to_pylist() for at in range(0, len(batch), AT_ONCE))
+
+
 def spans_of(text: Column, weights: dict[str, np.ndarray] | None) -> Column:
     """Struct of the spans of a text column: kinds, starts, ends, whether a pattern found it."""
 
     @F.arrow_udf(SPANS)
     def own(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            rows = all_spans(batch.to_pylist(), weights)
+            rows = [row for texts in _slices(batch) for row in all_spans(texts, weights)]
             columns = [[[KINDS[s[0]] for s in spans] for spans in rows]]
             columns += [[[s[k] for s in spans] for spans in rows] for k in (1, 2, 3)]
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_())
@@ -304,24 +308,28 @@ def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.withColumn(into, spans_of(F.col(f"`{text_col}`").cast("string"), weights))
 
 
-@F.arrow_udf(T.StringType())
-def _masked(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """Texts with each span replaced by its kind; spans that overlap are replaced together, by the first."""
-    out = []
-    for text, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
-        if text and own["starts"]:
-            parts, at = [], 0
-            for start, end, kind in sorted(zip(own["starts"], own["ends"], own["kinds"], strict=True)):
-                if start >= at:
-                    parts += [text[at:start], f"[{kind.upper()}]"]
-                at = max(at, end)
-            text = "".join([*parts, text[at:]])
-        out.append(text)
-    return pa.array(out, pa.string())
-
-
-def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def masked(text: str | None, spans: list[tuple[int, int, int, bool]]) -> str | None:
+    """Text with each span replaced by its kind; spans that overlap are replaced together, by the first."""
+    if not text or not spans:
+        return text
+    parts, at = [], 0
+    for start, end, kind in sorted((start, end, kind) for kind, start, end, _ in spans):
+        if start >= at:
+            parts += [text[at:start], f"[{KINDS[kind].upper()}]"]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with personal data replaced by ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``."""
-    into = free_name(docs, "pii")
-    found = with_spans(docs, text_col=text_col, into=into, **options)
-    return found.withColumn(text_col, _masked(F.col(f"`{text_col}`").cast("string"), F.col(into))).drop(into)
+    weights = learn(docs, id_col=id_col, text_col=text_col, **options)
+
+    @F.arrow_udf(T.StringType())
+    def own(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            out = []
+            for some in _slices(batch):
+                out += map(masked, some, all_spans(some, weights))
+            yield pa.array(out, pa.string())
+
+    return docs.withColumn(text_col, own.asNondeterministic()(F.col(f"`{text_col}`").cast("string")))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.decontaminate import words_of
-from billscope.llm.frames import as_bytes
+from billscope.llm.frames import as_bytes, texts_of
 from billscope.work import materialise
 
 LABELLED, POOL = 6_000, 4_000
@@ -309,7 +309,7 @@ def score(docs: DataFrame, views: Views, models: dict[str, Model], **columns: st
     def own(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         views, models = broadcast.value
         for texts, sources, langs, lengths in batches:
-            rows = views.rows(as_bytes(texts), sources.to_pylist(), langs.to_pylist(), lengths.to_pylist())
+            rows = views.rows(texts_of(texts), sources.to_pylist(), langs.to_pylist(), lengths.to_pylist())
             out = []
             for model in models.values():
                 columns = [pa.array(column) for column in model.scores(rows)]

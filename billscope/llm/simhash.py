@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.components import components
-from billscope.llm.frames import as_bytes, free_name
+from billscope.llm.frames import free_name, texts_of
 from billscope.llm.groups import roots, runs
 from billscope.work import materialise
 
@@ -69,7 +69,7 @@ def fingerprint_of(text: Column, size: int = SHINGLE) -> Column:
 
     @F.arrow_udf(T.LongType())
     def own(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t, size) for t in as_bytes(texts)], np.uint64).view(np.int64))
+        return pa.array(np.array([fingerprint(t, size) for t in texts_of(texts)], np.uint64).view(np.int64))
 
     return own(text)
 

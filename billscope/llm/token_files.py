@@ -17,6 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -154,7 +155,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
     shard = TaskContext.get().partitionId()
     path, writer = f"{folder}/part-{shard:06d}.ids", None
     end = np.uint32(end_id).tobytes()
-    for (doc_id, _), ids in tokens.encoded(rows_of(batches), tokenizer, 1):
+    for (doc_id, _), ids in tokens.encoded(chain.from_iterable(map(rows_of, batches)), tokenizer, 1, remember=True):
         writer = writer or Writer(path, bits)
         writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
     if writer:

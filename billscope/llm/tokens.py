@@ -101,6 +101,7 @@ class Encoder:
         self.merge = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
         self.unsafe: set[bytes] = set()  # parts that end in white space
+        self.last: set[bytes] = set()
         self.bytes = 0
 
     def _ids_of_word(self, part: bytes) -> list[int] | None:
@@ -125,9 +126,15 @@ class Encoder:
                 if not self.unsafe.isdisjoint(own):
                     parts[number] = run_parts(texts[number])
             self._learn(set().union(*parts))
+        self.last = distinct
         look_up = self.known.__getitem__
         return [b"".join(map(look_up, own)) for own in parts]
 
+    def forget(self) -> None:
+        """Keep only the parts of the last texts, so that an idle worker holds little."""
+        self.known = {part: self.known[part] for part in self.last if part in self.known}
+        self.bytes = sum(map(len, self.known))
+
     def _learn(self, distinct: set[bytes]) -> set[bytes]:
         """Encode the parts that aren't known."""
         new = distinct.difference(self.known)
@@ -162,8 +169,13 @@ def encoder(name: str) -> Encoder:
     return _encoders[name]
 
 
-def encoded(rows: Iterable[tuple], name: str, text_at: int) -> Iterator[tuple[tuple, bytes]]:
-    """Each row with the ids of its text (None: empty), some megabytes of text at a time."""
+def encoded(
+    rows: Iterable[tuple], name: str, text_at: int, remember: bool = False
+) -> Iterator[tuple[tuple, bytes]]:
+    """Each row with the ids of its text (None: empty), some megabytes of text at a time.
+
+    ``remember`` keeps the words for the worker's next task, as many as ``MOST_PARTS`` allows.
+    """
     own, size = [], 0
     encode = encoder(name).encode
     for row in rows:
@@ -174,3 +186,5 @@ def encoded(rows: Iterable[tuple], name: str, text_at: int) -> Iterator[tuple[tu
             own, size = [], 0
     if own:
         yield from zip(own, encode([r[text_at] or b"" for r in own]), strict=True)
+    if not remember:
+        encoder(name).forget()
