@@ -3,7 +3,7 @@
 Tasks hash every window of ``WINDOW`` consecutive words by a rolling polynomial modulo 2^64. A window that also
 occurs earlier within the same chunk of documents is a repeat already; every other one goes, by its hash, to a
 bucket, where equal hashes of all chunks meet and all but the first are repeats. So a bucket sees a window at
-most once a chunk, however many documents hold it. Windows travel as sorted, byte-transposed arrays, a few
+most once a chunk, however many documents hold it. Windows travel as sorted, compressed arrays, a few
 bytes each. The repeats of a document come back to it and merge into maximal intervals, which are removed.
 
 The order of documents is by id, null first, and within rows of one id by a hash of the text; rows with the same
@@ -21,18 +21,21 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope.llm.frames import as_bytes, free_name
+from billscope.llm.frames import free_name, rows_of, texts_of
 
 WINDOW = 20
 BASE = 0x9E3779B97F4A7C15
 CHUNK_WINDOWS = 1_500_000
 #: Bytes of text whose windows share a bucket; a task holds one bucket.
-BUCKET_BYTES = 24_000_000
-MOST_WORDS = 500_000  # distinct words a worker remembers
+BUCKET_BYTES = 16_000_000
+#: Bytes of text whose repeats are gathered together.
+TARGET_BYTES = 64_000_000
+MOST_WORDS = 250_000  # distinct words a worker remembers
 NO_ID = -(1 << 63)
 
 RESULT = T.StructType(
@@ -70,15 +73,20 @@ def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
 
 
 def _planes(values: np.ndarray, kind: str) -> bytes:
-    """Numbers with their bytes transposed: equal high bytes stand together and compress."""
-    return np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T).tobytes()
+    """Numbers with their bytes transposed, so that equal high bytes stand together, and compressed."""
+    size = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), size).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _numbers(data: bytes, kind: str) -> np.ndarray:
+def _numbers(data: pa.Buffer, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
+FOUND, FOUND_KINDS = ("ids", "keys", "counts", "starts"), ("<i8", "<i4", "<u4", "<u4")
+FOUND_SCHEMA = pa.schema([("target", pa.int32()), *((name, pa.binary()) for name in FOUND)])
 PARTS = ("hashes", "owners", "starts", "repeat_owners", "repeat_starts", "doc_ids", "text_keys")
 KINDS = ("<u8", "<u4", "<u4", "<u4", "<u4", "<i8", "<i4")
 
@@ -142,8 +150,7 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
             yield _batch(rows)
 
     for batch in batches:
-        columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2))
-        for doc_id, key, text in zip(*columns, strict=True):
+        for doc_id, key, text in rows_of(batch):
             words = (text or b"").split()
             if len(words) < window:
                 continue
@@ -165,17 +172,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["bucket", *PARTS])
 
 
-def _repeats(table: pa.Table) -> pa.Table:
-    """Repeated windows of a bucket by document: those of single chunks, and those first in their chunk only."""
+def _repeats(table: pa.Table, targets: int) -> pa.Table:
+    """Repeated windows of a bucket: those of single chunks, and those first in their chunk only.
+
+    Documents are dealt to ``targets`` by a hash, and a row holds the windows of all documents of a target.
+    """
     columns: list[list[np.ndarray]] = [[] for _ in PARTS]
     docs = 0
-    for row in zip(*(table[name].to_pylist() for name in PARTS), strict=True):
-        own = [_numbers(data, kind) for data, kind in zip(row, KINDS, strict=True)]
-        own[1], own[3] = own[1].astype(np.int64) + docs, own[3].astype(np.int64) + docs
+    for row in range(table.num_rows):
+        own = [_numbers(table[name][row].as_buffer(), kind) for name, kind in zip(PARTS, KINDS, strict=True)]
+        own[1], own[3] = own[1] + np.uint32(docs), own[3] + np.uint32(docs)
         docs += len(own[5])
         for column, values in zip(columns, own, strict=True):
             column.append(values)
     hashes, owners, starts, again_owners, again_starts, ids, keys = map(np.concatenate, columns)
+    del columns, own
     by_hash = np.argsort(hashes)
     equal = hashes[by_hash][1:] == hashes[by_hash][:-1]
     shared = np.zeros(len(hashes), bool)
@@ -186,18 +197,45 @@ def _repeats(table: pa.Table) -> pa.Table:
     order, _, same = _first_of(hashes[several], owners[several], starts[several], ids, keys)
     found = several[order[~same]]
     owners = np.concatenate([owners[found], again_owners])
-    starts = np.concatenate([starts[found], again_starts]).astype(np.int32)
-    order = np.lexsort((starts, keys[owners], ids[owners]))
-    owners, starts = owners[order], starts[order]
-    ids, keys = ids[owners], keys[owners]
+    starts = np.concatenate([starts[found], again_starts])
+    ids, keys, counts, starts = _by_document(ids[owners], keys[owners], starts)
+    mixed = (ids.view(np.uint64) ^ (keys.astype(np.uint64) << np.uint64(32))) * np.uint64(BASE)
+    target = ((mixed >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int64)
+    window_target = np.repeat(target, counts)
+    docs, own = np.argsort(target, kind="stable"), np.argsort(window_target, kind="stable")
+    doc_cuts, cuts = (np.searchsorted(np.sort(t), np.arange(targets + 1)) for t in (target, window_target))
+    rows = []
+    for number in np.unique(target).tolist():
+        some = docs[doc_cuts[number] : doc_cuts[number + 1]]
+        columns = ids[some], keys[some], counts[some], starts[own[cuts[number] : cuts[number + 1]]]
+        rows.append((number, *(_planes(c, k) for c, k in zip(columns, FOUND_KINDS, strict=True))))
+    return pa.Table.from_pylist([dict(zip(("target", *FOUND), row, strict=True)) for row in rows], FOUND_SCHEMA)
+
+
+def _by_document(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray):
+    """Distinct starts in order of place: ids and keys of the documents, starts in each, the starts."""
+    order = np.lexsort((starts, keys, ids))
+    ids, keys, starts = ids[order], keys[order], starts[order]
     new_doc = np.ones(len(ids), bool)
     new_doc[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
     new = new_doc.copy()
     new[1:] |= starts[1:] != starts[:-1]
     first = np.flatnonzero(new_doc[new])
-    bounds = np.append(first, new.sum()).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(starts[new]))
-    return pa.table({"own_id": ids[new][first], "text_key": keys[new][first], "starts": lists})
+    counts = np.diff(np.append(first, new.sum()))
+    return ids[new_doc], keys[new_doc], counts, starts[new]
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """Repeated windows of some documents, from all buckets."""
+    columns: list[list[np.ndarray]] = [[] for _ in FOUND]
+    for row in range(table.num_rows):
+        for column, name, kind in zip(columns, FOUND, FOUND_KINDS, strict=True):
+            column.append(_numbers(table[name][row].as_buffer(), kind))
+    ids, keys, counts, starts = map(np.concatenate, columns)
+    ids, keys, counts, starts = _by_document(np.repeat(ids, counts), np.repeat(keys, counts), starts)
+    bounds = np.append(0, np.cumsum(counts)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(starts.astype(np.int32)))
+    return pa.table({"own_id": ids, "text_key": keys, "starts": lists})
 
 
 def _cut(window: int):
@@ -206,7 +244,7 @@ def _cut(window: int):
         """Words and removed words, and what is left, joined by one space."""
         for batch, starts in texts:
             counts, removed, left, digests = [], [], [], []
-            for text, own in zip(as_bytes(batch), starts.to_pylist(), strict=True):
+            for text, own in zip(texts_of(batch), starts.to_pylist(), strict=True):
                 words = (text or b"").split()
                 counts.append(len(words))
                 if own:
@@ -239,8 +277,10 @@ def repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
     schema = "bucket int, " + ", ".join(f"{name} binary" for name in PARTS)
     hashed = docs.select(*_keys(id_col, text_col), text).mapInArrow(partial(_hash, window=window, buckets=buckets), schema)
     dealt = hashed.repartition(buckets, "bucket") if buckets > 1 else hashed
-    found = dealt.groupBy("bucket").applyInArrow(_repeats, "own_id long, text_key int, starts array<int>")
-    return found.groupBy("own_id", "text_key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    targets = max(1, math.ceil(size / TARGET_BYTES))
+    schema = "target int, " + ", ".join(f"{name} binary" for name in FOUND)
+    found = dealt.groupBy("bucket").applyInArrow(lambda group: _repeats(group, targets), schema)
+    return found.groupBy("target").applyInArrow(_gather, "own_id long, text_key int, starts array<int>")
 
 
 def with_cut(
