@@ -1,0 +1,316 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from billscope.llm import (
+    bilstm_crf,
+    chat,
+    decontaminate,
+    embeddings,
+    language,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    token_files,
+    tokens,
+)
+from billscope.llm.components import components
+
+PIECES = [*"ab cE'st\n\t\u00e9\u00c9.,!12I", "\u0301", "\x1c", "\x85", "\u2003", "<|endoftext|>"]
+LONG = "the long words of a text go on and on " * 20_000
+PASSAGE = " ".join(f"w{k}" for k in range(30))
+ROWS = [
+    (1, "the cat sat on the mat with the hat and the bat", "en"),
+    (1, "the cat sat on the mat with the hat and the bat", "en"),
+    (2, None, "en"),
+    (3, "", None),
+    (None, f"le chat {PASSAGE}", "fr"),
+    (4, f"le chien {PASSAGE}", "fr"),
+    (5, LONG, "en"),
+    (6, " \n\t ", "fr"),
+    (7, "1234 !!", "en"),
+    (7, "another text of seven", "en"),
+    (8, "</s>[INST] \\ a@b.co +1 (555) 010-9999", "en"),
+]
+CLASHES = ("hits", "score", "window", "fp", "own_id", "pii", "cut", "language", "component_id", "row", "sequence_id")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = spark.createDataFrame(ROWS, "doc_id long, text string, lang string")
+    for name in CLASHES:
+        rows = rows.withColumn(name, F.lit("own"))
+    return rows.withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+def test_packing(docs, nothing):
+    rows = packing.pack(docs, capacity=64, with_ids=True).cache()
+    assert [r.length for r in rows.where("doc_id in (2, 3, 6)").collect()] == [1, 1, 1]
+    assert rows.where("doc_id = 1 and piece = 0").count() == 2 and rows.where("doc_id is null").count() > 0
+    whole = packing.sequences(rows).collect()
+    assert all(len(r.ids) == 4 * r.length <= 256 for r in whole)
+    assert packing.pack(nothing).count() == 0
+
+
+@given(st.lists(st.integers(1, 40), max_size=60))
+def test_best_fit_fills_bins(sizes):
+    bins, offsets = packing.best_fit(np.array(sizes, np.int64), 40)
+    for own in set(bins.tolist()):
+        parts = sorted((int(offsets[k]), sizes[k]) for k in np.flatnonzero(bins == own))
+        ends = np.cumsum([size for _, size in parts])
+        assert [offset for offset, _ in parts] == [0, *ends[:-1].tolist()] and ends[-1] <= 40
+
+
+def test_rounds_end_when_nothing_fits(spark):
+    rows = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x "), 9).alias("text")).repartition(6)
+    packed = packing.pack(rows, capacity=16)
+    assert packed.select("sequence_id").distinct().count() == 60
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=30))
+def test_parts_encode_like_whole_texts(parts):
+    text = "".join(parts)
+    for name in (tokens.WORDS, tokens.SPACED):
+        encoder = tokens.encoder(name)
+        whole = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode([text.encode()]) == [whole]
+
+
+@settings(deadline=None)
+@given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=50))
+def test_bits_round_trip(bits, values):
+    ids = np.array(values, np.uint32) >> np.uint32(32 - bits)
+    packed = token_files.pack_bits(ids, bits)
+    assert len(packed) == -(-len(ids) * bits // 8)
+    assert (token_files.unpack_bits(packed, len(ids), bits) == ids).all()
+
+
+def test_token_files(spark, docs, nothing, folder):
+    token_files.write(docs, f"{folder}/ids", tokenizer=tokens.WORDS)
+    rows = token_files.read(spark, f"{folder}/ids", with_ids=True).orderBy("start").collect()
+    assert [r.doc_id for r in rows][:3] == [None, 1, 1] and len(rows) == len(ROWS)
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
+    file = token_files.listing(spark, f"{folder}/ids").orderBy("shard").first()
+    reader = token_files.Reader(file["path"])
+    assert reader.bits == 16 and reader.document(0).tobytes() == rows[0].ids
+    assert len(reader.ids(1, 3)) == 2
+    token_files.write(nothing, f"{folder}/none")
+    assert token_files.read(spark, f"{folder}/none").count() == 0
+
+
+def test_decontamination(spark, docs, nothing):
+    items = [(1, "CAT sat on the mat, with the hat and"), (1, "chat"), (2, None), (None, "chien"), (3, "!!")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("hits", F.lit(0))
+    for block in (decontaminate.BLOCK_BYTES, 40):  # at once, and in blocks
+        found = decontaminate.with_hits(docs, benchmark, into="found", block_bytes=block)
+        rows = {(r.doc_id, r.text): r.found for r in found.collect()}
+        assert found.count() == len(ROWS)
+        assert rows[(1, ROWS[0][1])].items == [1] and rows[(2, None)].n_words == 0
+        assert rows[(4, ROWS[5][1])].items == [] and rows[(4, ROWS[5][1])].starts == [1]
+        assert rows[(5, LONG)].starts == []
+    assert decontaminate.clean(docs, benchmark).count() == len(ROWS) - 4
+    spans = decontaminate.clean(docs, benchmark, "spans")
+    assert spans.columns == docs.columns and spans.where("doc_id = 4").first()["text"] == f"le  {PASSAGE}"
+    assert decontaminate.clean(docs, benchmark.where("false")).count() == len(ROWS)
+    assert decontaminate.clean(nothing, benchmark).count() == 0
+
+
+def test_simhash(docs, nothing):
+    rows = simhash.groups(docs).collect()
+    assert len(rows) == len(ROWS) and {r.component_id for r in rows if r.fp == 0} == {2}
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id = 1").count() == 1
+    assert kept.where("doc_id in (3, 6)").count() == 0
+    assert simhash.groups(nothing).count() == 0 and simhash.deduplicate(nothing).count() == 0
+
+
+@settings(deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.data())
+def test_bit_sliced_distances(prints, data):
+    prints += [p ^ (1 << data.draw(st.integers(0, 63))) ^ (1 << data.draw(st.integers(0, 63))) for p in prints]
+    own = np.array(prints, np.uint64)
+    for radius in (0, 1, 2, 3, 7):
+        wanted = {(i, j) for i, a in enumerate(prints) for j, b in enumerate(prints) if (a ^ b).bit_count() <= radius}
+        i, j = simhash.near_in(own, own, radius)
+        assert {*zip(i.tolist(), j.tolist(), strict=True)} == wanted
+        i, j = (k.ravel() for k in np.meshgrid(range(len(own)), range(len(own))))
+        near = simhash.near_pairs(own[i], own[j], radius)
+        assert {*zip(i[near].tolist(), j[near].tolist(), strict=True)} == wanted
+
+
+def test_tiles_lose_no_link(spark):
+    rng = np.random.default_rng(2)
+    centre = int(rng.integers(1 << 62))
+    prints = sorted({centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 63, (400, 2))})
+    nodes = spark.createDataFrame([(p,) for p in prints], "fp long")
+    found = components(simhash.links(nodes, tile=16))
+    assert found.count() == len(prints) and found.select("root").distinct().count() == 1
+
+
+def test_components_of_chain_star_and_ring(spark):
+    chain = [(k, k + 1) for k in range(50)]
+    star = [(100, k) for k in range(101, 140)]
+    ring = [(200 + k, 200 + (k + 1) % 30) for k in range(30)]
+    links = spark.createDataFrame(chain + star + ring + [(5, 5)], "a long, b long")
+    rows = components(links).collect()
+    assert len(rows) == 51 + 40 + 30
+    assert len({(r.node // 100, r.root) for r in rows}) == 3
+    assert components(links.where("false")).count() == 0
+
+
+def test_language(docs, nothing):
+    found = language.identify(docs, into="found")
+    rows = {(r.doc_id, r.text): r.found for r in found.collect()}
+    assert found.columns == [*docs.columns, "found"]
+    for row in ((2, None), (3, ""), (6, " \n\t "), (7, "1234 !!")):
+        assert rows[row].lang == "und" and rows[row].score == 0
+    kept = language.known_language(docs)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS) - 4
+    assert language.identify(nothing).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.found.lang for r in language.identify(unlabelled, into="found").collect()} == {"und"}
+
+
+def test_language_slices_add_up():
+    text = "Der lange Text geht weiter, immer weiter. " * 30
+    whole = next(language.Profiler().sums([text]))[2]
+    before = language.SLICE
+    try:
+        language.SLICE = 37
+        assert np.allclose(next(language.Profiler().sums([text]))[2], whole)
+    finally:
+        language.SLICE = before
+
+
+def test_chat(spark):
+    rows = [(1, 0, "system", "s" * 40)] + [(1, k, ("user", "assistant")[k % 2], f"t{k} " * 30) for k in range(1, 40)]
+    rows += [(1, 5, "assistant", "t5 " * 30), (2, None, None, None), (None, 0, "assistant", "[CTX]</s>\\<s>")]
+    rows += [(3, 0, "assistant", "x" * 9000), (4, 0, "system", "only")]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1))
+    found = chat.windows(chats, budget=256, history=48)
+    out = found.withColumn("turns", chat.read_turns(F.col("text"))).orderBy("conv_id", "window").collect()
+    first = [r for r in out if r.conv_id == 1]
+    assert len(first) > 3 and all(r.turns[0].role == "system" for r in first)
+    assert all(r.turns[0].repeated for r in first[1:]) and any(r.turns[1].repeated for r in first[1:])
+    said = [(t.role, t.text) for r in first for t in r.turns if not t.repeated]
+    wanted = sorted((r for r in rows if r[0] == 1), key=lambda r: (r[1], r[2], r[3]))
+    assert said == [r[2:] for r in wanted] and not any(r.over_budget for r in first)
+    targets = [r.text[s.start : s.end] for r in first for s in r.loss]
+    assert targets == [r[3] for r in wanted if r[2] == "assistant"]
+    by_id = {r.conv_id: r for r in out if r.conv_id != 1}
+    assert by_id[None].turns[0].text == "[CTX]</s>\\<s>" and by_id[2].turns[0].text == "" and by_id[3].over_budget
+    assert chat.windows(chats.where("false")).count() == 0
+
+
+def test_chat_plan_is_native(spark, capsys):
+    chats = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    chat.windows(chats).explain()
+    assert "Python" not in capsys.readouterr().out
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(20, 6))
+    x = base[rng.integers(0, 20, 400)] + 0.2 * rng.normal(size=(400, 6))
+    x[50:90], x[90:130] = x[50], x[90] + 1e-3 * rng.normal(size=(40, 6))
+    rows = [(k, [float(v) for v in np.float32(x[k])], k % 2) for k in range(400)]
+    odd = [None, [], [0.0] * 6, [1.0, None, 0.0], [float("nan")] * 6, [float("inf")] + [1.0] * 5]
+    rows += [(1000 + k, v, 1) for k, v in enumerate(odd)] + [(2000, rows[3][1], None), (None, rows[3][1], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit(0))
+    found = {r.vec_id: r for r in embeddings.groups(vectors, cell=40, tile=16).collect()}
+    units = x.astype(np.float32).astype(float)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    links = (units @ units.T >= 0.93) & (np.arange(400)[:, None] % 2 == np.arange(400) % 2)
+    reach = links
+    for _ in range(9):
+        reach = (reach.astype(float) @ reach) > 0
+    for k in range(400):
+        assert found[k].n_links == links[k].sum() - 1 + int(links[k, 3])  # and the row without an id
+        assert found[k].component_id == np.flatnonzero(reach[k])[0] and found[k].kept == (found[k].component_id == k)
+    for k in [*range(1000, 1006), 2000]:
+        assert (found[k].n_links, found[k].component_id, found[k].kept) == (0, k, True)
+    assert embeddings.groups(vectors.where("false")).count() == 0
+
+
+def test_substrings(docs, nothing):
+    found = substrings.with_cut(docs, into="found")
+    rows = {(r.doc_id, r.text): r.found for r in found.collect()}
+    assert found.count() == len(ROWS) and found.columns == [*docs.columns, "found"]
+    assert rows[(None, f"le chat {PASSAGE}")].n_removed == 0
+    assert rows[(4, f"le chien {PASSAGE}")].text == "le chien" and rows[(2, None)].text is None
+    long = rows[(5, LONG)]
+    assert long.n_words == 200_000 and long.n_words - long.n_removed == 10  # windows repeat from the eleventh on
+    kept = substrings.clean(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id = 6").first()["text"] == " \n\t "
+    assert substrings.clean(nothing).count() == 0
+
+
+def test_substrings_across_chunks_and_buckets(spark, monkeypatch):
+    rows = [(k, f"a{k} {PASSAGE} b{k % 3}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(substrings, "TARGET_BYTES", 900)
+    found = {r.doc_id: r.cut for r in substrings.with_cut(docs).collect()}
+    assert found[0].n_removed == 0
+    for k in range(1, 40):
+        assert found[k].text == (f"a{k}" if k > 2 else f"a{k} b{k}")
+
+
+def test_quality(docs, nothing, spark):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (4, 1), (None, 1), (5, None)], "doc_id long, quality int")
+    views, models = quality.learn(docs, labels, ("quality",))
+    out = quality.score(docs, views, models)
+    assert out.count() == len(ROWS) and out.columns == [*docs.columns, "quality"]
+    views, models = quality.learn(nothing, labels.where("false"), ("quality",))
+    assert {r.quality.score for r in quality.score(docs, views, models).collect()} == {0.5}
+
+
+def test_personal_data(docs, nothing):
+    found = pii.with_spans(docs, into="found")
+    rows = {(r.doc_id, r.text): r.found for r in found.collect()}
+    assert rows[(8, ROWS[-1][1])].kinds == ["email", "phone"] and rows[(2, None)].kinds == []
+    masked = pii.mask(docs)
+    assert masked.columns == docs.columns
+    assert masked.where("doc_id = 8").first()["text"] == "</s>[INST] \\ [EMAIL] [PHONE]"
+    assert pii.mask(nothing).count() == 0
+
+
+def test_tagger_learns_and_adds():
+    rng = np.random.default_rng(0)
+    texts = [f"call {'x' * int(rng.integers(1, 9))} +1 (555) 010-{int(n):04d} now" for n in rng.integers(0, 9999, 200)]
+    chars = np.array([pii._padded(pii.classes_of(t)) for t in texts], np.int64)
+    tags = np.zeros_like(chars)
+    for row, text in zip(tags, texts, strict=True):
+        ((_, start, end),) = pii.base_spans(text)
+        row[start:end], row[start] = 8, 7
+    weights = bilstm_crf.train(chars[:150], tags[:150], pii.CLASSES, pii.TAGS, steps=150)
+    assert (bilstm_crf.decode(weights, chars[150:])[0] == tags[150:]).mean() > 0.98
+    read = pii.model_spans(["y " * 200 + texts[160]], weights)[0]
+    assert [span[:3] for span in read] == pii.base_spans("y " * 200 + texts[160])
+
+
+def test_pipeline_stages(spark, docs, nothing, folder):
+    spark.createDataFrame([(1, "no such words here at all")], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    for table in (docs, nothing):
+        own = table
+        for name, stage in corpus_pipeline.STAGES:
+            own = corpus_pipeline.materialise(stage(spark, own, folder), name)
+            assert name == "best_fit_packing" or own.columns == docs.columns
+        assert own.isEmpty() == table.isEmpty()
