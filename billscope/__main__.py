@@ -15,13 +15,16 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from billscope import schema
 from billscope.operators.incremental import DEFAULT_START
+from billscope.operators.segment import FIT_PARTITIONS
 from billscope.plans.ingest import ingest, quarantine_unreadable
 from billscope.plans.report import publish_reports
 from billscope.plans.segmentation import rebuild_segments
-from billscope.session import build_session
+from billscope.session import build_session, shuffle_partitions
 from billscope.sources import billing_columns, read_encounters, stream_encounters
 from billscope.streaming.increments import run_available
+from billscope.work import file_system
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -36,39 +39,63 @@ def arguments() -> argparse.ArgumentParser:
     for name in ("ingest", "stream"):
         sub = job(name)
         sub.add_argument("--encounters", required=True, help="encounter files")
-        sub.add_argument("--digits", type=int, help="amounts with more digits count as missing")
         if name == "ingest":
             sub.add_argument("--run-id", default=uuid.uuid4().hex)
             sub.add_argument("--start", type=date.fromisoformat, default=DEFAULT_START, help="first load: days after")
             sub.add_argument("--boundary", choices=("after", "step"), default="after")
-            sub.add_argument("--keep-unreadable", action="store_true", help="keep lines with unreadable cells")
+            sub.add_argument("--drop-unreadable", action="store_true", help="don't keep lines with unreadable cells")
+            sub.add_argument("--no-late-count", action="store_true", help="don't count bills that came too late")
+        sub.add_argument("--cores", type=int, default=200, help="cores of the cluster")
     sub = job("segment")
     sub.add_argument("--run-id", default=uuid.uuid4().hex)
     sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     sub.add_argument("--only-when-due", action="store_true", help="do nothing within the same quarter")
     sub.add_argument("--method", choices=("mean_of_means", "weighted"), default="mean_of_means")
+    sub.add_argument("--k", type=int, default=schema.SEGMENT_COUNT, help="number of segments")
+    sub.add_argument("--seed", type=int, default=schema.SEGMENT_SEED)
+    sub.add_argument("--partitions", type=int, default=FIT_PARTITIONS, help="of the fit; others give other segments")
+    sub.add_argument("--scale", action="store_true", help="scale the features")
+    sub.add_argument("--exact", action="store_true", help="exact quantiles")
+    sub.add_argument("--with-year", action="store_true", help="quarters of each year apart")
     sub = job("report")
     sub.add_argument("--kind", choices=("csv", "json", "parquet"), default="csv")
     return parser
 
 
+def size_shuffles(spark: SparkSession, encounters: str, cores: int) -> int:
+    """Set the shuffle partitions by the bytes of the encounter files; returns their number."""
+    files, path = file_system(spark, encounters)
+    found = files.globStatus(path) or []
+    size = sum(files.getContentSummary(file.getPath()).getLength() for file in found)
+    number = shuffle_partitions(size, cores)
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = arguments().parse_args(argv)
     spark = spark or build_session(f"billscope-{args.job}")
+    if args.job in ("ingest", "stream"):
+        size_shuffles(spark, args.encounters, args.cores)
     home = args.home.rstrip("/")
     admissions, ledger, segments = f"{home}/admission", f"{home}/status", f"{home}/segments"
     if args.job == "ingest":
-        bills = billing_columns(read_encounters(spark, args.encounters), args.digits)
-        result = asdict(ingest(spark, bills, admissions, ledger, args.run_id, args.start, args.boundary))
-        if args.keep_unreadable:
-            result["unreadable"] = quarantine_unreadable(spark, args.encounters, f"{home}/unreadable")
+        bills = billing_columns(read_encounters(spark, args.encounters))
+        late = not args.no_late_count
+        loaded = ingest(spark, bills, admissions, ledger, args.run_id, args.start, args.boundary, count_late=late)
+        result = asdict(loaded)
+        if not args.drop_unreadable:
+            lines = quarantine_unreadable(spark, args.encounters, f"{home}/unreadable", args.run_id)
+            result["unreadable"] = lines
     elif args.job == "stream":
-        bills = billing_columns(stream_encounters(spark, args.encounters), args.digits)
+        bills = billing_columns(stream_encounters(spark, args.encounters))
         run_available(bills, f"{home}/increments", f"{home}/increments/checkpoint")
         result = {}
     elif args.job == "segment":
+        names = ("method", "k", "seed", "partitions", "scale", "exact", "with_year")
+        options = {name: getattr(args, name) for name in names}
         rows = rebuild_segments(
-            spark, admissions, ledger, segments, args.run_id, args.as_of, args.only_when_due, method=args.method
+            spark, admissions, ledger, segments, args.run_id, args.as_of, args.only_when_due, **options
         )
         result = {"rows": rows}
     else:

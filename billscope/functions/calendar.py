@@ -23,11 +23,11 @@ def one_month_after(day: Column) -> Column:
 
 
 def as_date(value: date | str | Column) -> Column:
-    """A date column from a date, text or column; unreadable text becomes NULL."""
+    """A date column from a date, text or column; text that is no date is an error."""
     if isinstance(value, Column):
         return value
     if isinstance(value, str):
-        return F.lit(value).try_cast("date")
+        return F.lit(date.fromisoformat(value))
     return F.lit(value).cast("date")
 
 
@@ -37,8 +37,8 @@ def date_text(day: Column) -> Column:
 
 
 def timestamp_text(moment: Column) -> Column:
-    """``2024-05-01 12:00:00``, without fractions of a second."""
-    return F.substring(moment.cast("string"), 1, 19)
+    """``2024-05-01 12:00:00``, with the fraction of a second where there is one."""
+    return moment.cast("string")
 
 
 def now_text() -> Column:

@@ -20,13 +20,14 @@ def cents(amount: Column) -> Column:
 
 
 def cents_of_double(amount: Column) -> Column:
-    """Cents of a double, rounded to the nearest; NaN and what no bigint holds become NULL."""
-    return F.when(F.abs(amount) < 1e16, F.floor(amount * 100 + F.lit(0.5)))
+    """Cents of a double, halves away from zero; NaN and what no bigint holds become NULL."""
+    size = F.floor(F.abs(amount) * 100 + F.lit(0.5))
+    return F.when(F.abs(amount) < 9e16, F.when(amount < 0, -size).otherwise(size))
 
 
 def amount(cents_: Column) -> Column:
-    """Decimal amount with two places."""
-    return (cents_.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT)
+    """Decimal amount with two places; NULL beyond what it holds."""
+    return (cents_.try_cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT)
 
 
 def within_digits(cents_: Column, digits: int) -> Column:

@@ -46,8 +46,8 @@ def stages(ledger: DataFrame) -> DataFrame:
 
 def event_is(ledger: DataFrame, event_id: int | str, test: Column) -> DataFrame:
     """Whether the event with this id passes ``test``; no such event means no."""
-    found = F.count_if((F.col("id") == event_id) & test) > 0
-    return ledger.filter(F.col("id") == event_id).agg(found.alias("event_is"))
+    found = F.count_if(test) > 0
+    return ledger.filter(F.col("id").cast("string") == str(event_id)).agg(found.alias("event_is"))
 
 
 def upstream_done(ledger: DataFrame, done: Column, begun: Column) -> DataFrame:

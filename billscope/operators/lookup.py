@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64_000_000
 HOT_KEYS = 1_000
 
 
@@ -14,12 +14,14 @@ def attach(
 ) -> DataFrame:
     """Left join ``table`` onto ``rows``; ``frequency`` is its column with the number of rows per key.
 
-    A table of at most ``broadcast_rows`` rows is broadcast. Beyond that, keys with more than one row in
+    A table of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` bytes of keys is broadcast. Beyond that, keys with more than one row in
     ``HOT_KEYS`` are joined by broadcast, of which there are fewer than ``HOT_KEYS``, and only the rows of
     the other keys are shuffled. Both frames are read more than once, so pass work tables.
     """
     values = table.drop(frequency)
-    if table.count() <= broadcast_rows:
+    size = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
+    count, size = table.agg(F.count("*"), size).first()
+    if count <= broadcast_rows and size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(values), key, "left")
     total = table.agg(F.sum(frequency)).scalar()
     hot = table.filter(F.col(frequency) * HOT_KEYS > total).drop(frequency)

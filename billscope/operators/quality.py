@@ -29,11 +29,13 @@ def reject_reason(
     day: str = "discharge_date",
     length: int = schema.NAME_LENGTH,
     digits: int = schema.STORED_AMOUNT_DIGITS,
+    as_of: Column | None = None,
 ) -> Column:
     """First rule of the stored table a row breaks, NULL for a valid row.
 
-    Amounts are compared as they are stored, rounded to cents.
+    Amounts are compared as they are stored, rounded to cents. With ``as_of`` a later date breaks a rule too.
     """
+    beyond = F.lit(False) if as_of is None else F.col(day) > as_of
     names = [F.col(key) for key in keys]
     limit = 10 ** (digits - 2)
     return (
@@ -42,6 +44,7 @@ def reject_reason(
         .when(F.col(amount).isNull(), "amount_null")
         .when(F.abs(F.col(amount)) >= limit, "amount_range")
         .when(F.col(day).isNull(), "date_null")
+        .when(beyond, "date_range")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
@@ -20,8 +19,9 @@ from billscope.work import checkpoint, materialise
 
 AMOUNT = "avg_bill_amount"
 FEATURES = (AMOUNT, "hospital_index", "insurance_index", "quarter")
-ROWS_PER_FIT_PARTITION = 50_000
-MAX_FIT_PARTITIONS = 20_000
+# The fit's start depends on the number of partitions, so it is fixed and never follows the data; set more for
+# tables whose averages don't fit into this many tasks.
+FIT_PARTITIONS = 16
 
 
 def string_index(rows: DataFrame, column: str) -> DataFrame:
@@ -60,26 +60,21 @@ class Segmentation:
         return [list(map(float, centers[self.rank_of.index(rank)])) for rank in range(len(centers))]
 
 
-def fit_partitions(rows: int) -> int:
-    return min(MAX_FIT_PARTITIONS, max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-
-
 def fit(
     vectors: DataFrame,
     k: int = schema.SEGMENT_COUNT,
     seed: int = schema.SEGMENT_SEED,
     scale: bool = False,
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
     keys: Sequence[str] = schema.QUARTER_KEYS,
 ) -> Segmentation:
     """Fit KMeans so that the same rows give the same segments.
 
     KMeans draws its start per partition, so rows are first put into a fixed number of partitions by key
     and sorted there: neither the layout of the input nor the size of the cluster then matters. Another
-    number of partitions gives other segments; by default it follows from the number of rows. Segments are
-    numbered by rising mean amount.
+    number of partitions gives other segments, so the number is a parameter with a fixed default, whatever
+    the number of rows. Segments are numbered by rising mean amount.
     """
-    partitions = partitions or fit_partitions(vectors.count())
     placed = vectors.repartition(partitions, *keys).sortWithinPartitions(*keys)
     # The fit evaluates its input several times, and each of its rounds must see the same partitions.
     placed = checkpoint(placed.select("features"))

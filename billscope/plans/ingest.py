@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope.functions import calendar
 from billscope.operators import aggregates, incremental, ledger, quality
-from billscope.sinks import append_event, open_ledger, publish, write_load
+from billscope.sinks import append_event, open_ledger, write_load
 from billscope.sources import read_encounters, unreadable_rows
+from billscope.work import delete, put_in_place
 
 STAGE = "ingest"
 
@@ -25,15 +27,19 @@ class Loaded:
     late: int | None = None
 
 
+def _checked(bills: DataFrame, as_of: Column | None = None) -> DataFrame:
+    daily = aggregates.daily_average_bill(bills)
+    daily = daily.withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
+    return quality.check_rows(daily, quality.reject_reason(as_of=as_of))
+
+
 def admission_rows(bills: DataFrame, last_loaded: date | str | None, boundary: str = "after") -> DataFrame:
     """New daily averages with quarter and reject reason.
 
     The slice comes first, on the bills: the date is a grouping key, so no average changes, and fewer rows
     are shuffled.
     """
-    new = incremental.slice_new(bills, last_loaded, boundary, keep_undated=True)
-    daily = aggregates.daily_average_bill(new)
-    return quality.check_rows(daily.withColumn("quarter", calendar.quarter_of(F.col("discharge_date"))))
+    return _checked(incremental.slice_new(bills, last_loaded, boundary, keep_undated=True))
 
 
 def ingest(
@@ -46,45 +52,68 @@ def ingest(
     boundary: str = "after",
     at: datetime | None = None,
     count_late: bool = False,
+    as_of: date | None = None,
 ) -> Loaded:
     """Load what is new and record the run.
 
-    Bills dated before the load's first day are left out; ``count_late`` counts them, which reads the
-    source's older rows once more. Without a loaded date in the ledger everything is loaded afresh. The
+    Bills dated before the load's first day are left out; ``count_late`` counts them into the closing event,
+    which reads the source's older rows once more. Without a loaded date in the ledger everything is loaded
+    afresh, beside the table that stands there, which gives way only to a finished one that isn't empty. The
     closing event follows the data, so a run that broke off is repeated from the same date and replaces
     what it had written.
+
+    Bills without a date, or dated after ``as_of`` (today), are rejected and never move the loaded date. As
+    later loads meet them again, they are kept once, in the load ``open``.
     """
     record = dict(stage=STAGE, run_id=run_id, at=at)
     past = open_ledger(spark, ledger_location).filter(F.col("stage") == STAGE)
     previous = ledger.last_loaded(past, default=None).first().last_loaded
     start = default_start if previous is None else previous
+    today = F.current_date() if as_of is None else F.lit(as_of)
     append_event(spark, ledger_location, sequence=1, status=ledger.STARTED, **record)
     try:
         load_from = "start" if start is None else str(start)
-        counts = write_load(admission_rows(bills, start, boundary), admissions, load_from, previous is None)
-        if previous is None and counts["loaded"] + counts["rejected"] == 0:
-            raise quality.NoRowsError("no rows in encounters")
+        target = f"{admissions}.new-{uuid.uuid4().hex}" if previous is None else admissions
+        new = incremental.slice_new(bills, start, boundary, keep_undated=True)
+        counts = write_load(_checked(new, today), target, load_from, F.col("discharge_date") <= today)
+        if previous is None:
+            if counts["loaded"] + counts["rejected"] == 0:
+                delete(spark, target)
+                raise quality.NoRowsError("no rows in encounters")
+            put_in_place(spark, target, admissions)
+        late = None
+        if count_late:
+            late = 0 if start is None else incremental.late_rows(bills, start, boundary).count()
     except Exception as error:
         append_event(
-            spark, ledger_location, sequence=2, status=ledger.FAILED, message=type(error).__name__, **record
+            spark,
+            ledger_location,
+            sequence=2,
+            status=ledger.FAILED,
+            message=f"{type(error).__name__}: {error}",
+            **record,
         )
         raise
+    told = f"{counts['loaded']} loaded, {counts['rejected']} rejected"
     append_event(
         spark,
         ledger_location,
         sequence=2,
         status=ledger.FINISHED,
-        message=f"{counts['loaded']} loaded, {counts['rejected']} rejected",
+        message=told if late is None else f"{told}, {late} late",
         last_loaded=counts["last_loaded"],
         row_count=counts["loaded"],
         **record,
     )
-    late = None
-    if count_late:
-        late = 0 if start is None else incremental.late_rows(bills, start, boundary).count()
     return Loaded(load_from, **counts, late=late)
 
 
-def quarantine_unreadable(spark: SparkSession, path: str, location: str) -> int:
-    """Keep the raw text of lines with unreadable cells; their readable cells are loaded all the same."""
-    return publish(unreadable_rows(read_encounters(spark, path, keep_corrupt=True)), location, "parquet")
+def quarantine_unreadable(spark: SparkSession, path: str, location: str, run_id: str) -> int:
+    """Keep the raw text of lines with unreadable cells; their readable cells are loaded all the same.
+
+    Every run has a folder of its own, so a repeated run replaces its lines and no other's.
+    """
+    rows = unreadable_rows(read_encounters(spark, path, keep_corrupt=True))
+    rows, seen = quality.observe_counts(rows, "unreadable")
+    rows.write.mode("overwrite").parquet(f"{location}/run={run_id}")
+    return seen.get["rows"]

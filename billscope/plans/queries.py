@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope import schema
-from billscope.functions import calendar, money
+from billscope.functions import calendar
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
 from billscope.sinks import append, create_if_missing, publish, replace
+from billscope.sinks.tables import CSV
 from billscope.sources import (
     billing_columns,
     ledger_from_events,
@@ -44,15 +45,8 @@ def _daily(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.daily_average_bill(order_bills(spark, folder))
 
 
-def _stored_amounts(bills: DataFrame) -> DataFrame:
-    """Bills as a source limited to seven digits delivers them: larger amounts are NULL."""
-    stored = money.within_digits(F.col("bill_cents"), schema.STORED_AMOUNT_DIGITS)
-    return bills.withColumn("bill_cents", stored)
-
-
 def _mean_of_means(spark: SparkSession, folder: str) -> DataFrame:
-    bills = incremental.slice_new(_stored_amounts(order_bills(spark, folder)), LAST_LOADED, "step")
-    daily = aggregates.daily_average_bill(bills).withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
+    daily = _daily(spark, folder).withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
     return aggregates.quarterly_average_bill(quality.drop_incomplete(daily))
 
 
@@ -85,7 +79,11 @@ def quarter_column(spark, folder):
 
 
 def complete_rows(spark, folder):
-    bills = _stored_amounts(order_bills(spark, folder))
+    """Bills of which one in eleven has no hospital and one in thirteen no amount, by the amount's cents."""
+    cents = F.col("bill_cents")
+    bills = order_bills(spark, folder).withColumns(
+        {"hospital": F.when(cents % 11 != 0, F.col("hospital")), "bill_cents": F.when(cents % 13 != 0, cents)}
+    )
     rows = bills.withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
     columns = ["medical_condition", "hospital", "bill_cents", "insurance_provider", "quarter"]
     return _shown(quality.drop_incomplete(rows, columns))
@@ -238,9 +236,59 @@ def segments_kmeans(spark, folder):
     return _shown(segmentation.cluster(averages))
 
 
+def kmeans_nearest(spark, folder):
+    """Rows scored, and rows whose segment isn't that of their nearest centre."""
+    rows = segmentation.feature_rows(materialise(_mean_of_means(spark, folder), "mean-of-means"))
+    vectors = segment.features(materialise(rows, "features"))
+    found = segment.fit(vectors)
+    scored = segment.score(found, vectors)
+
+    def distance(center):
+        return sum((F.col(name) - value) * (F.col(name) - value) for name, value in zip(segment.FEATURES, center, strict=True))
+
+    distances = F.array(*[distance(center) for center in found.centers()])
+    own = F.element_at(distances, F.col("prediction") + 1)
+    far = F.count_if(own > F.array_min(distances) * (1 + 1e-9) + 1e-9)
+    return scored.agg(F.count("*").alias("rows_scored"), far.alias("rows_not_nearest"))
+
+
+def quantile_rank_error(spark, folder):
+    """Whether each approximate edge lies within one hundredth of its rank."""
+    rows = materialise(_mean_of_means(spark, folder), "mean-of-means")
+    edges = segment.quantile_edges(rows).select("edges").scalar()
+    amount, columns = F.col(segment.AMOUNT), []
+    for number, probability in enumerate(schema.SEGMENT_QUANTILES):
+        below, up_to = (F.count_if(test) / F.count(amount) for test in (amount < edges[number], amount <= edges[number]))
+        near = (below - 0.01 <= probability) & (up_to + 0.01 >= probability)
+        columns.append(F.struct(F.lit(probability).alias("probability"), near.alias("within")))
+    return rows.agg(F.array(*columns).alias("pairs")).select(F.explode("pairs").alias("pair")).select("pair.*")
+
+
+def segments_table(spark, folder):
+    """The stored segments' keys and averages, and whether a label stands there."""
+    return segments_flow(spark, folder).withColumn("labelled", F.col("bill_cat").isNotNull()).drop("bill_cat")
+
+
+def ledger_stored(spark, folder):
+    """Questions to a stored ledger after one load."""
+    home = new_path(spark, "ledger")
+    ingest.ingest(spark, order_bills(spark, folder), f"{home}/admission", f"{home}/status", "7", None)
+    past = read_table(spark, f"{home}/status", columns=schema.LEDGER)
+    answer = ledger.event_is(past, "7-0002", F.col("status") == ledger.FINISHED)
+    return _shown(answer.crossJoin(ledger.last_loaded(past)))
+
+
+def incremental_slice_text(spark, folder):
+    return _shown(incremental.slice_new(order_bills(spark, folder), LAST_LOADED.isoformat(), "after"))
+
+
 def segments_flow(spark, folder):
-    table = ingest.admission_rows(_stored_amounts(order_bills(spark, folder)), LAST_LOADED, "step")
-    return _shown(segmentation.segment_bills(table))
+    """Bills through the stored tables: load, segment, read back."""
+    home = new_path(spark, "segments-flow")
+    table, runs, segments = (f"{home}/{name}" for name in ("admission", "status", "segments"))
+    ingest.ingest(spark, order_bills(spark, folder), table, runs, "load", None)
+    segmentation.rebuild_segments(spark, table, runs, segments, "segment", AS_OF)
+    return _shown(read_table(spark, segments, columns=schema.SEGMENT))
 
 
 def report_admissions(spark, folder):
@@ -252,7 +300,7 @@ def report_published(spark, folder):
     """The admissions report as other tools read it: a headed file."""
     report, path = report_admissions(spark, folder), new_path(spark, "report")
     publish(report, path)
-    return spark.read.schema(report.schema).option("header", True).csv(path)
+    return spark.read.schema(report.schema).option("header", True).options(**CSV).csv(path)
 
 
 def report_segments(spark, folder):
@@ -332,7 +380,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         segments_three_labels,
         label_counts,
         segments_kmeans,
+        kmeans_nearest,
+        quantile_rank_error,
         segments_flow,
+        segments_table,
+        ledger_stored,
+        incremental_slice_text,
         report_admissions,
         report_published,
         report_segments,

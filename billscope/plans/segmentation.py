@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +34,9 @@ def cluster(
     k: int = schema.SEGMENT_COUNT,
     seed: int = schema.SEGMENT_SEED,
     scale: bool = False,
-    partitions: int | None = None,
+    partitions: int = segment.FIT_PARTITIONS,
 ) -> DataFrame:
     """Averages, as a work table, with the number of their KMeans segment."""
-    partitions = partitions or segment.fit_partitions(averages.count())
     # Fit, segment means and final rows all start from the features; none repeats the index joins.
     vectors = segment.features(materialise(feature_rows(averages), "features"))
     keys = [key for key in (*schema.QUARTER_KEYS, "year") if key in averages.columns]
@@ -55,7 +54,7 @@ def segment_bills(
     exact: bool = False,
     labels: Sequence[str] = schema.SEGMENT_LABELS,
     probabilities: Sequence[float] = schema.SEGMENT_QUANTILES,
-    partitions: int | None = None,
+    partitions: int = segment.FIT_PARTITIONS,
 ) -> DataFrame:
     """Labelled quarterly averages from admission rows."""
     averages = quality.require_rows(quarter_averages(admissions, method, with_year), "complete admissions")
@@ -80,7 +79,8 @@ def rebuild_segments(
 
     Runs only once the latest load has finished. With ``only_when_due`` it also waits for a new quarter.
     """
-    record = dict(stage=STAGE, run_id=run_id, at=at or datetime.now(timezone.utc))
+    record = dict(stage=STAGE, run_id=run_id, at=at)
+    partitions = options.get("partitions", segment.FIT_PARTITIONS)
     past = open_ledger(spark, ledger_location)
     loads = F.col("stage") == "ingest"
     done = ledger.upstream_done(
@@ -101,7 +101,7 @@ def rebuild_segments(
             rows = replace(labelled.select(*columns), segments)
     except Exception as error:
         append_event(
-            spark, ledger_location, sequence=2, status=ledger.FAILED, message=type(error).__name__, **record
+            spark, ledger_location, sequence=2, status=ledger.FAILED, message=f"{type(error).__name__}: {error}", **record
         )
         raise
     append_event(
@@ -109,7 +109,7 @@ def rebuild_segments(
         ledger_location,
         sequence=2,
         status=ledger.FINISHED,
-        message=f"{rows} rows",
+        message=f"{rows} rows, {partitions} partitions",
         last_loaded=as_of,
         row_count=rows,
         **record,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-AMOUNT = T.DecimalType(12, 2)
+AMOUNT = T.DecimalType(18, 2)
 
 # The encounter file's header, in file order.
 ENCOUNTER_FILE = T.StructType(

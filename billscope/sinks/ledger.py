@@ -33,7 +33,7 @@ def append_event(
         "id": f"{run_id}-{sequence:04d}",
         "stage": stage,
         "status": status,
-        "message": message[: schema.MESSAGE_LENGTH],
+        "message": message,
         "event_time": at,
         "last_loaded": last_loaded,
         "row_count": row_count,

@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import quality
+from billscope.work import delete
+
+
+#: The load of rejected rows that no date places.
+OPEN = "open"
+# How published CSV is written and read; a reader adds ``multiLine`` where texts may hold line ends.
+CSV = {"escape": '"', "quoteAll": "true", "emptyValue": "", "nullValue": "\\N"}
 
 
 def jdbc_write_options(
@@ -59,12 +66,12 @@ def create_if_missing(spark: SparkSession, location: str, columns: T.StructType)
     return spark.read.schema(columns).parquet(location)
 
 
-def write_load(checked: DataFrame, location: str, load_from: str, refresh: bool) -> dict[str, Any]:
+def write_load(checked: DataFrame, location: str, load_from: str, placed: Column | None = None) -> dict[str, Any]:
     """Write one load of checked admission rows; returns rows loaded and rejected and the highest date loaded.
 
     Accepted and rejected rows go into one table in one commit, apart by the partition ``outcome``. The load
-    itself is a partition named after where it starts, so repeating a load replaces it. ``refresh`` replaces
-    every earlier load too.
+    itself is a partition named after where it starts, so repeating a load replaces it. Rows that are not
+    ``placed`` make the load ``open``, which is replaced by every load.
 
     Rebalancing gathers a month into few files and splits a month that is too large for one task.
     """
@@ -72,20 +79,20 @@ def write_load(checked: DataFrame, location: str, load_from: str, refresh: bool)
         *[F.col(field.name).cast(field.dataType) for field in schema.ADMISSION.fields],
         F.when(F.col("reject_reason").isNull(), "loaded").otherwise("rejected").alias("outcome"),
         calendar.month_start(F.col("discharge_date")).alias("discharge_month"),
+        (F.lit(load_from) if placed is None else F.when(placed, load_from).otherwise(OPEN)).alias("load_from"),
     )
-    folders = ["outcome", "discharge_month"]
-    target = f"{location}/load_from={load_from}"
-    if refresh:
-        placed, folders, target = placed.withColumn("load_from", F.lit(load_from)), ["load_from", *folders], location
+    folders = ["load_from", "outcome", "discharge_month"]
     loaded = F.col("outcome") == "loaded"
-    placed = placed.hint("rebalance", "outcome", "discharge_month").sortWithinPartitions(*folders, "discharge_date")
+    placed = placed.hint("rebalance", *folders[1:]).sortWithinPartitions(*folders, "discharge_date")
     placed, seen = quality.observe_counts(
         placed,
         "load",
         loaded=F.count_if(loaded),
         last_loaded=F.max(F.when(loaded, F.col("discharge_date"))),
     )
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*folders).parquet(target)
+    for name in (load_from, OPEN):
+        delete(checked.sparkSession, f"{location}/load_from={name}")
+    placed.write.mode("append").partitionBy(*folders).parquet(location)
     counts = seen.get
     return {
         "loaded": counts["loaded"],
@@ -95,7 +102,11 @@ def write_load(checked: DataFrame, location: str, load_from: str, refresh: bool)
 
 
 def publish(report: DataFrame, location: str, kind: str = "csv") -> int:
-    """Write a report as a headed table that other tools can read."""
+    """Write a report as a headed table that other tools can read.
+
+    In CSV every value is quoted, a quote is doubled, and ``\\\\N`` is a missing value.
+    """
     rows, seen = quality.observe_counts(report, "publish")
-    rows.write.mode("overwrite").format(kind).option("header", True).save(location)
+    writer = rows.write.mode("overwrite").format(kind).option("header", True)
+    writer.options(**(CSV if kind == "csv" else {})).save(location)
     return seen.get["rows"]

@@ -16,18 +16,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bill_rows(lines: DataFrame, orders: DataFrame, customers: DataFrame, suppliers: DataFrame) -> DataFrame:
+def bill_rows(
+    lines: DataFrame, orders: DataFrame, customers: DataFrame, suppliers: DataFrame, merge: bool = True
+) -> DataFrame:
     """One bill per order line, in the columns of ``billing_columns``.
 
-    Orders grow with their lines, so these two are always merged and never broadcast, which also spreads
-    the work behind the join over all cores. Customers and suppliers are broadcast only where Catalyst
+    Orders grow with their lines, so with ``merge`` these two are never broadcast, which also spreads the work
+    behind the join over all cores. Some lines of many may be the smaller side; Catalyst decides then. Customers and suppliers are broadcast only where Catalyst
     finds their files small enough. AQE splits an order, customer or supplier with very many lines.
     """
     payers = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_orderpriority", "c_mktsegment"
     )
     return (
-        lines.join(payers.hint("merge"), lines.l_orderkey == payers.o_orderkey)
+        lines.join(payers.hint("merge") if merge else payers, lines.l_orderkey == payers.o_orderkey)
         .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
         .select(
             F.col("o_orderpriority").alias("medical_condition"),
@@ -47,6 +49,7 @@ def order_bills(spark: SparkSession, folder: str, lines: DataFrame | None = None
         _table(spark, folder, "orders"),
         _table(spark, folder, "customer"),
         _table(spark, folder, "supplier"),
+        merge=lines is None,
     )
 
 

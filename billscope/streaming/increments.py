@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import aggregates, quality
+from billscope.work import delete, file_system, job_folder, materialise
 
 MONTH = "discharge_month"
 _KEY_FIELDS = [schema.ADMISSION[key] for key in schema.DAILY_KEYS]
@@ -27,40 +28,62 @@ PARTIALS = T.StructType(
 DAYS = T.StructType([*schema.ADMISSION.fields, T.StructField(MONTH, T.DateType())])
 
 
-def _overwrite_partitions(df: DataFrame, location: str, folders: list[str]) -> list[date | None]:
-    """Replace the partitions ``df`` has rows for; returns their months, None among them for undated rows."""
-    month = F.col(MONTH)
-    rows, seen = quality.observe_counts(
-        df.hint("rebalance", MONTH), "months", months=F.collect_set(month), undated=F.count_if(month.isNull())
-    )
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite_partitions(df: DataFrame, location: str, folders: list[str]) -> None:
+    """Replace the partitions ``df`` has rows for."""
+    writer = df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*folders).parquet(location)
-    found = seen.get  # calendar months: few
-    return [*found["months"], *([None] if found["undated"] else [])]
 
 
 def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
     """Add one batch of bills to the daily averages at ``location``.
 
-    Only the batch is aggregated from bills; its sums are kept as a partition of their own, so a repeated
-    batch replaces itself. The averages of the months it touches are then made anew from the sums of all
-    batches, which also takes in late bills. Untouched months are neither listed nor read.
+    Only the batch is aggregated from bills. Each month keeps one table of sums, named after the batch that made
+    it: the sums before this batch and the batch's own, added up. A repeated batch starts from the same sums and
+    replaces itself, a late bill reaches its month, and sums older than the ones it started from are removed. So
+    a batch reads and writes the months it touches once, however many batches came before.
     """
     spark = bills.sparkSession
-    sums = (
-        aggregates.partials(bills)
-        .groupBy(*schema.DAILY_KEYS)
-        .agg(F.sum("bill_cents").alias("bill_cents"), F.sum("bill_count").alias("bill_count"))
-        .withColumn(MONTH, calendar.month_start(F.col("discharge_date")))
-        .withColumn("batch", F.lit(batch).cast("bigint"))
-    )
     partials = f"{location}/partials"
-    months = _overwrite_partitions(sums, partials, [MONTH, "batch"])
-    if not months:
-        return
-    folders = [f"{partials}/{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}" for month in months]
-    touched = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*folders)
+    own = aggregates.partials(bills).withColumn(MONTH, calendar.month_start(F.col("discharge_date")))
+    own = own.groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
+    with job_folder(spark, "increment"):
+        own = materialise(own, "sums")
+        months = [row[0] for row in own.select(MONTH).distinct().collect()]  # calendar months: few
+        if not months:
+            return
+        before, outdated = _versions(spark, partials, months, batch)
+        sums = own
+        if before:
+            earlier = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*before)
+            sums = own.unionByName(earlier.drop("batch")).groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
+        sums = sums.withColumn("batch", F.lit(batch).cast("bigint")).select(*[field.name for field in PARTIALS.fields])
+        _overwrite_partitions(sums, partials, [MONTH, "batch"])
+    now = [f"{partials}/{_folder(month)}/batch={batch}" for month in months]
+    touched = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*now)
     _overwrite_partitions(day_rows(touched), f"{location}/days", [MONTH])
+    for path in outdated:
+        delete(spark, path)
+
+
+def _sums() -> list[Column]:
+    return [F.sum(name).alias(name) for name in ("bill_cents", "bill_count")]
+
+
+def _folder(month: date | None) -> str:
+    return f"{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def _versions(spark: SparkSession, partials: str, months: list[date | None], batch: int) -> tuple[list[str], list[str]]:
+    """Folders of the months' latest sums before this batch, and of those before them."""
+    before, outdated = [], []
+    for month in months:
+        files, path = file_system(spark, f"{partials}/{_folder(month)}")
+        names = [file.getPath().getName() for file in files.listStatus(path)] if files.exists(path) else []
+        made = sorted(int(name.removeprefix("batch=")) for name in names if name.startswith("batch="))
+        made = [f"{partials}/{_folder(month)}/batch={number}" for number in made if number < batch]
+        before += made[-1:]
+        outdated += made[:-1]
+    return before, outdated
 
 
 def day_rows(sums: DataFrame) -> DataFrame:

@@ -28,8 +28,11 @@ def _private_dir() -> str:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a private one only for a local session without it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder named by ``spark.checkpoint.dir`` or set on the context.
+
+    Only a local session without either gets a private one.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -54,8 +57,35 @@ def job_folder(spark: SparkSession, job: str) -> Iterator[None]:
         yield
     finally:
         _job_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
+
+
+def file_system(spark: SparkSession, location: str):
+    """The Hadoop file system of a location, and the location as its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    files, path = file_system(spark, location)
+    files.delete(path, True)
+
+
+def put_in_place(spark: SparkSession, new: str, location: str) -> None:
+    """Rename a finished folder to ``location``; what stood there goes only after that."""
+    files, target = file_system(spark, location)
+    _, old = file_system(spark, f"{location}.before-{uuid.uuid4().hex}")
+    _, source = file_system(spark, new)
+    files.mkdirs(target.getParent())
+    had_old = files.exists(target)
+    if had_old and not files.rename(target, old):
+        raise OSError(f"{location} can't be moved")
+    if not files.rename(source, target):
+        if had_old:
+            files.rename(old, target)
+        raise OSError(f"{new} can't be moved to {location}")
+    if had_old:
+        files.delete(old, True)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def landing(tmp_path):
 
 def test_jobs_from_the_command_line(spark, landing, folder):
     home = f"{folder}/home"
-    loaded = main(["ingest", "--home", home, "--encounters", landing, "--keep-unreadable", "--digits", "7"], spark)
+    loaded = main(["ingest", "--home", home, "--encounters", landing, "--cores", "4"], spark)
     assert loaded["unreadable"] == 4 and loaded["loaded"] + loaded["rejected"] > 0
     rows = main(["segment", "--home", home, "--as-of", "2022-01-03"], spark)["rows"]
     assert rows > 0
@@ -37,7 +37,7 @@ def test_jobs_from_the_command_line(spark, landing, folder):
         "runs": 4,
     }
     assert main(["ingest", "--home", home, "--encounters", landing], spark)["loaded"] == 0
-    main(["stream", "--home", home, "--encounters", landing, "--digits", "7"], spark)
+    main(["stream", "--home", home, "--encounters", landing], spark)
     days = increments.read_days(spark, f"{home}/increments").filter("reject_reason is null")
     assert days.count() == loaded["loaded"]
 

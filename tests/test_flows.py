@@ -92,7 +92,7 @@ def test_ledger_event(spark, folder):
     open_ledger(spark, folder + "/status")
     append_event(spark, folder + "/status", "r", 7, "ingest", "failed", "x" * 99, date(2024, 3, 1), 5, at)
     (event,) = runs(open_ledger(spark, folder + "/status")).collect()
-    assert tuple(event) == ("r-0007", "ingest", "failed", "x" * 40, "2024-05-01 12:30:00", "2024-03-01", 5)
+    assert tuple(event) == ("r-0007", "ingest", "failed", "x" * 99, "2024-05-01 12:30:00", "2024-03-01", 5)
 
 
 def test_two_loads_make_the_table_of_one(spark, tables):
@@ -133,6 +133,60 @@ def test_empty_first_load_fails_and_is_recorded(spark, tables):
     assert [e.status for e in open_ledger(spark, tables[1]).orderBy("id").collect()] == ["started", "failed"]
 
 
+def test_empty_load_keeps_the_table(spark, tables, folder):
+    ingest.ingest(spark, make_bills(spark), *tables, "r1", default_start=None)
+    before = rows_of(read_admissions(spark, tables[0]))
+    with pytest.raises(quality.NoRowsError):
+        ingest.ingest(spark, spark.createDataFrame([], BILLS), tables[0], f"{folder}/other", "r1")
+    assert rows_of(read_admissions(spark, tables[0])) == before
+
+
+def test_odd_bills_stop_no_load(spark, tables):
+    """Large amounts, undated bills and future dates are rejected once, and later loads go on."""
+    day = date(2020, 1, 1)
+    odd = [
+        ("a", "h", "p", "t", day, 10**14),
+        ("a", "h", "p", "u", None, 100),
+        ("a", "h", "p", "v", date(9999, 12, 31), 100),
+        ("a", "h", "p", "w", day, 100),
+    ]
+    for run, extra in enumerate(([], [("a", "h", "p", "x", date(2021, 1, 1), 100)], [("a", "h", "p", "y", date(2022, 1, 1), 100)])):
+        odd += extra
+        result = ingest.ingest(spark, spark.createDataFrame(odd, BILLS), *tables, f"r{run}", default_start=None)
+        assert (result.loaded, result.rejected) == (1, 3 if run == 0 else 2)
+    rejected = read_quarantine(spark, tables[0]).orderBy("reject_reason").collect()
+    assert [r.reject_reason for r in rejected] == ["amount_range", "date_null", "date_range"]
+    assert read_admissions(spark, tables[0]).count() == 3
+
+
+def test_failure_text_is_kept_whole(spark, tables):
+    with pytest.raises(quality.NoRowsError):
+        ingest.ingest(spark, spark.createDataFrame([], BILLS), *tables, "r1")
+    event = open_ledger(spark, tables[1]).filter("status = 'failed'").first()
+    assert event.message == "NoRowsError: no rows in encounters"
+
+
+def test_published_csv_round_trip(spark, folder):
+    from billscope.sinks.tables import CSV, publish
+
+    rows = [('say "x"', 1), ("two\nlines", 2), ("", 3), (None, 4), ("a,b\\", 5)]
+    frame = spark.createDataFrame(rows, "name string, n int")
+    publish(frame, f"{folder}/report")
+    back = spark.read.schema(frame.schema).option("header", True).option("multiLine", True).options(**CSV)
+    assert sorted(map(tuple, back.csv(f"{folder}/report").collect()), key=lambda r: r[1]) == rows
+
+
+def test_month_sums_do_not_pile_up(spark, folder):
+    from billscope.streaming import increments
+
+    for batch in range(6):
+        bills = [("a", "h", "p", "t", date(2020, 1 + batch % 2, 1 + batch), 100 * batch)]
+        increments.fold_batch(spark.createDataFrame(bills, BILLS), batch, folder)
+    kept = sorted(path.name for path in Path(f"{folder}/partials").glob("*/batch=*"))
+    assert kept == ["batch=2", "batch=3", "batch=4", "batch=5"]
+    assert increments.read_days(spark, folder).count() == 6
+
+
 def test_admissions_skip_rejected_files(spark, tables):
     ingest.ingest(spark, make_bills(spark), *tables, "r1", default_start=None)
     plan = read_admissions(spark, tables[0])._jdf.queryExecution().executedPlan().toString()
@@ -144,7 +198,9 @@ def test_unreadable_lines_are_kept(spark, folder):
     good = "Ann,40,F,A+,Flu,2020-01-01,Dr X,North,Acme,10.00,12,Urgent,2020-01-02,Pill,Normal"
     path = Path(folder) / "e.csv"
     path.write_text(f"{header}\n{good}\n{good.replace('10.00', 'abc')}\n")
-    assert ingest.quarantine_unreadable(spark, str(path), f"{folder}/unreadable") == 1
+    assert ingest.quarantine_unreadable(spark, str(path), f"{folder}/unreadable", "r1") == 1
+    assert ingest.quarantine_unreadable(spark, str(path), f"{folder}/unreadable", "r2") == 1
+    assert spark.read.parquet(f"{folder}/unreadable").count() == 2
     assert "abc" in spark.read.parquet(f"{folder}/unreadable").first().raw_line
 
 
@@ -177,8 +233,18 @@ def test_segments_do_not_depend_on_layout(spark, quarter_rows):
     assert results[0] == results[1] == results[2]
 
 
-def test_fit_partitions_follow_the_rows():
-    assert [segment.fit_partitions(n) for n in (0, 1, 50_000, 50_001, 10**12)] == [1, 1, 1, 2, 20_000]
+@pytest.mark.parametrize("rows", (100, 50_001, 100_001))
+def test_fit_partitions_do_not_follow_the_rows(spark, rows, monkeypatch):
+    seen = []
+    real = segment.checkpoint
+    monkeypatch.setattr(segment, "checkpoint", lambda df: seen.append(df.rdd.getNumPartitions()) or real(df))
+    vectors = spark.range(rows).select(
+        *[F.lit(name).alias(name) for name in schema.QUARTER_KEYS[:3]],
+        F.lit(1).alias("quarter"),
+        F.col("id").cast("double").alias(segment.AMOUNT),
+    )
+    segment.fit(segment.features(vectors, [segment.AMOUNT]), k=2)
+    assert seen == [segment.FIT_PARTITIONS]
 
 
 def test_segments_do_not_depend_on_the_cluster(spark, quarter_rows):

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -27,16 +28,17 @@ def test_one_month_after_holds_month_end(spark):
     assert tuple(row) == (date(2020, 2, 29), date(2019, 6, 8), date(2020, 1, 31))
 
 
-def test_as_date_reads_text_or_gives_null(spark):
-    row = one(spark, good=calendar.as_date("2019-05-08"), bad=calendar.as_date("2019-13-40"))
-    assert tuple(row) == (date(2019, 5, 8), None)
+def test_as_date_reads_text_or_fails(spark):
+    assert tuple(one(spark, good=calendar.as_date("2019-05-08"))) == (date(2019, 5, 8),)
+    with pytest.raises(ValueError):
+        calendar.as_date("2019-13-40")
 
 
 def test_texts(spark):
     moment = F.lit("2024-01-02 03:04:05.678").cast("timestamp")
     row = one(spark, t=calendar.timestamp_text(moment), d=calendar.date_text(F.lit(date(2024, 1, 2))))
-    assert tuple(row) == ("2024-01-02 03:04:05", "2024-01-02")
-    assert len(one(spark, now=calendar.now_text()).now) == 19
+    assert tuple(row) == ("2024-01-02 03:04:05.678", "2024-01-02")
+    assert len(one(spark, now=calendar.now_text()).now) >= 19
 
 
 def test_cents_round_trip(spark):
@@ -48,10 +50,10 @@ def test_cents_round_trip(spark):
 
 
 def test_cents_of_doubles(spark):
-    values = [0.0, 0.29, 104997.88, -1.01, 901.82, float("nan"), float("inf"), -1e300, None]
+    values = [0.0, 0.29, 104997.88, -1.01, -108.515, 901.82, float("nan"), float("inf"), -1e300, None]
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     got = [row[0] for row in frame.select(money.cents_of_double(F.col("v"))).collect()]
-    assert got == [0, 29, 10499788, -101, 90182, None, None, None, None]
+    assert got == [0, 29, 10499788, -101, -10852, 90182, None, None, None, None]
 
 
 def test_within_digits(spark):

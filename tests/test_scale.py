@@ -93,7 +93,7 @@ def test_hot_group_is_combined_before_the_shuffle(spark, star):
 def test_hot_month_is_written_by_several_tasks(spark, star, folder):
     rows = ingest.admission_rows(bill_rows(*star), None).withColumn("discharge_date", F.lit("2020-05-05").cast("date"))
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB"):
-        counts = write_load(rows, f"{folder}/t", "start", refresh=True)
+        counts = write_load(rows, f"{folder}/t", "start")
     table = read_admissions(spark, f"{folder}/t")
     assert counts["loaded"] == table.count() and len(table.inputFiles()) > 1
 
