@@ -192,5 +192,18 @@ FROM p LEFT JOIN l USING (prediction)""",
     "ingest_load": f"""WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS}, quarter FROM c
 WHERE reject_reason IS NULL AND c.discharge_date >= DATE '1996-05-08' + INTERVAL 1 MONTH""",
     "ingest_table": f"WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS}, quarter FROM c WHERE reject_reason IS NULL",
+    "ingest_rejects": f"""WITH {_E.replace("e AS", "o AS", 1)}, e AS (
+  SELECT medical_condition, insurance_provider, admission_type,
+    CASE WHEN bill_cents % 101 = 0 THEN NULL WHEN bill_cents % 103 = 0 THEN repeat('h', 61) ELSE hospital END AS hospital,
+    CASE WHEN bill_cents % 109 = 0 THEN NULL WHEN bill_cents % 113 = 0 THEN DATE '9999-12-31'
+      ELSE discharge_date END AS discharge_date,
+    CASE WHEN bill_cents % 107 <> 0 THEN bill_cents END AS bill_cents
+  FROM o), {_D}, {_C.replace("'date_null' END", "'date_null' WHEN discharge_date > current_date THEN 'date_range' END")}
+SELECT {_D_COLUMNS}, quarter, reject_reason FROM c WHERE reject_reason IS NOT NULL""",
+    "report_tables": f"""WITH {_E}, {_D}, {_C}
+SELECT 'admissions' AS report, count(*) AS rows FROM c WHERE reject_reason IS NULL
+UNION ALL SELECT 'segments', count(*) FROM (
+  SELECT DISTINCT medical_condition, hospital, insurance_provider, quarter FROM c WHERE reject_reason IS NULL)
+UNION ALL SELECT 'runs', 4""",
     "incremental_stream": f"WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS}, quarter, reject_reason FROM c",
 }

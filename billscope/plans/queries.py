@@ -15,6 +15,7 @@ from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
+from billscope.plans.report import publish_reports
 from billscope.sinks import append, create_if_missing, publish, replace
 from billscope.sinks.tables import CSV
 from billscope.sources import (
@@ -23,6 +24,7 @@ from billscope.sources import (
     order_encounters,
     read_admissions,
     read_encounters,
+    read_quarantine,
     read_table,
 )
 from billscope.sources.feeds import LINE_COLUMNS, order_bills
@@ -327,6 +329,37 @@ def ingest_table(spark, folder):
     return _shown(read_admissions(spark, table).drop("load_from", "discharge_month"))
 
 
+def ingest_rejects(spark, folder):
+    """The quarantine after a load in which fixed shares of the bills break each rule, by the amount's cents."""
+    cents = F.col("bill_cents")
+    hospital = F.when(cents % 101 == 0, None).when(cents % 103 == 0, F.repeat(F.lit("h"), 61))
+    day = F.when(cents % 109 == 0, None).when(cents % 113 == 0, F.lit(date(9999, 12, 31)))
+    bills = order_bills(spark, folder).withColumns(
+        {
+            "hospital": hospital.otherwise(F.col("hospital")),
+            "discharge_date": day.otherwise(F.col("discharge_date")),
+            "bill_cents": F.when(cents % 107 != 0, cents),
+        }
+    )
+    home = new_path(spark, "rejects")
+    ingest.ingest(spark, bills, f"{home}/admission", f"{home}/status", "load", None)
+    return _shown(read_quarantine(spark, f"{home}/admission").drop("load_from", "discharge_month"))
+
+
+def report_tables(spark, folder):
+    """Rows of the published reports, after a load and a segmentation of it."""
+    home = new_path(spark, "reports")
+    places = [f"{home}/{name}" for name in ("admission", "segments", "status")]
+    ingest.ingest(spark, order_bills(spark, folder), places[0], places[2], "load", None)
+    segmentation.rebuild_segments(spark, places[0], places[2], places[1], "segment", AS_OF)
+    publish_reports(spark, *places, f"{home}/out", "parquet")
+    counts = None
+    for name in ("segments", "admissions", "runs"):
+        rows = spark.read.parquet(f"{home}/out/{name}").agg(F.lit(name).alias("report"), F.count("*").alias("rows"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
+
+
 def incremental_stream(spark, folder):
     """Daily averages folded in from a run-once stream of order lines."""
     home = new_path(spark, "increments")
@@ -392,6 +425,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         report_runs,
         ingest_load,
         ingest_table,
+        ingest_rejects,
+        report_tables,
         incremental_stream,
     )
 }
