@@ -6,7 +6,7 @@ documents kept out of training and combined by a third, small fit there, so a vi
 weight. All are logistic regressions in numpy.
 
 They are fitted to an expected ``LABELLED`` labelled and ``POOL`` further documents, chosen by a hash of the id,
-and to at most ``WORDS`` words that occur in ``LEAST_DOCS`` of those; all documents are scored by tasks.
+and to at most ``WORDS`` words and beginnings of words that occur in ``LEAST_DOCS`` of those; all documents are scored by tasks.
 
 Nulls: a null text is empty, null metadata is a value of its own; rows with a null id or label are not learned
 from. Of several labels of an id the smallest counts. Where the sample lacks one of the two classes, every
@@ -33,7 +33,7 @@ from billscope.llm.frames import as_bytes, texts_of
 from billscope.work import materialise
 
 LABELLED, POOL = 6_000, 4_000
-WORDS, LEAST_DOCS = 20_000, 8
+WORDS, LEAST_DOCS, BEGINNING = 20_000, 8, 5
 ROUNDS, SURE, EXCHANGE = 3, 0.98, 200
 VALUES = 500  # values of source and language, at most, that the metadata view tells apart
 PARTS = 1_000_000
@@ -99,6 +99,11 @@ def fit_small(columns: np.ndarray, labels: np.ndarray, steps: int = 25) -> np.nd
     return weights
 
 
+def terms(distinct: set[bytes]) -> set[bytes]:
+    """Words, and the beginnings of longer ones, which stand for words seen too rarely to be learned."""
+    return distinct.union(b"^" + word[:BEGINNING] for word in distinct if len(word) > BEGINNING)
+
+
 def _shape(text: bytes, words: list[bytes], distinct: set[bytes]) -> list[float]:
     """What a text looks like, as shares between 0 and 1."""
     seen = np.bincount(np.frombuffer(text, np.uint8), minlength=256) if text else np.zeros(256, np.int64)
@@ -140,7 +145,7 @@ class Views:
         words = words_of(text)
         distinct = set(words)
         get = self.words.get
-        known = sorted(place for place in map(get, distinct) if place is not None)
+        known = sorted(place for place in map(get, terms(distinct)) if place is not None)
         places = np.array([*range(SHAPE), *known], np.int32)
         values = np.ones(len(places))
         values[:SHAPE] = _shape(text or b"", words, distinct)
@@ -218,8 +223,8 @@ def co_train(
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in as_bytes(batch.column(0)):
-            words = [word for word in set(words_of(text)) if len(word) <= 100]
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in words], pa.string())], ["word"])
+            words = terms({word for word in words_of(text) if len(word) <= 100})
+            yield pa.RecordBatch.from_arrays([pa.array([*words], pa.binary())], ["word"])
 
 
 def _features(batches: Iterator[pa.RecordBatch], views: Views) -> Iterator[pa.RecordBatch]:
@@ -275,13 +280,13 @@ def learn(
     sample = joined.where(F.col("labels").isNotNull() | (draw < share(docs.count(), pool)))
     fold = (F.pmod(F.xxhash64("own_id", F.lit("fold")), F.lit(4)) == 0).alias("fold")
     sample = materialise(sample.select("text", "source", "lang", "length", "labels", fold), "sample")
-    counted = sample.select("text").mapInArrow(_distinct_words, "word string").groupBy("word").count()
+    counted = sample.select("text").mapInArrow(_distinct_words, "word binary").groupBy("word").count()
     words = counted.where(F.col("count") >= LEAST_DOCS).orderBy(F.desc("count"), "word").limit(WORDS).collect()
     tagged = F.explode(F.array(F.concat(F.lit("source="), F.coalesce("source", F.lit("None"))), F.concat(F.lit("lang="), F.coalesce("lang", F.lit("None")))))
     values = sample.select(tagged.alias("value")).groupBy("value").count()
     values = values.orderBy(F.desc("count"), "value").limit(VALUES).collect()
     views = Views(
-        {row["word"].encode(): SHAPE + n for n, row in enumerate(words)}, {row["value"]: n for n, row in enumerate(values)}
+        {bytes(row["word"]): SHAPE + n for n, row in enumerate(words)}, {row["value"]: n for n, row in enumerate(values)}
     )
     schema = "places binary, values binary, source string, lang string, length long, labels array<int>, fold boolean"
     found = sample.mapInArrow(partial(_features, views=views), schema).collect()
