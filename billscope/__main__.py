@@ -18,12 +18,12 @@ from pyspark.sql import SparkSession
 from billscope import schema
 from billscope.operators.incremental import DEFAULT_START
 from billscope.operators.segment import FIT_PARTITIONS
-from billscope.plans.ingest import ingest, quarantine_unreadable
+from billscope.plans.ingest import ingest
 from billscope.plans.report import publish_reports
 from billscope.plans.segmentation import rebuild_segments
 from billscope.session import build_session, shuffle_partitions
 from billscope.sources import billing_columns, read_encounters, stream_encounters
-from billscope.streaming.increments import run_available
+from billscope.streaming.increments import read_accepted, run_available
 from billscope.work import file_system
 
 
@@ -39,8 +39,8 @@ def arguments() -> argparse.ArgumentParser:
     for name in ("ingest", "stream"):
         sub = job(name)
         sub.add_argument("--encounters", required=True, help="encounter files")
+        sub.add_argument("--run-id", default=uuid.uuid4().hex)
         if name == "ingest":
-            sub.add_argument("--run-id", default=uuid.uuid4().hex)
             sub.add_argument("--start", type=date.fromisoformat, default=DEFAULT_START, help="first load: days after")
             sub.add_argument("--boundary", choices=("after", "step"), default="after")
             sub.add_argument("--drop-unreadable", action="store_true", help="don't keep lines with unreadable cells")
@@ -57,14 +57,21 @@ def arguments() -> argparse.ArgumentParser:
     sub.add_argument("--scale", action="store_true", help="scale the features")
     sub.add_argument("--exact", action="store_true", help="exact quantiles")
     sub.add_argument("--with-year", action="store_true", help="quarters of each year apart")
-    sub = job("report")
-    sub.add_argument("--kind", choices=("csv", "json", "parquet"), default="csv")
+    texts = lambda value: tuple(value.split(","))
+    sub.add_argument("--labels", type=texts, default=schema.SEGMENT_LABELS, help="rising, with commas between")
+    numbers = lambda value: tuple(map(float, value.split(",")))
+    sub.add_argument("--probabilities", type=numbers, default=schema.SEGMENT_QUANTILES, help="one less than labels")
+    sub.add_argument("--cores", type=int, default=200, help="cores of the cluster")
+    report = job("report")
+    report.add_argument("--kind", choices=("csv", "json", "parquet"), default="csv")
+    for own in (sub, report):
+        own.add_argument("--source", choices=("ingest", "stream"), default="ingest", help="whose daily averages")
     return parser
 
 
-def size_shuffles(spark: SparkSession, encounters: str, cores: int) -> int:
-    """Set the shuffle partitions by the bytes of the encounter files; returns their number."""
-    files, path = file_system(spark, encounters)
+def size_shuffles(spark: SparkSession, location: str, cores: int) -> int:
+    """Set the shuffle partitions by the bytes of the files a job reads; returns their number."""
+    files, path = file_system(spark, location)
     found = files.globStatus(path) or []
     size = sum(files.getContentSummary(file.getPath()).getLength() for file in found)
     number = shuffle_partitions(size, cores)
@@ -75,27 +82,37 @@ def size_shuffles(spark: SparkSession, encounters: str, cores: int) -> int:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = arguments().parse_args(argv)
     spark = spark or build_session(f"billscope-{args.job}")
-    if args.job in ("ingest", "stream"):
-        size_shuffles(spark, args.encounters, args.cores)
     home = args.home.rstrip("/")
     admissions, ledger, segments = f"{home}/admission", f"{home}/status", f"{home}/segments"
+    increments = f"{home}/increments"
+    if args.job in ("ingest", "stream"):
+        size_shuffles(spark, args.encounters, args.cores)
+    elif args.job == "segment":
+        size_shuffles(spark, admissions if args.source == "ingest" else f"{increments}/days", args.cores)
+    if args.job in ("segment", "report") and args.source == "stream":
+        admissions = read_accepted(spark, increments)
     if args.job == "ingest":
-        bills = billing_columns(read_encounters(spark, args.encounters))
+        bills = billing_columns(read_encounters(spark, args.encounters, keep_corrupt=not args.drop_unreadable))
         late = not args.no_late_count
         loaded = ingest(spark, bills, admissions, ledger, args.run_id, args.start, args.boundary, count_late=late)
         result = asdict(loaded)
-        if not args.drop_unreadable:
-            lines = quarantine_unreadable(spark, args.encounters, f"{home}/unreadable", args.run_id)
-            result["unreadable"] = lines
     elif args.job == "stream":
         bills = billing_columns(stream_encounters(spark, args.encounters))
-        run_available(bills, f"{home}/increments", f"{home}/increments/checkpoint")
+        run_available(bills, increments, f"{increments}/checkpoint", ledger_location=ledger, run_id=args.run_id)
         result = {}
     elif args.job == "segment":
-        names = ("method", "k", "seed", "partitions", "scale", "exact", "with_year")
+        names = ("method", "k", "seed", "partitions", "scale", "exact", "with_year", "labels", "probabilities")
         options = {name: getattr(args, name) for name in names}
         rows = rebuild_segments(
-            spark, admissions, ledger, segments, args.run_id, args.as_of, args.only_when_due, **options
+            spark,
+            admissions,
+            ledger,
+            segments,
+            args.run_id,
+            args.as_of,
+            args.only_when_due,
+            upstream=args.source,
+            **options,
         )
         result = {"rows": rows}
     else:

@@ -30,11 +30,6 @@ def amount(cents_: Column) -> Column:
     return (cents_.try_cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT)
 
 
-def within_digits(cents_: Column, digits: int) -> Column:
-    """NULL where the amount needs more than ``digits`` digits, cents included."""
-    return F.when(F.abs(cents_) < 10**digits, cents_)
-
-
 def mean_cents(total: Column, count: Column) -> Column:
     """``total / count`` rounded half up to a whole cent; NULL when there is nothing to average."""
     rounded = F.abs(total) + F.call_function("div", count, F.lit(2))

@@ -14,9 +14,9 @@ def attach(
 ) -> DataFrame:
     """Left join ``table`` onto ``rows``; ``frequency`` is its column with the number of rows per key.
 
-    A table of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` bytes of keys is broadcast. Beyond that, keys with more than one row in
-    ``HOT_KEYS`` are joined by broadcast, of which there are fewer than ``HOT_KEYS``, and only the rows of
-    the other keys are shuffled. Both frames are read more than once, so pass work tables.
+    A table of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` bytes of keys is broadcast. Beyond that, keys
+    with more than one row in ``HOT_KEYS`` are joined by broadcast, of which there are fewer than ``HOT_KEYS``, and
+    only the rows of the other keys are shuffled. Both frames are read more than once, so pass work tables.
     """
     values = table.drop(frequency)
     size = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))

@@ -29,10 +29,23 @@ def string_index(rows: DataFrame, column: str) -> DataFrame:
 
     The labels stay distributed: their number may grow with the data.
     """
-    counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("frequency"))
-    ranked = running_total(counts, [F.desc("frequency"), F.asc(column)], F.lit(1), "rank")
-    index = (F.col("rank") - 1).cast("double").alias("label_index")
-    return materialise(ranked.select(column, "frequency", index), f"index-{column}")
+    return string_indexes(rows, [column])[column]
+
+
+def string_indexes(rows: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """``string_index`` of several text columns in one pass over ``rows``."""
+    labels = F.array(*[F.struct(F.lit(n).alias("number"), F.col(c).alias("label")) for n, c in enumerate(columns)])
+    pairs = rows.select(F.inline(labels)).filter(F.col("label").isNotNull())
+    counts = pairs.groupBy("number", "label").agg(F.count(F.lit(1)).alias("frequency"))
+    ranked = running_total(counts, [F.asc("number"), F.desc("frequency"), F.asc("label")], F.lit(1), "rank")
+    ranked = materialise(ranked.select("number", "label", "frequency", "rank"), "indexes")
+    out = {}
+    for number, column in enumerate(columns):
+        own = ranked.filter(F.col("number") == number)
+        first = own.agg(F.min("rank").alias("first")).scalar()
+        index = (F.col("rank") - first).cast("double").alias("label_index")
+        out[column] = own.select(F.col("label").alias(column), "frequency", index)
+    return out
 
 
 def feature_columns(rows: DataFrame, hospitals: DataFrame, payers: DataFrame) -> DataFrame:

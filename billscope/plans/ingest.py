@@ -9,10 +9,10 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import aggregates, incremental, ledger, quality
 from billscope.sinks import append_event, open_ledger, write_load
-from billscope.sources import read_encounters, unreadable_rows
 from billscope.work import delete, put_in_place
 
 STAGE = "ingest"
@@ -23,14 +23,35 @@ class Loaded:
     load_from: str
     loaded: int
     rejected: int
+    unreadable: int
     last_loaded: date | None
     late: int | None = None
 
 
+def _with_lines(parts: DataFrame) -> DataFrame:
+    """Every bill, and each unreadable line once more as a row of its own, counted as one without an amount."""
+    text = F.col(schema.RAW_LINE)
+    twice = F.when(text.isNull(), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    parts = parts.withColumn("is_line", F.explode(twice))
+    line = F.col("is_line")
+    return parts.withColumns(
+        {
+            schema.RAW_LINE: F.when(line, text),
+            "bill_cents": F.when(~line, F.col("bill_cents")),
+            "bill_count": F.when(line, F.lit(1).cast("bigint")).otherwise(F.col("bill_count")),
+        }
+    ).drop("is_line")
+
+
 def _checked(bills: DataFrame, as_of: Column | None = None) -> DataFrame:
-    daily = aggregates.daily_average_bill(bills)
+    """Daily averages with their reject reason and, in the same pass, the unreadable lines of ``bills``."""
+    parts, keys, reason = aggregates.partials(bills), schema.DAILY_KEYS, quality.reject_reason(as_of=as_of)
+    if schema.RAW_LINE in bills.columns:
+        parts, keys = _with_lines(parts), (*keys, schema.RAW_LINE)
+        reason = F.when(F.col(schema.RAW_LINE).isNotNull(), "unreadable").otherwise(reason)
+    daily = aggregates.roll_up(parts, keys, "average_bill_amount")
     daily = daily.withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
-    return quality.check_rows(daily, quality.reject_reason(as_of=as_of))
+    return quality.check_rows(daily, reason)
 
 
 def admission_rows(bills: DataFrame, last_loaded: date | str | None, boundary: str = "after") -> DataFrame:
@@ -51,7 +72,7 @@ def ingest(
     default_start: date | None = incremental.DEFAULT_START,
     boundary: str = "after",
     at: datetime | None = None,
-    count_late: bool = False,
+    count_late: bool = True,
     as_of: date | None = None,
 ) -> Loaded:
     """Load what is new and record the run.
@@ -64,6 +85,9 @@ def ingest(
 
     Bills without a date, or dated after ``as_of`` (today), are rejected and never move the loaded date. As
     later loads meet them again, they are kept once, in the load ``open``.
+
+    Bills with a column ``raw_line`` (``read_encounters(keep_corrupt=True)``) bring their unreadable lines into the
+    quarantine; the cells of such a line that could be read are loaded all the same.
     """
     record = dict(stage=STAGE, run_id=run_id, at=at)
     past = open_ledger(spark, ledger_location).filter(F.col("stage") == STAGE)
@@ -95,6 +119,9 @@ def ingest(
         )
         raise
     told = f"{counts['loaded']} loaded, {counts['rejected']} rejected"
+    if counts["unreadable"]:
+        told += f", {counts['unreadable']} lines unreadable"
+    told += f", {spark.conf.get('spark.sql.shuffle.partitions')} shuffle partitions"
     append_event(
         spark,
         ledger_location,
@@ -106,14 +133,3 @@ def ingest(
         **record,
     )
     return Loaded(load_from, **counts, late=late)
-
-
-def quarantine_unreadable(spark: SparkSession, path: str, location: str, run_id: str) -> int:
-    """Keep the raw text of lines with unreadable cells; their readable cells are loaded all the same.
-
-    Every run has a folder of its own, so a repeated run replaces its lines and no other's.
-    """
-    rows = unreadable_rows(read_encounters(spark, path, keep_corrupt=True))
-    rows, seen = quality.observe_counts(rows, "unreadable")
-    rows.write.mode("overwrite").parquet(f"{location}/run={run_id}")
-    return seen.get["rows"]

@@ -200,6 +200,27 @@ WHERE reject_reason IS NULL AND c.discharge_date >= DATE '1996-05-08' + INTERVAL
     CASE WHEN bill_cents % 107 <> 0 THEN bill_cents END AS bill_cents
   FROM o), {_D}, {_C.replace("'date_null' END", "'date_null' WHEN discharge_date > current_date THEN 'date_range' END")}
 SELECT {_D_COLUMNS}, quarter, reject_reason FROM c WHERE reject_reason IS NOT NULL""",
+    "ingest_unreadable": """WITH o AS (
+  SELECT c_name, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS admitted, p_name, s_name,
+    c_mktsegment, l_returnflag, p_type, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
+    CAST(round(l_extendedprice * 100) AS BIGINT) AS cents
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
+t AS (
+  SELECT *, CASE WHEN cents % 101 = 0 THEN 'none' ELSE printf('%d.%02d', cents // 100, cents % 100) END AS amount,
+    CASE WHEN cents % 103 = 0 THEN '2019-13-40' ELSE day END AS shown
+  FROM o WHERE cents % 101 = 0 OR cents % 103 = 0)
+SELECT o_orderpriority AS medical_condition, s_name AS hospital, c_mktsegment AS insurance_provider,
+  l_returnflag AS admission_type, CASE WHEN cents % 103 <> 0 THEN day END AS discharge_date, count(*) AS bill_count,
+  c_name || ',,,,' || o_orderpriority || ',' || admitted || ',' || p_name || ',' || s_name || ',' || c_mktsegment
+    || ',' || amount || ',,' || l_returnflag || ',' || shown || ',' || p_type || ',' AS raw_line
+FROM t GROUP BY ALL""",
+    "stream_segments": f"""WITH {_E}, {_D}, {_C}, v AS (
+  SELECT medical_condition, hospital, insurance_provider, quarter,
+    {_half_up("sum(average_cents)", "count(*)")} AS cents
+  FROM c WHERE reject_reason IS NULL GROUP BY ALL)
+SELECT medical_condition, hospital, insurance_provider, quarter, CAST(cents AS DOUBLE) / 100 AS avg_bill_amount,
+  true AS labelled FROM v""",
     "report_tables": f"""WITH {_E}, {_D}, {_C}
 SELECT 'admissions' AS report, count(*) AS rows FROM c WHERE reject_reason IS NULL
 UNION ALL SELECT 'segments', count(*) FROM (

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope import schema
-from billscope.functions import calendar
+from billscope.functions import calendar, money
 from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
 from billscope.plans import ingest, segmentation
 from billscope.plans.report import publish_reports
@@ -343,7 +343,39 @@ def ingest_rejects(spark, folder):
     )
     home = new_path(spark, "rejects")
     ingest.ingest(spark, bills, f"{home}/admission", f"{home}/status", "load", None)
-    return _shown(read_quarantine(spark, f"{home}/admission").drop("load_from", "discharge_month"))
+    rows = read_quarantine(spark, f"{home}/admission")
+    return _shown(rows.drop("load_from", "discharge_month", schema.RAW_LINE))
+
+
+def ingest_unreadable(spark, folder):
+    """Lines in the quarantine after two loads of files whose amounts and dates are unreadable in fixed shares.
+
+    The files of the second load aren't those of the first, so lines without a date must outlast the load.
+    """
+    home, amount, day = new_path(spark, "unreadable"), F.col("Billing Amount"), F.col("Discharge Date")
+    cents, lines = money.cents(amount), order_encounters(spark, folder)
+    texts = {
+        "Billing Amount": F.when(cents % 101 == 0, "none").otherwise(amount.cast("string")),
+        "Discharge Date": F.when(cents % 103 == 0, "2019-13-40").otherwise(day.cast("string")),
+    }
+    for run, test in (("1", day <= EARLIER_CUT), ("2", day > EARLIER_CUT)):
+        lines.filter(test).withColumns(texts).write.option("header", True).csv(f"{home}/{run}")
+        bills = billing_columns(read_encounters(spark, f"{home}/{run}", keep_corrupt=True))
+        ingest.ingest(spark, bills, f"{home}/admission", f"{home}/status", run, None)
+    rows = read_quarantine(spark, f"{home}/admission").filter(F.col("reject_reason") == "unreadable")
+    return _shown(rows.select(*schema.DAILY_KEYS, "bill_count", schema.RAW_LINE))
+
+
+def stream_segments(spark, folder):
+    """Keys and averages of segments built from a stream's daily averages, once its ledger event is there."""
+    home = new_path(spark, "stream-segments")
+    _stream(spark, folder, f"{home}/increments", f"{home}/status")
+    days = increments.read_accepted(spark, f"{home}/increments")
+    segmentation.rebuild_segments(
+        spark, days, f"{home}/status", f"{home}/segments", "segment", AS_OF, upstream=increments.STAGE
+    )
+    rows = _shown(read_table(spark, f"{home}/segments", columns=schema.SEGMENT))
+    return rows.withColumn("labelled", F.col("bill_cat").isNotNull()).drop("bill_cat")
 
 
 def report_tables(spark, folder):
@@ -363,6 +395,11 @@ def report_tables(spark, folder):
 def incremental_stream(spark, folder):
     """Daily averages folded in from a run-once stream of order lines."""
     home = new_path(spark, "increments")
+    _stream(spark, folder, home)
+    return _shown(increments.read_days(spark, home).drop("discharge_month"))
+
+
+def _stream(spark: SparkSession, folder: str, home: str, ledger_location: str | None = None) -> None:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").schema
     # A pattern, since a stream takes no path to a single file; it also matches a folder of files.
     arrived = spark.readStream.schema(lines).parquet(f"{folder}/lineitem.parquet*")
@@ -371,8 +408,8 @@ def incremental_stream(spark, folder):
         home,
         f"{home}/checkpoint",
         lambda batch: order_bills(batch.sparkSession, folder, batch),
+        ledger_location,
     )
-    return _shown(increments.read_days(spark, home).drop("discharge_month"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -426,6 +463,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_load,
         ingest_table,
         ingest_rejects,
+        ingest_unreadable,
+        stream_segments,
         report_tables,
         incremental_stream,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from billscope import schema
 from billscope.operators import quality, reports
@@ -11,12 +11,27 @@ from billscope.sources import read_admissions, read_table
 
 
 def publish_reports(
-    spark: SparkSession, admissions: str, segments: str, ledger_location: str, out: str, kind: str = "csv"
+    spark: SparkSession,
+    admissions: str | DataFrame,
+    segments: str | DataFrame,
+    ledger_location: str,
+    out: str,
+    kind: str = "csv",
 ) -> dict[str, int | str]:
-    """Publish every report; one that fails leaves its reason in the result and the next goes on."""
+    """Publish every report; one that fails leaves its reason in the result and the next goes on.
+
+    Admissions and segments are stored tables or frames, such as a stream's days or a JDBC scan.
+    """
+
+    def segment_rows() -> DataFrame:
+        return read_table(spark, segments, columns=schema.SEGMENT) if isinstance(segments, str) else segments
+
+    def admission_rows() -> DataFrame:
+        return read_admissions(spark, admissions) if isinstance(admissions, str) else admissions
+
     frames = {
-        "segments": lambda: reports.segments(read_table(spark, segments, columns=schema.SEGMENT)),
-        "admissions": lambda: reports.admissions(read_admissions(spark, admissions)),
+        "segments": lambda: reports.segments(segment_rows()),
+        "admissions": lambda: reports.admissions(admission_rows()),
         "runs": lambda: reports.runs(open_ledger(spark, ledger_location)),
     }
     results: dict[str, int | str] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +24,8 @@ def quarter_averages(admissions: DataFrame, method: str = "mean_of_means", with_
 
 
 def feature_rows(averages: DataFrame) -> DataFrame:
-    hospitals = segment.string_index(averages, "hospital")
-    payers = segment.string_index(averages, "insurance_provider")
-    return segment.feature_columns(averages, hospitals, payers)
+    indexes = segment.string_indexes(averages, ["hospital", "insurance_provider"])
+    return segment.feature_columns(averages, *indexes.values())
 
 
 def cluster(
@@ -66,23 +65,27 @@ def segment_bills(
 
 def rebuild_segments(
     spark: SparkSession,
-    admissions: str,
+    admissions: str | DataFrame,
     ledger_location: str,
     segments: str,
     run_id: str,
     as_of: date,
     only_when_due: bool = False,
     at: datetime | None = None,
+    upstream: str = "ingest",
+    sink: Mapping | None = None,
     **options,
 ) -> int | None:
     """Replace the segment table and record the run; returns the rows written, None if there was nothing to do.
 
-    Runs only once the latest load has finished. With ``only_when_due`` it also waits for a new quarter.
+    Runs only once the latest run of ``upstream`` has finished: ``ingest``, or ``stream`` where ``admissions`` are the
+    stream's accepted days. With ``only_when_due`` it also waits for a new quarter. ``admissions`` is the stored
+    table, or any frame of accepted rows, of a JDBC scan too; ``sink`` has further arguments of ``sinks.replace``.
     """
     record = dict(stage=STAGE, run_id=run_id, at=at)
     partitions = options.get("partitions", segment.FIT_PARTITIONS)
     past = open_ledger(spark, ledger_location)
-    loads = F.col("stage") == "ingest"
+    loads = F.col("stage") == upstream
     done = ledger.upstream_done(
         past, loads & (F.col("status") == ledger.FINISHED), loads & (F.col("status") == ledger.STARTED)
     )
@@ -97,8 +100,9 @@ def rebuild_segments(
         if options.get("with_year"):
             columns.append("year")
         with job_folder(spark, STAGE):
-            labelled = segment_bills(read_admissions(spark, admissions), **options)
-            rows = replace(labelled.select(*columns), segments)
+            accepted = read_admissions(spark, admissions) if isinstance(admissions, str) else admissions
+            labelled = segment_bills(accepted, **options)
+            rows = replace(labelled.select(*columns), segments, **(sink or {}))
     except Exception as error:
         append_event(
             spark, ledger_location, sequence=2, status=ledger.FAILED, message=f"{type(error).__name__}: {error}", **record

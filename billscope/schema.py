@@ -65,6 +65,10 @@ ADMISSION = T.StructType(
     ]
 )
 
+# A line of an encounter file with an unreadable cell, kept beside the rejected rows.
+RAW_LINE = "raw_line"
+LOADS = T.StructType([*ADMISSION.fields, T.StructField(RAW_LINE, T.StringType())])
+
 SEGMENT = T.StructType(
     [
         T.StructField("medical_condition", T.StringType()),

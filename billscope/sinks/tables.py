@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import quality
-from billscope.work import delete
+from billscope.work import delete, list_files
 
 
 #: The load of rejected rows that no date places.
@@ -44,6 +44,8 @@ def _write(df: DataFrame, location: str, kind: str, mode: str, sort_by: str | No
     rows = df.sortWithinPartitions(sort_by) if sort_by else df
     rows, seen = quality.observe_counts(rows, f"{mode}_{kind}")
     if kind == "jdbc":
+        if "message" in rows.columns:  # the only text no rule bounds
+            rows = rows.withColumn("message", F.left("message", F.lit(schema.MESSAGE_LENGTH)))
         rows.write.format("jdbc").options(**jdbc_write_options(df, location, **jdbc)).mode(mode).save()
     else:
         rows.write.mode(mode).format(kind).save(location)
@@ -71,12 +73,16 @@ def write_load(checked: DataFrame, location: str, load_from: str, placed: Column
 
     Accepted and rejected rows go into one table in one commit, apart by the partition ``outcome``. The load
     itself is a partition named after where it starts, so repeating a load replaces it. Rows that are not
-    ``placed`` make the load ``open``, which is replaced by every load.
+    ``placed`` make the load ``open``, which is replaced by every load; only unreadable lines of earlier files
+    stay in it. What is replaced goes after the commit.
 
     Rebalancing gathers a month into few files and splits a month that is too large for one task.
     """
+    spark = checked.sparkSession
+    if schema.RAW_LINE not in checked.columns:
+        checked = checked.withColumn(schema.RAW_LINE, F.lit(None))
     placed = checked.select(
-        *[F.col(field.name).cast(field.dataType) for field in schema.ADMISSION.fields],
+        *[F.col(field.name).cast(field.dataType) for field in schema.LOADS.fields],
         F.when(F.col("reject_reason").isNull(), "loaded").otherwise("rejected").alias("outcome"),
         calendar.month_start(F.col("discharge_date")).alias("discharge_month"),
         (F.lit(load_from) if placed is None else F.when(placed, load_from).otherwise(OPEN)).alias("load_from"),
@@ -89,18 +95,34 @@ def write_load(checked: DataFrame, location: str, load_from: str, placed: Column
         "load",
         loaded=F.count_if(loaded),
         last_loaded=F.max(F.when(loaded, F.col("discharge_date"))),
+        unreadable=F.coalesce(F.sum(F.when(F.col(schema.RAW_LINE).isNotNull(), F.col("bill_count"))), F.lit(0)),
     )
-    for name in (load_from, OPEN):
-        delete(checked.sparkSession, f"{location}/load_from={name}")
+    replaced, opened = (list_files(spark, f"{location}/load_from={name}") for name in (load_from, OPEN))
     placed.write.mode("append").partitionBy(*folders).parquet(location)
+    if opened:
+        now = set(list_files(spark, f"{location}/load_from={OPEN}")) - set(opened)
+        _keep_lines(spark, location, opened, sorted(now), folders)
+    for path in [*replaced, *opened]:
+        delete(spark, path)
     counts = seen.get
     return {
         "loaded": counts["loaded"],
         "rejected": counts["rows"] - counts["loaded"],
+        "unreadable": counts["unreadable"],
         "last_loaded": counts["last_loaded"],
     }
 
 
+def _keep_lines(spark: SparkSession, location: str, before: list[str], now: list[str], folders: list[str]) -> None:
+    """Write again the unreadable lines of the open load that this load hasn't met."""
+    partitions = [T.StructField(name, T.StringType()) for name in folders[:2]] + [T.StructField(folders[2], T.DateType())]
+    reader = spark.read.schema(T.StructType([*schema.LOADS.fields, *partitions])).option("basePath", location)
+    lines = reader.parquet(*before).filter(F.col(schema.RAW_LINE).isNotNull()).dropDuplicates()
+    if now:
+        lines = lines.join(reader.parquet(*now).select(schema.RAW_LINE), schema.RAW_LINE, "left_anti")
+    lines.select(*schema.LOADS.names, *folders).write.mode("append").partitionBy(*folders).parquet(location)
+
+
 def publish(report: DataFrame, location: str, kind: str = "csv") -> int:
     """Write a report as a headed table that other tools can read.
 

@@ -12,14 +12,16 @@ from billscope.functions import money
 CORRUPT = "_corrupt_record"
 
 
-def read_encounters(spark: SparkSession, path: str | list[str], keep_corrupt: bool = False) -> DataFrame:
-    """Typed scan; a cell that cannot be read is NULL.
+def read_encounters(
+    spark: SparkSession, path: str | list[str], keep_corrupt: bool = False, **options: str
+) -> DataFrame:
+    """Typed scan; a cell that cannot be read is NULL. ``options`` are further ones of Spark's CSV reader.
 
     ``keep_corrupt`` adds the raw text of lines with such cells. Only cells of the columns a query uses are
     converted, so only those can be found unreadable.
     """
     columns = schema.ENCOUNTER_FILE
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
     if keep_corrupt:
         columns = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
@@ -36,17 +38,16 @@ def unreadable_rows(encounters: DataFrame) -> DataFrame:
     """Lines with at least one unreadable cell: the cells that could be read, and the raw text."""
     return (
         encounters.filter(F.col(CORRUPT).isNotNull())
-        .withColumnRenamed(CORRUPT, "raw_line")
+        .withColumnRenamed(CORRUPT, schema.RAW_LINE)
         .withColumn("reject_reason", F.lit("unreadable"))
     )
 
 
-def billing_columns(encounters: DataFrame, digits: int | None = None) -> DataFrame:
+def billing_columns(encounters: DataFrame) -> DataFrame:
     """The columns billing needs, the amount in cents; everything else is pruned from the scan.
 
-    With ``digits`` an amount that needs more of them, cents included, counts as missing.
+    Encounters read with ``keep_corrupt`` also give the text of lines in which one of these cells is unreadable.
     """
-    cents = money.cents(F.col("billing_amount"))
-    if digits is not None:
-        cents = money.within_digits(cents, digits)
-    return encounters.select(*schema.BILL_KEYS, "discharge_date", cents.alias("bill_cents"))
+    cents = money.cents(F.col("billing_amount")).alias("bill_cents")
+    text = [F.col(CORRUPT).alias(schema.RAW_LINE)] if CORRUPT in encounters.columns else []
+    return encounters.select(*schema.BILL_KEYS, "discharge_date", cents, *text)

@@ -22,8 +22,8 @@ def bill_rows(
     """One bill per order line, in the columns of ``billing_columns``.
 
     Orders grow with their lines, so with ``merge`` these two are never broadcast, which also spreads the work
-    behind the join over all cores. Some lines of many may be the smaller side; Catalyst decides then. Customers and suppliers are broadcast only where Catalyst
-    finds their files small enough. AQE splits an order, customer or supplier with very many lines.
+    behind the join over all cores. Some lines of many may be the smaller side; Catalyst decides then. Customers
+    and suppliers are broadcast only where Catalyst finds their files small enough. AQE splits an order, customer or supplier with very many lines.
     """
     payers = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
         "o_orderkey", "o_orderpriority", "c_mktsegment"

@@ -20,17 +20,21 @@ def jdbc_read_options(
     bounds: tuple[str, str] | None = None,
     partitions: int | None = None,
     fetch_size: int = 10_000,
+    single_task: bool = False,
 ) -> dict[str, str]:
     """Options of a JDBC scan.
 
-    Give a table, quoted if its name needs it, or a query. With a partition column and its bounds the scan
-    runs as ``partitions`` range queries instead of one; rows outside the bounds go to the end ranges.
+    Give a table, quoted if its name needs it, or a query. The scan runs as ``partitions`` range queries over the
+    bounds of the partition column; rows outside the bounds go to the end ranges. ``single_task`` reads a small
+    table whole in one task instead.
     """
     if (table is None) == (query is None):
         raise ValueError("give either a table or a query")
     # Spark forbids the `query` option together with a partition column, an aliased subselect is allowed.
     options = {"url": url, "dbtable": table or f"({query}) source_query", "fetchsize": str(fetch_size)}
     options.update(properties or {})
+    if single_task == bool(partition_column):
+        raise ValueError("give either a partition column or single_task")
     if partition_column:
         if bounds is None or not partitions:
             raise ValueError("a partition column needs bounds and a number of partitions")
@@ -61,13 +65,15 @@ def read_loads(spark: SparkSession, location: str) -> DataFrame:
         T.StructField("outcome", T.StringType()),
         T.StructField("discharge_month", T.DateType()),
     ]
-    return read_table(spark, location, columns=T.StructType([*schema.ADMISSION.fields, *partition_columns]))
+    return read_table(spark, location, columns=T.StructType([*schema.LOADS.fields, *partition_columns]))
 
 
 def read_admissions(spark: SparkSession, location: str) -> DataFrame:
     """Accepted admission rows; the outcome is a partition, so rejected files are never opened."""
-    return read_loads(spark, location).filter(F.col("outcome") == "loaded").drop("outcome", "reject_reason")
+    loaded = read_loads(spark, location).filter(F.col("outcome") == "loaded")
+    return loaded.drop("outcome", "reject_reason", schema.RAW_LINE)
 
 
 def read_quarantine(spark: SparkSession, location: str) -> DataFrame:
+    """Rejected rows, and the lines with unreadable cells with their text."""
     return read_loads(spark, location).filter(F.col("outcome") == "rejected").drop("outcome")

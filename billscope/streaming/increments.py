@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 
 from billscope import schema
 from billscope.functions import calendar
-from billscope.operators import aggregates, quality
+from billscope.operators import aggregates, ledger, quality
+from billscope.sinks import append_event, open_ledger
 from billscope.work import delete, file_system, job_folder, materialise
 
+STAGE = "stream"
 MONTH = "discharge_month"
 _KEY_FIELDS = [schema.ADMISSION[key] for key in schema.DAILY_KEYS]
 PARTIALS = T.StructType(
@@ -28,14 +31,16 @@ PARTIALS = T.StructType(
 DAYS = T.StructType([*schema.ADMISSION.fields, T.StructField(MONTH, T.DateType())])
 
 
-def _overwrite_partitions(df: DataFrame, location: str, folders: list[str]) -> None:
-    """Replace the partitions ``df`` has rows for."""
-    writer = df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite_partitions(df: DataFrame, location: str, folders: list[str], **measures: Column) -> dict:
+    """Replace the partitions ``df`` has rows for; returns the measures, taken while they are written."""
+    rows, seen = quality.observe_counts(df.hint("rebalance", MONTH), f"increment_{uuid.uuid4().hex}", **measures)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*folders).parquet(location)
+    return seen.get
 
 
-def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
-    """Add one batch of bills to the daily averages at ``location``.
+def fold_batch(bills: DataFrame, batch: int, location: str) -> date | None:
+    """Add one batch of bills to the daily averages at ``location``; returns the last accepted day of its months.
 
     Only the batch is aggregated from bills. Each month keeps one table of sums, named after the batch that made
     it: the sums before this batch and the batch's own, added up. A repeated batch starts from the same sums and
@@ -50,7 +55,7 @@ def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
         own = materialise(own, "sums")
         months = [row[0] for row in own.select(MONTH).distinct().collect()]  # calendar months: few
         if not months:
-            return
+            return None
         before, outdated = _versions(spark, partials, months, batch)
         sums = own
         if before:
@@ -60,9 +65,11 @@ def fold_batch(bills: DataFrame, batch: int, location: str) -> None:
         _overwrite_partitions(sums, partials, [MONTH, "batch"])
     now = [f"{partials}/{_folder(month)}/batch={batch}" for month in months]
     touched = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*now)
-    _overwrite_partitions(day_rows(touched), f"{location}/days", [MONTH])
+    accepted = F.when(F.col("reject_reason").isNull(), F.col("discharge_date"))
+    seen = _overwrite_partitions(day_rows(touched), f"{location}/days", [MONTH], last_loaded=F.max(accepted))
     for path in outdated:
         delete(spark, path)
+    return seen["last_loaded"]
 
 
 def _sums() -> list[Column]:
@@ -99,8 +106,11 @@ def run_available(
     location: str,
     checkpoint: str,
     to_bills: Callable[[DataFrame], DataFrame] | None = None,
+    ledger_location: str | None = None,
+    run_id: str | None = None,
+    at: datetime | None = None,
 ) -> None:
-    """Fold in what has arrived since the last run.
+    """Fold in what has arrived since the last run, and record the run where there is a ledger.
 
     ``arrivals`` is a stream of bills, or of rows that ``to_bills`` turns into bills. The checkpoint
     remembers which files are done; it takes the place of the last loaded date, so late bills count. Files
@@ -109,19 +119,38 @@ def run_available(
     A stream's own plan runs without adaptive execution. Joins therefore belong into ``to_bills``, which runs
     per batch with it, so that a hot key is split.
     """
+    spark, run_id, days = arrivals.sparkSession, run_id or uuid.uuid4().hex, []
 
     def fold(batch: DataFrame, number: int) -> None:
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")  # the stream's own session
-        fold_batch(to_bills(batch) if to_bills else batch, number, location)
-
-    query = (
-        arrivals.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        days.append(fold_batch(to_bills(batch) if to_bills else batch, number, location))
+
+    def record(sequence: int, status: str, **told) -> None:
+        if ledger_location:
+            append_event(spark, ledger_location, run_id, sequence, STAGE, status, at=at, **told)
+
+    if ledger_location:
+        open_ledger(spark, ledger_location)
+    record(1, ledger.STARTED)
+    try:
+        query = (
+            arrivals.writeStream.foreachBatch(fold)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    except Exception as error:
+        record(2, ledger.FAILED, message=f"{type(error).__name__}: {error}")
+        raise
+    last = max((day for day in days if day), default=None)
+    record(2, ledger.FINISHED, message=f"{len(days)} batches", last_loaded=last)
 
 
 def read_days(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(DAYS).parquet(f"{location}/days")
+
+
+def read_accepted(spark: SparkSession, location: str) -> DataFrame:
+    """Accepted daily averages of a stream, in the columns of the stored admissions."""
+    return read_days(spark, location).filter(F.col("reject_reason").isNull()).drop("reject_reason")

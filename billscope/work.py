@@ -71,6 +71,19 @@ def delete(spark: SparkSession, location: str) -> None:
     files.delete(path, True)
 
 
+def list_files(spark: SparkSession, location: str) -> list[str]:
+    """Data files below ``location``; none where there is no such folder."""
+    files, path = file_system(spark, location)
+    if not files.exists(path):
+        return []
+    found, paths = files.listFiles(path, True), []
+    while found.hasNext():
+        own = found.next().getPath()
+        if not own.getName().startswith(("_", ".")):
+            paths.append(own.toString())
+    return paths
+
+
 def put_in_place(spark: SparkSession, new: str, location: str) -> None:
     """Rename a finished folder to ``location``; what stood there goes only after that."""
     files, target = file_system(spark, location)

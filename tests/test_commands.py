@@ -40,6 +40,11 @@ def test_jobs_from_the_command_line(spark, landing, folder):
     main(["stream", "--home", home, "--encounters", landing], spark)
     days = increments.read_days(spark, f"{home}/increments").filter("reject_reason is null")
     assert days.count() == loaded["loaded"]
+    segment = ["segment", "--home", home, "--as-of", "2022-02-03", "--source", "stream"]
+    assert main([*segment, "--labels", "low,high", "--probabilities", "0.5"], spark)["rows"] == rows
+    assert {row.bill_cat for row in spark.read.parquet(f"{home}/segments").collect()} == {"low", "high"}
+    published = main(["report", "--home", home, "--kind", "json", "--source", "stream"], spark)
+    assert published["admissions"] == loaded["loaded"]
 
 
 def test_a_job_must_be_named(spark):

@@ -69,8 +69,15 @@ def test_billing_columns_prune_the_scan(spark, csv):
     plan = bills._jdf.queryExecution().executedPlan().toString()
     assert "Billing Amount" in plan and "Doctor" not in plan.split("ReadSchema")[1]
     assert bills.agg(F.sum("bill_cents")).first()[0] == 1885628 + 1001 - 10852 + 12345679 + 4000
-    stored = billing_columns(read_encounters(spark, csv), digits=7)
-    assert stored.agg(F.sum("bill_cents")).first()[0] == 1885628 + 1001 - 10852 + 4000
+    plan = billing_columns(read_encounters(spark, csv, keep_corrupt=True))._jdf.queryExecution().executedPlan()
+    assert "Doctor" not in plan.toString().split("ReadSchema")[1]
+
+
+def test_reader_options(spark, tmp_path):
+    path = tmp_path / "published.csv"
+    path.write_text(f'{HEADER}\n{line(name=chr(34) + "a " + chr(34) * 2 + "b" + chr(34) * 2 + chr(10) + "c" + chr(34))}\n')
+    row = read_encounters(spark, str(path), escape='"', multiLine="true").first()
+    assert row.name == 'a "b"\nc'
 
 
 def test_parquet_append_and_replace(spark, folder):
@@ -92,7 +99,7 @@ def test_create_if_missing_keeps_what_is_there(spark, folder):
 
 def test_jdbc_read_options():
     url = "jdbc:postgresql://host/db"
-    assert jdbc_read_options(url, '"Cat Bill Amount"')["dbtable"] == '"Cat Bill Amount"'
+    assert jdbc_read_options(url, '"Cat Bill Amount"', single_task=True)["dbtable"] == '"Cat Bill Amount"'
     options = jdbc_read_options(
         url,
         query="SELECT hospital FROM admission",
@@ -105,7 +112,9 @@ def test_jdbc_read_options():
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("2019-01-01", "2024-12-31", "64")
     assert options["user"] == "u"
     with pytest.raises(ValueError):
-        jdbc_read_options(url)
+        jdbc_read_options(url, single_task=True)
+    with pytest.raises(ValueError, match="single_task"):
+        jdbc_read_options(url, "t")
     with pytest.raises(ValueError):
         jdbc_read_options(url, "t", partition_column="id")
 
