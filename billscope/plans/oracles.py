@@ -129,6 +129,8 @@ ORDER BY avg_bill_amount DESC, medical_condition, hospital, insurance_provider,
     "incremental_slice": f"""WITH {_E} SELECT {_E_COLUMNS} FROM e
 WHERE e.discharge_date >= DATE '1996-05-08' + INTERVAL 1 MONTH""",
     "incremental_slice_after": f"WITH {_E} SELECT {_E_COLUMNS} FROM e WHERE e.discharge_date > DATE '1996-05-08'",
+    "incremental_slice_stored": f"""WITH {_E}, {_D}, {_C} SELECT {_D_COLUMNS}, quarter FROM c
+WHERE reject_reason IS NULL AND c.discharge_date > DATE '1996-05-08'""",
     "incremental_late": f"""WITH {_E} SELECT {_E_COLUMNS} FROM e
 WHERE e.discharge_date < DATE '1996-05-08' + INTERVAL 1 MONTH""",
     "ledger_last_loaded": f"""WITH {_L}
@@ -136,6 +138,8 @@ SELECT strftime(coalesce(max(last_loaded), DATE '2019-05-08'), '%Y-%m-%d') AS la
     "ledger_latest": f"""WITH {_L} SELECT {_L_COLUMNS} FROM r
 QUALIFY row_number() OVER (PARTITION BY stage ORDER BY ts DESC, id DESC) = 1""",
     "ledger_latest_event": f"""WITH {_L} SELECT {_L_COLUMNS} FROM (SELECT * FROM r ORDER BY ts DESC, id DESC LIMIT 1)""",
+    "ledger_until_now": f"""WITH {_L} SELECT stage, count(*) AS events FROM r
+WHERE CAST(ts AS VARCHAR) <= CAST(current_localtimestamp() AS VARCHAR) GROUP BY stage""",
     "ledger_stages": f"WITH {_L} SELECT DISTINCT stage FROM r",
     "ledger_event_is": f"""WITH {_L}
 SELECT coalesce((SELECT stage = 'view' FROM r WHERE id = 2), false) AS event_is""",

@@ -34,6 +34,7 @@ from billscope.work import materialise, new_path
 LAST_LOADED = date(1996, 5, 8)
 EARLIER_CUT = date(1998, 1, 1)
 AS_OF = date(2024, 7, 1)
+FILES_PER_BATCH = 1_000
 THREE_LABELS, THREE_QUANTILES = ("Low", "Medium", "High"), (0.33, 0.66)
 
 
@@ -123,6 +124,15 @@ def incremental_slice_after(spark, folder):
     return _shown(incremental.slice_new(order_bills(spark, folder), LAST_LOADED, "after"))
 
 
+def incremental_slice_stored(spark, folder):
+    """New rows of the stored table; folders of earlier months aren't opened."""
+    home = new_path(spark, "slice-stored")
+    ingest.ingest(spark, order_bills(spark, folder), f"{home}/admission", f"{home}/status", "load", None)
+    stored = read_admissions(spark, f"{home}/admission")
+    rows = incremental.slice_new(stored, LAST_LOADED, month_partition="discharge_month")
+    return _shown(rows.drop("load_from", "discharge_month"))
+
+
 def incremental_late(spark, folder):
     return _shown(incremental.late_rows(order_bills(spark, folder), LAST_LOADED, "step"))
 
@@ -139,6 +149,13 @@ def ledger_latest_event(spark, folder):
     return reports.runs(ledger.latest_event(ledger_from_events(spark, folder)))
 
 
+def ledger_until_now(spark, folder):
+    """Events per stage up to now, the times compared as the texts that reports show."""
+    events = ledger_from_events(spark, folder)
+    past = events.filter(calendar.timestamp_text(F.col("event_time")) <= calendar.now_text())
+    return past.groupBy("stage").agg(F.count(F.lit(1)).alias("events"))
+
+
 def ledger_stages(spark, folder):
     return ledger.stages(ledger_from_events(spark, folder))
 
@@ -402,7 +419,8 @@ def incremental_stream(spark, folder):
 def _stream(spark: SparkSession, folder: str, home: str, ledger_location: str | None = None) -> None:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").schema
     # A pattern, since a stream takes no path to a single file; it also matches a folder of files.
-    arrived = spark.readStream.schema(lines).parquet(f"{folder}/lineitem.parquet*")
+    arrived = spark.readStream.schema(lines).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    arrived = arrived.parquet(f"{folder}/lineitem.parquet*")
     increments.run_available(
         arrived.select(*LINE_COLUMNS),
         home,
@@ -427,11 +445,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top_averages,
         incremental_slice,
         incremental_slice_after,
+        incremental_slice_stored,
         incremental_late,
         ledger_last_loaded,
         ledger_latest,
         ledger_latest_event,
         ledger_stages,
+        ledger_until_now,
         ledger_event_is,
         ledger_upstream_done,
         ledger_needs_rebuild,
