@@ -9,6 +9,14 @@ from billscope.__main__ import main
 from billscope.streaming import increments
 
 
+@pytest.fixture(autouse=True)
+def own_partitions(spark):
+    """Jobs size the session's shuffles; other tests keep theirs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture
 def landing(tmp_path):
     rng = random.Random(2)

@@ -223,9 +223,9 @@ def test_unreadable_lines_are_kept(spark, tables, folder):
         assert {undated, later[1]} <= set(lines)
         load("r3", undated)
     assert read_admissions(spark, tables[0]).agg(F.sum("bill_cents")).first()[0] == 3000
-    assert [row.message for row in open_ledger(spark, tables[1]).filter("id = 'r1-0002'").collect()] == [
-        "1 loaded, 3 rejected, 3 lines unreadable, 8 shuffle partitions, 0 late"
-    ]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    told = open_ledger(spark, tables[1]).filter("id = 'r1-0002'").first().message
+    assert told == f"1 loaded, 3 rejected, 3 lines unreadable, {partitions} shuffle partitions, 0 late"
 
 
 # Segmentation
