@@ -1,12 +1,15 @@
 """Quality classification by co-training of two views.
 
 One classifier sees the text (words and its shape), the other the metadata (source, language, length). Over some
-rounds each labels the unlabelled documents it is sure of for the other. Their scores are calibrated on labelled
-documents kept out of training and combined by a third, small fit there, so a view that knows nothing gets no
-weight. All are logistic regressions in numpy.
+rounds each scores all unlabelled documents in Spark and labels every one it is sure of for the other; the rounds
+end early when no view has anything new to learn from. Their scores are calibrated on labelled documents kept out
+of training and combined by a third, small fit there, so a view that knows nothing gets no weight. All are
+logistic regressions in numpy.
 
-They are fitted to an expected ``LABELLED`` labelled and ``POOL`` further documents, chosen by a hash of the id,
-and to at most ``WORDS`` words and beginnings of words that occur in ``LEAST_DOCS`` of those; all documents are scored by tasks.
+The labelled ones are an expected ``LABELLED`` documents, chosen by a hash of the id. All words, beginnings of
+words and metadata values are features, at a place given by a hash, and those of texts count by how well they
+tell the classes apart, so none is too rare to be learned. Documents that a view was given are dealt to tasks, about ``FIT_ROWS`` each; every task fits them along with the labelled
+ones, and the view's weights are the mean of the tasks' by their documents.
 
 Nulls: a null text is empty, null metadata is a value of its own; rows with a null id or label are not learned
 from. Of several labels of an id the smallest counts. Where the sample lacks one of the two classes, every
@@ -29,13 +32,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.decontaminate import words_of
-from billscope.llm.frames import as_bytes, texts_of
+from billscope.llm.frames import SLICE, as_bytes, texts_of
 from billscope.work import materialise
 
-LABELLED, POOL = 6_000, 4_000
-WORDS, LEAST_DOCS, BEGINNING = 20_000, 8, 5
-ROUNDS, SURE, EXCHANGE = 3, 0.98, 200
-VALUES = 500  # values of source and language, at most, that the metadata view tells apart
+LABELLED = 6_000
+BEGINNING = 5
+ROUNDS, SURE = 3, 0.98
+TERM_PLACES, VALUE_PLACES = 1 << 22, 1 << 16  # places that terms and metadata values are hashed to
+FIT_ROWS = 50_000  # exchanged documents that a task fits
+MOST_TERMS = 250_000  # distinct terms whose places a worker remembers
+SLICE_PLACES = 1 << 16  # weights that are averaged together
+CLEAR, POWER = 16.0, 2  # G statistic from which a place counts in full, and how fast it counts less below
 PARTS = 1_000_000
 
 SCORES = T.StructType([T.StructField(name, T.DoubleType()) for name in ("score", "text_score", "meta_score")])
@@ -74,18 +81,53 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(rows: Rows, labels: np.ndarray, size: int, steps: int = 150, penalty: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic regression, by Adam over all rows."""
-    places, values = np.concatenate(rows.places), np.concatenate(rows.values)
+def strengths(places: np.ndarray, owners: np.ndarray, labels: np.ndarray, share: np.ndarray, size: int) -> np.ndarray:
+    """From 0 to 1, how well having a place tells the classes apart: by the G statistic of its rows' labels.
+
+    ``share`` is the number of documents a row stands for. Words of one document tell next to nothing and words of
+    a few documents of the rarer class much, however rare they are.
+    """
+    rows = np.bincount(places, weights=share[owners], minlength=size)
+    ones = np.bincount(places, weights=(share * labels)[owners], minlength=size)
+    overall = np.clip((share * labels).sum() / share.sum(), 1e-9, 1 - 1e-9)
+    own = ones / rows
+    told = sum(rows * p * np.log(np.maximum(p, 1e-300) / q) for p, q in ((own, overall), (1 - own, 1 - overall)))
+    return np.minimum(1.0, 2 * np.maximum(told, 0.0) / CLEAR) ** POWER
+
+
+def fit(
+    rows: Rows,
+    labels: np.ndarray,
+    size: int,
+    steps: int = 150,
+    penalty: float = 1e-3,
+    counts: np.ndarray | None = None,
+    dense: int | None = None,
+) -> np.ndarray:
+    """Weights of a logistic regression, by Adam over all rows, of which each stands for ``counts`` equal ones.
+
+    Places from ``dense`` on count by their strength. Places that no row has keep weight zero, so only the others
+    are fitted.
+    """
+    whole, values = np.concatenate(rows.places), np.concatenate(rows.values)
+    used, places = np.unique(whole, return_inverse=True)
     owners = np.repeat(np.arange(len(rows)), np.diff(rows.bounds))
-    weights, mean, spread = np.zeros(size), np.zeros(size), np.zeros(size)
+    share = np.ones(len(rows)) if counts is None else counts
+    scale = np.ones(len(used))
+    if dense is not None:
+        scale = np.where(used < dense, 1.0, strengths(places, owners, labels, share, len(used)))
+    values = values * scale[places]
+    share = share / share.sum()
+    weights, mean, spread = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
     for step in range(1, steps + 1):
-        wrong = sigmoid(np.add.reduceat(weights[places] * values, rows.bounds[:-1])) - labels
-        grad = np.bincount(places, weights=values * wrong[owners], minlength=size) / len(rows) + penalty * weights
+        wrong = share * (sigmoid(np.add.reduceat(weights[places] * values, rows.bounds[:-1])) - labels)
+        grad = np.bincount(places, weights=values * wrong[owners], minlength=len(used)) + penalty * weights
         mean, spread = 0.9 * mean + 0.1 * grad, 0.99 * spread + 0.01 * grad**2
         rate = 0.1 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
         weights = weights - rate * mean / (np.sqrt(spread) + 1e-9)
-    return weights
+    out = np.zeros(size, np.float32)
+    out[used] = weights * scale
+    return out
 
 
 def fit_small(columns: np.ndarray, labels: np.ndarray, steps: int = 25) -> np.ndarray:
@@ -126,36 +168,46 @@ def _shape(text: bytes, words: list[bytes], distinct: set[bytes]) -> list[float]
 SHAPE = 10
 
 
+class _Places(dict):
+    """Places of terms by a hash, remembered."""
+
+    def __missing__(self, term: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        if len(self) >= MOST_TERMS:
+            self.clear()
+        place = self[term] = SHAPE + xxh64_intdigest(term) % TERM_PLACES
+        return place
+
+
 @dataclass
 class Views:
     """Places of the features: shape and words of the text; source, language and length of the metadata."""
 
-    words: dict[bytes, int]
-    values: dict[str, int]
+    known: _Places = field(default_factory=_Places)
 
-    @property
-    def text_size(self) -> int:
-        return SHAPE + len(self.words)
+    text_size = SHAPE + TERM_PLACES
+    meta_size = 64 + VALUE_PLACES
 
-    @property
-    def meta_size(self) -> int:
-        return 64 + len(self.values)
+    def __reduce__(self):
+        return Views, ()
 
     def text(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         words = words_of(text)
         distinct = set(words)
-        get = self.words.get
-        known = sorted(place for place in map(get, terms(distinct)) if place is not None)
-        places = np.array([*range(SHAPE), *known], np.int32)
+        own = terms({word for word in distinct if len(word) <= 100})
+        places = np.array([*range(SHAPE), *sorted(set(map(self.known.__getitem__, own)))], np.int32)
         values = np.ones(len(places))
         values[:SHAPE] = _shape(text or b"", words, distinct)
         values[1:SHAPE] *= 4
         return places, values
 
     def meta(self, source: str | None, lang: str | None, length: int) -> np.ndarray:
-        known = (self.values.get(f"source={source}"), self.values.get(f"lang={lang}"))
+        from xxhash import xxh64_intdigest
+
+        values = (f"source={source}", f"lang={lang}")
         bin_of_length = 1 + min(62, int(2 * math.log1p(max(length, 0))))
-        return np.array([0, bin_of_length, *(64 + k for k in known if k is not None)], np.int32)
+        return np.array([0, bin_of_length, *(64 + xxh64_intdigest(v.encode()) % VALUE_PLACES for v in values)], np.int32)
 
     def rows(self, texts, sources, langs, lengths) -> tuple[Rows, Rows]:
         text_rows, meta_rows = Rows(), Rows()
@@ -185,46 +237,142 @@ class Model:
         return sigmoid(np.stack([both, *own]))
 
 
+def _exchanged(batches: Iterator[pa.RecordBatch], shared, asked: tuple[set, set]) -> Iterator[pa.RecordBatch]:
+    """What a view is sure of, a row for each document, target and view that is told: its features and the label.
+
+    ``asked`` holds the targets for which the text and the metadata view are asked.
+    """
+    views, models = shared.value
+    kind = [("target", pa.int32()), ("told", pa.int32()), ("label", pa.int32()), ("own_id", pa.int64())]
+    schema = pa.schema([*kind, ("places", pa.binary()), ("values", pa.binary())])
+    for batch in batches:
+        ids, *meta = (batch.column(n).to_pylist() for n in (0, 2, 3, 4))
+        for at in range(0, len(ids), SLICE):
+            texts = as_bytes(batch.column(1).slice(at, SLICE))
+            metas = [views.meta(s, g, n or 0) for s, g, n in zip(*(m[at : at + SLICE] for m in meta), strict=True)]
+            features = [[None] * len(texts), [(places, np.ones(len(places))) for places in metas]]
+            if asked[0]:
+                features[0] = [views.text(text) for text in texts]
+            out = []
+            for view in (0, 1):
+                rows = Rows()
+                for own in features[view] if asked[view] else ():
+                    rows.add(*own)
+                for number, (target, model) in enumerate(models.items()):
+                    if target not in asked[view]:
+                        continue
+                    c = model.calibration[view]
+                    sure = sigmoid(c[0] * rows.dot(model.weights[view]) + c[1])
+                    for n in np.flatnonzero((sure >= SURE) | (sure <= 1 - SURE)).tolist():
+                        places, values = features[1 - view][n] or views.text(texts[n])
+                        own = ids[at + n], places.tobytes(), values.tobytes()
+                        out.append((number, 1 - view, int(sure[n] >= SURE), *own))
+            if out:
+                columns = zip(zip(*out, strict=True), schema, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=schema)
+
+
+def _fit_part(batches: Iterator[pa.RecordBatch], known, size: int, dense: int | None) -> Iterator[pa.RecordBatch]:
+    """Weights of one task's exchanged rows and the labelled ones, in slices, times the documents they stand for."""
+    labelled, labels = known.value
+    rows, more, counts = Rows(), [], []
+    for n in range(len(labelled)):
+        rows.add(labelled.places[n], labelled.values[n])
+    for batch in batches:
+        for places, values, label, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows.add(np.frombuffer(places, np.int32), np.frombuffer(values))
+            more.append(label)
+            counts.append(count)
+    if not more:
+        return
+    each = np.concatenate([np.ones(len(labels)), counts])
+    weights = fit(rows, np.concatenate([labels, more]).astype(float), size, counts=each, dense=dense) * np.float32(sum(counts))
+    for at in range(0, size, SLICE_PLACES):
+        own = weights[at : at + SLICE_PLACES]
+        if own.any():
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([own.tobytes()])], ["at", "weights"])
+
+
+def _sum_slices(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(w, np.float32).astype(float) for w in table["weights"].to_pylist())
+    return pa.table({"at": table["at"][:1], "weights": [total.tobytes()]})
+
+
+def _fit_all(rows: Rows, labels: np.ndarray, size: int, dense: int | None, given: DataFrame | None) -> np.ndarray:
+    """Weights from the labelled rows and all ``given`` ones: places, values, label, count."""
+    total = given.agg(F.count("*"), F.sum("count")).first() if given is not None else (0, 0)
+    if not total[0]:
+        return fit(rows, labels.astype(float), size, dense=dense)
+    known = given.sparkSession.sparkContext.broadcast((rows, labels))
+    dealt = given.select("places", "values", "label", "count").repartition(-(-total[0] // FIT_ROWS))
+    parts = dealt.mapInArrow(partial(_fit_part, known=known, size=size, dense=dense), "at long, weights binary")
+    weights = np.zeros(size, np.float32)
+    for row in parts.groupBy("at").applyInArrow(_sum_slices, "at long, weights binary").collect():
+        own = np.frombuffer(bytes(row["weights"]))
+        weights[row["at"] : row["at"] + len(own)] = own / total[1]
+    return weights
+
+
 def co_train(
-    rows: tuple[Rows, Rows], sizes: tuple[int, int], labels: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS
-) -> Model:
-    """Model from rows with labels 0, 1 or -1 (unlabelled); rows of the labelled whose ``fold`` is set calibrate."""
-    train, check = np.flatnonzero((labels >= 0) & ~fold), np.flatnonzero((labels >= 0) & fold)
-    pool = np.flatnonzero(labels < 0)
-    if any(len(np.unique(labels[part])) < 2 for part in (train, check)):
-        known = labels[labels >= 0]
-        return Model((), (), np.empty(0), float(known.mean()) if len(known) else 0.5)
-    given = [(pool[:0], labels[:0]), (pool[:0], labels[:0])]  # pseudo-labels that each view was given
-    checked = [view.some(check) for view in rows]
-    pooled = [view.some(pool) for view in rows]
+    rows: tuple[Rows, Rows],
+    labels: dict[str, np.ndarray],
+    fold: np.ndarray,
+    docs: DataFrame,
+    labelled: DataFrame,
+    views: Views,
+    rounds: int = ROUNDS,
+) -> dict[str, Model]:
+    """A model for each target from labelled rows, of which those whose ``fold`` is set calibrate.
+
+    ``docs`` has own_id, text, source, lang, length; those whose id is in ``labelled`` are not exchanged.
+    """
+    models = {}
+    train, check = np.flatnonzero(~fold), np.flatnonzero(fold)
+    for target, own in labels.items():
+        if any(len(np.unique(own[part])) < 2 for part in (train, check)):
+            models[target] = Model((), (), np.empty(0), float(own.mean()) if len(own) else 0.5)
+    open_targets = [target for target in labels if target not in models]
+    if not open_targets:
+        return models
+    trained, checked = ([view.some(part) for view in rows] for part in (train, check))
+    sizes = (views.text_size, SHAPE), (views.meta_size, None)
+    given: dict[tuple[str, int], DataFrame | None] = {(t, view): None for t in open_targets for view in (0, 1)}
+    weights, calibration = {}, {}
+    asked = stale = set(given)
     for last in range(rounds + 1):
-        weights, calibration = [], []
-        for view, size, (extra, extra_labels) in zip(rows, sizes, given, strict=True):
-            own = view.some(np.concatenate([train, extra]))
-            weights.append(fit(own, np.concatenate([labels[train], extra_labels]).astype(float), size))
-        for view, w in zip(checked, weights, strict=True):
-            calibration.append(fit_small(view.dot(w)[:, None], labels[check]))
+        for target, view in sorted(stale):
+            own = labels[target]
+            w = weights[target, view] = _fit_all(trained[view], own[train], *sizes[view], given[target, view])
+            calibration[target, view] = fit_small(checked[view].dot(w)[:, None], own[check])
         if last == rounds:
             break
-        for number in (0, 1):
-            if not len(pool):
-                continue
-            c = calibration[number]
-            sure = sigmoid(c[0] * pooled[number].dot(weights[number]) + c[1])
-            order = np.argsort(sure, kind="stable")
-            no, yes = order[:EXCHANGE], order[::-1][:EXCHANGE]
-            no, yes = no[sure[no] <= 1 - SURE], yes[sure[yes] >= SURE]
-            extra = np.concatenate([pool[no], pool[yes]])
-            given[1 - number] = (extra, np.concatenate([np.zeros(len(no), int), np.ones(len(yes), int)]))
-    own = np.column_stack([c[0] * view.dot(w) + c[1] for view, w, c in zip(checked, weights, calibration, strict=True)])
-    return Model(tuple(weights), tuple(calibration), fit_small(own, labels[check]))
-
-
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text in as_bytes(batch.column(0)):
-            words = terms({word for word in words_of(text) if len(word) <= 100})
-            yield pa.RecordBatch.from_arrays([pa.array([*words], pa.binary())], ["word"])
+        told = {
+            t: Model(tuple(weights[t, v] for v in (0, 1)), tuple(calibration[t, v] for v in (0, 1)), np.empty(0))
+            for t in open_targets
+        }
+        # Only a view whose weights are new can be sure of other documents than before.
+        by_view = tuple({t for t, view in asked if view == v} for v in (0, 1))
+        shared = docs.sparkSession.sparkContext.broadcast((views, told))
+        schema = "target int, told int, label int, own_id long, places binary, values binary"
+        found = docs.mapInArrow(partial(_exchanged, shared=shared, asked=by_view), schema)
+        found = found.join(labelled, "own_id", "left_anti")
+        found = found.groupBy("target", "told", "label", "places", "values").count()
+        found = materialise(found, "exchanged")
+        filled = {(row["target"], row["told"]) for row in found.select("target", "told").distinct().collect()}
+        stale = set()
+        for target, view in {(t, 1 - v) for t, v in asked}:
+            number = open_targets.index(target), view
+            if number in filled or given[target, view] is not None:
+                given[target, view] = found.where((F.col("target") == number[0]) & (F.col("told") == view))
+                stale.add((target, view))
+        asked = stale
+        if not stale:
+            break
+    for target in open_targets:
+        w, c = (tuple(of[target, view] for view in (0, 1)) for of in (weights, calibration))
+        own = np.column_stack([c[v][0] * checked[v].dot(w[v]) + c[v][1] for v in (0, 1)])
+        models[target] = Model(w, c, fit_small(own, labels[target][check]))
+    return {target: models[target] for target in labels}
 
 
 def _features(batches: Iterator[pa.RecordBatch], views: Views) -> Iterator[pa.RecordBatch]:
@@ -261,7 +409,6 @@ def learn(
     lang_col: str = "lang",
     length_col: str = "n_chars",
     labelled: int = LABELLED,
-    pool: int = POOL,
 ) -> tuple[Views, dict[str, Model]]:
     """Views and one model for each 0/1 column of ``labels``."""
 
@@ -276,18 +423,9 @@ def learn(
     chosen = chosen.agg(F.array(*[F.min(t) for t in targets]).alias("labels"))
     all_docs = docs.select(own_id, *_columns(docs, text_col, source_col, lang_col, length_col)).where("own_id is not null")
     # The labels joined are an expected ``labelled`` rows, whatever the tables hold.
-    joined = all_docs.join(F.broadcast(chosen), "own_id", "left")
-    sample = joined.where(F.col("labels").isNotNull() | (draw < share(docs.count(), pool)))
     fold = (F.pmod(F.xxhash64("own_id", F.lit("fold")), F.lit(4)) == 0).alias("fold")
-    sample = materialise(sample.select("text", "source", "lang", "length", "labels", fold), "sample")
-    counted = sample.select("text").mapInArrow(_distinct_words, "word binary").groupBy("word").count()
-    words = counted.where(F.col("count") >= LEAST_DOCS).orderBy(F.desc("count"), "word").limit(WORDS).collect()
-    tagged = F.explode(F.array(F.concat(F.lit("source="), F.coalesce("source", F.lit("None"))), F.concat(F.lit("lang="), F.coalesce("lang", F.lit("None")))))
-    values = sample.select(tagged.alias("value")).groupBy("value").count()
-    values = values.orderBy(F.desc("count"), "value").limit(VALUES).collect()
-    views = Views(
-        {bytes(row["word"]): SHAPE + n for n, row in enumerate(words)}, {row["value"]: n for n, row in enumerate(values)}
-    )
+    sample = all_docs.join(F.broadcast(chosen), "own_id").select("text", "source", "lang", "length", "labels", fold)
+    views = Views()
     schema = "places binary, values binary, source string, lang string, length long, labels array<int>, fold boolean"
     found = sample.mapInArrow(partial(_features, views=views), schema).collect()
     found.sort(key=lambda row: (bytes(row["places"]), bytes(row["values"])))
@@ -297,11 +435,9 @@ def learn(
         places = views.meta(row["source"], row["lang"], row["length"] or 0)
         meta_rows.add(places, np.ones(len(places)))
     folds = np.array([row["fold"] for row in found], bool)
-    models = {}
-    for n, target in enumerate(targets):
-        known = np.array([-1 if row["labels"] is None else row["labels"][n] for row in found], int)
-        models[target] = co_train((text_rows, meta_rows), (views.text_size, views.meta_size), known, folds)
-    return views, models
+    known = {target: np.array([row["labels"][n] for row in found], int) for n, target in enumerate(targets)}
+    ids = usable.select("own_id").distinct()
+    return views, co_train((text_rows, meta_rows), known, folds, all_docs, ids, views)
 
 
 def score(docs: DataFrame, views: Views, models: dict[str, Model], **columns: str) -> DataFrame:

@@ -280,6 +280,48 @@ def test_quality(docs, nothing, spark):
     assert {r.quality.score for r in quality.score(docs, views, models).collect()} == {0.5}
 
 
+def _letters(rng, size):
+    return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, size))
+
+
+def test_quality_learns_rare_marks_of_each_language(spark):
+    """Each mark is in few documents and common words abound; a fifth of the labels are kept back."""
+    rng = np.random.default_rng(3)
+    common, rows, labels = [_letters(rng, 7) for _ in range(300)], [], []
+    for lang in ("es", "fr", "de"):
+        marks = [_letters(rng, 9) for _ in range(11)]
+        for k in range(240):
+            own = [common[int(n)] for n in rng.integers(0, 300, 30)]
+            toxic = int(k < 77)
+            rows.append((len(rows), " ".join(own + [marks[k % 11]] * toxic), "s", lang, 250))
+            labels.append((len(rows) - 1, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    known = spark.createDataFrame([row for row in labels if row[0] % 5], "doc_id long, toxic int")
+    views, models = quality.learn(docs, known, ("toxic",))
+    found = {r.doc_id: (r.lang, r.toxic.score >= 0.5) for r in quality.score(docs, views, models).collect()}
+    for lang in ("es", "fr", "de"):
+        held = [(found[k][1], toxic) for k, toxic in labels if k % 5 == 0 and found[k][0] == lang]
+        assert sum(said and toxic for said, toxic in held) >= 0.7 * sum(toxic for _, toxic in held)
+        assert sum(said and not toxic for said, toxic in held) <= 0.1 * len(held)
+
+
+def test_quality_exchanges_every_sure_document(spark, monkeypatch):
+    """The source tells the class, and each word that tells it too is in a single unlabelled pair of documents."""
+    monkeypatch.setattr(quality, "FIT_ROWS", 400)
+    rng = np.random.default_rng(4)
+    words = [[_letters(rng, 9) for _ in range(500)] for _ in range(2)]
+    rows = [(k, f"filler {'x' * (k % 7)}", f"source{k % 2}", "en", 20) for k in range(400)]
+    labels = [(k, k % 2) for k in range(400)]
+    for of in range(2):
+        rows += [(len(rows) + k, f"filler {words[of][k // 2]}", f"source{of}", "en", 20) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    views, models = quality.learn(docs, known, ("quality",))
+    weights = models["quality"].weights[0]
+    right = [weights[views.known[word.encode()]] * (2 * of - 1) > 0 for of in range(2) for word in words[of]]
+    assert np.mean(right) > 0.99
+
+
 def test_personal_data(docs, nothing):
     found = pii.with_spans(docs, into="found")
     rows = {(r.doc_id, r.text): r.found for r in found.collect()}
