@@ -10,7 +10,7 @@ tasks of their own. Tasks return spanning links only, and links are joined to co
 
 Nulls: a null text has no words. Texts without words have fingerprint zero and link like any other. Rows with a
 null id get the component of their fingerprint, or null where no row of it has an id. Repeated rows are copies
-of each other. An empty table gives no rows. Other columns are ignored, or kept by ``deduplicate``.
+of each other, and rows that share an id only are not. An empty table gives no rows. Other columns are ignored, or kept by ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -195,22 +195,34 @@ def groups(
     prints = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), fingerprint_of(text, shingle).alias("fp"))
     prints = materialise(prints, "fingerprints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    found = components(links(nodes, radius)).select(F.col("node").alias("fp"), "root")
-    linked = nodes.join(found, "fp")
+    linked = _linked(nodes, radius)
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("fp", "least")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     return prints.join(materialise(named, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each component with all its columns: a row with the component's smallest id.
+def _linked(nodes: DataFrame, radius: int) -> DataFrame:
+    """The nodes that have links, with the ``root`` of their component, one of its fingerprints."""
+    return nodes.join(components(links(nodes, radius)).select(F.col("node").alias("fp"), "root"), "fp")
 
-    Rows without an id can't be told apart by it; they all stay.
+
+def deduplicate(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each component with all its columns: the first row by id, null last.
+
+    Each row gets a key, written once with its fingerprint, so rows are told apart whether they share an id or have
+    none, and ids don't decide what is a duplicate.
     """
-    kept = groups(docs, id_col=id_col, text_col=text_col, **options).where("doc_id = component_id")
-    own = free_name(docs, "own_id")
-    kept = kept.select(F.col("doc_id").alias(own)).distinct()
-    with_id = docs.withColumn(own, F.col(f"`{id_col}`").cast("long"))
-    one_each = with_id.join(kept, own, "left_semi").dropDuplicates([own])
-    return one_each.unionByName(with_id.where(F.col(own).isNull())).drop(own)
+    fp, row = free_name(docs, "own_fp"), free_name(docs, "own_row")
+    print_of = fingerprint_of(F.col(f"`{text_col}`").cast("string"), shingle)
+    keyed = materialise(docs.withColumns({fp: print_of, row: F.monotonically_increasing_id()}), "keyed")
+    own_id = F.col(f"`{id_col}`").cast("long")
+    place = F.struct(own_id.isNull().alias("no_id"), own_id.alias("id"), F.col(row).alias("row"))
+    nodes = materialise(keyed.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("first")), "nodes")
+    linked = _linked(nodes, radius).select("fp", "root")
+    root = F.coalesce("root", "fp").alias("root")
+    kept = nodes.join(linked, "fp", "left").groupBy(root).agg(F.min("first").alias("first"))
+    kept = materialise(kept.select(F.col("first.row").alias(row)), "kept")
+    return keyed.join(kept, row, "left_semi").drop(fp, row)

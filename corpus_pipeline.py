@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept:
 
 1. language ID: documents without a language (null or no letter) go;
-2. SimHash near-dedup: one document of each group stays, that with the smallest id;
+2. SimHash near-dedup: one document of each group stays, the first by id, null last;
 3. benchmark decontamination: documents that hold a window of a benchmark item go;
 4. personal data: spans are replaced by their kind, and ``n_chars`` follows the text;
 5. best-fit packing: a row per piece of a document with its sequence and place.

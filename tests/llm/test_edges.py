@@ -139,6 +139,15 @@ def test_simhash(docs, nothing):
     assert simhash.groups(nothing).count() == 0 and simhash.deduplicate(nothing).count() == 0
 
 
+def test_simhash_keeps_one_row_of_each_component_whatever_the_ids(spark):
+    texts = ["the cat sat on the mat", "one two three four five six", "le chat est sur la table", "ein Hund lief weg"]
+    rows = [(7, texts[0]), (7, texts[1]), (8, texts[1]), (7, texts[2]), (None, texts[2]), (None, texts[3])]
+    rows += [(None, texts[3]), (9, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = sorted((r.text, r.doc_id) for r in simhash.deduplicate(docs).collect())
+    assert kept == sorted(zip(texts, (7, 7, 7, None), strict=True))
+
+
 @settings(deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.data())
 def test_bit_sliced_distances(prints, data):
