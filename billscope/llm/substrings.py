@@ -6,16 +6,18 @@ bucket, where equal hashes of all chunks meet and all but the first are repeats.
 most once a chunk, however many documents hold it. Windows travel as sorted, compressed arrays, a few
 bytes each. The repeats of a document come back to it and merge into maximal intervals, which are removed.
 
-The order of documents is by id, null first, and within rows of one id by a hash of the text; rows with the same
-id and text are one document, and each gets its answer. Null and empty texts have no words; shorter texts than
-a window have no repeats. An empty table gives no rows. Other columns are ignored, or kept by ``clean``. Equal
-64-bit hashes stand for equal windows.
+The order of documents is by id, null first, and within rows of one id by two 64-bit hashes of the text, which
+travel only where several texts share an id; rows with the same id and text are one document, and each gets its answer. Null and empty texts have no words; shorter texts than
+a window have no repeats. An empty table gives no rows. Other columns are ignored, or kept by ``clean``. Windows
+are equal if their 64-bit hash and a check of 16 bits from other hashes of their words are: at 5e9 windows about one
+false match in 100,000 such jobs is to be expected.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -27,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.frames import free_name, rows_of, texts_of
+from billscope.work import materialise
 
 WINDOW = 20
-BASE = 0x9E3779B97F4A7C15
+BASE, CHECK_BASE, CHECK_SEED = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 1
 CHUNK_WINDOWS = 1_500_000
 #: Bytes of text whose windows share a bucket; a task holds one bucket.
 BUCKET_BYTES = 16_000_000
@@ -37,6 +40,7 @@ BUCKET_BYTES = 16_000_000
 TARGET_BYTES = 64_000_000
 MOST_WORDS = 250_000  # distinct words a worker remembers
 NO_ID = -(1 << 63)
+KEYS = ("own_id", "text_key", "more_key")
 
 RESULT = T.StructType(
     [
@@ -49,23 +53,33 @@ RESULT = T.StructType(
 
 
 class _Words(dict):
-    """64-bit hashes of words, remembered."""
+    """Numbers of words, remembered, and two 64-bit hashes of each."""
+
+    def __init__(self):
+        self.hashes, self.checks = array("Q"), array("Q")
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
+        self.hashes.append(xxh64_intdigest(word))
+        self.checks.append(xxh64_intdigest(word, CHECK_SEED))
+        number = self[word] = len(self)
+        return number
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) >= MOST_WORDS:
             self.clear()
-        value = self[word] = xxh64_intdigest(word)
-        return value
+            self.hashes, self.checks = array("Q"), array("Q")
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.hashes, np.uint64)[numbers], np.frombuffer(self.checks, np.uint64)[numbers]
 
 
-def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, window: int, base: int = BASE) -> np.ndarray:
     """Hash of each window: its words' hashes as a polynomial, modulo 2^64, mixed so that all bits count."""
     count = len(words) - window + 1
     out = np.zeros(max(count, 0), np.uint64)
     for k in range(window if count > 0 else 0):
-        out *= np.uint64(BASE)
+        out *= np.uint64(base)
         out += words[k : k + count]
     out ^= out >> np.uint64(32)
     out *= np.uint64(0xD6E8FEB86659FD93)
@@ -85,36 +99,41 @@ def _numbers(data: pa.Buffer, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
-FOUND, FOUND_KINDS = ("ids", "keys", "counts", "starts"), ("<i8", "<i4", "<u4", "<u4")
+DOC, DOC_KINDS = ("ids", "keys", "more_keys"), ("<i8", "<i8", "<i8")
+FOUND, FOUND_KINDS = (*DOC, "counts", "starts"), (*DOC_KINDS, "<u4", "<u4")
 FOUND_SCHEMA = pa.schema([("target", pa.int32()), *((name, pa.binary()) for name in FOUND)])
-PARTS = ("hashes", "owners", "starts", "repeat_owners", "repeat_starts", "doc_ids", "text_keys")
-KINDS = ("<u8", "<u4", "<u4", "<u4", "<u4", "<i8", "<i4")
+PARTS = ("hashes", "checks", "owners", "starts", "repeat_owners", "repeat_starts", *DOC)
+KINDS = ("<u8", "<u2", "<u4", "<u4", "<u4", "<u4", *DOC_KINDS)
 
 
-def _first_of(hashes: np.ndarray, owners: np.ndarray, starts: np.ndarray, ids: np.ndarray, keys: np.ndarray):
-    """Order by hash and place, whether each is its hash's first, and whether it is the same place as the first."""
-    by_place = np.lexsort((starts, keys[owners], ids[owners]))
-    order = by_place[np.argsort(hashes[by_place], kind="stable")]
+def _first_of(hashes: np.ndarray, checks: np.ndarray, owners: np.ndarray, starts: np.ndarray, docs: list[np.ndarray]):
+    """Order by hash, check and place, whether each is its window's first, and whether it is the same place as that."""
+    own = [part[owners] for part in docs]
+    order = np.lexsort((starts, *own[::-1], checks, hashes))
     new = np.ones(len(order), bool)
-    new[1:] = hashes[order][1:] != hashes[order][:-1]
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (checks[order][1:] != checks[order][:-1])
     leader = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    same = (ids[owners[order]] == ids[owners[leader]]) & (keys[owners[order]] == keys[owners[leader]])
-    return order, new, same & (starts[order] == starts[leader])
+    same = starts[order] == starts[leader]
+    for part in own:
+        same &= part[order] == part[leader]
+    return order, new, same
 
 
 def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     known = _Words()
-    ids, keys, parts, lengths, held = [], [], [], [], 0
+    docs, parts, lengths, held = [], [], [], 0
 
     def chunk() -> Iterator[pa.RecordBatch]:
         count = np.array(lengths)
-        hashes = window_hashes(np.concatenate(parts), window)
+        hashes, checks = (np.concatenate(p) for p in zip(*parts, strict=True))
+        hashes, checks = window_hashes(hashes, window), window_hashes(checks, window, CHECK_BASE)
+        checks = (checks >> np.uint64(48)).astype(np.uint16)
         ends = np.cumsum(count)
         owners = np.repeat(np.arange(len(count), dtype=np.uint32), count)[: len(hashes)]
         starts = (np.arange(len(hashes)) - (ends - count)[owners]).astype(np.uint32)
         whole = starts + window <= count[owners]
-        hashes, owners, starts = hashes[whole], owners[whole], starts[whole]
-        doc_ids, text_keys = np.array(ids, np.int64), np.array(keys, np.int32)
+        hashes, checks, owners, starts = hashes[whole], checks[whole], owners[whole], starts[whole]
+        own_docs = [np.array(part, np.int64) for part in zip(*docs, strict=True)]
         # Only windows that share a hash need to be put in order of place.
         by_hash = np.argsort(hashes)
         equal = hashes[by_hash][1:] == hashes[by_hash][:-1]
@@ -122,13 +141,14 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
         shared[1:] |= equal
         shared[:-1] |= equal
         several = by_hash[shared]
-        order, new, same = _first_of(hashes[several], owners[several], starts[several], doc_ids, text_keys)
+        order, new, same = _first_of(hashes[several], checks[several], owners[several], starts[several], own_docs)
         repeat = np.zeros(len(hashes), bool)
         repeat[several[order[~same]]] = True
         dropped = np.zeros(len(hashes), bool)
         dropped[several[order[~new]]] = True
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        sent, repeats = by_hash[~dropped[by_hash]], by_hash[repeat[by_hash]]
+        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.min_scalar_type(buckets))
+        # In order of place within a bucket, owners and starts take the least room.
+        sent, repeats = (some[np.argsort(bucket[some], kind="stable")] for some in map(np.flatnonzero, (~dropped, repeat)))
         cuts = np.searchsorted(bucket[sent], np.arange(buckets + 1))
         repeat_cuts = np.searchsorted(bucket[repeats], np.arange(buckets + 1))
         place = np.zeros(len(count), np.uint32)
@@ -138,10 +158,10 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
             again = repeats[repeat_cuts[number] : repeat_cuts[number + 1]]
             here = np.zeros(len(count), bool)
             here[owners[own]] = here[owners[again]] = True
-            docs = np.flatnonzero(here)
-            place[docs] = np.arange(len(docs))
-            columns = (hashes[own], place[owners[own]], starts[own], place[owners[again]], starts[again])
-            columns += (doc_ids[docs], text_keys[docs])
+            some = np.flatnonzero(here)
+            place[some] = np.arange(len(some))
+            columns = (hashes[own], checks[own], place[owners[own]], starts[own], place[owners[again]], starts[again])
+            columns += tuple(part[some] for part in own_docs)
             rows.append((number, *(_planes(c, k) for c, k in zip(columns, KINDS, strict=True))))
             if len(rows) == 16:
                 yield _batch(rows)
@@ -150,18 +170,17 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
             yield _batch(rows)
 
     for batch in batches:
-        for doc_id, key, text in rows_of(batch):
+        for *doc, text in rows_of(batch):
             words = (text or b"").split()
             if len(words) < window:
                 continue
-            ids.append(doc_id)
-            keys.append(key)
+            docs.append(doc)
             lengths.append(len(words))
-            parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+            parts.append(known.of(words))
             held += len(words)
             if held >= CHUNK_WINDOWS:
                 yield from chunk()
-                ids, keys, parts, lengths, held = [], [], [], [], 0
+                docs, parts, lengths, held = [], [], [], 0
     if parts:
         yield from chunk()
 
@@ -181,11 +200,11 @@ def _repeats(table: pa.Table, targets: int) -> pa.Table:
     docs = 0
     for row in range(table.num_rows):
         own = [_numbers(table[name][row].as_buffer(), kind) for name, kind in zip(PARTS, KINDS, strict=True)]
-        own[1], own[3] = own[1] + np.uint32(docs), own[3] + np.uint32(docs)
-        docs += len(own[5])
+        own[2], own[4] = own[2] + np.uint32(docs), own[4] + np.uint32(docs)
+        docs += len(own[6])
         for column, values in zip(columns, own, strict=True):
             column.append(values)
-    hashes, owners, starts, again_owners, again_starts, ids, keys = map(np.concatenate, columns)
+    hashes, checks, owners, starts, again_owners, again_starts, *doc = map(np.concatenate, columns)
     del columns, own
     by_hash = np.argsort(hashes)
     equal = hashes[by_hash][1:] == hashes[by_hash][:-1]
@@ -194,12 +213,12 @@ def _repeats(table: pa.Table, targets: int) -> pa.Table:
     shared[:-1] |= equal
     several = by_hash[shared]
     del by_hash, equal, shared
-    order, _, same = _first_of(hashes[several], owners[several], starts[several], ids, keys)
+    order, _, same = _first_of(hashes[several], checks[several], owners[several], starts[several], doc)
     found = several[order[~same]]
     owners = np.concatenate([owners[found], again_owners])
     starts = np.concatenate([starts[found], again_starts])
-    ids, keys, counts, starts = _by_document(ids[owners], keys[owners], starts)
-    mixed = (ids.view(np.uint64) ^ (keys.astype(np.uint64) << np.uint64(32))) * np.uint64(BASE)
+    doc, counts, starts = _by_document([part[owners] for part in doc], starts)
+    mixed = (doc[0].view(np.uint64) ^ doc[1].view(np.uint64)) * np.uint64(BASE)
     target = ((mixed >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int64)
     window_target = np.repeat(target, counts)
     docs, own = np.argsort(target, kind="stable"), np.argsort(window_target, kind="stable")
@@ -207,22 +226,24 @@ def _repeats(table: pa.Table, targets: int) -> pa.Table:
     rows = []
     for number in np.unique(target).tolist():
         some = docs[doc_cuts[number] : doc_cuts[number + 1]]
-        columns = ids[some], keys[some], counts[some], starts[own[cuts[number] : cuts[number + 1]]]
+        columns = *(part[some] for part in doc), counts[some], starts[own[cuts[number] : cuts[number + 1]]]
         rows.append((number, *(_planes(c, k) for c, k in zip(columns, FOUND_KINDS, strict=True))))
     return pa.Table.from_pylist([dict(zip(("target", *FOUND), row, strict=True)) for row in rows], FOUND_SCHEMA)
 
 
-def _by_document(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray):
-    """Distinct starts in order of place: ids and keys of the documents, starts in each, the starts."""
-    order = np.lexsort((starts, keys, ids))
-    ids, keys, starts = ids[order], keys[order], starts[order]
-    new_doc = np.ones(len(ids), bool)
-    new_doc[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+def _by_document(docs: list[np.ndarray], starts: np.ndarray):
+    """Distinct starts in order of place: the documents, starts in each, the starts."""
+    order = np.lexsort((starts, *docs[::-1]))
+    docs, starts = [part[order] for part in docs], starts[order]
+    new_doc = np.zeros(len(starts), bool)
+    new_doc[:1] = True
+    for part in docs:
+        new_doc[1:] |= part[1:] != part[:-1]
     new = new_doc.copy()
     new[1:] |= starts[1:] != starts[:-1]
     first = np.flatnonzero(new_doc[new])
     counts = np.diff(np.append(first, new.sum()))
-    return ids[new_doc], keys[new_doc], counts, starts[new]
+    return [part[new_doc] for part in docs], counts, starts[new]
 
 
 def _gather(table: pa.Table) -> pa.Table:
@@ -231,11 +252,11 @@ def _gather(table: pa.Table) -> pa.Table:
     for row in range(table.num_rows):
         for column, name, kind in zip(columns, FOUND, FOUND_KINDS, strict=True):
             column.append(_numbers(table[name][row].as_buffer(), kind))
-    ids, keys, counts, starts = map(np.concatenate, columns)
-    ids, keys, counts, starts = _by_document(np.repeat(ids, counts), np.repeat(keys, counts), starts)
+    *docs, counts, starts = map(np.concatenate, columns)
+    docs, counts, starts = _by_document([np.repeat(part, counts) for part in docs], starts)
     bounds = np.append(0, np.cumsum(counts)).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(starts.astype(np.int32)))
-    return pa.table({"own_id": ids, "text_key": keys, "starts": lists})
+    return pa.table([*map(pa.array, docs), lists], [*KEYS, "starts"])
 
 
 def _cut(window: int):
@@ -264,32 +285,60 @@ def _cut(window: int):
     return cut.asNondeterministic()
 
 
-def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
-    own_id = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
-    return own_id.alias("own_id"), F.hash(F.col(f"`{text_col}`").cast("string")).alias("text_key")
+def _own_id(id_col: str) -> Column:
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("own_id")
+
+
+def _text_keys(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit("more"), text)
+
 
+def _shared_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Ids of rows with different texts."""
+    keys = F.struct(*_text_keys(F.col(f"`{text_col}`").cast("string"))).alias("keys")
+    by_id = docs.select(_own_id(id_col), keys).groupBy("own_id").agg(F.min("keys").alias("a"), F.max("keys").alias("b"))
+    return materialise(by_id.where("a <> b").select("own_id", F.lit(True).alias("shared")), "shared-ids")
 
-def repeated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(own_id, text_key, starts): the first words of each document's windows that occur earlier too."""
+
+def _keyed(docs: DataFrame, shared: DataFrame, id_col: str, text_col: str, *columns: Column) -> DataFrame:
+    """The columns by the key of their document: its id, and hashes of its text where others share the id."""
+    text = F.col(f"`{text_col}`").cast("string")
+    own = docs.select(_own_id(id_col), *(k.alias(f"key{n}") for n, k in enumerate(_text_keys(text))), *columns)
+    keys = (F.when(F.col("shared"), F.col(f"key{n}")).otherwise(F.lit(0)).alias(KEYS[1 + n]) for n in (0, 1))
+    return own.join(shared, "own_id", "left").select("own_id", *keys, *own.columns[3:])
+
+
+def repeated(
+    docs: DataFrame,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shared: DataFrame | None = None,
+) -> DataFrame:
+    """(own_id, text_key, more_key, starts): the first words of each document's windows that occur earlier too."""
     text = F.col(f"`{text_col}`").cast("string").alias("text")
+    shared = _shared_ids(docs, id_col, text_col) if shared is None else shared
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     schema = "bucket int, " + ", ".join(f"{name} binary" for name in PARTS)
-    hashed = docs.select(*_keys(id_col, text_col), text).mapInArrow(partial(_hash, window=window, buckets=buckets), schema)
+    keyed = _keyed(docs, shared, id_col, text_col, text)
+    hashed = keyed.mapInArrow(partial(_hash, window=window, buckets=buckets), schema)
     dealt = hashed.repartition(buckets, "bucket") if buckets > 1 else hashed
     targets = max(1, math.ceil(size / TARGET_BYTES))
     schema = "target int, " + ", ".join(f"{name} binary" for name in FOUND)
     found = dealt.groupBy("bucket").applyInArrow(lambda group: _repeats(group, targets), schema)
-    return found.groupBy("target").applyInArrow(_gather, "own_id long, text_key int, starts array<int>")
+    keys = ", ".join(f"{name} long" for name in KEYS)
+    return found.groupBy("target").applyInArrow(_gather, f"{keys}, starts array<int>")
 
 
 def with_cut(
     docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", into: str = "cut"
 ) -> DataFrame:
     """The documents with a struct: words, removed words, the text that is left and its sha256."""
-    found = repeated(docs, window, id_col, text_col)
+    shared = _shared_ids(docs, id_col, text_col)
+    found = repeated(docs, window, id_col, text_col, shared)
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    joined = docs.select(row, *_keys(id_col, text_col)).join(found, ["own_id", "text_key"], "left")
+    joined = _keyed(docs, shared, id_col, text_col, row).join(found, [*KEYS], "left")
     text = F.col(f"row.`{text_col}`").cast("string")
     return joined.withColumn("cut", _cut(window)(text, "starts")).select("row.*", F.col("cut").alias(into))
 

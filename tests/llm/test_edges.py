@@ -280,6 +280,24 @@ def test_substrings_across_chunks_and_buckets(spark, monkeypatch):
         assert found[k].text == (f"a{k}" if k > 2 else f"a{k} b{k}")
 
 
+def test_substrings_tell_texts_of_equal_short_hash_apart(spark):
+    words = F.transform(F.sequence(F.lit(1), F.lit(25)), lambda n: F.concat(F.lit("t"), "id", F.lit("w"), n))
+    texts = spark.range(400_000).select(F.array_join(words, " ").alias("text"))
+    pair = texts.groupBy(F.hash("text").alias("key")).agg(F.collect_list("text").alias("texts"))
+    again, clean = sorted(pair.where(F.size("texts") == 2).orderBy(F.desc("key")).first()["texts"])
+    rows = [(None, again), (None, clean), *((None, f"{again} end{k}") for k in range(12))]
+    found = substrings.with_cut(spark.createDataFrame(rows, "doc_id long, text string"))
+    removed = {r.text: r.cut.n_removed for r in found.collect()}
+    assert removed.pop(clean) == 0 and sorted(removed.values()) == [0] + [25] * 12
+
+
+def test_equal_hashes_with_other_checks_are_other_windows():
+    hashes, owners, starts = np.full(3, 9, np.uint64), np.arange(3), np.zeros(3, int)
+    docs = [np.arange(3), np.zeros(3, int), np.zeros(3, int)]
+    _, new, _ = substrings._first_of(hashes, np.array([1, 2, 1], np.uint16), owners, starts, docs)
+    assert new.sum() == 2
+
+
 def test_quality(docs, nothing, spark):
     labels = spark.createDataFrame([(1, 1), (4, 0), (4, 1), (None, 1), (5, None)], "doc_id long, quality int")
     views, models = quality.learn(docs, labels, ("quality",))
