@@ -133,5 +133,40 @@ WITH doc AS (
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
+""",
+    "op13_phrase_collocations": """
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), spoken AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM piece
+), total AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM spoken GROUP BY lang
+), gram AS (
+  SELECT lang, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM spoken, (SELECT unnest([1, 2, 3]) AS size) WHERE len(words) >= size)
+  GROUP BY ALL HAVING count(*) >= 10
+), candidate AS (
+  SELECT *, string_split(phrase, ' ') AS words FROM gram WHERE size > 1
+), cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+    CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate) c
+  JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ')
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+    FROM candidate WHERE size = 3) GROUP BY lang, phrase
+), ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+  FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.phrase = best.phrase
+  WHERE longer.f IS NULL OR 100 * longer.f < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """,
 }

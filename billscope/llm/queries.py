@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import chat, decontaminate, embeddings, language, oracles, packing, pii, quality, simhash, substrings, token_files
+from billscope.llm import (
+    chat,
+    collocations,
+    decontaminate,
+    embeddings,
+    language,
+    oracles,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    token_files,
+)
 from billscope.work import new_path
 
 
@@ -138,6 +151,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", *map(count, pii.KINDS), digest, listed(F.col("spans")).alias("spans"), added)
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
@@ -149,5 +166,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES
