@@ -133,6 +133,51 @@ WITH doc AS (
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
+""",
+    "op11_prefix_trie": """
+WITH RECURSIVE conv AS (
+  SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT c, CAST(c AS VARCHAR) AS digits, 0 AS bit, 4294967295::BIGINT AS v FROM conv
+  UNION ALL
+  SELECT c, digits, bit + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+  FROM (SELECT c, digits, bit, CASE WHEN bit % 8 = 0 THEN xor(v, ascii(digits[bit // 8 + 1])::BIGINT) ELSE v END AS v
+        FROM crc WHERE bit < 8 * length(digits))
+), opening AS (
+  SELECT c, xor(v, 4294967295) % 6 AS h, c - ((c % 100) + 100) % 100 AS first FROM crc WHERE bit = 8 * length(digits)
+), said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) - 1 AS place FROM said
+), built AS (
+  SELECT c, place + 1 AS depth, digest, text FROM opening JOIN own ON own.conv_id = first WHERE place < h
+  UNION ALL
+  SELECT c, least(h, coalesce(n, 0)) + place - h + 1, digest, text
+  FROM opening JOIN own ON own.conv_id = c
+  LEFT JOIN (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id) b ON b.conv_id = first WHERE place >= h
+), prefix AS (
+  SELECT c, 0 AS depth, '' AS key, '' AS text FROM conv
+  UNION ALL
+  SELECT c, depth, string_agg(digest, '') OVER (PARTITION BY c ORDER BY depth), text FROM built
+), node AS (
+  SELECT key, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(text) AS text FROM prefix GROUP BY key, depth
+), child AS (
+  SELECT left(key, 64 * (depth - 1)) AS key, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL
+), known AS (
+  SELECT node.*, coalesce(n, 0) AS n_children, (n_convs - 1) * length(text) AS saved FROM node LEFT JOIN child USING (key)
+), subtree AS (
+  SELECT left(key, 64 * level) AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS level FROM known) GROUP BY ALL
+), ending AS (
+  SELECT key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT * FROM prefix QUALIFY row_number() OVER (PARTITION BY c ORDER BY depth DESC) = 1) GROUP BY key
+)
+SELECT known.conv_id, CAST(known.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, known.n_convs, n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(subtree.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM known JOIN subtree USING (key) LEFT JOIN ending USING (key)
+  LEFT JOIN node parent ON known.depth > 0 AND parent.key = left(known.key, 64 * (known.depth - 1))
 """,
     "op13_phrase_collocations": """
 WITH piece AS (

@@ -20,6 +20,8 @@ from billscope.llm import (
     simhash,
     substrings,
     token_files,
+    toxicity,
+    tries,
 )
 from billscope.work import new_path
 
@@ -151,6 +153,23 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", *map(count, pii.KINDS), digest, listed(F.col("spans")).alias("spans"), added)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    chats = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns, conversations = tries.with_shared_openings(tries.numbered_turns(chats))
+    return tries.prefix_trie(turns, conversations)
+
+
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.with_score(docs, toxicity.fit(docs, table(spark, folder, "labels")), into="score")
+    return found.select(
+        "doc_id",
+        (~toxicity.learnable(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -166,6 +185,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 LLM_ORACLES: dict[str, str] = oracles.ORACLES
