@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.llm.frames import as_bytes, rows_of
-from billscope.operators.ordered import running_total
+from billscope.llm.running import running_within
 from billscope.work import job_folder, materialise, new_path
 
 THRESHOLD, LONGEST, TOP, SHARE = 10, 3, 2000, 50
@@ -398,10 +398,7 @@ def collocations(
     """
     found = frequent_phrases(docs, threshold, longest, lang_col, text_col, chunk_bytes, part_bytes)
     kept = scored(found, longest).where(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
-    order = [F.asc("lang"), F.desc("score"), F.desc("a"), F.asc("phrase")]
-    placed = running_total(kept, order, F.lit(1), "place")
-    # A language's places start where its first one is; few rows are left when they meet.
-    first = placed.groupBy("lang").agg(F.min("place").alias("first"))
-    totals = found.where("length = 0").select(F.col("lang"), F.col("n"))
-    placed = placed.join(first, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).where(F.col("rank") <= top)
-    return placed.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    placed = running_within(kept, "lang", order, {"rank": F.lit(1).cast("long")}).where(F.col("rank") <= top)
+    totals = found.where("length = 0").select("lang", F.col("n"))
+    return placed.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
