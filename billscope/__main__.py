@@ -1,6 +1,6 @@
 """Run one job: ``python -m billscope ingest|stream|segment|report --home FOLDER``.
 
-``home`` holds the stored tables: ``admission``, ``status``, ``segments``, ``reports`` and, for streams,
+``home`` holds the stored tables: ``admission``, ``status``, ``quarters``, ``segments``, ``reports`` and, for streams,
 ``increments``. Every job runs once and ends; a scheduler may repeat it as it likes.
 """
 
@@ -53,7 +53,8 @@ def arguments() -> argparse.ArgumentParser:
     sub.add_argument("--method", choices=("mean_of_means", "weighted"), default="mean_of_means")
     sub.add_argument("--k", type=int, default=schema.SEGMENT_COUNT, help="number of segments")
     sub.add_argument("--seed", type=int, default=schema.SEGMENT_SEED)
-    sub.add_argument("--partitions", type=int, default=FIT_PARTITIONS, help="of the fit; others give other segments")
+    sub.add_argument("--solver", choices=("rounds", "library"), default="rounds", help="of the fit")
+    sub.add_argument("--partitions", type=int, default=FIT_PARTITIONS, help="of the library's fit; others give other segments")
     sub.add_argument("--scale", action="store_true", help="scale the features")
     sub.add_argument("--exact", action="store_true", help="exact quantiles")
     sub.add_argument("--with-year", action="store_true", help="quarters of each year apart")
@@ -88,7 +89,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.job in ("ingest", "stream"):
         size_shuffles(spark, args.encounters, args.cores)
     elif args.job == "segment":
-        size_shuffles(spark, admissions if args.source == "ingest" else f"{increments}/days", args.cores)
+        size_shuffles(spark, admissions if args.source == "ingest" else increments, args.cores)
     if args.job in ("segment", "report") and args.source == "stream":
         admissions = read_accepted(spark, increments)
     if args.job == "ingest":
@@ -101,7 +102,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         run_available(bills, increments, f"{increments}/checkpoint", ledger_location=ledger, run_id=args.run_id)
         result = {}
     elif args.job == "segment":
-        names = ("method", "k", "seed", "partitions", "scale", "exact", "with_year", "labels", "probabilities")
+        names = ("method", "k", "seed", "solver", "partitions", "scale", "exact", "with_year", "labels", "probabilities")
         options = {name: getattr(args, name) for name in names}
         rows = rebuild_segments(
             spark,
@@ -112,6 +113,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             args.as_of,
             args.only_when_due,
             upstream=args.source,
+            stored=f"{home}/quarters" if args.source == "ingest" else None,
             **options,
         )
         result = {"rows": rows}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from billscope.functions import calendar
 from billscope.operators.incremental import DEFAULT_START
 
-STARTED, FINISHED, FAILED = "started", "finished", "failed"
+STARTED, FINISHED, FAILED, REFUSED, BATCH = "started", "finished", "failed", "refused", "batch"
 
 
 def _when(test: Column | None = None) -> Column:
@@ -27,6 +27,15 @@ def last_loaded(ledger: DataFrame, default: date | str | None = DEFAULT_START) -
     return ledger.agg(highest.alias("last_loaded"))
 
 
+def uncovered(ledger: DataFrame) -> DataFrame:
+    """Highest date and number among a stream's batches that no closing event covers; the number of all else."""
+    closed = ledger.filter(F.col("status") == FINISHED).agg(F.max("version").alias("closed")).scalar()
+    left = (F.col("status") == BATCH) & (F.col("version") > F.coalesce(F.col("closed"), F.lit(-1)))
+    return ledger.withColumn("closed", closed).agg(
+        F.max(F.when(left, F.col("last_loaded"))).alias("last_loaded"), F.max("version").alias("version")
+    )
+
+
 def latest(ledger: DataFrame) -> DataFrame:
     """Latest event of every stage; keeps one row per stage and task while it aggregates."""
     others = [name for name in ledger.columns if name != "stage"]

@@ -40,7 +40,7 @@ def runs(ledger: DataFrame) -> DataFrame:
         "event_time": calendar.timestamp_text(F.col("event_time")),
         "last_loaded": calendar.date_text(F.col("last_loaded")),
     }
-    return ledger.withColumns(texts)
+    return ledger.drop("version").withColumns(texts)
 
 
 def preview(df: DataFrame, order_by: Sequence[Column], n: int = 10) -> DataFrame:

@@ -196,10 +196,12 @@ def categorise(
     labels: Sequence[str] = schema.SEGMENT_LABELS,
     probabilities: Sequence[float] = schema.SEGMENT_QUANTILES,
     column: str = AMOUNT,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
-    """Label rows that already have a segment: quantile edges, segment means, labels, join back."""
+    """Label rows that already have a segment: quantile edges, unless they are given, segment means, labels, join back."""
     if len(labels) != len(probabilities) + 1:
         raise ValueError("there must be one label more than quantiles")
-    edges = quantile_edges(rows, probabilities, exact, column)
+    if edges is None:
+        edges = quantile_edges(rows, probabilities, exact, column)
     labelled = label_segments(profile(rows, segment, column), edges, labels)
     return attach_labels(rows, labelled, segment, segments)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,8 +11,7 @@ from pyspark.sql import functions as F
 from billscope import schema
 from billscope.functions import calendar
 from billscope.operators import aggregates, incremental, ledger, quality
-from billscope.sinks import append_event, open_ledger, write_load
-from billscope.work import delete, put_in_place
+from billscope.sinks import append_event, lease, open_ledger, write_load
 
 STAGE = "ingest"
 
@@ -25,6 +23,7 @@ class Loaded:
     rejected: int
     unreadable: int
     last_loaded: date | None
+    version: int
     late: int | None = None
 
 
@@ -74,21 +73,45 @@ def ingest(
     at: datetime | None = None,
     count_late: bool = True,
     as_of: date | None = None,
+    lease_hours: float = lease.HOURS,
 ) -> Loaded:
     """Load what is new and record the run.
 
     Bills dated before the load's first day are left out; ``count_late`` counts them into the closing event,
     which reads the source's older rows once more. Without a loaded date in the ledger everything is loaded
-    afresh, beside the table that stands there, which gives way only to a finished one that isn't empty. The
-    closing event follows the data, so a run that broke off is repeated from the same date and replaces
-    what it had written.
+    afresh, and the table that stands there gives way only to a finished load that isn't empty. The closing event
+    follows the data, so a run that broke off is repeated from the same date and replaces what it had written.
 
     Bills without a date, or dated after ``as_of`` (today), are rejected and never move the loaded date. As
     later loads meet them again, they are kept once, in the load ``open``.
 
     Bills with a column ``raw_line`` (``read_encounters(keep_corrupt=True)``) bring their unreadable lines into the
     quarantine; the cells of such a line that could be read are loaded all the same.
+
+    One run at a time: a second one is refused while the first holds the lease, for ``lease_hours`` at most.
     """
+    open_ledger(spark, ledger_location)
+    try:
+        with lease.held(spark, ledger_location, STAGE, run_id, lease_hours) as own:
+            return _ingest(spark, bills, admissions, ledger_location, run_id, default_start, boundary, at, count_late, as_of, own)
+    except lease.LeaseHeld as error:
+        append_event(spark, ledger_location, run_id, 1, STAGE, ledger.REFUSED, str(error), at=at)
+        raise
+
+
+def _ingest(
+    spark: SparkSession,
+    bills: DataFrame,
+    admissions: str,
+    ledger_location: str,
+    run_id: str,
+    default_start: date | None,
+    boundary: str,
+    at: datetime | None,
+    count_late: bool,
+    as_of: date | None,
+    own: lease.Lease,
+) -> Loaded:
     record = dict(stage=STAGE, run_id=run_id, at=at)
     past = open_ledger(spark, ledger_location).filter(F.col("stage") == STAGE)
     previous = ledger.last_loaded(past, default=None).first().last_loaded
@@ -97,14 +120,9 @@ def ingest(
     append_event(spark, ledger_location, sequence=1, status=ledger.STARTED, **record)
     try:
         load_from = "start" if start is None else str(start)
-        target = f"{admissions}.new-{uuid.uuid4().hex}" if previous is None else admissions
         new = incremental.slice_new(bills, start, boundary, keep_undated=True)
-        counts = write_load(_checked(new, today), target, load_from, F.col("discharge_date") <= today)
-        if previous is None:
-            if counts["loaded"] + counts["rejected"] == 0:
-                delete(spark, target)
-                raise quality.NoRowsError("no rows in encounters")
-            put_in_place(spark, target, admissions)
+        placed = F.col("discharge_date") <= today
+        counts = write_load(_checked(new, today), admissions, load_from, placed, previous is None, own.check)
         late = None
         if count_late:
             late = 0 if start is None else incremental.late_rows(bills, start, boundary).count()
@@ -130,6 +148,7 @@ def ingest(
         message=told if late is None else f"{told}, {late} late",
         last_loaded=counts["last_loaded"],
         row_count=counts["loaded"],
+        version=counts["version"],
         **record,
     )
     return Loaded(load_from, **counts, late=late)

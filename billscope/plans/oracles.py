@@ -99,6 +99,13 @@ _L = """r AS (
 _L_COLUMNS = """id, stage, CAST(ts AS VARCHAR) AS event_time,
   strftime(last_loaded, '%Y-%m-%d') AS last_loaded"""
 
+# Quarterly averages of the accepted daily averages.
+_V = f"""v AS (
+  SELECT medical_condition, hospital, insurance_provider, quarter,
+    {_half_up("sum(average_cents)", "count(*)")} AS cents
+  FROM c WHERE reject_reason IS NULL GROUP BY ALL)"""
+_STORED = "SELECT medical_condition, hospital, insurance_provider, quarter, CAST(cents AS DOUBLE) / 100 AS avg_bill_amount"
+
 _REPORT = f"""WITH {_E}, {_D}
 SELECT medical_condition AS "Medical Condition", hospital AS "Hospital",
   insurance_provider AS "Insurance Provider", CAST(quarter(discharge_date) AS INTEGER) AS "Quarter",
@@ -176,12 +183,7 @@ UNION ALL SELECT 0.8::DOUBLE, CAST(quantile_disc(cents, 0.8) AS DOUBLE) / 100 FR
     "label_counts": f"WITH {_E}, {_Q}, {_FIVE} SELECT bill_cat, count(*) AS segments FROM l GROUP BY bill_cat",
     "kmeans_nearest": f"WITH {_E}, {_Q} SELECT count(*) AS rows_scored, 0::BIGINT AS rows_not_nearest FROM q",
     "quantile_rank_error": "SELECT unnest([0.2, 0.4, 0.6, 0.8])::DOUBLE AS probability, true AS within",
-    "segments_table": f"""WITH {_E}, {_D}, {_C}, v AS (
-  SELECT medical_condition, hospital, insurance_provider, quarter,
-    {_half_up("sum(average_cents)", "count(*)")} AS cents
-  FROM c WHERE reject_reason IS NULL GROUP BY ALL)
-SELECT medical_condition, hospital, insurance_provider, quarter, CAST(cents AS DOUBLE) / 100 AS avg_bill_amount,
-  true AS labelled FROM v""",
+    "segments_table": f"WITH {_E}, {_D}, {_C}, {_V} {_STORED}, true AS labelled FROM v",
     "ledger_stored": f"""WITH {_E}, {_D}, {_C}
 SELECT true AS event_is, strftime(max(discharge_date), '%Y-%m-%d') AS last_loaded FROM c WHERE reject_reason IS NULL""",
     "incremental_slice_text": f"WITH {_E} SELECT {_E_COLUMNS} FROM e WHERE e.discharge_date > DATE '1996-05-08'",
@@ -219,12 +221,12 @@ SELECT o_orderpriority AS medical_condition, s_name AS hospital, c_mktsegment AS
   c_name || ',,,,' || o_orderpriority || ',' || admitted || ',' || p_name || ',' || s_name || ',' || c_mktsegment
     || ',' || amount || ',,' || l_returnflag || ',' || shown || ',' || p_type || ',' AS raw_line
 FROM t GROUP BY ALL""",
-    "stream_segments": f"""WITH {_E}, {_D}, {_C}, v AS (
-  SELECT medical_condition, hospital, insurance_provider, quarter,
-    {_half_up("sum(average_cents)", "count(*)")} AS cents
-  FROM c WHERE reject_reason IS NULL GROUP BY ALL)
-SELECT medical_condition, hospital, insurance_provider, quarter, CAST(cents AS DOUBLE) / 100 AS avg_bill_amount,
-  true AS labelled FROM v""",
+    "stream_segments": f"WITH {_E}, {_D}, {_C}, {_V} {_STORED}, true AS labelled FROM v",
+    "segments_stored": f"WITH {_E}, {_D}, {_C}, {_V} {_STORED}, true AS labelled FROM v",
+    "quarters_refreshed": f"WITH {_E}, {_D}, {_C}, {_V} {_STORED} FROM v",
+    "guarded_rows": f"WITH {_E}, {_D} SELECT {_D_COLUMNS} FROM d",
+    "kmeans_any_partitions": f"WITH {_E}, {_Q} SELECT count(*) AS rows_scored, 0::BIGINT AS rows_differing FROM q",
+    "quantile_rank_error_stored": "SELECT unnest([0.2, 0.4, 0.6, 0.8])::DOUBLE AS probability, true AS within",
     "report_tables": f"""WITH {_E}, {_D}, {_C}
 SELECT 'admissions' AS report, count(*) AS rows FROM c WHERE reject_reason IS NULL
 UNION ALL SELECT 'segments', count(*) FROM (

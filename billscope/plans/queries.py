@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from billscope import schema
 from billscope.functions import calendar, money
-from billscope.operators import aggregates, incremental, ledger, quality, reports, segment
-from billscope.plans import ingest, segmentation
+from billscope.operators import aggregates, incremental, ledger, lloyd, quality, reports, segment
+from billscope.plans import ingest, quarters, segmentation
 from billscope.plans.report import publish_reports
-from billscope.sinks import append, create_if_missing, publish, replace
-from billscope.sinks.tables import CSV
+from billscope.sinks import append, create_if_missing, publish, read_published, replace
 from billscope.sources import (
     billing_columns,
     ledger_from_events,
@@ -257,13 +256,13 @@ def segments_kmeans(spark, folder):
 
 def kmeans_nearest(spark, folder):
     """Rows scored, and rows whose segment isn't that of their nearest centre."""
-    rows = segmentation.feature_rows(materialise(_mean_of_means(spark, folder), "mean-of-means"))
-    vectors = segment.features(materialise(rows, "features"))
-    found = segment.fit(vectors)
-    scored = segment.score(found, vectors)
+    averages = materialise(_mean_of_means(spark, folder), "mean-of-means")
+    rows = materialise(segmentation.feature_rows(averages), "features")
+    found = lloyd.fit(rows)
+    scored = lloyd.score(found, rows)
 
     def distance(center):
-        return sum((F.col(name) - value) * (F.col(name) - value) for name, value in zip(segment.FEATURES, center, strict=True))
+        return sum((F.col(name) - value) * (F.col(name) - value) for name, value in zip(lloyd.FEATURES, center, strict=True))
 
     distances = F.array(*[distance(center) for center in found.centers()])
     own = F.element_at(distances, F.col("prediction") + 1)
@@ -271,10 +270,33 @@ def kmeans_nearest(spark, folder):
     return scored.agg(F.count("*").alias("rows_scored"), far.alias("rows_not_nearest"))
 
 
+def kmeans_any_partitions(spark, folder):
+    """Rows scored, and rows whose segment is another when the table lies in 3 or in 17 parts."""
+    averages = materialise(_mean_of_means(spark, folder), "mean-of-means")
+    rows, found = materialise(segmentation.feature_rows(averages), "features"), []
+    for parts in (3, 17):
+        placed = materialise(rows.repartition(parts), "placed")
+        scored = lloyd.score(lloyd.fit(placed), placed)
+        found.append(scored.select(*schema.QUARTER_KEYS, F.col("prediction").alias(f"in_{parts}")))
+    both = found[0].join(found[1], list(schema.QUARTER_KEYS))
+    return both.agg(F.count("*").alias("rows_scored"), F.count_if(F.col("in_3") != F.col("in_17")).alias("rows_differing"))
+
+
 def quantile_rank_error(spark, folder):
     """Whether each approximate edge lies within one hundredth of its rank."""
     rows = materialise(_mean_of_means(spark, folder), "mean-of-means")
-    edges = segment.quantile_edges(rows).select("edges").scalar()
+    return _rank_errors(rows, segment.quantile_edges(rows))
+
+
+def quantile_rank_error_stored(spark, folder):
+    """The same of edges that come from the stored quarters' sketches alone."""
+    home = _two_loads(spark, folder, "sketches")
+    quarters.refresh(spark, f"{home}/admission", f"{home}/quarters")
+    return _rank_errors(quarters.read_quarters(spark, f"{home}/quarters"), quarters.stored_edges(spark, f"{home}/quarters"))
+
+
+def _rank_errors(rows: DataFrame, found: DataFrame) -> DataFrame:
+    edges = found.select("edges").scalar()
     amount, columns = F.col(segment.AMOUNT), []
     for number, probability in enumerate(schema.SEGMENT_QUANTILES):
         below, up_to = (F.count_if(test) / F.count(amount) for test in (amount < edges[number], amount <= edges[number]))
@@ -319,7 +341,7 @@ def report_published(spark, folder):
     """The admissions report as other tools read it: a headed file."""
     report, path = report_admissions(spark, folder), new_path(spark, "report")
     publish(report, path)
-    return spark.read.schema(report.schema).option("header", True).options(**CSV).csv(path)
+    return read_published(spark, path, report.schema)
 
 
 def report_segments(spark, folder):
@@ -338,12 +360,42 @@ def ingest_load(spark, folder):
 
 def ingest_table(spark, folder):
     """The stored table after a first load of the earlier bills and a second load of what is new since."""
-    home = new_path(spark, "ingest")
-    table, runs = f"{home}/admission", f"{home}/status"
-    bills = order_bills(spark, folder)
+    home = _two_loads(spark, folder, "ingest")
+    return _shown(read_admissions(spark, f"{home}/admission").drop("load_from", "discharge_month"))
+
+
+def _two_loads(spark: SparkSession, folder: str, name: str, between: Callable[[str], None] = lambda home: None) -> str:
+    home = new_path(spark, name)
+    table, runs, bills = f"{home}/admission", f"{home}/status", order_bills(spark, folder)
     ingest.ingest(spark, bills.filter(F.col("discharge_date") <= EARLIER_CUT), table, runs, "first", None)
+    between(home)
     ingest.ingest(spark, bills, table, runs, "second")
-    return _shown(read_admissions(spark, table).drop("load_from", "discharge_month"))
+    return home
+
+
+def quarters_refreshed(spark, folder):
+    """Quarterly averages made after a first load and brought up to date after a second."""
+
+    def refresh(home):
+        quarters.refresh(spark, f"{home}/admission", f"{home}/quarters")
+
+    home = _two_loads(spark, folder, "quarters", refresh)
+    refresh(home)
+    return _shown(quarters.read_quarters(spark, f"{home}/quarters"))
+
+
+def segments_stored(spark, folder):
+    """Keys and averages of segments rebuilt from stored quarters and their sketches, and whether a label stands there."""
+    home = _two_loads(spark, folder, "segments-stored")
+    places = [f"{home}/{name}" for name in ("admission", "status", "segments")]
+    segmentation.rebuild_segments(spark, *places, "segment", AS_OF, stored=f"{home}/quarters")
+    rows = _shown(read_table(spark, places[2], columns=schema.SEGMENT))
+    return rows.withColumn("labelled", F.col("bill_cat").isNotNull()).drop("bill_cat")
+
+
+def guarded_rows(spark, folder):
+    """Daily averages past the guard that stops a step on empty input."""
+    return _shown(quality.require_rows(_daily(spark, folder), "daily averages"))
 
 
 def ingest_rejects(spark, folder):
@@ -404,7 +456,7 @@ def report_tables(spark, folder):
     publish_reports(spark, *places, f"{home}/out", "parquet")
     counts = None
     for name in ("segments", "admissions", "runs"):
-        rows = spark.read.parquet(f"{home}/out/{name}").agg(F.lit(name).alias("report"), F.count("*").alias("rows"))
+        rows = read_published(spark, f"{home}/out/{name}", kind="parquet").agg(F.lit(name).alias("report"), F.count("*").alias("rows"))
         counts = rows if counts is None else counts.unionByName(rows)
     return counts
 
@@ -460,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         load_quarantine,
         load_counts,
         stage_row_counts,
+        guarded_rows,
         string_index,
         feature_columns,
         quantile_edges_exact,
@@ -471,7 +524,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         label_counts,
         segments_kmeans,
         kmeans_nearest,
+        kmeans_any_partitions,
         quantile_rank_error,
+        quantile_rank_error_stored,
         segments_flow,
         segments_table,
         ledger_stored,
@@ -482,6 +537,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         report_runs,
         ingest_load,
         ingest_table,
+        quarters_refreshed,
+        segments_stored,
         ingest_rejects,
         ingest_unreadable,
         stream_segments,

@@ -50,6 +50,7 @@ MONTH_KEYS = ("medical_condition", "hospital", "discharge_month")
 QUARTER_KEYS = ("medical_condition", "hospital", "insurance_provider", "quarter")
 BILLING_COLUMNS = (*BILL_KEYS, "billing_amount", "discharge_date")
 
+# Columns of the stored tables.
 ADMISSION = T.StructType(
     [
         T.StructField("medical_condition", T.StringType()),
@@ -89,6 +90,8 @@ LEDGER = T.StructType(
         T.StructField("event_time", T.TimestampType()),
         T.StructField("last_loaded", T.DateType()),
         T.StructField("row_count", T.LongType()),
+        # The table's pointer after the run, or the batch of a stream; not shown in reports.
+        T.StructField("version", T.LongType()),
     ]
 )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope import schema
+from billscope import schema, versions
 
 
 def jdbc_read_options(
@@ -51,11 +51,13 @@ def read_table(
     columns: T.StructType | None = None,
     **jdbc,
 ) -> DataFrame:
-    """A stored table: ``location`` is a folder for parquet, a URL for ``kind="jdbc"``."""
+    """A stored table: ``location`` is a folder for parquet, a URL for ``kind="jdbc"``.
+
+    A folder with a pointer (``billscope.versions``) is read as that names it.
+    """
     if kind == "jdbc":
         return spark.read.format("jdbc").options(**jdbc_read_options(location, **jdbc)).load()
-    reader = spark.read if columns is None else spark.read.schema(columns)
-    return reader.parquet(location)
+    return versions.read(spark, location, columns, kind)
 
 
 def read_loads(spark: SparkSession, location: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Run-once increments: fold newly arrived files into the daily averages, then stop."""
+"""Run-once increments: fold newly arrived files into sums by day, then stop.
+
+Sums are kept as runs by month. A batch writes its own sums and takes in the month's latest runs as long as they are of
+its size, by powers of two, so a bill is written again as often as its run doubles: n batches write n log n, however
+they are ordered, and a month has few runs. Reading adds the runs up.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope import schema
+from billscope import schema, versions
 from billscope.functions import calendar
 from billscope.operators import aggregates, ledger, quality
-from billscope.sinks import append_event, open_ledger
-from billscope.work import delete, file_system, job_folder, materialise
+from billscope.sinks import append_event, lease, open_ledger
+from billscope.work import job_folder, materialise
 
 STAGE = "stream"
 MONTH = "discharge_month"
@@ -25,51 +30,54 @@ PARTIALS = T.StructType(
         T.StructField("bill_cents", T.LongType()),
         T.StructField("bill_count", T.LongType()),
         T.StructField(MONTH, T.DateType()),
-        T.StructField("batch", T.LongType()),
     ]
 )
 DAYS = T.StructType([*schema.ADMISSION.fields, T.StructField(MONTH, T.DateType())])
 
 
-def _overwrite_partitions(df: DataFrame, location: str, folders: list[str], **measures: Column) -> dict:
-    """Replace the partitions ``df`` has rows for; returns the measures, taken while they are written."""
-    rows, seen = quality.observe_counts(df.hint("rebalance", MONTH), f"increment_{uuid.uuid4().hex}", **measures)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*folders).parquet(location)
-    return seen.get
-
-
-def fold_batch(bills: DataFrame, batch: int, location: str) -> date | None:
-    """Add one batch of bills to the daily averages at ``location``; returns the last accepted day of its months.
+def fold_batch(bills: DataFrame, batch: int, location: str, as_of: date | None = None) -> date | None:
+    """Add one batch of bills to the sums at ``location``; returns the last day of it that is accepted by itself.
 
-    Only the batch is aggregated from bills. Each month keeps one table of sums, named after the batch that made
-    it: the sums before this batch and the batch's own, added up. A repeated batch starts from the same sums and
-    replaces itself, a late bill reaches its month, and sums older than the ones it started from are removed. So
-    a batch reads and writes the months it touches once, however many batches came before.
+    Only the batch is aggregated from bills, and only runs of like size are written again. The pointer of the batch's
+    number names the runs, so a repeated batch starts from the pointer before it and replaces itself. A late bill
+    reaches its month; one dated after ``as_of`` (today) belongs to none and is rejected.
     """
     spark = bills.sparkSession
-    partials = f"{location}/partials"
-    own = aggregates.partials(bills).withColumn(MONTH, calendar.month_start(F.col("discharge_date")))
-    own = own.groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
+    today = F.current_date() if as_of is None else F.lit(as_of)
+    month = F.when(F.col("discharge_date") <= today, calendar.month_start(F.col("discharge_date")))
+    before, folder = versions.current(spark, location, below=batch), versions.new_folder()
+    standing = before.folders if before else []
+    rows = dict(before.notes["rows"]) if before else {}
     with job_folder(spark, "increment"):
-        own = materialise(own, "sums")
-        months = [row[0] for row in own.select(MONTH).distinct().collect()]  # calendar months: few
+        own = aggregates.partials(bills).withColumn(MONTH, month)
+        own = materialise(own.groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums()), "sums")
+        accepted = F.when(F.col("reject_reason").isNull(), F.col("discharge_date"))
+        months = day_rows(own).groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"), F.max(accepted).alias("last")).collect()
         if not months:
             return None
-        before, outdated = _versions(spark, partials, months, batch)
+        taken = [path for found in months for path in _of_like_size(found[MONTH], found["rows"], standing, rows)]
         sums = own
-        if before:
-            earlier = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*before)
-            sums = own.unionByName(earlier.drop("batch")).groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
-        sums = sums.withColumn("batch", F.lit(batch).cast("bigint")).select(*[field.name for field in PARTIALS.fields])
-        _overwrite_partitions(sums, partials, [MONTH, "batch"])
-    now = [f"{partials}/{_folder(month)}/batch={batch}" for month in months]
-    touched = spark.read.schema(PARTIALS).option("basePath", partials).parquet(*now)
-    accepted = F.when(F.col("reject_reason").isNull(), F.col("discharge_date"))
-    seen = _overwrite_partitions(day_rows(touched), f"{location}/days", [MONTH], last_loaded=F.max(accepted))
-    for path in outdated:
-        delete(spark, path)
-    return seen["last_loaded"]
+        if taken:
+            earlier = versions.read(spark, location, PARTIALS, pointer=versions.Pointer(batch, taken))
+            sums = own.unionByName(earlier).groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
+        sums.select(*PARTIALS.names).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{location}/{folder}")
+    now = versions.subfolders(spark, location, folder)
+    made = versions.read(spark, location, PARTIALS, pointer=versions.Pointer(batch, now)).groupBy(MONTH).count()
+    rows |= {f"{folder}/{_folder(found[MONTH])}": found["count"] for found in made.collect()}
+    folders = [*[path for path in standing if path not in taken], *now]
+    versions.commit(spark, location, folders, before, batch, rows={path: rows[path] for path in folders})
+    return max((found["last"] for found in months if found["last"]), default=None)
+
+
+def _of_like_size(month: date | None, size: int, standing: list[str], rows: dict[str, int]) -> list[str]:
+    """The month's latest runs that are no larger, by powers of two, than the batch and the runs taken before them."""
+    taken = []
+    for path in reversed([path for path in standing if path.endswith(f"/{_folder(month)}")]):
+        if rows[path].bit_length() > size.bit_length():
+            break
+        taken.append(path)
+        size += rows[path]
+    return taken
 
 
 def _sums() -> list[Column]:
@@ -80,24 +88,12 @@ def _folder(month: date | None) -> str:
     return f"{MONTH}={month or '__HIVE_DEFAULT_PARTITION__'}"
 
 
-def _versions(spark: SparkSession, partials: str, months: list[date | None], batch: int) -> tuple[list[str], list[str]]:
-    """Folders of the months' latest sums before this batch, and of those before them."""
-    before, outdated = [], []
-    for month in months:
-        files, path = file_system(spark, f"{partials}/{_folder(month)}")
-        names = [file.getPath().getName() for file in files.listStatus(path)] if files.exists(path) else []
-        made = sorted(int(name.removeprefix("batch=")) for name in names if name.startswith("batch="))
-        made = [f"{partials}/{_folder(month)}/batch={number}" for number in made if number < batch]
-        before += made[-1:]
-        outdated += made[:-1]
-    return before, outdated
-
-
 def day_rows(sums: DataFrame) -> DataFrame:
-    """Daily averages, checked, from the sums of any number of batches."""
-    days = aggregates.roll_up(sums, schema.DAILY_KEYS, "average_bill_amount")
+    """Daily averages, checked, from the sums of any number of batches; a date without a month lies in the future."""
+    days = aggregates.roll_up(sums, (*schema.DAILY_KEYS, MONTH), "average_bill_amount")
     days = days.withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
-    days = quality.check_rows(days).withColumn(MONTH, calendar.month_start(F.col("discharge_date")))
+    beyond = F.when(F.col("discharge_date").isNotNull() & F.col(MONTH).isNull(), "date_range")
+    days = quality.check_rows(days, F.coalesce(quality.reject_reason(), beyond))
     return days.select(*[field.name for field in DAYS.fields])
 
 
@@ -109,6 +105,8 @@ def run_available(
     ledger_location: str | None = None,
     run_id: str | None = None,
     at: datetime | None = None,
+    as_of: date | None = None,
+    lease_hours: float = lease.HOURS,
 ) -> None:
     """Fold in what has arrived since the last run, and record the run where there is a ledger.
 
@@ -116,39 +114,86 @@ def run_available(
     remembers which files are done; it takes the place of the last loaded date, so late bills count. Files
     per batch are bounded by the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
 
+    Each batch leaves one event, under its number, before it counts as done: a run that dies keeps what it loaded, and
+    the next closing event speaks for the batches that no closing event covers. One run at a time, as with loads.
+
     A stream's own plan runs without adaptive execution. Joins therefore belong into ``to_bills``, which runs
     per batch with it, so that a hot key is split.
     """
-    spark, run_id, days = arrivals.sparkSession, run_id or uuid.uuid4().hex, []
+    spark, run_id = arrivals.sparkSession, run_id or uuid.uuid4().hex
+    options = dict(checkpoint=checkpoint, to_bills=to_bills, as_of=as_of)
+    if not ledger_location:
+        _fold_arrivals(arrivals, location, lambda number, last: None, lambda: None, **options)
+        return
+    open_ledger(spark, ledger_location)
+    try:
+        with lease.held(spark, ledger_location, STAGE, run_id, lease_hours) as own:
+            _recorded(arrivals, location, ledger_location, run_id, at, own, options)
+    except lease.LeaseHeld as error:
+        append_event(spark, ledger_location, run_id, 1, STAGE, ledger.REFUSED, str(error), at=at)
+        raise
 
-    def fold(batch: DataFrame, number: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")  # the stream's own session
-        days.append(fold_batch(to_bills(batch) if to_bills else batch, number, location))
+
+def _recorded(
+    arrivals: DataFrame, location: str, ledger_location: str, run_id: str, at: datetime | None, own: lease.Lease, options: dict
+) -> None:
+    spark = arrivals.sparkSession
 
     def record(sequence: int, status: str, **told) -> None:
-        if ledger_location:
-            append_event(spark, ledger_location, run_id, sequence, STAGE, status, at=at, **told)
+        append_event(spark, ledger_location, run_id, sequence, STAGE, status, at=at, **told)
+
+    def batch_done(number: int, last: date | None) -> None:
+        name = f"{STAGE}-batch-{number:010d}"
+        known = open_ledger(spark, ledger_location)
+        if not ledger.event_is(known, name, F.col("status") == ledger.BATCH).first().event_is:
+            record(0, ledger.BATCH, message=f"batch {number}", last_loaded=last, version=number, event_id=name)
 
-    if ledger_location:
-        open_ledger(spark, ledger_location)
     record(1, ledger.STARTED)
     try:
-        query = (
-            arrivals.writeStream.foreachBatch(fold)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        days = _fold_arrivals(arrivals, location, batch_done, own.check, **options)
     except Exception as error:
         record(2, ledger.FAILED, message=f"{type(error).__name__}: {error}")
         raise
-    last = max((day for day in days if day), default=None)
-    record(2, ledger.FINISHED, message=f"{len(days)} batches", last_loaded=last)
+    past = open_ledger(spark, ledger_location).filter(F.col("stage") == STAGE)
+    left = ledger.uncovered(past).first()
+    last = max((day for day in (*days.values(), left.last_loaded) if day), default=None)
+    record(2, ledger.FINISHED, message=f"{len(days)} batches", last_loaded=last, version=left.version)
+
+
+def _fold_arrivals(
+    arrivals: DataFrame,
+    location: str,
+    done: Callable[[int, date | None], None],
+    check: Callable[[], None],
+    checkpoint: str,
+    to_bills: Callable[[DataFrame], DataFrame] | None,
+    as_of: date | None,
+) -> dict[int, date | None]:
+    """Run the stream's batches; returns the last accepted day of each."""
+    days: dict[int, date | None] = {}
+
+    def fold(batch: DataFrame, number: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")  # the stream's own session
+        check()
+        days[number] = fold_batch(to_bills(batch) if to_bills else batch, number, location, as_of)
+        done(number, days[number])
+
+    query = (
+        arrivals.writeStream.foreachBatch(fold)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return days
 
 
 def read_days(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(DAYS).parquet(f"{location}/days")
+    """Daily averages with their reject reason: the runs of each month added up."""
+    pointer = versions.current(spark, location)
+    if pointer is None:
+        return spark.createDataFrame([], DAYS)
+    return day_rows(versions.read(spark, location, PARTIALS, pointer=pointer))
 
 
 def read_accepted(spark: SparkSession, location: str) -> DataFrame:

@@ -71,36 +71,6 @@ def delete(spark: SparkSession, location: str) -> None:
     files.delete(path, True)
 
 
-def list_files(spark: SparkSession, location: str) -> list[str]:
-    """Data files below ``location``; none where there is no such folder."""
-    files, path = file_system(spark, location)
-    if not files.exists(path):
-        return []
-    found, paths = files.listFiles(path, True), []
-    while found.hasNext():
-        own = found.next().getPath()
-        if not own.getName().startswith(("_", ".")):
-            paths.append(own.toString())
-    return paths
-
-
-def put_in_place(spark: SparkSession, new: str, location: str) -> None:
-    """Rename a finished folder to ``location``; what stood there goes only after that."""
-    files, target = file_system(spark, location)
-    _, old = file_system(spark, f"{location}.before-{uuid.uuid4().hex}")
-    _, source = file_system(spark, new)
-    files.mkdirs(target.getParent())
-    had_old = files.exists(target)
-    if had_old and not files.rename(target, old):
-        raise OSError(f"{location} can't be moved")
-    if not files.rename(source, target):
-        if had_old:
-            files.rename(old, target)
-        raise OSError(f"{new} can't be moved to {location}")
-    if had_old:
-        files.delete(old, True)
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` on shared storage; unlike a work table it keeps its partitions and their order."""
     context = df.sparkSession.sparkContext

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from billscope.plans.ingest import ingest
 from billscope.plans.segmentation import rebuild_segments
 from billscope.session import build_session
-from billscope.sources import read_admissions
+from billscope.sources import read_admissions, read_table
 from billscope.streaming.increments import fold_batch, read_days
 
 
@@ -48,7 +48,7 @@ def run(spark, home, disturbed):
         read_admissions(spark, f"{home}/admission").count(),
         segments,
         str(total(read_admissions(spark, f"{home}/admission"))),
-        str(total(spark.read.parquet(f"{home}/segments"))),
+        str(total(read_table(spark, f"{home}/segments"))),
         str(total(read_days(spark, f"{home}/increments"))),
     ]
 

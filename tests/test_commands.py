@@ -6,6 +6,7 @@ import pytest
 
 from billscope import schema
 from billscope.__main__ import main
+from billscope.sources import read_table
 from billscope.streaming import increments
 
 
@@ -50,7 +51,7 @@ def test_jobs_from_the_command_line(spark, landing, folder):
     assert days.count() == loaded["loaded"]
     segment = ["segment", "--home", home, "--as-of", "2022-02-03", "--source", "stream"]
     assert main([*segment, "--labels", "low,high", "--probabilities", "0.5"], spark)["rows"] == rows
-    assert {row.bill_cat for row in spark.read.parquet(f"{home}/segments").collect()} == {"low", "high"}
+    assert {row.bill_cat for row in read_table(spark, f"{home}/segments").collect()} == {"low", "high"}
     published = main(["report", "--home", home, "--kind", "json", "--source", "stream"], spark)
     assert published["admissions"] == loaded["loaded"]
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, datetime, timezone
 from decimal import Decimal
@@ -10,17 +11,18 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from billscope import schema
+from billscope import schema, versions
 from billscope.functions import money
-from billscope.operators import aggregates, quality, segment
+from billscope.operators import aggregates, ledger, lloyd, quality, segment, sketches
 from billscope.operators.reports import runs
-from billscope.plans import ingest, report, segmentation
-from billscope.sinks import append_event, open_ledger
+from billscope.plans import ingest, quarters, report, segmentation
+from billscope.sinks import append, append_event, lease, open_ledger, publish, read_published, replace
 from billscope.sources import (
     billing_columns,
     read_admissions,
     read_encounters,
     read_quarantine,
+    read_table,
     stream_encounters,
 )
 from billscope.streaming import increments
@@ -173,26 +175,246 @@ def test_failure_text_is_kept_whole(spark, tables):
 
 
 def test_published_csv_round_trip(spark, folder):
-    from billscope.sinks.tables import CSV, publish
-
     rows = [('say "x"', 1), ("two\nlines", 2), ("", 3), (None, 4), ("a,b\\", 5)]
     frame = spark.createDataFrame(rows, "name string, n int")
     publish(frame, f"{folder}/report")
-    back = spark.read.schema(frame.schema).option("header", True).option("multiLine", True).options(**CSV)
-    assert sorted(map(tuple, back.csv(f"{folder}/report").collect()), key=lambda r: r[1]) == rows
+    back = read_published(spark, f"{folder}/report", frame.schema, multiLine="true")
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows
+
 
+@pytest.fixture
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
-def test_month_sums_do_not_pile_up(spark, folder):
-    from billscope.streaming import increments
 
+def written_bytes(spark, folder, batches, monkeypatch):
+    """Rows that unordered batches of equal size write, their own and those of runs they take in."""
+    rows, real = [], versions.commit
+
+    def seen(spark, location, folders, before, number, rows_of=rows, **notes):
+        old = set(before.folders) if before else set()
+        rows_of.append(sum(count for path, count in notes["rows"].items() if path not in old))
+        return real(spark, location, folders, before, number, **notes)
+
+    monkeypatch.setattr(versions, "commit", seen)
+    for batch in range(batches):
+        day = F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 28).cast("int"))
+        own = spark.range(64, numPartitions=1).select(
+            *[F.lit(k).alias(k) for k in ("medical_condition", "insurance_provider", "admission_type")],
+            F.concat(F.lit(f"h{batch}-"), F.col("id")).alias("hospital"),
+            day.alias("discharge_date"),
+            F.lit(100).cast("bigint").alias("bill_cents"),
+        )
+        increments.fold_batch(own, batch, folder)
+    monkeypatch.undo()
+    return sum(rows)
+
+
+def test_increments_write_n_log_n(spark, folder, monkeypatch, few_partitions):
+    """Ten and forty batches of one month: what is written grows with the logarithm, and few runs are left."""
+    wrote = {n: written_bytes(spark, f"{folder}/{n}", n, monkeypatch) / (64 * n) for n in (10, 40)}
+    assert wrote[10] <= 1 + math.log2(10) and wrote[40] <= 1 + math.log2(40)
+    assert wrote[40] - wrote[10] <= 2  # twice the doublings of a fourfold input
+    for n in (10, 40):
+        assert len(versions.current(spark, f"{folder}/{n}").folders) <= math.log2(n) + 1
+        assert increments.read_days(spark, f"{folder}/{n}").count() == 64 * n
+        kept = {path.parent.name + "/" + path.name for path in Path(f"{folder}/{n}").glob("version=*/discharge_month=*")}
+        assert len(kept) <= 2 * (math.log2(n) + 1)
+
+
+def test_untouched_months_are_not_written(spark, folder):
     for batch in range(6):
         bills = [("a", "h", "p", "t", date(2020, 1 + batch % 2, 1 + batch), 100 * batch)]
         increments.fold_batch(spark.createDataFrame(bills, BILLS), batch, folder)
-    kept = sorted(path.name for path in Path(f"{folder}/partials").glob("*/batch=*"))
-    assert kept == ["batch=2", "batch=3", "batch=4", "batch=5"]
+    last, before = (versions.current(spark, folder, below=n).folders for n in (6, 5))
+    assert {path for path in before if path.endswith("=2020-01-01")} <= set(last)
     assert increments.read_days(spark, folder).count() == 6
 
 
+def test_future_bills_of_a_stream_are_rejected(spark, folder):
+    bills = [("a", "h", "p", "t", day, 100) for day in (date(2020, 1, 1), date(9999, 1, 1), None)]
+    assert increments.fold_batch(spark.createDataFrame(bills, BILLS), 0, folder) == date(2020, 1, 1)
+    reasons = {row.discharge_date: row.reject_reason for row in increments.read_days(spark, folder).collect()}
+    assert reasons == {date(2020, 1, 1): None, date(9999, 1, 1): "date_range", None: "date_null"}
+    assert increments.fold_batch(spark.createDataFrame(bills, BILLS), 1, folder, date(2019, 1, 1)) is None
+
+
+def test_stream_begun_anew_makes_the_table_anew(spark, folder):
+    one = lambda cents: spark.createDataFrame([("c", "h", "p", "a", date(2020, 3, 4), cents)], BILLS)
+    for batch in range(3):
+        increments.fold_batch(one(100), batch, folder)
+    increments.fold_batch(one(300), 0, folder)
+    assert [(r.bill_cents, r.bill_count) for r in increments.read_days(spark, folder).collect()] == [(300, 1)]
+
+
+def test_batch_events_outlive_a_lost_run(spark, tables, folder, monkeypatch):
+    landing, home = f"{folder}/landing", f"{folder}/increments"
+    make_bills(spark, 200).write.parquet(landing)
+    run = lambda name: increments.run_available(
+        spark.readStream.schema(BILLS).parquet(landing), home, f"{home}/checkpoint", None, tables[1], name
+    )
+    real = increments.append_event
+
+    def lost(spark, location, run_id, sequence, *args, **kwargs):
+        if sequence == 2:
+            raise RuntimeError("driver lost")
+        real(spark, location, run_id, sequence, *args, **kwargs)
+
+    monkeypatch.setattr(increments, "append_event", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        run("r1")
+    monkeypatch.undo()
+    last = expected_rows(make_bills(spark, 200))[0].agg(F.max("discharge_date")).first()[0]
+    assert ledger.last_loaded(open_ledger(spark, tables[1])).first()[0] == last
+    run("r2")
+    events = {row.id: row for row in open_ledger(spark, tables[1]).collect()}
+    assert events["r2-0002"].last_loaded == last and events["r2-0002"].message == "0 batches"
+    assert sorted(events) == ["r1-0001", "r2-0001", "r2-0002", "stream-batch-0000000000"]
+    run("r3")
+    assert open_ledger(spark, tables[1]).filter("id = 'r3-0002'").first().last_loaded is None
+
+
+# Tables by pointer
+
+
+FAILS = "CASE WHEN hospital = 'h1' THEN raise_error('task lost') ELSE hospital END"
+
+
+def test_failed_replace_changes_nothing(spark, folder):
+    rows = spark.createDataFrame([(f"h{k}", k) for k in range(5)], "hospital string, n int")
+    replace(rows, f"{folder}/t")
+    for change in (replace, publish, append):
+        with pytest.raises(Exception, match="task lost"):
+            change(rows.withColumn("hospital", F.expr(FAILS)), f"{folder}/t")
+        assert read_table(spark, f"{folder}/t").count() == 5
+    assert replace(rows.limit(2), f"{folder}/t") == 2 == read_table(spark, f"{folder}/t").count()
+
+
+def test_failed_jobs_leave_their_tables(spark, tables, folder, monkeypatch):
+    segments, out = f"{folder}/segments", f"{folder}/out"
+    bills = make_bills(spark)
+    ingest.ingest(spark, bills, *tables, "r1", default_start=None)
+    segmentation.rebuild_segments(spark, *tables, segments, "s1", date(2022, 1, 5), k=4)
+    report.publish_reports(spark, tables[0], segments, tables[1], out)
+
+    def state():
+        return rows_of(read_admissions(spark, tables[0])), rows_of(read_table(spark, segments)), rows_of(read_published(spark, f"{out}/segments"))
+
+    before = state()
+    later = bills.withColumn("discharge_date", F.date_add("discharge_date", 4000)).filter("discharge_date is not null")
+    with pytest.raises(Exception, match="task lost"):
+        ingest.ingest(spark, later.withColumn("hospital", F.raise_error(F.lit("task lost"))), *tables, "r2", as_of=date(2050, 1, 1))
+    real = segmentation.segment_bills
+    broken = lambda *a, **o: real(*a, **o).withColumn("bill_cat", F.raise_error(F.lit("task lost")))
+    monkeypatch.setattr(segmentation, "segment_bills", broken)
+    append_event(spark, tables[1], "r3", 2, "ingest", "finished")
+    with pytest.raises(Exception, match="task lost"):
+        segmentation.rebuild_segments(spark, *tables, segments, "s2", date(2022, 1, 5), k=4)
+    monkeypatch.undo()
+    told = report.publish_reports(spark, tables[0], read_table(spark, segments).withColumn("bill_cat", F.raise_error(F.lit("task lost")).cast("string")), tables[1], out)
+    assert "task lost" in told["segments"] and told["admissions"] == len(before[0])
+    assert state() == before
+    assert {e.stage: e.status for e in ledger.latest(open_ledger(spark, tables[1])).collect()}["segment"] == "failed"
+
+
+def test_a_read_sees_one_version(spark, tables, monkeypatch):
+    """Between a load's write and its commit the old rows are read, afterwards the new ones, never both."""
+    bills = make_bills(spark)
+    ingest.ingest(spark, bills, *tables, "r1", default_start=None)
+    before, real, during = rows_of(read_admissions(spark, tables[0])), versions.commit, []
+    began_earlier = read_admissions(spark, tables[0])
+
+    def watched(*args, **kwargs):
+        during.append(rows_of(read_admissions(spark, tables[0])))
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(versions, "commit", watched)
+    other = bills.filter("bill_cents % 2 = 0")
+    ingest.ingest(spark, other, tables[0], tables[1] + "-new", "r2", default_start=None)
+    assert during == [before] and rows_of(began_earlier) == before
+    assert rows_of(read_admissions(spark, tables[0])) == rows_of(expected_rows(other)[0])
+
+
+def test_old_versions_go_with_a_later_change(spark, folder):
+    rows = spark.range(3)
+    for _ in range(4):
+        replace(rows, f"{folder}/t")
+    assert len(list(Path(f"{folder}/t").glob("version=*"))) == 2
+    orphan = Path(f"{folder}/t/version=lost")
+    orphan.mkdir()
+    replace(rows, f"{folder}/t")
+    assert orphan.exists()
+    versions.tidy(spark, f"{folder}/t", versions.current(spark, f"{folder}/t").number, orphan_hours=-1)
+    assert not orphan.exists() and read_table(spark, f"{folder}/t").count() == 3
+
+
+def test_second_writer_is_refused(spark, folder):
+    replace(spark.range(3), f"{folder}/t")
+    before = versions.current(spark, f"{folder}/t")
+    replace(spark.range(4), f"{folder}/t")
+    with pytest.raises(versions.ChangedMeanwhile):
+        versions.commit(spark, f"{folder}/t", before.folders, before)
+    assert read_table(spark, f"{folder}/t").count() == 4
+
+
+def test_pointer_whose_writer_died_is_passed_over(spark, folder):
+    replace(spark.range(3), f"{folder}/t")
+    (Path(folder) / "t" / versions.POINTERS / "0000000002").write_text('{"folders": [')
+    assert read_table(spark, f"{folder}/t").count() == 3
+    assert replace(spark.range(4), f"{folder}/t") == 4 == read_table(spark, f"{folder}/t").count()
+
+
+# Leases
+
+
+def test_a_second_run_is_refused(spark, tables, monkeypatch):
+    bills, real, seen = make_bills(spark, 100), ingest.write_load, []
+
+    def meanwhile(*args, **kwargs):
+        if not seen:
+            seen.append(True)
+            with pytest.raises(lease.LeaseHeld, match="r1"):
+                ingest.ingest(spark, bills, *tables, "r2", default_start=None)
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(ingest, "write_load", meanwhile)
+    ingest.ingest(spark, bills, *tables, "r1", default_start=None)
+    monkeypatch.undo()
+    events = [(e.id, e.status) for e in open_ledger(spark, tables[1]).orderBy("id").collect()]
+    assert events == [("r1-0001", "started"), ("r1-0002", "finished"), ("r2-0001", "refused")]
+    assert ingest.ingest(spark, bills, *tables, "r3").loaded == 0
+
+
+def test_a_dead_lease_ends(spark, tables):
+    dead = lease.take(spark, tables[1], "ingest", "dead", hours=1e-7)
+    ingest.ingest(spark, make_bills(spark, 100), *tables, "r1", default_start=None)
+    with pytest.raises(lease.LeaseLost):
+        dead.check()
+    lease.take(spark, tables[1], "ingest", "living")
+    with pytest.raises(lease.LeaseHeld, match="living"):
+        ingest.ingest(spark, make_bills(spark, 100), *tables, "r2")
+    with lease.held(spark, tables[1], "segment", "other stage"):
+        pass
+
+
+def test_a_run_that_lost_its_lease_commits_nothing(spark, tables, monkeypatch):
+    bills, real = make_bills(spark, 100), ingest.write_load
+    ingest.ingest(spark, bills.filter("year(discharge_date) = 2020"), *tables, "r1", default_start=None)
+    before = rows_of(read_admissions(spark, tables[0]))
+
+    def overtaken(*args, **kwargs):
+        lease.take(spark, tables[1], "ingest", "second")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(ingest, "write_load", overtaken)
+    with pytest.raises(lease.LeaseLost):
+        ingest.ingest(spark, bills, *tables, "r2", lease_hours=0)
+    assert rows_of(read_admissions(spark, tables[0])) == before
+
+
 def test_admissions_skip_rejected_files(spark, tables):
     ingest.ingest(spark, make_bills(spark), *tables, "r1", default_start=None)
     plan = read_admissions(spark, tables[0])._jdf.queryExecution().executedPlan().toString()
@@ -251,7 +473,7 @@ def test_every_row_goes_to_its_nearest_centre(spark, quarter_rows):
 def test_segments_do_not_depend_on_layout(spark, quarter_rows):
     layouts = [quarter_rows, quarter_rows.repartition(5), quarter_rows.coalesce(1).orderBy(F.rand(1))]
     results = [
-        {tuple(r) for r in segmentation.cluster(materialise(layout, "layout"), partitions=4).collect()}
+        {tuple(r) for r in segmentation.cluster(materialise(layout, "layout"), solver="library", partitions=4).collect()}
         for layout in layouts
     ]
     assert results[0] == results[1] == results[2]
@@ -276,14 +498,14 @@ def test_segments_do_not_depend_on_the_cluster(spark, quarter_rows):
     results = []
     for partitions in ("3", "16"):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        results.append({tuple(r) for r in segmentation.cluster(quarter_rows).collect()})
+        results.append({tuple(r) for r in segmentation.cluster(quarter_rows, solver="library").collect()})
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
 
 
 def test_segments_equal_those_of_the_library_steps(spark, quarter_rows):
     """String indexers, assembler and KMeans from the library, on rows in the same place."""
-    ours = {tuple(r)[:-1]: r.prediction for r in segmentation.cluster(quarter_rows, partitions=4).collect()}
+    ours = {tuple(r)[:-1]: r.prediction for r in segmentation.cluster(quarter_rows, solver="library", partitions=4).collect()}
     keys = schema.QUARTER_KEYS
     placed = checkpoint(quarter_rows.repartition(4, *keys).sortWithinPartitions(*keys))
     names = {"hospital": "hospital_index", "insurance_provider": "insurance_index"}
@@ -311,6 +533,98 @@ def test_averages_equal_decimal_averages(spark):
     assert as_text(ours, "avg_bill_amount") == as_text(quarter, "mean")
 
 
+@pytest.fixture(scope="module")
+def feature_table(quarter_rows):
+    return materialise(segmentation.feature_rows(quarter_rows), "features")
+
+
+@pytest.mark.parametrize("scale", (False, True))
+def test_rounds_do_not_depend_on_partitions(spark, feature_table, scale):
+    fits, scores = [], []
+    for parts in (2, 16, 64):
+        placed = materialise(feature_table.repartition(parts).sortWithinPartitions(F.rand(parts)), "placed")
+        fits.append(lloyd.fit(placed, scale=scale))
+        scores.append({tuple(r) for r in lloyd.score(fits[-1], placed).collect()})
+    assert fits[0] == fits[1] == fits[2] and scores[0] == scores[1] == scores[2]
+    assert len(fits[0].points) == 9 and list(fits[0].points) == sorted(fits[0].points)
+
+
+def test_rounds_cost_no_more_than_the_library(spark, feature_table):
+    ours = lloyd.cost(lloyd.fit(feature_table), feature_table)
+    vectors = segment.features(feature_table).select("features")
+    theirs = min(KMeans(k=9, seed=seed).fit(vectors).summary.trainingCost for seed in (42, 1))
+    assert ours <= 1.02 * theirs
+
+
+def test_rounds_with_few_rows(spark, feature_table):
+    few = feature_table.orderBy(*schema.QUARTER_KEYS).limit(3)
+    assert len(lloyd.fit(few).points) <= 3 and lloyd.score(lloyd.fit(few), few).count() == 3
+    same = feature_table.withColumns({name: F.lit(1.0) for name in lloyd.FEATURES})
+    for scale in (False, True):
+        assert len(lloyd.fit(same, scale=scale).points) == 1
+    assert lloyd.fit(feature_table.limit(0)).points == ()
+    with pytest.raises(ValueError, match="missing"):
+        lloyd.fit(feature_table.withColumn("hospital_index", F.lit(None).cast("double")))
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(40_000).select(
+        (F.col("id") % 7).alias("part"), (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100).cast("decimal(18,2)").alias("amount")
+    )
+    stored = materialise(sketches.quantile_sketches(rows.unionByName(rows.select("part", F.lit(None).alias("amount"))), "amount", ["part"]), "s")
+    assert stored.count() == 7 and stored.agg(F.sum("amounts")).first()[0] == 40_000
+    probabilities = (0.01, 0.2, 0.5, 0.99)
+    edges = sketches.merged_edges(stored, probabilities).first().edges
+    for probability, edge in zip(probabilities, edges, strict=True):
+        assert abs(rows.filter(F.col("amount") <= edge).count() / 40_000 - probability) <= 0.01
+    assert sketches.merged_edges(stored.limit(0)).first().edges is None
+
+
+@pytest.mark.parametrize("with_year", (False, True))
+def test_only_touched_quarters_are_read(spark, tables, folder, with_year):
+    """Two loads with a refresh after each make what one from scratch does, from files of touched quarters."""
+    bills, how = make_bills(spark), dict(with_year=with_year)
+    early, table = bills.filter("discharge_date < '2021-02-01'"), f"{folder}/quarters"
+    ingest.ingest(spark, early, *tables, "r1", default_start=None)
+    everything = {(q, y) if with_year else (q,) for q in (1, 2, 3, 4) for y in (2020,)} | ({(1, 2021)} if with_year else set())
+    assert quarters.refresh(spark, tables[0], table, **how) == everything
+    assert quarters.refresh(spark, tables[0], table, **how) == set()
+    first = versions.current(spark, table).folders
+    ingest.ingest(spark, bills.filter("discharge_date < '2021-06-01'"), *tables, "r2")
+    due = quarters._rows_of(read_admissions(spark, tables[0]), {(1, 2021), (2, 2021)} if with_year else {(1,), (2,)}, with_year)
+    plan = due._jdf.queryExecution().executedPlan().toString()
+    assert "quarter(discharge_month" in plan.split("PartitionFilters: [")[1].split("]")[0]  # other months' files stay closed
+    junk = [path for path in Path(tables[0]).glob("**/*.parquet") if "discharge_month=2020-07-01" in str(path) and "=loaded" in str(path)]
+    saved = {path: path.read_bytes() for path in junk}
+    for path in junk:
+        path.write_bytes(b"not a table")
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    assert quarters.refresh(spark, tables[0], table, **how) == ({(1, 2021), (2, 2021)} if with_year else {(1,), (2,)})
+    assert junk and all(path.read_bytes() == b"not a table" for path in junk)
+    for path, data in saved.items():
+        path.write_bytes(data)
+    now = versions.current(spark, table).folders
+    kept = {"quarter=3", "quarter=4"} | ({"quarter=2"} if with_year else set())
+    assert {path for path in first if path.split("/")[1] in kept} <= set(now)
+    scratch = quarters.refresh(spark, tables[0], f"{folder}/scratch", **how)
+    assert len(scratch) == len(now)
+    assert rows_of(quarters.read_quarters(spark, table)) == rows_of(quarters.read_quarters(spark, f"{folder}/scratch"))
+    labelled = [segmentation.segment_stored(spark, tables[0], t, exact=True, k=4, **how) for t in (table, f"{folder}/scratch")]
+    assert rows_of(labelled[0]) == rows_of(labelled[1])
+    quarters.refresh(spark, tables[0], table, method="weighted", **how)
+    assert versions.current(spark, table).notes["how"]["method"] == "weighted"
+
+
+def test_a_load_made_anew_touches_its_quarters(spark, tables, folder):
+    bills, table = make_bills(spark), f"{folder}/quarters"
+    ingest.ingest(spark, bills, *tables, "r1", default_start=None)
+    quarters.refresh(spark, tables[0], table)
+    summer = bills.filter("quarter(discharge_date) = 3")
+    ingest.ingest(spark, summer, tables[0], f"{folder}/other", "r2", default_start=None)
+    assert quarters.refresh(spark, tables[0], table) == {(1,), (2,), (3,), (4,)}
+    assert {r.quarter for r in quarters.read_quarters(spark, table).collect()} == {3}
+
+
 def test_scaled_features(spark, quarter_rows):
     scored = segmentation.cluster(quarter_rows, k=4, scale=True)
     assert scored.count() == quarter_rows.count()
@@ -340,10 +654,10 @@ def test_rebuild_waits_for_the_load_and_the_quarter(spark, tables, folder):
     assert run(1, date(2022, 1, 5)) is None
     ingest.ingest(spark, make_bills(spark), *tables, "r1", default_start=None)
     rows = run(2, date(2022, 1, 5))
-    assert rows and spark.read.parquet(segments).count() == rows
+    assert rows and read_table(spark, segments).count() == rows
     assert run(3, date(2022, 3, 5), only_when_due=True) is None
     assert run(4, date(2022, 4, 5), only_when_due=True) == rows
-    assert spark.read.parquet(segments).count() == rows
+    assert read_table(spark, segments).count() == rows
     # The date of a segment run is no loaded date.
     assert ingest.ingest(spark, make_bills(spark, years=(2021, 2022)), *tables, "r2").loaded > 0
 
@@ -356,7 +670,7 @@ def test_reports(spark, tables, folder):
     segmentation.rebuild_segments(spark, *tables, f"{folder}/segments", "s1", date(2022, 1, 5), k=4)
     done = report.publish_reports(spark, tables[0], f"{folder}/segments", tables[1], out)
     assert done["admissions"] == read_admissions(spark, tables[0]).count() and done["runs"] == 4
-    shown = spark.read.option("header", True).csv(f"{out}/segments")
+    shown = read_published(spark, f"{out}/segments")
     assert shown.columns == [
         "Medical Condition",
         "Hospital",
@@ -431,7 +745,7 @@ def test_stream_runs_are_recorded(spark, tables, folder):
     last = expected_rows(bills)[0].agg(F.max("discharge_date")).first()[0]
     events = {row.id: row for row in open_ledger(spark, tables[1]).collect()}
     assert events["r1-0002"].last_loaded == last and events["r1-0002"].message == "1 batches"
-    assert segment_days("s1") == spark.read.parquet(f"{folder}/segments").count() > 0
+    assert segment_days("s1") == read_table(spark, f"{folder}/segments").count() > 0
     published = report.publish_reports(
         spark, increments.read_accepted(spark, home), f"{folder}/segments", tables[1], f"{folder}/reports"
     )
