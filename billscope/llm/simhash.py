@@ -21,20 +21,26 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyarrow import parquet as pq
+from pyarrow.fs import FileType
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.components import components
-from billscope.llm.frames import free_name, texts_of
+from billscope.llm.frames import texts_of
 from billscope.llm.groups import roots, runs
-from billscope.work import materialise
+from billscope.llm.shared import place as shared_place
+from billscope.llm.shared import qualified
+from billscope.work import materialise, new_path
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 BLOCKS = 5
 TILE = 2048
 SMALL = 32  # groups up to this size are compared many at a time
 CHUNK = 500_000  # shingles whose bits are counted at once
+SIDE_ROWS = 1_000_000  # documents whose dropped rows share a side file
 
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -207,22 +213,71 @@ def _linked(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(components(links(nodes, radius)).select(F.col("node").alias("fp"), "root"), "fp")
 
 
+def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """The documents with a number for the file and the place in it that each row is read from.
+
+    Stored Parquet tables have both; other frames are stored first.
+    """
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta["row_index"])
+    except AnalysisException:
+        docs = materialise(docs, "documents")
+        meta = docs.metadataColumn("_metadata")
+    return docs, F.xxhash64(meta["file_path"]), meta["row_index"]
+
+
 def deduplicate(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One document of each component with all its columns: the first row by id, null last.
 
-    Each row gets a key, written once with its fingerprint, so rows are told apart whether they share an id or have
-    none, and ids don't decide what is a duplicate.
+    Rows are told apart by their file and place, whether they share an id or have none, and ids don't decide what is a
+    duplicate. Texts are read and never shuffled: the places of the rows to drop are written down, sorted by file, and
+    the task that reads a file looks its own ones up.
     """
-    fp, row = free_name(docs, "own_fp"), free_name(docs, "own_row")
+    docs, file, place = located(docs)
     print_of = fingerprint_of(F.col(f"`{text_col}`").cast("string"), shingle)
-    keyed = materialise(docs.withColumns({fp: print_of, row: F.monotonically_increasing_id()}), "keyed")
-    own_id = F.col(f"`{id_col}`").cast("long")
-    place = F.struct(own_id.isNull().alias("no_id"), own_id.alias("id"), F.col(row).alias("row"))
-    nodes = materialise(keyed.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("first")), "nodes")
+    own_id = F.col(f"`{id_col}`").cast("long").alias("id")
+    prints = materialise(docs.select(print_of.alias("fp"), own_id, file.alias("file"), place.alias("place")), "fingerprints")
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "place")
+    nodes = materialise(prints.groupBy("fp").agg(F.min(row).alias("first")), "nodes")
     linked = _linked(nodes, radius).select("fp", "root")
     root = F.coalesce("root", "fp").alias("root")
     kept = nodes.join(linked, "fp", "left").groupBy(root).agg(F.min("first").alias("first"))
-    kept = materialise(kept.select(F.col("first.row").alias(row)), "kept")
-    return keyed.join(kept, row, "left_semi").drop(fp, row)
+    kept = materialise(kept.select("first.file", "first.place"), "kept")
+    dropped = prints.select("file", "place").join(kept, ["file", "place"], "left_anti")
+    return docs.where(~_among(docs.sparkSession, dropped, prints.count(), file, place))
+
+
+def _among(spark: SparkSession, rows: DataFrame, most: int, file: Column, place: Column) -> Column:
+    """Whether a row is among ``rows`` (file, place), which are written as side files of about ``SIDE_ROWS`` at most."""
+    path = qualified(spark, new_path(spark, "dropped"))
+    sides = -(-most // SIDE_ROWS) or 1
+    side = F.pmod("file", F.lit(sides)).cast("int")
+    dealt = rows.withColumn("side", side).repartition(sides, "side").sortWithinPartitions("side", "file", "place")
+    dealt.write.partitionBy("side").parquet(path)
+
+    @F.arrow_udf(T.BooleanType())
+    def found(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, known = None, np.zeros(0, np.int64)
+        for files, places in batches:
+            own, at = files.to_numpy(), places.to_numpy()
+            hit = np.zeros(len(own), bool)
+            for number in np.unique(own).tolist():
+                if number != last:
+                    last, known = number, _side_rows(f"{path}/side={number % sides}", number)
+                mine = own == number
+                hit[mine] = np.isin(at[mine], known)
+            yield pa.array(hit)
+
+    return found(file, place)
+
+
+def _side_rows(folder: str, number: int) -> np.ndarray:
+    """Places of one file; only the parts of a side file that may hold them are read."""
+    store, path = shared_place(folder)
+    if store.get_file_info(path).type == FileType.NotFound:
+        return np.zeros(0, np.int64)
+    table = pq.read_table(path, filesystem=store, columns=["place"], filters=[("file", "=", number)], partitioning=None)
+    return table["place"].to_numpy()
