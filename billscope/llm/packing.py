@@ -3,10 +3,12 @@
 Every task cuts its documents into pieces and packs them best fit, longest first. Bins that are nearly full
 leave at once; underfull bins become the items of the next round, where fewer tasks, each fed by many of the
 earlier ones, pack them again. Rounds end when one task held all that was left or a round joined next to
-nothing. A task never holds more than ``TASK_ITEMS`` pieces or bins, whatever their lengths.
+nothing. A task of a round is dealt about ``TASK_ITEMS`` pieces, or with ids ``TASK_ITEMS_WITH_IDS``, whatever their
+lengths; pieces of one bin stay together.
 
 Nulls: a null text is empty; a null id stays null. An empty document is one piece, its end id. Repeated rows
-are packed as often as they occur. An empty table gives no rows. Other columns are ignored.
+are packed as often as they occur. Pieces of equal length are packed in the order they come, equally full bins taken
+last first. Very long texts are cut like others. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from billscope.work import materialise
 
 CAPACITY = 2048
 END_ID = 0
-TASK_ITEMS = 200_000
+TASK_ITEMS, TASK_ITEMS_WITH_IDS = 200_000, 4_000
 #: A bin that lacks at most this share of the capacity leaves.
 NEARLY_FULL = 1 / 128
 #: A round has to lower the number of open bins by this share, or it was the last.
@@ -87,7 +89,9 @@ def _packed(own: dict[str, np.ndarray], capacity: int, first: int) -> tuple[np.n
     return first + bins, offsets, is_open[bins]
 
 
-def _cut_and_pack(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, end_id: int, with_ids: bool):
+def _cut_and_pack(
+    batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: int, end_id: int, with_ids: bool, escape: bool, items: int
+) -> Iterator[pa.RecordBatch]:
     end, width = np.uint32(end_id).tobytes(), 4 * capacity
     first, rows = _first_id(0), []
 
@@ -102,13 +106,13 @@ def _cut_and_pack(batches: Iterator[pa.RecordBatch], tokenizer: str, capacity: i
             arrays, names = [*arrays, pa.array(columns[5], pa.binary())], [*names, "ids"]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    for (doc_id, _), ids in tokens.encoded(chain.from_iterable(map(rows_of, batches)), tokenizer, 1):
+    for (doc_id, _), ids in tokens.encoded(chain.from_iterable(map(rows_of, batches)), tokenizer, 1, escape=escape):
         ids += end
         for piece, at in enumerate(range(0, len(ids), width)):
             own = ids[at : at + width]
             row = (doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own))
             rows.append((*row, own) if with_ids else row)
-        if len(rows) >= TASK_ITEMS or with_ids and len(rows) >= TASK_ITEMS // 50:
+        if len(rows) >= items:
             yield packed(first)
             first, rows = first + len(rows), []
     if rows:
@@ -142,21 +146,25 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    escape: bool = False,
 ) -> DataFrame:
     """One row per piece of a document with its sequence and its place there.
 
     Documents of more than ``capacity`` ids are cut into pieces of that length, the last of them shorter.
-    ``with_ids`` adds the ids of each piece as bytes, which ``sequences`` joins.
+    ``with_ids`` adds the ids of each piece as bytes, which ``sequences`` joins. With ``escape`` special-token strings
+    inside texts are ordinary text.
     """
-    schema = SCHEMA + (", ids binary" if with_ids else "")
-    cut = partial(_cut_and_pack, tokenizer=tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids)
+    schema, items = SCHEMA + (", ids binary" if with_ids else ""), TASK_ITEMS_WITH_IDS if with_ids else TASK_ITEMS
+    cut = partial(
+        _cut_and_pack, tokenizer=tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids, escape=escape, items=items
+    )
     packed = materialise(id_and_text(docs, id_col, text_col).mapInArrow(cut, schema), "pieces")
     done, level = packed.where(~F.col("open")), 0
     waiting = packed.where("open")
     bins = waiting.where(F.col("offset") == 0).count()
     while bins:
         level += 1
-        tasks = math.ceil(bins / TASK_ITEMS)
+        tasks = math.ceil(waiting.count() / items)
         again = partial(_pack_again, capacity=capacity, level=level)
         dealt = waiting.repartition(tasks, F.xxhash64("sequence_id", F.lit(level)))
         packed = materialise(dealt.mapInArrow(again, schema), "repacked")

@@ -21,13 +21,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from billscope.llm import tokens
 from billscope.llm.frames import id_and_text, rows_of
+from billscope.llm.shared import place, qualified
 
 BLOCK = 16_384
 MAGIC = b"IDBLOCK1"
@@ -55,15 +55,11 @@ def unpack_bits(data: bytes, count: int, bits: int) -> np.ndarray:
     return (planes.reshape(count, bits) * weights).sum(1, dtype=np.uint32)
 
 
-def _place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 class Writer:
     """Writes one file; documents come whole, ids leave in blocks."""
 
     def __init__(self, path: str, bits: int):
-        self.store, self.path = _place(path)
+        self.store, self.path = place(path)
         self.draft = f"{self.path}.{uuid.uuid4().hex}"
         self.out, self.bits = self.store.open_output_stream(self.draft), bits
         self.out.write(MAGIC)
@@ -106,7 +102,7 @@ class Reader:
     """One file: its documents, and any range of its ids."""
 
     def __init__(self, path: str):
-        store, own = _place(path)
+        store, own = place(path)
         self.file = store.open_input_file(own)
         end = self.file.size() - TRAILER.size
         self.bits, self.block, self.count, documents, index, magic = TRAILER.unpack(self._read(end, TRAILER.size))
@@ -151,11 +147,12 @@ class Reader:
             number = last
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int, bits: int):
+def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int, bits: int, escape: bool):
     shard = TaskContext.get().partitionId()
     path, writer = f"{folder}/part-{shard:06d}.ids", None
     end = np.uint32(end_id).tobytes()
-    for (doc_id, _), ids in tokens.encoded(chain.from_iterable(map(rows_of, batches)), tokenizer, 1, remember=True):
+    rows = chain.from_iterable(map(rows_of, batches))
+    for (doc_id, _), ids in tokens.encoded(rows, tokenizer, 1, remember=True, escape=escape):
         writer = writer or Writer(path, bits)
         writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
     if writer:
@@ -171,18 +168,21 @@ def write(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    escape: bool = False,
 ) -> DataFrame:
     """Write the ids of all documents to files in ``folder``, in ascending id order over all files.
 
-    Returns one row a file (shard, path, documents, ids), which is stored beside the files.
+    Returns one row a file (shard, path, documents, ids), which is stored beside the files. With ``escape``
+    special-token strings inside texts are ordinary text.
     """
     spark = docs.sparkSession
-    store, own = _place(folder)
+    folder = qualified(spark, folder)
+    store, own = place(folder)
     store.create_dir(f"{own}/data")
     bits = bits_for(max(tokens.encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1))
     dealt = id_and_text(docs, id_col, text_col, F.monotonically_increasing_id().alias("row"))
     dealt = dealt.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
-    job = partial(_write, folder=f"{folder}/data", tokenizer=tokenizer, end_id=end_id, bits=bits)
+    job = partial(_write, folder=f"{folder}/data", tokenizer=tokenizer, end_id=end_id, bits=bits, escape=escape)
     files = dealt.mapInArrow(job, "shard int, path string, documents long, ids long")
     files.write.parquet(f"{folder}/files")
     return listing(spark, folder)

@@ -86,14 +86,24 @@ def part_text(part: bytes) -> str:
 
 
 class Encoder:
-    """Encodes texts with one tokenizer file; keep one per Python worker."""
+    """Encodes texts with one tokenizer file; keep one per Python worker.
 
-    def __init__(self, name: str):
+    Special-token strings inside texts get their own ids, as the library's call gives them; with ``escape`` they are
+    ordinary text.
+    """
+
+    def __init__(self, name: str, escape: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(location(name))
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = escape
+        added = {} if escape else self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special for t in added.values()):
+            raise ValueError(f"{name} has added tokens that aren't plain strings")
+        self.special = {token.content.encode(): array("I", [number]).tobytes() for number, token in added.items()}
+        longest = sorted(self.special, key=len, reverse=True)
+        self.special_at = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
         drops_space = os.path.basename(name) == WORDS
         self.parts, self.text = (word_parts, bytes.decode) if drops_space else (spaced_parts, part_text)
         self.lowers, self.lead = drops_space, "" if drops_space else chr(LETTERS[32])
@@ -119,6 +129,14 @@ class Encoder:
         return ids + [token.id for token in self.merge(marks)] if marks else ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; the library takes what lies between special tokens as texts of their own."""
+        if self.special_at is None or not any(map(self.special_at.search, texts)):
+            return self._encode(texts)
+        pieces = [self.special_at.split(text) for text in texts]
+        plain = iter(self._encode([piece for own in pieces for piece in own[::2]]))
+        return [b"".join(self.special[p] if k % 2 else next(plain) for k, p in enumerate(own)) for own in pieces]
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [self.parts(text) for text in texts]
         distinct = self._learn(set().union(*parts))
         if not self.lowers and not self.unsafe.isdisjoint(distinct):
@@ -159,25 +177,26 @@ class Encoder:
         return distinct
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(name: str) -> Encoder:
+def encoder(name: str, escape: bool = False) -> Encoder:
     """The worker's encoder for this file."""
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+    if (name, escape) not in _encoders:
+        _encoders[name, escape] = Encoder(name, escape)
+    return _encoders[name, escape]
 
 
 def encoded(
-    rows: Iterable[tuple], name: str, text_at: int, remember: bool = False
+    rows: Iterable[tuple], name: str, text_at: int, remember: bool = False, escape: bool = False
 ) -> Iterator[tuple[tuple, bytes]]:
     """Each row with the ids of its text (None: empty), some megabytes of text at a time.
 
     ``remember`` keeps the words for the worker's next task, as many as ``MOST_PARTS`` allows.
     """
     own, size = [], 0
-    encode = encoder(name).encode
+    own_encoder = encoder(name, escape)
+    encode = own_encoder.encode
     for row in rows:
         own.append(row)
         size += len(row[text_at] or b"")
@@ -187,4 +206,4 @@ def encoded(
     if own:
         yield from zip(own, encode([r[text_at] or b"" for r in own]), strict=True)
     if not remember:
-        encoder(name).forget()
+        own_encoder.forget()
