@@ -7,8 +7,9 @@ one of its own. Every later window repeats the system turn and the turns that fi
 tokens before it. Only assistant turns that aren't repeated are under the loss mask, so each is once.
 
 Only a turn of more than ``span`` tokens makes a window exceed the budget, as turns stay whole, or a system turn
-of more than three quarters of the budget less the history. A turn's tokens are given as a column or estimated
-as a quarter of its bytes and ``MARKS`` for its marks.
+of more than three quarters of the budget less the history; such windows are marked. A turn's tokens are given as a
+column, marks included, or taken as the bytes of the written turn: a byte-level vocabulary never needs more, whatever
+the script, so no unmarked window is longer than the budget.
 
 Template: ``<s>`` role ``[INST]`` text ``</s>``; ``[/INST]`` in place of ``[INST]`` before a target, ``[CTX]``
 after ``<s>`` of a repeated turn. Inside roles and texts a backslash is doubled, and one is put into each control
@@ -29,11 +30,13 @@ from pyspark.sql import functions as F
 
 from billscope.work import materialise
 
-BUDGET, HISTORY, MARKS = 1024, 128, 4
+BUDGET, HISTORY = 4096, 512
 NO_ID = -(1 << 63)
 # The template's control strings.
 BEGIN, END, PROMPT, TARGET, REPEATED = "<s>", "</s>", "[INST]", "[/INST]", "[CTX]"
 CONTROL = (BEGIN, END, PROMPT, TARGET, REPEATED)
+#: Most bytes that the template adds to a turn.
+MARKS = len(BEGIN + REPEATED + TARGET + END)
 
 
 def escape(text: Column) -> Column:
@@ -50,14 +53,14 @@ def unescape(text: Column) -> Column:
 
 def _turns(chats: DataFrame, tokens: Column | None) -> DataFrame:
     """Turns with their place in the conversation and the tokens before them, system turn at the head aside."""
-    estimate = F.ceil(F.octet_length("text") / 4) + MARKS
+    written = F.octet_length(escape(F.col("role"))) + F.octet_length(escape(F.col("text"))) + MARKS
     rows = chats.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("conv"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         (F.lit(None) if tokens is None else tokens).cast("long").alias("given"),
-    ).withColumn("tokens", F.greatest(F.coalesce("given", estimate), F.lit(1)).cast("long"))
+    ).withColumn("tokens", F.greatest(F.coalesce("given", written), F.lit(1)).cast("long"))
     rows = rows.drop("given").withColumn("text_key", F.xxhash64("text"))
     # The row's number keeps many equal rows from being one range.
     dealt = rows.withColumn("row", F.monotonically_increasing_id())
@@ -122,9 +125,9 @@ def windows(chats: DataFrame, budget: int = BUDGET, history: int = HISTORY, toke
     )
     systems = turns.where("head").drop("band", "window").join(own.where("first_place > 0"), "conv")
     no, yes = F.lit(False), F.lit(True)
-    columns = "conv", "window", "size"
-    told = turns.select(*columns, _written(no).alias("turn"))
-    told = told.unionByName(near.select(*columns, _written(yes).alias("turn")))
+    size = F.when(F.col("head"), F.col("system_tokens")).otherwise(F.col("size")).alias("size")
+    told = turns.select("conv", "window", size, _written(no).alias("turn"))
+    told = told.unionByName(near.select("conv", "window", "size", _written(yes).alias("turn")))
     told = told.unionByName(systems.select("conv", "window", F.col("system_tokens").alias("size"), _written(yes).alias("turn")))
     grouped = told.groupBy("conv", "window").agg(
         F.array_sort(F.collect_list("turn")).alias("turns"), F.sum("size").alias("tokens")

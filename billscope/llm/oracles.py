@@ -52,7 +52,7 @@ WITH chat AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), counted AS (
-  SELECT *, greatest(CAST(ceil(strlen(text) / 4) AS BIGINT) + 4, 1) AS tokens,
+  SELECT *, strlen(ESC_ROLE) + strlen(ESC_TEXT) + 19 AS tokens,
     length(ESC_ROLE) + length(ESC_TEXT) + 7 AS chars,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
   FROM chat
@@ -61,7 +61,7 @@ WITH chat AS (
     max(CASE WHEN place = 0 THEN chars END) OVER (PARTITION BY conv_id) AS head_chars
   FROM counted
 ), sized AS (
-  SELECT *, place = 0 AND head_tokens > 0 AS head, greatest(1024 - 128 - head_tokens, 256) AS span,
+  SELECT *, place = 0 AND head_tokens > 0 AS head, greatest(4096 - 512 - head_tokens, 1024) AS span,
     CASE WHEN place = 0 AND head_tokens > 0 THEN 0 ELSE tokens END AS size
   FROM headed
 ), started AS (
@@ -76,7 +76,7 @@ WITH chat AS (
 ), again AS (
   SELECT part.conv_id, sum(chars + 5 + 6) AS chars
   FROM part JOIN placed USING (conv_id)
-  WHERE NOT head AND size <= 128 AND place < first_place AND opens - start <= 128 GROUP BY part.conv_id
+  WHERE NOT head AND size <= 512 AND place < first_place AND opens - start <= 512 GROUP BY part.conv_id
 ), again_head AS (
   SELECT conv_id, sum(head_chars + 5 + 6) AS chars FROM part WHERE first_place > 0 AND head_tokens > 0 GROUP BY conv_id
 ), own AS (
