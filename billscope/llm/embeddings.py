@@ -1,11 +1,16 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products inside them.
 
 Vectors are compared only within one label and one length. Equal unit vectors are one node. Centres are fitted to
-a bounded sample; every node is at home in the cell of its nearest centre and visits every cell in which a
-vector within the threshold can be at home: with ``t`` the angle of the threshold, x can only have such a
-neighbour at home in cell c if ``x . (home - c) <= sin(t) * |home - c|``. So every node finds all its neighbours
-in its own cell, whatever the centres are. Cells are cut into tiles, and a task multiplies one tile of nodes at
-home with one tile of nodes of the cell: first in single precision, then, near the threshold, in double.
+a bounded sample; every node is at home in the cell of its nearest centre and visits the ``visits`` cells of its
+nearest centres, its home among them, except those in which no vector within the threshold can be at home: with ``t``
+the angle of the threshold, x can only have such a neighbour at home in cell c if
+``x . (home - c) <= sin(t) * |home - c|``. So the work grows with the vectors, and nearly all links are found (README
+has the measured recall); with ``visits=None`` a node visits every cell that may hold a neighbour and no link is lost,
+which on vectors without clusters is nearly every cell. A node asks the nodes that visit its home: a link that only one
+of the two finds counts for that one, and joins both. Cells are cut into tiles, and a task multiplies one tile of nodes
+at home with one tile of nodes of the cell: first in single precision, then, near the threshold, in double.
+
+Nodes are told apart by a 64-bit hash of label and unit vector.
 
 Vectors that are null, empty or zero, or hold a null or a number that isn't finite, and vectors without a label,
 link with nothing. Rows with the same vector and label link with each other, also where they share an id or
@@ -29,9 +34,10 @@ from billscope.llm.groups import roots, runs
 from billscope.work import materialise
 
 THRESHOLD = 0.93
-SAMPLE = 20_000  # vectors, at most, to which centres are fitted
-CELL = 4_000  # nodes a cell is meant to have
-MOST_CENTRES = 1_024
+SAMPLE, SAMPLE_BYTES = 20_000, 64_000_000  # vectors, and bytes of them, at most, to which centres are fitted
+CELL = 1_000  # nodes a cell is meant to have
+MOST_CENTRES = 4_096  # beyond as many cells they grow with the data
+VISITS = 4
 STEPS = 8
 TILE = 2_048
 SLACK = 1e-4  # by which single precision may err
@@ -69,8 +75,10 @@ def fit(units: np.ndarray, count: int, seed: int = 5) -> np.ndarray:
     return centres
 
 
-def _cells(batches: Iterator[pa.RecordBatch], centres: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Each node once for its own cell and once for every cell where a neighbour may be at home."""
+def _cells(
+    batches: Iterator[pa.RecordBatch], centres: np.ndarray, threshold: float, most: int | None
+) -> Iterator[pa.RecordBatch]:
+    """Each node once for its own cell and once for each of the ``most`` nearest where a neighbour may be at home."""
     apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
     reach = math.sqrt(max(0.0, 1 - threshold * threshold)) * apart + 1e-9
     for whole in batches:
@@ -87,6 +95,9 @@ def _cells(batches: Iterator[pa.RecordBatch], centres: np.ndarray, threshold: fl
                 own = near.argmax(1)
                 lead = near[np.arange(len(fits)), own][:, None] - near
                 visits = lead <= reach[own]
+                if most is not None and most < len(centres):
+                    last = np.partition(lead, most - 1, axis=1)[:, most - 1 : most]
+                    visits &= lead <= last
                 which, where = np.nonzero(visits)
                 row.append(fits[which])
                 cell.append(where)
@@ -158,10 +169,11 @@ def groups(
     sample: int = SAMPLE,
     cell: int = CELL,
     tile: int = TILE,
+    visits: int | None = VISITS,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (smallest id it reaches, its own included), kept."""
-    if not 0 < threshold < 1:
-        raise ValueError("the threshold lies between 0 and 1")
+    if not 0 < threshold < 1 or visits is not None and visits < 1:
+        raise ValueError("the threshold lies between 0 and 1, and there is a visit at least")
     rows = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"),
         F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
@@ -174,22 +186,23 @@ def groups(
     grouped = units.where("unit is not null").groupBy("node", "label", "size", "unit")
     nodes = grouped.agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = materialise(nodes.select("node", "copies", "label", "size", "unit", "first"), "nodes")
-    return _named(units, nodes, _linked(nodes, threshold, sample, cell, tile))
+    return _named(units, nodes, _linked(nodes, threshold, sample, cell, tile, visits))
 
 
-def _linked(nodes: DataFrame, threshold: float, sample: int, cell: int, tile: int) -> DataFrame:
+def _linked(nodes: DataFrame, threshold: float, sample: int, cell: int, tile: int, visits: int | None) -> DataFrame:
     """(a, b, links): links of node ``a`` found in a pair of tiles, and a node ``b`` it is connected with."""
     sizes = nodes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
     centres = np.empty((0, 1))
     if sizes:
-        share = int(1_000_000 * min(1.0, sample / sizes["count"]))
+        sample = max(1, min(sample, SAMPLE_BYTES // (8 * sizes["size"])))
+        share = math.ceil(1_000_000 * min(1.0, 2 * sample / sizes["count"]))
         chosen = nodes.where((F.col("size") == sizes["size"]) & (F.pmod("node", F.lit(1_000_000)) < share))
         chosen = [bytes(row[0]) for row in chosen.select("unit", "node").orderBy("node").limit(sample).collect()]
         if chosen:
             units = np.frombuffer(b"".join(chosen), "<f8").reshape(len(chosen), -1)
             centres = fit(units, max(1, min(MOST_CENTRES, math.ceil(sizes["count"] / cell))))
     schema = "node long, copies long, label string, size int, unit binary, cell int, home boolean"
-    placed = nodes.drop("first").mapInArrow(partial(_cells, centres=centres, threshold=threshold), schema)
+    placed = nodes.drop("first").mapInArrow(partial(_cells, centres=centres, threshold=threshold, most=visits), schema)
     key = F.xxhash64("label", "size", "cell").alias("key")
     placed = materialise(placed.select(key, "node", "copies", "home", "unit"), "cells")
     found = _tiled(placed, tile).mapInArrow(partial(_neighbours, threshold=threshold), "a long, b long, links long")
