@@ -1,10 +1,10 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted in Spark.
 
 Tasks hash every window of ``WINDOW`` consecutive words by a rolling polynomial modulo 2^64. A window that also
-occurs earlier within the same chunk of documents is a repeat already; every other one goes, by its hash, to a
-bucket, where equal hashes of all chunks meet and all but the first are repeats. So a bucket sees a window at
-most once a chunk, however many documents hold it. Windows travel as sorted, compressed arrays, a few
-bytes each. The repeats of a document come back to it and merge into maximal intervals, which are removed.
+occurs earlier within the same chunk of documents is a repeat already and goes straight to its document; every other
+one goes, by its hash, to a bucket, where equal hashes of all chunks meet and all but the first are repeats. So a
+bucket sees a window at most once a chunk, however many documents hold it. Windows travel as sorted, compressed
+arrays, a few bytes each. The repeats of a document come back to it and merge into maximal intervals, which are removed.
 
 The order of documents is by id, null first, and within rows of one id by two 64-bit hashes of the text, which
 travel only where several texts share an id; rows with the same id and text are one document, and each gets its answer. Null and empty texts have no words; shorter texts than
@@ -119,7 +119,14 @@ def _first_of(hashes: np.ndarray, checks: np.ndarray, owners: np.ndarray, starts
     return order, new, same
 
 
-def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _target_of(docs: list[np.ndarray], targets: int) -> np.ndarray:
+    """The target that gathers a document's repeats, by a hash of its key."""
+    mixed = (docs[0].view(np.uint64) ^ docs[1].view(np.uint64)) * np.uint64(BASE)
+    return ((mixed >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int64)
+
+
+def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int, targets: int) -> Iterator[pa.RecordBatch]:
+    """Windows by bucket; the chunk's own repeats by their documents' targets, numbered after the buckets."""
     known = _Words()
     docs, parts, lengths, held = [], [], [], 0
 
@@ -146,11 +153,13 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
         repeat[several[order[~same]]] = True
         dropped = np.zeros(len(hashes), bool)
         dropped[several[order[~new]]] = True
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.min_scalar_type(buckets))
+        kind = np.min_scalar_type(buckets + targets)
+        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(kind)
+        bucket[repeat] = (buckets + _target_of(own_docs, targets))[owners[repeat]].astype(kind)
         # In order of place within a bucket, owners and starts take the least room.
         sent, repeats = (some[np.argsort(bucket[some], kind="stable")] for some in map(np.flatnonzero, (~dropped, repeat)))
-        cuts = np.searchsorted(bucket[sent], np.arange(buckets + 1))
-        repeat_cuts = np.searchsorted(bucket[repeats], np.arange(buckets + 1))
+        cuts = np.searchsorted(bucket[sent], np.arange(buckets + targets + 1))
+        repeat_cuts = np.searchsorted(bucket[repeats], np.arange(buckets + targets + 1))
         place = np.zeros(len(count), np.uint32)
         rows = []
         for number in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(repeat_cuts) > 0)).tolist():
@@ -191,11 +200,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["bucket", *PARTS])
 
 
-def _repeats(table: pa.Table, targets: int) -> pa.Table:
-    """Repeated windows of a bucket: those of single chunks, and those first in their chunk only.
+def _repeats(batches: Iterator[pa.RecordBatch], targets: int) -> Iterator[pa.RecordBatch]:
+    """Repeated windows of a bucket, or those that chunks found by themselves.
 
-    Documents are dealt to ``targets`` by a hash, and a row holds the windows of all documents of a target.
+    A task holds one bucket. Documents are dealt to ``targets`` by a hash, and a row holds the windows of all documents
+    of a target.
     """
+    held = list(batches)
+    if not sum(batch.num_rows for batch in held):
+        return
+    table = pa.Table.from_batches(held)
     columns: list[list[np.ndarray]] = [[] for _ in PARTS]
     docs = 0
     for row in range(table.num_rows):
@@ -218,8 +232,7 @@ def _repeats(table: pa.Table, targets: int) -> pa.Table:
     owners = np.concatenate([owners[found], again_owners])
     starts = np.concatenate([starts[found], again_starts])
     doc, counts, starts = _by_document([part[owners] for part in doc], starts)
-    mixed = (doc[0].view(np.uint64) ^ doc[1].view(np.uint64)) * np.uint64(BASE)
-    target = ((mixed >> np.uint64(32)) * np.uint64(targets) >> np.uint64(32)).astype(np.int64)
+    target = _target_of(doc, targets)
     window_target = np.repeat(target, counts)
     docs, own = np.argsort(target, kind="stable"), np.argsort(window_target, kind="stable")
     doc_cuts, cuts = (np.searchsorted(np.sort(t), np.arange(targets + 1)) for t in (target, window_target))
@@ -228,7 +241,8 @@ def _repeats(table: pa.Table, targets: int) -> pa.Table:
         some = docs[doc_cuts[number] : doc_cuts[number + 1]]
         columns = *(part[some] for part in doc), counts[some], starts[own[cuts[number] : cuts[number + 1]]]
         rows.append((number, *(_planes(c, k) for c, k in zip(columns, FOUND_KINDS, strict=True))))
-    return pa.Table.from_pylist([dict(zip(("target", *FOUND), row, strict=True)) for row in rows], FOUND_SCHEMA)
+    found = pa.Table.from_pylist([dict(zip(("target", *FOUND), row, strict=True)) for row in rows], FOUND_SCHEMA)
+    yield from found.to_batches()
 
 
 def _by_document(docs: list[np.ndarray], starts: np.ndarray):
@@ -322,11 +336,11 @@ def repeated(
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     schema = "bucket int, " + ", ".join(f"{name} binary" for name in PARTS)
     keyed = _keyed(docs, shared, id_col, text_col, text)
-    hashed = keyed.mapInArrow(partial(_hash, window=window, buckets=buckets), schema)
-    dealt = hashed.repartition(buckets, "bucket") if buckets > 1 else hashed
     targets = max(1, math.ceil(size / TARGET_BYTES))
+    hashed = keyed.mapInArrow(partial(_hash, window=window, buckets=buckets, targets=targets), schema)
+    dealt = hashed.repartitionById(buckets + targets, "bucket")
     schema = "target int, " + ", ".join(f"{name} binary" for name in FOUND)
-    found = dealt.groupBy("bucket").applyInArrow(lambda group: _repeats(group, targets), schema)
+    found = dealt.mapInArrow(partial(_repeats, targets=targets), schema)
     keys = ", ".join(f"{name} long" for name in KEYS)
     return found.groupBy("target").applyInArrow(_gather, f"{keys}, starts array<int>")
 
@@ -334,7 +348,11 @@ def repeated(
 def with_cut(
     docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", into: str = "cut"
 ) -> DataFrame:
-    """The documents with a struct: words, removed words, the text that is left and its sha256."""
+    """The documents with a struct: words, removed words, the text that is left and its sha256.
+
+    ``into`` gets underscores where there is such a column.
+    """
+    into = free_name(docs, into)
     shared = _shared_ids(docs, id_col, text_col)
     found = repeated(docs, window, id_col, text_col, shared)
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
