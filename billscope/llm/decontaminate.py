@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.frames import as_bytes, free_name, texts_of
+from billscope.operators.ordered import running_total
 from billscope.work import materialise
 
 WINDOW = 10
@@ -141,12 +142,22 @@ class Index:
         return edges[::2], edges[1::2], np.unique(self.items[rows[self.named[rows]]])
 
 
+_known: list = []
+
+
+def _index(broadcast) -> Index:
+    """The worker's index of a block; of the blocks before it keeps none."""
+    if not _known or _known[0] is not broadcast:
+        _known[:] = [broadcast, Index(broadcast.value)]
+    return _known[1]
+
+
 def _finder(broadcast):
     """Column function: the hits of one block of the benchmark in a text."""
 
     @F.arrow_udf(HITS)
     def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index(broadcast.value)
+        index = _index(broadcast)
         for batch in texts:
             counts, starts, ends, items = [], [], [], []
             for text in texts_of(batch):
@@ -189,18 +200,28 @@ def with_hits(
     into: str = "hits",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The documents with a struct: words, ranges of hit words (end exclusive), ids of the items found."""
-    spark = docs.sparkSession
+    """The documents with a struct: words, ranges of hit words (end exclusive), ids of the items found.
+
+    ``into`` gets underscores where the documents have such a column. The benchmark is taken in blocks of at most
+    ``block_bytes`` and a segment.
+    """
+    spark, into = docs.sparkSession, free_name(docs, into)
     items = benchmark.select(F.col(f"`{item_col}`").cast("long"), F.col(f"`{item_text_col}`").cast("string"))
-    segments = materialise(items.mapInArrow(_segments, "item long, words string"), "benchmark")
-    size = segments.agg(F.sum(F.octet_length("words") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    own = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
+    segments = items.mapInArrow(_segments, "item long, words string").distinct()
+    segments = materialise(segments.withColumn("size", F.octet_length("words") + 16), "benchmark")
+    size = segments.agg(F.sum("size")).first()[0] or 0
+    if size > block_bytes:
+        order = [F.xxhash64("item", "words").asc(), F.asc("item"), F.asc("words")]
+        segments = materialise(running_total(segments, order, F.col("size"), "up_to"), "benchmark-blocks")
+        segments = segments.withColumn("block", F.floor((F.col("up_to") - F.col("size")) / block_bytes).cast("int"))
+    else:
+        segments = segments.withColumn("block", F.lit(0))
+    blocks = math.ceil(size / block_bytes) or 1
     text = F.col(f"`{text_col}`").cast("string")
 
     def find(block: int) -> Column:
-        rows = [tuple(row) for row in segments.where(own == block).collect()]  # at most a block
-        return _finder(spark.sparkContext.broadcast(rows))(text)
+        rows = segments.where(F.col("block") == block).select("item", "words").collect()  # at most a block
+        return _finder(spark.sparkContext.broadcast([tuple(row) for row in rows]))(text)
 
     if blocks == 1:
         return docs.withColumn(into, find(0))
