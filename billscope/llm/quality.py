@@ -6,7 +6,8 @@ end early when no view has anything new to learn from. Their scores are calibrat
 of training and combined by a third, small fit there, so a view that knows nothing gets no weight. All are
 logistic regressions in numpy.
 
-The labelled ones are an expected ``LABELLED`` documents, chosen by a hash of the id. All words, beginnings of
+The labelled ones are at most ``LABELLED`` documents of ``SAMPLE_BYTES`` together, chosen by a hash of id and content;
+documents equal in both are learned from once. All words, beginnings of
 words and metadata values are features, at a place given by a hash, and those of texts count by how well they
 tell the classes apart, so none is too rare to be learned. Documents that a view was given are dealt to tasks, about ``FIT_ROWS`` each; every task fits them along with the labelled
 ones, and the view's weights are the mean of the tasks' by their documents.
@@ -27,20 +28,20 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.decontaminate import words_of
-from billscope.llm.frames import SLICE, as_bytes, texts_of
+from billscope.llm.frames import SLICE, as_bytes, free_name, texts_of
 from billscope.work import materialise
 
-LABELLED = 6_000
+LABELLED, SAMPLE_BYTES = 6_000, 256_000_000
 BEGINNING = 5
 ROUNDS, SURE = 3, 0.98
 TERM_PLACES, VALUE_PLACES = 1 << 22, 1 << 16  # places that terms and metadata values are hashed to
 FIT_ROWS = 50_000  # exchanged documents that a task fits
-MOST_TERMS = 250_000  # distinct terms whose places a worker remembers
+MOST_TERMS, REMEMBERED = 250_000, 100  # distinct terms whose places a worker remembers, and bytes of such a term
 SLICE_PLACES = 1 << 16  # weights that are averaged together
 CLEAR, POWER = 16.0, 2  # G statistic from which a place counts in full, and how fast it counts less below
 PARTS = 1_000_000
@@ -169,14 +170,16 @@ SHAPE = 10
 
 
 class _Places(dict):
-    """Places of terms by a hash, remembered."""
+    """Places of terms by a hash, remembered unless they are long."""
 
     def __missing__(self, term: bytes) -> int:
         from xxhash import xxh64_intdigest
 
-        if len(self) >= MOST_TERMS:
-            self.clear()
-        place = self[term] = SHAPE + xxh64_intdigest(term) % TERM_PLACES
+        place = SHAPE + xxh64_intdigest(term) % TERM_PLACES
+        if len(term) <= REMEMBERED:
+            if len(self) >= MOST_TERMS:
+                self.clear()
+            self[term] = place
         return place
 
 
@@ -195,8 +198,7 @@ class Views:
     def text(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         words = words_of(text)
         distinct = set(words)
-        own = terms({word for word in distinct if len(word) <= 100})
-        places = np.array([*range(SHAPE), *sorted(set(map(self.known.__getitem__, own)))], np.int32)
+        places = np.array([*range(SHAPE), *sorted(set(map(self.known.__getitem__, terms(distinct))))], np.int32)
         values = np.ones(len(places))
         values[:SHAPE] = _shape(text or b"", words, distinct)
         values[1:SHAPE] *= 4
@@ -378,13 +380,10 @@ def co_train(
 def _features(batches: Iterator[pa.RecordBatch], views: Views) -> Iterator[pa.RecordBatch]:
     """Text features of the sample as bytes."""
     for batch in batches:
-        texts, meta = as_bytes(batch.column(0)), [batch.column(n).to_pylist() for n in (1, 2, 3)]
-        own = [views.text(text) for text in texts]
-        arrays = [pa.array([places.tobytes() for places, _ in own], pa.binary())]
-        arrays.append(pa.array([values.tobytes() for _, values in own], pa.binary()))
-        arrays += [pa.array(meta[0], pa.string()), pa.array(meta[1], pa.string()), pa.array(meta[2], pa.int64())]
-        names = ["places", "values", "source", "lang", "length"]
-        yield pa.RecordBatch.from_arrays([*arrays, batch.column(4), batch.column(5)], [*names, "labels", "fold"])
+        own = [views.text(text) for text in as_bytes(batch.column(2))]
+        found = [pa.array([row[n].tobytes() for row in own], pa.binary()) for n in (0, 1)]
+        names = ["own_id", "row", "places", "values", "source", "lang", "length", "labels", "fold"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], *found, *batch.columns[3:]], names)
 
 
 def _columns(docs: DataFrame, text_col: str, source_col: str, lang_col: str, length_col: str) -> list[Column]:
@@ -409,6 +408,7 @@ def learn(
     lang_col: str = "lang",
     length_col: str = "n_chars",
     labelled: int = LABELLED,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> tuple[Views, dict[str, Model]]:
     """Views and one model for each 0/1 column of ``labels``."""
 
@@ -422,13 +422,20 @@ def learn(
     chosen = usable.where(draw < share(usable.count(), labelled)).groupBy("own_id")
     chosen = chosen.agg(F.array(*[F.min(t) for t in targets]).alias("labels"))
     all_docs = docs.select(own_id, *_columns(docs, text_col, source_col, lang_col, length_col)).where("own_id is not null")
-    # The labels joined are an expected ``labelled`` rows, whatever the tables hold.
+    # One id may be on very many rows, so rows are drawn from those of the drawn ids, and bounded by their bytes too.
+    given = all_docs.join(F.broadcast(chosen), "own_id").withColumn("row", F.xxhash64("own_id", "text", "source", "lang", "length"))
+    drawn = given.select("own_id", "row", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")).distinct()
+    drawn = materialise(drawn.orderBy("row", "own_id").limit(labelled), "labelled")
+    up_to = F.sum("bytes").over(Window.orderBy("row", "own_id"))  # at most ``labelled`` small rows
+    drawn = drawn.withColumn("up_to", up_to).where(F.col("up_to") <= sample_bytes).select("own_id", "row")
     fold = (F.pmod(F.xxhash64("own_id", F.lit("fold")), F.lit(4)) == 0).alias("fold")
-    sample = all_docs.join(F.broadcast(chosen), "own_id").select("text", "source", "lang", "length", "labels", fold)
+    columns = "own_id", "row", "text", "source", "lang", "length", "labels", fold
+    sample = given.join(F.broadcast(drawn), ["own_id", "row"], "left_semi").select(*columns)
     views = Views()
-    schema = "places binary, values binary, source string, lang string, length long, labels array<int>, fold boolean"
-    found = sample.mapInArrow(partial(_features, views=views), schema).collect()
-    found.sort(key=lambda row: (bytes(row["places"]), bytes(row["values"])))
+    schema = "own_id long, row long, places binary, values binary, source string, lang string, length long, labels array<int>, fold boolean"
+    found = sample.mapInArrow(partial(_features, views=views), schema).groupBy("own_id", "row")
+    found = found.agg(F.max(F.struct("places", "values", "source", "lang", "length", "labels", "fold")).alias("one"))
+    found = found.orderBy("row", "own_id").select("one.*").collect()
     text_rows, meta_rows = Rows(), Rows()
     for row in found:
         text_rows.add(np.frombuffer(bytes(row["places"]), np.int32), np.frombuffer(bytes(row["values"])))
@@ -441,7 +448,10 @@ def learn(
 
 
 def score(docs: DataFrame, views: Views, models: dict[str, Model], **columns: str) -> DataFrame:
-    """The documents with a struct (score, text_score, meta_score) for each target, named after it."""
+    """The documents with a struct (score, text_score, meta_score) for each target, named after it.
+
+    Further columns are kept; a struct gets underscores before its name where there is such a column.
+    """
     names = {"text_col": "text", "source_col": "source", "lang_col": "lang", "length_col": "n_chars"} | columns
     broadcast = docs.sparkSession.sparkContext.broadcast((views, models))
     kind = T.StructType([T.StructField(target, SCORES) for target in models])
@@ -457,5 +467,7 @@ def score(docs: DataFrame, views: Views, models: dict[str, Model], **columns: st
                 out.append(pa.StructArray.from_arrays(columns, names=SCORES.names))
             yield pa.StructArray.from_arrays(out, names=[*models])
 
-    scored = docs.withColumn("__scores", own.asNondeterministic()(*_columns(docs, **names)))
-    return scored.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__scores.`{t}`").alias(t) for t in models])
+    scores = free_name(docs, "scores")
+    scored = docs.withColumn(scores, own.asNondeterministic()(*_columns(docs, **names)))
+    found = [F.col(f"{scores}.`{target}`").alias(free_name(docs, target)) for target in models]
+    return scored.select(*[F.col(f"`{c}`") for c in docs.columns], *found)
