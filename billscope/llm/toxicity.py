@@ -31,7 +31,7 @@ from billscope.llm.frames import free_name, texts_of
 from billscope.work import materialise
 
 GAP = 2
-SAMPLE, SAMPLE_FEATURES = 6_000, 24_000_000
+SAMPLE, SAMPLE_FEATURES = 4_000, 12_000_000
 LEAST_DOCS = 3  # sampled rows a feature must be in
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1  # chosen by cross-validation over labels that may be learned from
 EPOCHS, SEED = 4, 12
@@ -213,7 +213,8 @@ def fit(
     sizes = given.select("id", "row", (F.length("features") / 4).cast("long").alias("n")).orderBy("row", "id").collect()
     room = np.searchsorted(np.cumsum([row["n"] for row in sizes]), sample_features, side="right")
     if room < len(sizes):
-        given = given.where(F.struct("row", "id") < F.struct(F.lit(sizes[room]["row"]), F.lit(sizes[room]["id"])))
+        row, own_id = sizes[room]["row"], sizes[room]["id"]
+        given = given.where((F.col("row") < row) | (F.col("row") == row) & (F.col("id") < own_id))
     found = given.orderBy("row", "id").select("label", "features").collect()
     features = [np.frombuffer(row["features"], "<u4") for row in found]
     return learn(features, np.array([row["label"] for row in found], float), share, **options)
@@ -247,9 +248,9 @@ def _frequent(features: list[np.ndarray], least: int) -> np.ndarray:
 def _places(found: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Places of the known ones among feature hashes."""
     if not len(known):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-    return at[known[at] == found]
+    return at[known[at] == found].astype(np.int32)
 
 
 def _distinct(text: Column, most: int) -> Column:
@@ -278,7 +279,7 @@ def _scores(texts: Iterator[pa.Array], known) -> Iterator[pa.Array]:
     for batch in texts:
         margins = []
         for text in texts_of(batch):
-            places = [np.zeros(0, np.int64)]
+            places = [np.zeros(0, np.int32)]
             for part in featurer(text):
                 places.append(_places(part[low[part & np.uint64(0xFFFFF)]].astype(np.uint32), model.features))
             margins.append(model.margin(np.concatenate(places)))
