@@ -231,9 +231,12 @@ def identify(
     into: str = "language",
     **options,
 ) -> DataFrame:
-    """The documents with the struct of ``predict``, learned from their own labelled rows that aren't held out."""
+    """The documents with the struct of ``predict``, learned from their own labelled rows that aren't held out.
+
+    Further columns are kept; ``into`` gets underscores where there is such a column.
+    """
     langs, profiles = learn(docs.where(~held_out(F.col(f"`{id_col}`"))), id_col, text_col, lang_col, **options)
-    return docs.withColumn(into, predict(F.col(f"`{text_col}`").cast("string"), langs, profiles))
+    return docs.withColumn(free_name(docs, into), predict(F.col(f"`{text_col}`").cast("string"), langs, profiles))
 
 
 def known_language(docs: DataFrame, **options) -> DataFrame:

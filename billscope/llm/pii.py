@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm import bilstm_crf
+from billscope.llm.frames import free_name
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, MOST_WINDOWS = 20_000, 1_200
@@ -303,9 +304,9 @@ def spans_of(text: Column, weights: dict[str, np.ndarray] | None) -> Column:
 
 
 def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", into: str = "pii", **options) -> DataFrame:
-    """The documents with the struct of ``spans_of``."""
+    """The documents with the struct of ``spans_of``; ``into`` gets underscores where there is such a column."""
     weights = learn(docs, id_col=id_col, text_col=text_col, **options)
-    return docs.withColumn(into, spans_of(F.col(f"`{text_col}`").cast("string"), weights))
+    return docs.withColumn(free_name(docs, into), spans_of(F.col(f"`{text_col}`").cast("string"), weights))
 
 
 def masked(text: str | None, spans: list[tuple[int, int, int, bool]]) -> str | None:

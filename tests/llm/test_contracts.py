@@ -40,7 +40,7 @@ def rows_of(spark, name):
 
 
 def test_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 14))
     assert {*LLM_QUERIES, "pipeline"} <= set(contract.queries())
     assert [name for name, _ in corpus_pipeline.STAGES][-1] == "best_fit_packing"
 
@@ -52,7 +52,6 @@ def test_query_equals_sql(spark, connection, name):
 
 def encoded(name, texts, end):
     tokenizer = Tokenizer.from_file(tokens.location(name))
-    tokenizer.encode_special_tokens = True
     return {n: [*tokenizer.encode(t, add_special_tokens=False).ids, end] for n, t in texts.items()}
 
 

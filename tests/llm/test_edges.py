@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from billscope.llm import (
@@ -24,6 +28,7 @@ from billscope.llm import (
     tokens,
 )
 from billscope.llm.components import components
+from billscope.work import materialise
 
 PIECES = [*"ab cE'st\n\t\u00e9\u00c9.,!12I", "\u0301", "\x1c", "\x85", "\u2003", "<|endoftext|>"]
 LONG = "the long words of a text go on and on " * 20_000
@@ -81,14 +86,37 @@ def test_rounds_end_when_nothing_fits(spark):
     assert packed.select("sequence_id").distinct().count() == 60
 
 
+@cache
+def untouched(name, escape):
+    tokenizer = Tokenizer.from_file(tokens.location(name))
+    tokenizer.encode_special_tokens = escape
+    return tokenizer
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(PIECES), max_size=30))
 def test_parts_encode_like_whole_texts(parts):
+    """Against the library's own call, and with special tokens as ordinary text."""
     text = "".join(parts)
     for name in (tokens.WORDS, tokens.SPACED):
-        encoder = tokens.encoder(name)
-        whole = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert encoder.encode([text.encode()]) == [whole]
+        for escape in (False, True):
+            whole = np.array(untouched(name, escape).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert tokens.encoder(name, escape).encode([text.encode(), b"a"])[0] == whole
+
+
+def test_special_tokens_get_their_ids(spark, folder):
+    docs = spark.createDataFrame([(1, "a<|endoftext|>b"), (2, " x <|startoftext|><|endoftext|> ")], "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(tokens.location(tokens.SPACED))
+    assert tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    for escape in (False, True):
+        token_files.write(docs, f"{folder}/{escape}", escape=escape)
+        tokenizer.encode_special_tokens = escape
+        for row in token_files.read(spark, f"{folder}/{escape}", with_ids=True).collect():
+            text = docs.where(F.col("doc_id") == row.doc_id).first().text
+            assert np.frombuffer(row.ids, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    packed = packing.pack(docs, with_ids=True).where("doc_id = 1").first()
+    words = Tokenizer.from_file(tokens.location(tokens.WORDS))
+    assert np.frombuffer(packed.ids, "<u4").tolist() == [*words.encode("a<|endoftext|>b", add_special_tokens=False).ids, 0]
 
 
 @settings(deadline=None)
@@ -211,7 +239,7 @@ def test_chat(spark):
     rows += [(1, 5, "assistant", "t5 " * 30), (2, None, None, None), (None, 0, "assistant", "[CTX]</s>\\<s>")]
     rows += [(3, 0, "assistant", "x" * 9000), (4, 0, "system", "only")]
     chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1))
-    found = chat.windows(chats, budget=256, history=48)
+    found = chat.windows(chats, budget=256, history=48, tokens=F.ceil(F.octet_length("text") / 4) + 4)
     out = found.withColumn("turns", chat.read_turns(F.col("text"))).orderBy("conv_id", "window").collect()
     first = [r for r in out if r.conv_id == 1]
     assert len(first) > 3 and all(r.turns[0].role == "system" for r in first)
@@ -226,6 +254,20 @@ def test_chat(spark):
     assert chat.windows(chats.where("false")).count() == 0
 
 
+def test_chat_windows_hold_their_budget(spark):
+    """No window that isn't marked has more tokens than the budget, by the tokenizer, whatever the script."""
+    tokenizer = Tokenizer.from_file(tokens.location(tokens.SPACED))
+    texts = ["0123456789 " * 40, "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3002" * 60, "\U0001f600\U0001f680" * 90, "plain words " * 30, "</s>[INST]\\" * 30]
+    rows = [(c, k, ("user", "assistant")[k % 2], texts[(c + k) % 5]) for c in range(5) for k in range(12)]
+    made = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for chats, budget in ((made, 1024), (spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"), chat.BUDGET)):
+        found = chat.windows(chats, budget=budget, history=budget // 8).collect()
+        assert any(not r.over_budget for r in found)
+        for row in found:
+            real = len(tokenizer.encode(row.text, add_special_tokens=False).ids)
+            assert real <= row.tokens and (row.over_budget or real <= budget)
+
+
 def test_chat_plan_is_native(spark, capsys):
     chats = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
     chat.windows(chats).explain()
@@ -241,7 +283,7 @@ def test_embeddings(spark):
     odd = [None, [], [0.0] * 6, [1.0, None, 0.0], [float("nan")] * 6, [float("inf")] + [1.0] * 5]
     rows += [(1000 + k, v, 1) for k, v in enumerate(odd)] + [(2000, rows[3][1], None), (None, rows[3][1], 1)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit(0))
-    found = {r.vec_id: r for r in embeddings.groups(vectors, cell=40, tile=16).collect()}
+    found = {r.vec_id: r for r in embeddings.groups(vectors, cell=40, tile=16, visits=None).collect()}
     units = x.astype(np.float32).astype(float)
     units /= np.linalg.norm(units, axis=1, keepdims=True)
     links = (units @ units.T >= 0.93) & (np.arange(400)[:, None] % 2 == np.arange(400) % 2)
@@ -256,6 +298,28 @@ def test_embeddings(spark):
     assert embeddings.groups(vectors.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("clustered", (False, True))
+def test_few_visits_find_nearly_all_links(spark, clustered):
+    """Near copies of vectors, with clusters and without: recall against all products, and no false link."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 32))[rng.integers(0, 60, 1500)] * clustered + rng.normal(size=(1500, 32))
+    x = np.concatenate([base, base[:700] + 0.15 * rng.normal(size=(700, 32)) * np.linalg.norm(base[:700], axis=1)[:, None] / 32**0.5])
+    vectors = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    real = (units @ units.T >= 0.93).sum(1) - 1
+    found = np.array([r.n_links for r in embeddings.groups(vectors, cell=50).orderBy("vec_id").collect()])
+    assert (found <= real).all() and found.sum() >= 0.97 * real.sum() > 0
+    visits = []
+    centres = embeddings.fit(units, 44)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(2200)), pa.array([1] * 2200), pa.array(["0"] * 2200), pa.array([32] * 2200, pa.int32()), pa.array([u.tobytes() for u in units])],
+        ["node", "copies", "label", "size", "unit"],
+    )
+    for out in embeddings._cells(iter([batch]), centres, 0.93, embeddings.VISITS):
+        visits.append(np.bincount(out["node"].to_numpy(), minlength=2200))
+    assert sum(visits).max() <= embeddings.VISITS and sum(visits).min() >= 1
+
+
 def test_substrings(docs, nothing):
     found = substrings.with_cut(docs, into="found")
     rows = {(r.doc_id, r.text): r.found for r in found.collect()}
@@ -269,6 +333,22 @@ def test_substrings(docs, nothing):
     assert substrings.clean(nothing).count() == 0
 
 
+def test_a_common_line_is_spread_over_targets(spark, monkeypatch):
+    """Repeats of one line in all documents come by document, not by the line's hash."""
+    docs = spark.range(4000, numPartitions=2).selectExpr("id AS doc_id", f"concat('a', id, ' {PASSAGE}') AS text")
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 40_000)
+    monkeypatch.setattr(substrings, "TARGET_BYTES", 40_000)
+    monkeypatch.setattr(substrings, "CHUNK_WINDOWS", 10_000)
+    rows = docs.mapInArrow(lambda b: substrings._hash((pa.RecordBatch.from_arrays([*x.columns[:1], pa.array([0] * x.num_rows), pa.array([0] * x.num_rows), x.columns[1]], ["own_id", "a", "b", "text"]) for x in b), 20, 8, 8), "bucket int, " + ", ".join(f"{n} binary" for n in substrings.PARTS))
+    sizes = {}
+    for row in rows.collect():
+        sizes[row.bucket] = sizes.get(row.bucket, 0) + len(substrings._numbers(row.repeat_owners, "<u4"))
+    assert sum(n for b, n in sizes.items() if b < 8) == 0 and len([b for b in sizes if b >= 8]) == 8
+    assert max(sizes.values()) <= 2 * sum(sizes.values()) / 8
+    found = substrings.with_cut(docs)
+    assert found.where("cut.n_removed = 30").count() == 3999
+
+
 def test_substrings_across_chunks_and_buckets(spark, monkeypatch):
     rows = [(k, f"a{k} {PASSAGE} b{k % 3}") for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
@@ -380,6 +460,6 @@ def test_pipeline_stages(spark, docs, nothing, folder):
     for table in (docs, nothing):
         own = table
         for name, stage in corpus_pipeline.STAGES:
-            own = corpus_pipeline.materialise(stage(spark, own, folder), name)
+            own = materialise(stage(spark, own, folder), name)
             assert name == "best_fit_packing" or own.columns == docs.columns
         assert own.isEmpty() == table.isEmpty()
