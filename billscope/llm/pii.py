@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with CRF transitions that adds spans.
 
-The patterns find emails, IP addresses, payment cards and phone numbers. The model learns their spans from a
-bounded sample of the documents, in windows of characters, and reads every stretch of text that could hold
-personal data: all four kinds have a digit or ``@``, so windows lie around those characters. Windows overlap;
-where two cover a character, the tag of the window with more context around it holds, and the spans are read
-off the tags of the whole text. A span of the model is added if it overlaps no span of the patterns, is likely
-(``LEAST_SHARE``) and has the form of its kind. Spans of the patterns always stay.
+The patterns find emails, IP addresses, payment cards and phone numbers. The model is to find what they miss: it
+learns from a bounded sample of the documents, in windows of characters, both the patterns' spans and varied ones, in
+which an address is spelled with ``(at)`` or has accents, a phone number has no plus sign or other separators, and a
+card has fifteen digits. It reads every stretch of text that could hold personal data: all have a digit, ``@`` or
+``(at)``, so windows lie around the words with these. Windows overlap; where two cover a character, the tag of the
+window with more context around it holds, and the spans are read off the tags of the whole text. A span of the model
+is added if it overlaps no span of the patterns, is likely (``LEAST_SHARE``) and has the form of its kind
+(``well_formed``). Spans of the patterns always stay.
 
 Offsets are code points, ends exclusive. Null and empty texts have no span. The sample is an expected
 ``SAMPLE_DOCS`` documents chosen by a hash of the id (rows with a null id aren't in it) and of their windows at
@@ -16,6 +18,7 @@ empty table gives no rows. Other columns are kept.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +43,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-TRIGGER = re.compile(r"[0-9@]+")
-SIGNS = "@.-+() _%:/,\n"
+TRIGGER = re.compile(r"[0-9@]+|[(\[] ?at ?[)\]]")
+#: What a span of the model may look like beyond the patterns.
+ADDRESS = re.compile(r"[^\s@()\[\]<>,;:]+(?:@| ?[(\[] ?at ?[)\]] ?)[\w-]+(?:(?:\.| ?[(\[] ?dot ?[)\]] ?)[\w-]+)+")
+NUMBER = re.compile(r"[(+]?[0-9][0-9 ().+/-]*[0-9]")
+ACCENTS = str.maketrans("aeiou", "\u00e4\u00e9\u00ed\u00f6\u00fc")
+SIGNS = "@.-+()[] _%:/,\n"
 #: Character classes: the rest, digit, small letter, large letter, other letter, then each sign.
 CLASSES = 5 + len(SIGNS)
 TAGS = 1 + 2 * len(KINDS)  # outside; first and inner character of each kind
@@ -87,8 +94,6 @@ def _emails(text: str) -> Iterator[Span]:
 
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns, by kind and start."""
-    if not TRIGGER.search(text):
-        return []
     spans = [*_emails(text)]
     for found in IP.finditer(text):
         if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in found[0].split(".")):
@@ -107,14 +112,37 @@ def well_formed(kind: int, text: str) -> bool:
     """Whether a span of the model can be of its kind."""
     digits = _digits(text)
     if kind == 0:
-        name, _, host = text.partition("@")
-        return bool(name and host) and "@" not in host and "." in host and not any(c.isspace() for c in text)
+        return ADDRESS.fullmatch(text) is not None
     if kind == 1:
         parts = text.split(".")
         return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)
     if kind == 2:
-        return 13 <= len(digits) <= 19 and luhn(digits) and all(c in " -" for c in text if c not in digits)
-    return 8 <= len(digits) <= 15 and all(c in "+() .-" for c in text if c not in digits) and text[-1] in digits
+        return 13 <= len(digits) <= 19 and luhn(digits) and all(c in " -." for c in text if c not in digits)
+    least = 8 if text[0] == "+" else 9  # dates have eight
+    return least <= len(digits) <= 15 and len(digits) < len(text) and NUMBER.fullmatch(text) is not None
+
+
+def varied(kind: int, text: str, draw: int) -> str | None:
+    """A form of a span that the patterns miss, one of several by ``draw``; None where there is none."""
+    digits = _digits(text)
+    if kind == 0:
+        name, _, host = text.partition("@")
+        name = (name, "".join(filter(str.isalpha, name)) or name)[draw // 4 % 2]
+        host = (host, ".".join(host.split(".")[-2:]), "".join(c for c in host if not c.isdigit()))[draw // 8 % 3]
+        spelled = host.replace(".", " [dot] ")
+        forms = [f"{name} (at) {host}", f"{name}[at]{host}", f"{name} [at] {spelled}", f"{name}{name[:1]}u".translate(ACCENTS) + f"@{host}"]
+    elif kind == 2:
+        short = digits[:14]
+        short += next(str(d) for d in range(10) if luhn(short + str(d)))
+        forms = [f"{short[:4]} {short[4:10]} {short[10:]}", f"{short[:4]}-{short[4:10]}-{short[10:]}", short]
+    elif kind == 3 and len(digits) >= 10:
+        own = digits[-10:]
+        forms = [f"{own[:3]}{a}{own[3:6]}{b}{own[6:]}" for a, b in ("--", "..", "  ", " -")]
+        forms += [f"({own[:3]}) {own[3:6]}-{own[6:]}", f"0{own[1:4]}/{own[4:]}", text.lstrip("+")]
+    else:
+        return None
+    form = forms[draw % len(forms)]
+    return None if base_spans(form) or not well_formed(kind, form) else form
 
 
 def _class_table() -> np.ndarray:
@@ -135,11 +163,24 @@ def classes_of(text: str) -> np.ndarray:
     return _table[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
 
 
+SPACE = re.compile(r"\s")
+
+
+def _run_start(text: str, end: int) -> int:
+    """Where the white-space-free run before ``end`` begins."""
+    while end > 0 and not text[end - 1].isspace():
+        end -= 1
+    return end
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and ``@``, cut into overlapping windows."""
+    """Stretches around words with digits, ``@`` or ``(at)``, cut into overlapping windows."""
     zones: list[list[int]] = []
     for found in TRIGGER.finditer(text):
-        start, end = max(0, found.start() - MARGIN), min(len(text), found.end() + MARGIN)
+        if zones and found.end() + MARGIN <= zones[-1][1]:
+            continue
+        before, after = _run_start(text, found.start()), SPACE.search(text, found.end())
+        start, end = max(0, before - MARGIN), min(len(text), (after.start() if after else len(text)) + MARGIN)
         if zones and start <= zones[-1][1]:
             zones[-1][1] = end
         else:
@@ -168,9 +209,22 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not cut:
                 continue
             own, tags = classes_of(text), np.zeros(len(text), np.int8)
-            for kind, start, end in base_spans(text):
+            spans = base_spans(text)
+            for kind, start, end in spans:
                 tags[start:end] = 2 + 2 * kind
                 tags[start] = 1 + 2 * kind
+            drawn = ((span, zlib.crc32(text[span[1] : span[2]].encode("utf-8", "replace")) >> bits) for span in spans for bits in (0, 8))
+            for (kind, start, end), draw in drawn:
+                form = varied(kind, text[start:end], draw)
+                room = min(MARGIN, (LENGTH - len(form)) // 2) if form else -1
+                first, last = max(0, start - room), end + room
+                if room < 4 or tags[first:start].any() or tags[end:last].any():
+                    continue
+                inside = np.zeros(start - first + len(form) + len(text[end:last]), np.int8)
+                inside[start - first : start - first + len(form)] = 2 + 2 * kind
+                inside[start - first] = 1 + 2 * kind
+                chars = classes_of(text[first:start] + form + text[end:last])
+                rows.append((_padded(chars).tobytes(), _padded(inside).tobytes(), True))
             for start, end in cut:
                 inside = tags[start:end]
                 whole = not (len(inside) and inside[0] and inside[0] % 2 == 0)

@@ -439,6 +439,86 @@ def test_personal_data(docs, nothing):
     assert pii.mask(nothing).count() == 0
 
 
+def test_model_adds_what_the_patterns_miss(spark):
+    """Planted forms are found whole, and numbers and dates are left alone; on the given texts nothing is added."""
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    weights = pii.learn(given)
+    rng = np.random.default_rng(5)
+
+    def digits(n):
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def letters(n):
+        return "".join(map(chr, rng.integers(97, 123, n)))
+
+    def card():
+        own = digits(14)
+        own += next(str(d) for d in range(10) if pii.luhn(own + str(d)))
+        return f"{own[:4]} {own[4:10]} {own[10:]}"
+
+    forms = {
+        "email": [lambda: f"{letters(7)} (at) {letters(6)}.org", lambda: f"{letters(3)}\u00fc{letters(3)}\u00e9@{letters(6)}.com"],
+        "phone": [lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"],
+        "card": [card],
+        None: [lambda: f"20{digits(2)}-0{rng.integers(1, 10)}-1{digits(1)}", lambda: digits(5), lambda: f"ID-{digits(6)}", lambda: f"v{digits(1)}.{digits(2)}"],
+    }
+    for kind, made in forms.items():
+        for form in made:
+            planted = [form() for _ in range(60)]
+            found = pii.all_spans([f"the words before {own} and after it." for own in planted], weights)
+            whole = [[pii.KINDS[s[0]] for s in spans if s[1:3] == (17, 17 + len(own))] for own, spans in zip(planted, found, strict=True)]
+            assert sum(own == ([kind] if kind else []) for own in whole) >= 54, (kind, planted[0])
+            assert kind or sum(map(len, found)) <= 1
+    texts = [row.text for row in given.select("text").limit(2000).collect()]
+    assert sum(not base for spans in pii.all_spans(texts, weights) for *_, base in spans) <= 2
+
+
+def test_windows_cover_whole_runs():
+    """A long address lies in windows from its first character on, and a very long run costs no more than its length."""
+    address = "a.very.long.address.of.a.person.without.any.digits.at.all@example.com"
+    text = f"{'word ' * 20}{address} {'word ' * 20}"
+    cut = pii.windows(text)
+    assert min(start for start, _ in cut) <= text.index(address) and max(end for _, end in cut) >= text.index(address) + len(address)
+    assert all(end - start <= pii.LENGTH for start, end in cut)
+    assert len(pii.windows("x1" * 200_000)) <= 400_000 // pii.STRIDE + 2
+
+
+def test_clashing_names_keep_both_columns(spark, docs):
+    """With the default names, which the documents have already; in one block of the benchmark and in several."""
+    benchmark = spark.createDataFrame([(1, "the cat sat on the mat"), (2, PASSAGE)], "item_id long, text string")
+    for block in (decontaminate.BLOCK_BYTES, 40):
+        found = decontaminate.with_hits(docs, benchmark, block_bytes=block)
+        assert found.columns == [*docs.columns, "_hits"] and {r.hits for r in found.collect()} == {"own"}
+    for found, name in ((language.identify(docs), "language"), (pii.with_spans(docs), "pii"), (substrings.with_cut(docs), "cut")):
+        assert found.columns == [*docs.columns, f"_{name}"] and found.first()[name] == "own"
+
+
+def test_repeated_benchmark_items_are_one(spark, docs):
+    items = [(1, f"{PASSAGE} of item one")] * 100 + [(2, "other words that no document holds at all")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.with_hits(docs, benchmark, into="found", block_bytes=300).where("size(found.items) > 0").collect()
+    assert {tuple(r.found["items"]) for r in rows} == {(1,)}
+
+
+def test_long_words_are_features():
+    words = ["w" * 101, "v" * 5000]
+    places = [quality.Views().text(word.encode())[0].tolist() for word in words]
+    assert all(len(own) > quality.SHAPE for own in places) and places[0] != places[1]
+
+
+def test_one_id_on_many_rows_brings_no_more_rows(spark):
+    """Quality rows are drawn, not ids."""
+    texts = spark.range(900).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "concat('text of ', id) AS text", "'s' AS source", "'en' AS lang", "9L AS n_chars")
+    labels = spark.range(900).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS good")
+    seen, real = [], quality.co_train
+    try:
+        quality.co_train = lambda rows, *rest: seen.append(len(rows[0])) or real(rows, *rest)
+        quality.learn(texts, labels, ("good",), labelled=50)
+    finally:
+        quality.co_train = real
+    assert 0 < seen[0] <= 50
+
+
 def test_tagger_learns_and_adds():
     rng = np.random.default_rng(0)
     texts = [f"call {'x' * int(rng.integers(1, 9))} +1 (555) 010-{int(n):04d} now" for n in rng.integers(0, 9999, 200)]
