@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from billscope import schema, versions
 
 
+#: PostgreSQL's hash of a text.
+HASH_OF = "CAST(hashtext({column}) AS bigint)"
+
+
 def jdbc_read_options(
     url: str,
     table: str | None = None,
@@ -44,6 +48,35 @@ def jdbc_read_options(
     return options
 
 
+def bounds_query(column: str, table: str | None = None, query: str | None = None) -> str:
+    """Least and greatest value of a column, found by the source itself."""
+    source = table or f"({query}) source_query"
+    return f"SELECT min({column}) AS low, max({column}) AS high FROM {source}"
+
+
+def source_bounds(
+    spark: SparkSession, url: str, column: str, table: str | None = None, query: str | None = None, **options
+) -> tuple[str, str] | None:
+    """The bounds of a partition column as the source has them now; None where it has no value."""
+    asked = jdbc_read_options(url, query=bounds_query(column, table, query), single_task=True, **options)
+    row = spark.read.format("jdbc").options(**asked).load().first()
+    return None if row is None or row[0] is None else (str(row[0]), str(row[1]))
+
+
+def hash_predicates(column: str, partitions: int, hash_of: str = HASH_OF) -> list[str]:
+    """Conditions that deal a source's rows into ``partitions`` by a hash of a text key.
+
+    Each row meets exactly one, a row without a key the first. ``hash_of`` is the source's own function from the
+    column to a whole number, of any sign.
+    """
+    if partitions < 1:
+        raise ValueError("there must be a partition at least")
+    value = hash_of.format(column=column)
+    part = f"MOD(MOD({value}, {partitions}) + {partitions}, {partitions})"
+    first, *others = [f"{part} = {n}" for n in range(partitions)]
+    return [f"{first} OR {column} IS NULL", *others]
+
+
 def read_table(
     spark: SparkSession,
     location: str,
@@ -53,11 +86,26 @@ def read_table(
 ) -> DataFrame:
     """A stored table: ``location`` is a folder for parquet, a URL for ``kind="jdbc"``.
 
-    A folder with a pointer (``billscope.versions``) is read as that names it.
+    A folder with a pointer (``billscope.versions``) is read as that names it. A JDBC scan runs in parts: by ranges of
+    a ``partition_column`` between ``bounds``, which the source is asked for where there are none, or by the hash of a
+    text key (``hash_column``, ``partitions`` and, for other sources than PostgreSQL, ``hash_of``).
     """
-    if kind == "jdbc":
-        return spark.read.format("jdbc").options(**jdbc_read_options(location, **jdbc)).load()
-    return versions.read(spark, location, columns, kind)
+    if kind != "jdbc":
+        return versions.read(spark, location, columns, kind)
+    jdbc = dict(jdbc)
+    if key := jdbc.pop("hash_column", None):
+        conditions = hash_predicates(key, jdbc.pop("partitions"), jdbc.pop("hash_of", HASH_OF))
+        options = jdbc_read_options(location, single_task=True, **jdbc)
+        table = options.pop("dbtable")
+        return spark.read.jdbc(options.pop("url"), table, predicates=conditions, properties=options)
+    if jdbc.get("partition_column") and jdbc.get("bounds") is None:
+        source = {name: jdbc[name] for name in ("table", "query", "properties") if name in jdbc}
+        jdbc["bounds"] = source_bounds(spark, location, jdbc["partition_column"], **source)
+        if jdbc["bounds"] is None:  # no row has a value: one task reads what there is
+            del jdbc["partition_column"], jdbc["bounds"]
+            jdbc.pop("partitions", None)
+            jdbc["single_task"] = True
+    return spark.read.format("jdbc").options(**jdbc_read_options(location, **jdbc)).load()
 
 
 def read_loads(spark: SparkSession, location: str) -> DataFrame:

@@ -10,7 +10,7 @@ from billscope import schema
 from billscope.sinks import append, create_if_missing, replace
 from billscope.sinks.tables import jdbc_write_options
 from billscope.sources import billing_columns, read_encounters, read_table, unreadable_rows
-from billscope.sources.tables import jdbc_read_options
+from billscope.sources.tables import hash_predicates, jdbc_read_options
 
 HEADER = ",".join(schema.ENCOUNTER_FILE.names)
 
@@ -119,6 +119,61 @@ def test_jdbc_read_options():
         jdbc_read_options(url, "t", partition_column="id")
 
 
+def test_hash_predicates_deal_every_row_once(spark):
+    """Evaluated by Spark itself, whose hash has both signs; a NULL key is in the first part."""
+    keys = [*(f"h{n}" for n in range(200)), None, ""]
+    frame = spark.createDataFrame([(key,) for key in keys], "hospital string")
+    parts = hash_predicates("hospital", 7, "hash({column})")
+    assert len(parts) == 7 and "hashtext(hospital)" in hash_predicates("hospital", 2)[1]
+    met = frame.select("hospital", *[F.expr(f"coalesce({part}, false)").cast("int").alias(f"p{n}") for n, part in enumerate(parts)])
+    rows = met.collect()
+    assert all(sum(row[1:]) == 1 for row in rows) and next(row for row in rows if row.hospital is None).p0 == 1
+    assert all(sum(row[n] for row in rows) > 10 for n in range(1, 8))
+    with pytest.raises(ValueError):
+        hash_predicates("hospital", 0)
+
+
+def test_bounds_come_from_the_source(spark, monkeypatch):
+    asked = []
+
+    class Reader:
+        def __init__(self, bounds):
+            self.bounds, self.own = bounds, {}
+
+        def format(self, kind):
+            self.own = {}
+            return self
+
+        def options(self, **options):
+            self.own = options
+            return self
+
+        def load(self):
+            asked.append(self.own)
+            return self
+
+        def first(self):
+            return self.bounds
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
+            return self
+
+    class Session:
+        def __init__(self, bounds):
+            self.read = Reader(bounds)
+
+    how = dict(kind="jdbc", partition_column="discharge_date", partitions=8, properties={"user": "u"})
+    read_table(Session((date(2020, 1, 1), date(2021, 1, 1))), "jdbc:x", table="admission", **how)
+    assert "SELECT min(discharge_date) AS low, max(discharge_date) AS high FROM admission" in asked[0]["dbtable"]
+    assert "partitionColumn" not in asked[0] and asked[0]["user"] == "u"
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("2020-01-01", "2021-01-01", "8")
+    read_table(Session((None, None)), "jdbc:x", query="SELECT 1", **how)
+    assert "FROM (SELECT 1) source_query" in asked[2]["dbtable"] and "partitionColumn" not in asked[3]
+    read_table(Session(None), "jdbc:x", kind="jdbc", table="admission", hash_column="hospital", partitions=3)
+    assert len(asked[4]["predicates"]) == 3 and asked[4]["dbtable"] == "admission" and asked[4]["fetchsize"] == "10000"
+
+
 def test_jdbc_write_options(spark):
     frame = spark.createDataFrame([], schema.SEGMENT)
     options = jdbc_write_options(frame, "jdbc:postgresql://host/db", "segments", {"batchsize": "5"}, connections=4)
