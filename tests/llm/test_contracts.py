@@ -179,3 +179,62 @@ def test_pipeline_equals_its_stages(spark):
     assert sorted(rows.select(*key).collect()) == sorted(docs.select(*key).collect())
     assert counts[0] >= counts[1] >= counts[2] == counts[3]
     assert rows.where(rows["offset"] + rows["length"] > packing.CAPACITY).isEmpty()
+
+
+def test_language_equals_plain_vectors(spark, connection):
+    """Letters, bound runs, text and language vectors one by one, as the method says."""
+    from billscope.llm import language
+
+    rows = connection.execute("SELECT doc_id, text, lang FROM documents").fetchall()
+    letters, runs = {}, {}
+
+    def letter(code):
+        if code not in letters:
+            draw = np.random.default_rng([language.SEED, code]).integers(0, 2, language.DIMENSIONS, np.int8)
+            letters[code] = 2 * draw.astype(float) - 1
+        return letters[code]
+
+    def unit(text):
+        spelled = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        spelled = f" {' '.join(spelled.split())} "
+        total = np.zeros(language.DIMENSIONS)
+        for run in zip(spelled, spelled[1:], spelled[2:], strict=False):
+            if run not in runs:
+                a, b, c = (letter(ord(sign)) for sign in run)
+                runs[run] = np.roll(a, 2) * np.roll(b, 1) * c
+            total += runs[run]
+        return total / (np.linalg.norm(total) or 1)
+
+    units = {n: unit(text) for n, text, _ in rows}
+    learned = [(n, lang) for n, _, lang in rows if lang and zlib.crc32(str(n).encode()) % 4 != 2]
+    profiles = {lang: sum(units[n] for n, own in learned if own == lang) for lang in sorted({lang for _, lang in learned})}
+    profiles = {lang: total / np.linalg.norm(total) for lang, total in profiles.items()}
+    for row in rows_of(spark, "op5_language_id"):
+        cosines = {lang: float(units[row.doc_id] @ own) for lang, own in profiles.items()}
+        best = max(cosines, key=cosines.get) if units[row.doc_id].any() else language.UNKNOWN
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        assert row.lang_pred == best and abs(row.score - max(cosines.get(best, 0.0), 0.0)) < 1e-4
+
+
+def test_logistic_fit_equals_plain_rounds():
+    """The classifier's fit against Adam over a dense table, row by row."""
+    from billscope.llm import quality
+
+    rng = np.random.default_rng(4)
+    dense = (rng.random((60, 12)) < 0.3) * rng.random((60, 12))
+    dense[:, 0] = 1.0
+    labels = (dense[:, 3] + 0.2 * rng.random(60) > 0.25).astype(float)
+    rows = quality.Rows()
+    for row in dense:
+        rows.add(np.flatnonzero(row).astype(np.int32), row[np.flatnonzero(row)])
+    counts = rng.integers(1, 4, 60).astype(float)
+    found = quality.fit(rows, labels, 12, steps=40, counts=counts)
+    weights, mean, spread = np.zeros(12), np.zeros(12), np.zeros(12)
+    for step in range(1, 41):
+        grad = 1e-3 * weights
+        for row, label, count in zip(dense, labels, counts, strict=True):
+            grad = grad + count / counts.sum() * (1 / (1 + np.exp(-row @ weights)) - label) * row
+        mean, spread = 0.9 * mean + 0.1 * grad, 0.99 * spread + 0.01 * grad**2
+        weights = weights - 0.1 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * mean / (np.sqrt(spread) + 1e-9)
+    used = dense.any(0)
+    assert np.allclose(found[used], weights[used], atol=1e-4) and not found[~used].any()
