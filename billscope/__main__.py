@@ -22,6 +22,7 @@ from billscope.plans.ingest import ingest
 from billscope.plans.report import publish_reports
 from billscope.plans.segmentation import rebuild_segments
 from billscope.session import build_session, shuffle_partitions
+from billscope.sinks.lease import HOURS
 from billscope.sources import billing_columns, read_encounters, stream_encounters
 from billscope.streaming.increments import read_accepted, run_available
 from billscope.work import file_system
@@ -46,7 +47,9 @@ def arguments() -> argparse.ArgumentParser:
             sub.add_argument("--drop-unreadable", action="store_true", help="don't keep lines with unreadable cells")
             sub.add_argument("--no-late-count", action="store_true", help="don't count bills that came too late")
         sub.add_argument("--cores", type=int, default=200, help="cores of the cluster")
+        sub.add_argument("--lease-hours", type=float, default=HOURS, help="for which a run that died blocks others")
     sub = job("segment")
+    sub.add_argument("--lease-hours", type=float, default=HOURS, help="for which a run that died blocks others")
     sub.add_argument("--run-id", default=uuid.uuid4().hex)
     sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     sub.add_argument("--only-when-due", action="store_true", help="do nothing within the same quarter")
@@ -95,11 +98,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.job == "ingest":
         bills = billing_columns(read_encounters(spark, args.encounters, keep_corrupt=not args.drop_unreadable))
         late = not args.no_late_count
-        loaded = ingest(spark, bills, admissions, ledger, args.run_id, args.start, args.boundary, count_late=late)
+        told = dict(count_late=late, lease_hours=args.lease_hours)
+        loaded = ingest(spark, bills, admissions, ledger, args.run_id, args.start, args.boundary, **told)
         result = asdict(loaded)
     elif args.job == "stream":
         bills = billing_columns(stream_encounters(spark, args.encounters))
-        run_available(bills, increments, f"{increments}/checkpoint", ledger_location=ledger, run_id=args.run_id)
+        told = dict(ledger_location=ledger, run_id=args.run_id, lease_hours=args.lease_hours)
+        run_available(bills, increments, f"{increments}/checkpoint", **told)
         result = {}
     elif args.job == "segment":
         names = ("method", "k", "seed", "solver", "partitions", "scale", "exact", "with_year", "labels", "probabilities")
@@ -113,6 +118,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             args.as_of,
             args.only_when_due,
             upstream=args.source,
+            lease_hours=args.lease_hours,
             stored=f"{home}/quarters" if args.source == "ingest" else None,
             **options,
         )

@@ -225,6 +225,24 @@ def test_increments_write_n_log_n(spark, folder, monkeypatch, few_partitions):
         assert len(kept) <= 2 * (math.log2(n) + 1)
 
 
+def test_batches_of_any_size_with_repeats_make_the_batch_table(spark, folder, few_partitions):
+    """Unordered batches of very unequal size, each repeated at times after its first try was committed."""
+    rng, bills = random.Random(8), make_bills(spark, 400).cache()
+    cuts = [0, *sorted(rng.sample(range(100), 6)), 100]
+    part = F.pmod(F.xxhash64("hospital", "discharge_date", "bill_cents", "medical_condition"), F.lit(100))
+    for batch, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        for _ in range(rng.choice((1, 2, 3))):
+            increments.fold_batch(bills.filter((part >= low) & (part < high)), batch, folder)
+    valid, rejected = expected_rows(bills)
+    days = increments.read_days(spark, folder)
+    assert rows_of(days.filter("reject_reason is null").drop("reject_reason")) == rows_of(valid)
+    assert rows_of(days.filter("reject_reason is not null")) == rows_of(rejected)
+    noted = versions.current(spark, folder).notes["rows"]
+    for month in {path.rsplit("/", 1)[1] for path in noted}:
+        sizes = [noted[path].bit_length() for path in versions.current(spark, folder).folders if path.endswith(month)]
+        assert sizes == sorted(sizes, reverse=True) and len(set(sizes)) == len(sizes)  # runs shrink by powers of two
+
+
 def test_untouched_months_are_not_written(spark, folder):
     for batch in range(6):
         bills = [("a", "h", "p", "t", date(2020, 1 + batch % 2, 1 + batch), 100 * batch)]
