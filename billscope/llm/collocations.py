@@ -30,7 +30,7 @@ from billscope.work import job_folder, materialise, new_path
 
 THRESHOLD, LONGEST, TOP, SHARE = 10, 3, 2000, 50
 CHUNK_BYTES = 8 << 20  # of text that is counted at once
-PART_BYTES = 16 << 20  # of text whose n-grams make up one hash partition
+PART_BYTES = 8 << 20  # of text whose n-grams make up one hash partition
 CUT_BYTES = 1 << 20  # a longer text is cut at a separator
 UNKNOWN = "und"
 
@@ -232,7 +232,7 @@ def _survivors(table: pa.Table, threshold: int) -> pa.Table:
     mass = sum(int(own.sum(dtype=np.int64)) for own in counts)
     found, count, missing = merged(zip(keys, counts, strict=True), mass // threshold + 1)
     frequent = found[count + missing >= threshold]
-    own = [key[np.isin(key, frequent, assume_unique=True)] for key in keys]
+    own = [key[_among(key, frequent)] for key in keys]
     some = pa.array([len(key) > 0 for key in own])
     data = pa.array([planes(key) for key in own], pa.binary())
     return pa.table({"chunk": table["chunk"], "part": table["part"], "keys": data}).filter(some)
