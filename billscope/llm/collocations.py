@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -268,8 +268,8 @@ def _count(texts: pa.Table, verdicts: pa.Table, parts: int, longest: int) -> pa.
         lengths.append(0)
         phrases.append(b"")
         counts.append(int(np.count_nonzero(ids)))
-    text = pa.array(phrases, pa.binary()).cast(pa.string())
-    return pa.table({"lang": pa.array(langs, pa.string()), "length": pa.array(lengths, pa.int32()), "phrase": text, "n": pa.array(counts, pa.int64())})
+    arrays = [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string())]
+    return pa.table([*arrays, pa.array(counts, pa.int64())], ["lang", "length", "phrase", "n"])
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -333,32 +333,26 @@ def scored(found: DataFrame, longest: int = LONGEST) -> DataFrame:
     """
     phrases = found.where("length > 1")
     cuts = F.explode(F.sequence(F.lit(1), F.col("length") - 1)).alias("cut")
-    sides = phrases.select("lang", "length", "phrase", F.col("n").alias("a"), cuts)
     ends = F.array(
         F.struct(F.lit("l").alias("side"), _words(F.lit(1), F.col("cut")).alias("part")),
         F.struct(F.lit("r").alias("side"), _words(F.col("cut") + 1, F.col("length") - F.col("cut")).alias("part")),
     )
+    sides = phrases.select("lang", "length", "phrase", F.col("n").alias("a"), cuts)
     sides = sides.select("lang", "phrase", "a", "cut", F.inline(ends))
-    parts = found.where(F.col("length").between(1, longest - 1)).select("lang", F.col("phrase").alias("part"), F.col("n").alias("f"))
-    known = sides.join(parts, ["lang", "part"])
-    inner = [
-        F.struct(_words(F.lit(first), F.lit(size)).alias("phrase"), (F.col("length") >= first + size - 1).alias("fits"))
-        for size in range(2, longest)
-        for first in range(1, longest - size + 2)
-    ]
-    rows = [known.select("lang", "phrase", "a", "cut", "side", "f", F.lit(None).cast("long").alias("longer"))]
-    for held in inner:
-        within = phrases.select("lang", held.alias("held"), F.col("phrase").alias("whole"), F.col("n").alias("longer"))
-        within = within.where("held.fits AND held.phrase <> whole").select(
-            "lang", "held.phrase", *[F.lit(None).cast(kind).alias(name) for name, kind in (("a", "long"), ("cut", "int"), ("side", "string"), ("f", "long"))], "longer"
-        )
-        rows.append(within)
+    parts = found.where(F.col("length").between(1, longest - 1))
+    parts = parts.select("lang", F.col("phrase").alias("part"), F.col("n").alias("f"))
+    known = sides.join(parts, ["lang", "part"]).select("lang", "phrase", "a", "cut", "side", "f")
+    size = F.explode(F.sequence(F.lit(2), F.col("length") - 1)).alias("size")
+    first = F.explode(F.sequence(F.lit(1), F.col("length") - F.col("size") + 1)).alias("first")
+    held = phrases.where("length > 2").select("lang", "length", "phrase", F.col("n").alias("longer"), size)
+    held = held.select("lang", "phrase", "longer", "size", first)
+    held = held.select("lang", _words(F.col("first"), F.col("size")).alias("phrase"), "longer")
     count = {
         f"{side}{cut}": F.max(F.when((F.col("cut") == cut) & (F.col("side") == side), F.col("f")))
         for cut in range(1, longest)
         for side in "lr"
     }
-    whole = reduce(DataFrame.unionByName, rows).groupBy("lang", "phrase")
+    whole = known.unionByName(held, allowMissingColumns=True).groupBy("lang", "phrase")
     whole = whole.agg(F.max("a").alias("a"), F.max("longer").alias("longer"), *[c.alias(name) for name, c in count.items()])
     options = F.array_compact(
         F.array(

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -130,7 +131,8 @@ def varied(kind: int, text: str, draw: int) -> str | None:
         name = (name, "".join(filter(str.isalpha, name)) or name)[draw // 4 % 2]
         host = (host, ".".join(host.split(".")[-2:]), "".join(c for c in host if not c.isdigit()))[draw // 8 % 3]
         spelled = host.replace(".", " [dot] ")
-        forms = [f"{name} (at) {host}", f"{name}[at]{host}", f"{name} [at] {spelled}", f"{name}{name[:1]}u".translate(ACCENTS) + f"@{host}"]
+        accented = f"{name}{name[:1]}u".translate(ACCENTS)
+        forms = [f"{name} (at) {host}", f"{name}[at]{host}", f"{name} [at] {spelled}", f"{accented}@{host}"]
     elif kind == 2:
         short = digits[:14]
         short += next(str(d) for d in range(10) if luhn(short + str(d)))
@@ -213,9 +215,8 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, start, end in spans:
                 tags[start:end] = 2 + 2 * kind
                 tags[start] = 1 + 2 * kind
-            drawn = ((span, zlib.crc32(text[span[1] : span[2]].encode("utf-8", "replace")) >> bits) for span in spans for bits in (0, 8))
-            for (kind, start, end), draw in drawn:
-                form = varied(kind, text[start:end], draw)
+            for (kind, start, end), bits in product(spans, (0, 8)):
+                form = varied(kind, text[start:end], zlib.crc32(text[start:end].encode("utf-8", "replace")) >> bits)
                 room = min(MARGIN, (LENGTH - len(form)) // 2) if form else -1
                 first, last = max(0, start - room), end + room
                 if room < 4 or tags[first:start].any() or tags[end:last].any():

@@ -214,12 +214,14 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame, band: int = BAND) ->
     ends = list_digests(ends.select(_name(F.col("depth"), F.col("key")).alias("node"), "conv_id"))
 
     # A node's parent holds the node's smallest member, so it is found along that member's own path.
-    way = prefixes.select("conv_id", "depth", "key").join(nodes.select("depth", "key", F.col("conv_id").alias("parent_conv_id")), ["depth", "key"])
+    named = nodes.select("depth", "key", F.col("conv_id").alias("parent_conv_id"))
+    way = prefixes.select("conv_id", "depth", "key").join(named, ["depth", "key"])
     way = way.select("conv_id", (F.col("depth") + 1).alias("depth"), "parent_conv_id")
     rows = values.drop(*sums).join(totals, ["conv_id", "level"])
     rows = rows.join(way, ["conv_id", "depth"], "left")
     top = F.when(F.col("depth") == 1, F.lit(first["first"])).otherwise(F.col("parent_conv_id"))
-    rows = rows.select("conv_id", "depth", top.alias("parent_conv_id"), "n_convs", "n_children", *sums, _name(F.col("depth"), F.col("key")).alias("node"))
+    node = _name(F.col("depth"), F.col("key")).alias("node")
+    rows = rows.select("conv_id", "depth", top.alias("parent_conv_id"), "n_convs", "n_children", *sums, node)
     root = values.agg(
         F.lit(first["first"]).cast("long").alias("conv_id"),
         none.alias("depth"),
