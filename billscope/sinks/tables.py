@@ -181,7 +181,9 @@ def publish(report: DataFrame, location: str, kind: str = "csv") -> int:
     return replace(report, location, kind, options={"header": "true", **(CSV if kind == "csv" else {})})
 
 
-def read_published(spark: SparkSession, location: str, columns: T.StructType | None = None, kind: str = "csv", **options: str) -> DataFrame:
+def read_published(
+    spark: SparkSession, location: str, columns: T.StructType | None = None, kind: str = "csv", **options: str
+) -> DataFrame:
     """A published report; ``multiLine="true"`` where its texts may hold line ends."""
     own = {"header": "true", **(CSV if kind == "csv" else {}), **options}
     return versions.read(spark, location, columns, kind, **own)
