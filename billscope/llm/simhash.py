@@ -216,15 +216,20 @@ def _linked(nodes: DataFrame, radius: int) -> DataFrame:
 def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
     """The documents with a number for the file and the place in it that each row is read from.
 
-    Stored Parquet tables have both; other frames are stored first.
+    Stored Parquet tables have both. Other frames are stored first, also those in which several rows come from one.
     """
-    try:
+
+    def places(docs: DataFrame) -> tuple[Column, Column]:
         meta = docs.metadataColumn("_metadata")
-        docs.select(meta["row_index"])
+        return F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("place")
+
+    try:
+        rows = docs.select(*places(docs))
+        apart = rows.distinct().count() == rows.count()
     except AnalysisException:
-        docs = materialise(docs, "documents")
-        meta = docs.metadataColumn("_metadata")
-    return docs, F.xxhash64(meta["file_path"]), meta["row_index"]
+        apart = False
+    docs = docs if apart else materialise(docs, "documents")
+    return docs, *places(docs)
 
 
 def deduplicate(
@@ -239,7 +244,7 @@ def deduplicate(
     docs, file, place = located(docs)
     print_of = fingerprint_of(F.col(f"`{text_col}`").cast("string"), shingle)
     own_id = F.col(f"`{id_col}`").cast("long").alias("id")
-    prints = materialise(docs.select(print_of.alias("fp"), own_id, file.alias("file"), place.alias("place")), "fingerprints")
+    prints = materialise(docs.select(print_of.alias("fp"), own_id, file, place), "fingerprints")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "place")
     nodes = materialise(prints.groupBy("fp").agg(F.min(row).alias("first")), "nodes")
     linked = _linked(nodes, radius).select("fp", "root")

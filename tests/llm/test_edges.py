@@ -176,6 +176,16 @@ def test_simhash_keeps_one_row_of_each_component_whatever_the_ids(spark):
     assert kept == sorted(zip(texts, (7, 7, 7, None), strict=True))
 
 
+def test_simhash_of_rows_that_share_a_place(spark, folder):
+    """Stored documents exploded into several rows each: rows aren't told apart by their file and place alone."""
+    spark.createDataFrame([(1, "a b c d e f g|one two three four five|a b c d e f g"), (2, "one two three four five|x y z u v w")], "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/t")
+    docs = spark.read.parquet(f"{folder}/t").select("doc_id", F.explode(F.split("text", r"\|")).alias("text"))
+    assert sorted(r.text for r in simhash.deduplicate(docs).collect()) == ["a b c d e f g", "one two three four five", "x y z u v w"]
+    stored = spark.read.parquet(f"{folder}/t")
+    kept = simhash.deduplicate(stored.unionByName(stored))
+    assert kept.count() == 2 and simhash.deduplicate(stored.where("doc_id = 2")).count() == 1
+
+
 @settings(deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.data())
 def test_bit_sliced_distances(prints, data):
