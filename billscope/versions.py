@@ -23,6 +23,8 @@ from billscope.work import delete, file_system
 POINTERS, VERSION = "_current", "version"
 #: Folders that no pointer ever named, left by writes that failed, are removed after this time.
 ORPHAN_HOURS = 48
+#: A pointer that isn't complete may still be being written for so long; an older one is a dead writer's.
+PENDING_SECONDS = 60
 
 
 class ChangedMeanwhile(RuntimeError):
@@ -40,10 +42,12 @@ def new_folder() -> str:
     return f"{VERSION}={uuid.uuid4().hex}"
 
 
-def _numbers(spark: SparkSession, location: str) -> list[int]:
+def _numbers(spark: SparkSession, location: str) -> dict[int, float]:
+    """Numbers of the pointers, rising, and when each was written, in seconds."""
     files, path = file_system(spark, f"{location}/{POINTERS}")
-    names = [file.getPath().getName() for file in files.listStatus(path)] if files.exists(path) else []
-    return sorted(int(name) for name in names if name.isdigit())
+    found = files.listStatus(path) if files.exists(path) else []
+    times = {file.getPath().getName(): file.getModificationTime() / 1000 for file in found}
+    return {int(name): times[name] for name in sorted(times) if name.isdigit()}
 
 
 def _read(spark: SparkSession, location: str, number: int) -> Pointer | None:
@@ -59,7 +63,7 @@ def _read(spark: SparkSession, location: str, number: int) -> Pointer | None:
 
 def current(spark: SparkSession, location: str, below: int | None = None) -> Pointer | None:
     """The table's latest pointer, or the latest with a number ``below``; None for a table without one."""
-    for number in reversed(_numbers(spark, location)):
+    for number in reversed([*_numbers(spark, location)]):
         if below is None or number < below:
             if found := _read(spark, location, number):
                 return found
@@ -78,11 +82,12 @@ def commit(
 
     With a ``number``, of a stream's batch, a pointer of that number is replaced: the batch is repeated.
     """
-    own = number if number is not None else max([*_numbers(spark, location), 0]) + 1
     if number is None:
-        now = current(spark, location)
-        if (now and now.number) != (before and before.number):
-            raise ChangedMeanwhile(f"{location} was changed by another writer")
+        known, since = _numbers(spark, location), before.number if before else 0
+        for later, written in known.items():
+            if later > since and (_read(spark, location, later) or time.time() - written < PENDING_SECONDS):
+                raise ChangedMeanwhile(f"{location} was changed by another writer")
+    own = number if number is not None else max([*known, 0]) + 1
     files, path = file_system(spark, f"{location}/{POINTERS}/{own:010d}")
     try:
         stream = files.create(path, number is not None)
@@ -92,19 +97,21 @@ def commit(
         raise
     stream.write((json.dumps({"folders": folders, "notes": notes}) + "\n").encode())
     stream.close()
-    tidy(spark, location, own)
+    tidy(spark, location, own, also_later=number is not None)
     return Pointer(own, folders, notes)
 
 
-def tidy(spark: SparkSession, location: str, newest: int, orphan_hours: float = ORPHAN_HOURS) -> None:
+def tidy(
+    spark: SparkSession, location: str, newest: int, also_later: bool = False, orphan_hours: float = ORPHAN_HOURS
+) -> None:
     """Remove pointers but the ``newest`` and the one before, folders that only they name, and what failed writes left.
 
-    Pointers beyond the newest are of a stream that has begun anew.
+    Later pointers are another writer's, or of a stream that has begun anew (``also_later``).
     """
     pointers = {number: _read(spark, location, number) for number in _numbers(spark, location)}
     kept = [number for number, found in pointers.items() if found and number <= newest][-2:]
-    held = {folder for number in kept for folder in pointers[number].folders}
-    old = [number for number in pointers if number < kept[0] or number > newest]
+    held = {folder for n, found in pointers.items() if found and (n in kept or n > newest and not also_later) for folder in found.folders}
+    old = [number for number in pointers if number < kept[0] or also_later and number > newest]
     for folder in {f for n in old if pointers[n] for f in pointers[n].folders} - held:
         delete(spark, f"{location}/{folder}")
     files, root = file_system(spark, location)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 from datetime import date, datetime, timezone
 from decimal import Decimal
@@ -380,8 +381,12 @@ def test_second_writer_is_refused(spark, folder):
 
 def test_pointer_whose_writer_died_is_passed_over(spark, folder):
     replace(spark.range(3), f"{folder}/t")
-    (Path(folder) / "t" / versions.POINTERS / "0000000002").write_text('{"folders": [')
+    lost = Path(folder) / "t" / versions.POINTERS / "0000000002"
+    lost.write_text('{"folders": [')
     assert read_table(spark, f"{folder}/t").count() == 3
+    with pytest.raises(versions.ChangedMeanwhile):  # it may still be being written
+        replace(spark.range(4), f"{folder}/t")
+    os.utime(lost, (0, 0))
     assert replace(spark.range(4), f"{folder}/t") == 4 == read_table(spark, f"{folder}/t").count()
 
 
