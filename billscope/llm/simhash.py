@@ -21,26 +21,21 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import parquet as pq
-from pyarrow.fs import FileType
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.components import components
 from billscope.llm.frames import texts_of
 from billscope.llm.groups import roots, runs
-from billscope.llm.shared import place as shared_place
-from billscope.llm.shared import qualified
-from billscope.work import materialise, new_path
+from billscope.llm.shared import SideFiles, located
+from billscope.work import materialise
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 BLOCKS = 5
 TILE = 2048
 SMALL = 32  # groups up to this size are compared many at a time
 CHUNK = 500_000  # shingles whose bits are counted at once
-SIDE_ROWS = 1_000_000  # documents whose dropped rows share a side file
 
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -213,25 +208,6 @@ def _linked(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.join(components(links(nodes, radius)).select(F.col("node").alias("fp"), "root"), "fp")
 
 
-def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """The documents with a number for the file and the place in it that each row is read from.
-
-    Stored Parquet tables have both. Other frames are stored first, also those in which several rows come from one.
-    """
-
-    def places(docs: DataFrame) -> tuple[Column, Column]:
-        meta = docs.metadataColumn("_metadata")
-        return F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("place")
-
-    try:
-        rows = docs.select(*places(docs))
-        apart = rows.distinct().count() == rows.count()
-    except AnalysisException:
-        apart = False
-    docs = docs if apart else materialise(docs, "documents")
-    return docs, *places(docs)
-
-
 def deduplicate(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -252,16 +228,11 @@ def deduplicate(
     kept = nodes.join(linked, "fp", "left").groupBy(root).agg(F.min("first").alias("first"))
     kept = materialise(kept.select("first.file", "first.place"), "kept")
     dropped = prints.select("file", "place").join(kept, ["file", "place"], "left_anti")
-    return docs.where(~_among(docs.sparkSession, dropped, prints.count(), file, place))
+    return docs.where(~_among(SideFiles(dropped, prints.count(), "dropped"), file, place))
 
 
-def _among(spark: SparkSession, rows: DataFrame, most: int, file: Column, place: Column) -> Column:
-    """Whether a row is among ``rows`` (file, place), which are written as side files of about ``SIDE_ROWS`` at most."""
-    path = qualified(spark, new_path(spark, "dropped"))
-    sides = -(-most // SIDE_ROWS) or 1
-    side = F.pmod("file", F.lit(sides)).cast("int")
-    dealt = rows.withColumn("side", side).repartition(sides, "side").sortWithinPartitions("side", "file", "place")
-    dealt.write.partitionBy("side").parquet(path)
+def _among(sides: SideFiles, file: Column, place: Column) -> Column:
+    """Whether a row's place is in the side files."""
 
     @F.arrow_udf(T.BooleanType())
     def found(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -271,18 +242,10 @@ def _among(spark: SparkSession, rows: DataFrame, most: int, file: Column, place:
             hit = np.zeros(len(own), bool)
             for number in np.unique(own).tolist():
                 if number != last:
-                    last, known = number, _side_rows(f"{path}/side={number % sides}", number)
+                    table = sides.of(number, "place")
+                    last, known = number, np.zeros(0, np.int64) if table is None else table["place"].to_numpy()
                 mine = own == number
                 hit[mine] = np.isin(at[mine], known)
             yield pa.array(hit)
 
     return found(file, place)
-
-
-def _side_rows(folder: str, number: int) -> np.ndarray:
-    """Places of one file; only the parts of a side file that may hold them are read."""
-    store, path = shared_place(folder)
-    if store.get_file_info(path).type == FileType.NotFound:
-        return np.zeros(0, np.int64)
-    table = pq.read_table(path, filesystem=store, columns=["place"], filters=[("file", "=", number)], partitioning=None)
-    return table["place"].to_numpy()

@@ -4,13 +4,14 @@ Tasks hash every window of ``WINDOW`` consecutive words by a rolling polynomial
 occurs earlier within the same chunk of documents is a repeat already and goes straight to its document; every other
 one goes, by its hash, to a bucket, where equal hashes of all chunks meet and all but the first are repeats. So a
 bucket sees a window at most once a chunk, however many documents hold it. Windows travel as sorted, compressed
-arrays, a few bytes each. The repeats of a document come back to it and merge into maximal intervals, which are removed.
+arrays, a few bytes each. The repeats of a document come back to it by side files and merge into maximal intervals, which
+are removed; texts are read, never shuffled.
 
 The order of documents is by id, null first, and within rows of one id by two 64-bit hashes of the text, which
 travel only where several texts share an id; rows with the same id and text are one document, and each gets its answer. Null and empty texts have no words; shorter texts than
 a window have no repeats. An empty table gives no rows. Other columns are ignored, or kept by ``clean``. Windows
-are equal if their 64-bit hash and a check of 16 bits from other hashes of their words are: at 5e9 windows about one
-false match in 100,000 such jobs is to be expected.
+are equal if their 64-bit hash and a check of 32 bits from other hashes of their words are: at 5e9 windows one false
+match in several billion such jobs is to be expected.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billscope.llm.frames import free_name, rows_of, texts_of
+from billscope.llm.shared import SideFiles, located
 from billscope.work import materialise
 
 WINDOW = 20
@@ -103,7 +105,7 @@ DOC, DOC_KINDS = ("ids", "keys", "more_keys"), ("<i8", "<i8", "<i8")
 FOUND, FOUND_KINDS = (*DOC, "counts", "starts"), (*DOC_KINDS, "<u4", "<u4")
 FOUND_SCHEMA = pa.schema([("target", pa.int32()), *((name, pa.binary()) for name in FOUND)])
 PARTS = ("hashes", "checks", "owners", "starts", "repeat_owners", "repeat_starts", *DOC)
-KINDS = ("<u8", "<u2", "<u4", "<u4", "<u4", "<u4", *DOC_KINDS)
+KINDS = ("<u8", "<u4", "<u4", "<u4", "<u4", "<u4", *DOC_KINDS)
 
 
 def _first_of(hashes: np.ndarray, checks: np.ndarray, owners: np.ndarray, starts: np.ndarray, docs: list[np.ndarray]):
@@ -134,7 +136,7 @@ def _hash(batches: Iterator[pa.RecordBatch], window: int, buckets: int, targets:
         count = np.array(lengths)
         hashes, checks = (np.concatenate(p) for p in zip(*parts, strict=True))
         hashes, checks = window_hashes(hashes, window), window_hashes(checks, window, CHECK_BASE)
-        checks = (checks >> np.uint64(48)).astype(np.uint16)
+        checks = (checks >> np.uint64(32)).astype(np.uint32)
         ends = np.cumsum(count)
         owners = np.repeat(np.arange(len(count), dtype=np.uint32), count)[: len(hashes)]
         starts = (np.arange(len(hashes)) - (ends - count)[owners]).astype(np.uint32)
@@ -273,18 +275,31 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.table([*map(pa.array, docs), lists], [*KEYS, "starts"])
 
 
-def _cut(window: int):
+def _starts_of(sides: SideFiles, file: int) -> dict[int, np.ndarray]:
+    """First words of the repeated windows of a file's documents, by their places."""
+    table = sides.of(file, "place", "starts")
+    if table is None or not table.num_rows:
+        return {}
+    lists = table["starts"].combine_chunks()
+    starts, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return {place: starts[bounds[n] : bounds[n + 1]] for n, place in enumerate(table["place"].to_pylist())}
+
+
+def _cut(window: int, sides: SideFiles):
     @F.arrow_udf(RESULT)
-    def cut(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         """Words and removed words, and what is left, joined by one space."""
-        for batch, starts in texts:
+        last, known = None, {}
+        for batch, files, places in batches:
             counts, removed, left, digests = [], [], [], []
-            for text, own in zip(texts_of(batch), starts.to_pylist(), strict=True):
-                words = (text or b"").split()
+            for text, file, place in zip(texts_of(batch), files.to_pylist(), places.to_pylist(), strict=True):
+                if file != last:
+                    last, known = file, _starts_of(sides, file)
+                words, own = (text or b"").split(), known.get(place)
                 counts.append(len(words))
-                if own:
+                if own is not None:
                     edges = np.zeros(len(words) + 1, np.int64)
-                    own = np.unique(np.array(own))
+                    own = np.unique(own)
                     np.add.at(edges, own, 1)
                     np.add.at(edges, own + window, -1)
                     kept = np.cumsum(edges[:-1]) == 0
@@ -353,12 +368,12 @@ def with_cut(
     ``into`` gets underscores where there is such a column.
     """
     into = free_name(docs, into)
+    docs, file, place = located(docs)
     shared = _shared_ids(docs, id_col, text_col)
-    found = repeated(docs, window, id_col, text_col, shared)
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    joined = _keyed(docs, shared, id_col, text_col, row).join(found, [*KEYS], "left")
-    text = F.col(f"row.`{text_col}`").cast("string")
-    return joined.withColumn("cut", _cut(window)(text, "starts")).select("row.*", F.col("cut").alias(into))
+    found = materialise(repeated(docs, window, id_col, text_col, shared), "repeats")
+    rows = _keyed(docs, shared, id_col, text_col, file, place).join(found, [*KEYS]).select("file", "place", "starts")
+    sides = SideFiles(rows, docs.count(), "repeated-windows")
+    return docs.withColumn(into, _cut(window, sides)(F.col(f"`{text_col}`").cast("string"), file, place))
 
 
 def clean(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
