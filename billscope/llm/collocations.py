@@ -53,10 +53,10 @@ class Words(dict):
 
 def numbered(texts: Iterable[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """The words of all texts as numbers, with 0 between pieces and texts, and the words by number."""
-    words, found = Words(), [np.zeros(1, np.int64)]
+    words, found = Words(), [np.zeros(1, np.int32)]
     for text in texts:
         own = text.lower().translate(PLAIN).replace(BOUNDARY, b" . ").split()
-        found += [np.fromiter(map(words.__getitem__, own), np.int64, len(own)), found[0]]
+        found += [np.fromiter(map(words.__getitem__, own), np.int32, len(own)), found[0]]
     return np.concatenate(found), list(words)
 
 
@@ -65,9 +65,9 @@ def ngrams(ids: np.ndarray, size: int, longest: int) -> Iterator[tuple[np.ndarra
 
     Words are the n-grams of length one and their own last words.
     """
-    counts = np.bincount(ids, minlength=size)
+    counts = np.bincount(ids, minlength=size).astype(np.int32)
     counts[0] = 0
-    first = np.arange(size)
+    first = np.arange(size, dtype=np.int32)
     yield first, first, counts
     places = np.flatnonzero(ids)
     shorter = ids[places]
@@ -76,8 +76,9 @@ def ngrams(ids: np.ndarray, size: int, longest: int) -> Iterator[tuple[np.ndarra
         room = ends < len(ids)
         room[room] = ids[ends[room]] > 0
         places, shorter, last = places[room], shorter[room], ids[ends[room]]
-        found, shorter, counts = np.unique(shorter * size + last, return_inverse=True, return_counts=True)
-        yield found // size, found % size, counts
+        whole = shorter.astype(np.int64) * size + last
+        found, shorter, counts = np.unique(whole, return_inverse=True, return_counts=True)
+        yield (found // size).astype(np.int32), (found % size).astype(np.int32), counts.astype(np.int32)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -178,6 +179,7 @@ def _summaries(batches: Iterator[pa.RecordBatch], parts: int, longest: int) -> I
             for hashes, (_, _, count) in zip(hashed(lang, words, levels), levels, strict=True):
                 keys.append(_places(hashes, parts)[count > 0])
                 counts.append(count[count > 0])
+            del ids, words, levels
         key, count = _summed(np.concatenate(keys), np.concatenate(counts))
         part = (key >> np.uint64(32)).astype(np.int64)
         starts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))

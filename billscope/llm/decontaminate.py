@@ -9,7 +9,8 @@ documents are scanned once per block, and the hits of all blocks are joined.
 
 Nulls: a null text has no words and is never contaminated; a benchmark row without words has no window. Windows
 of an item with a null id mark words but are named by no id. Items that share an id count once. An empty
-benchmark marks nothing; an empty table gives no rows. Repeated rows get the same answer each.
+benchmark marks nothing; an empty table gives no rows. Repeated rows get the same answer each. Texts are scanned whole,
+however long, one at a time. Other columns are kept.
 """
 
 from __future__ import annotations
