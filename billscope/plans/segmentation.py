@@ -52,7 +52,8 @@ def cluster(
         scored = segment.score(segment.fit(vectors, k, seed, scale, partitions, keys), vectors)
     else:
         raise ValueError(f"unknown solver {solver!r}")
-    return scored.select(*averages.columns, "prediction")
+    # Written once: segment means and final rows both need the number, and a test on it would repeat the distances.
+    return materialise(scored.select(*averages.columns, "prediction"), "clustered")
 
 
 def segment_averages(
