@@ -25,8 +25,13 @@ def roll_up(parts: DataFrame, keys: Sequence[str], average: str) -> DataFrame:
     grouped = parts.groupBy(*keys).agg(
         F.sum("bill_cents").alias("bill_cents"), F.sum("bill_count").alias("bill_count")
     )
+    return averaged(grouped, average)
+
+
+def averaged(sums: DataFrame, average: str) -> DataFrame:
+    """Sums with their exact average."""
     mean = money.mean_cents(F.col("bill_cents"), F.col("bill_count"))
-    return grouped.withColumn(average, money.amount(mean))
+    return sums.withColumn(average, money.amount(mean))
 
 
 def daily_average_bill(bills: DataFrame, keys: Sequence[str] = schema.DAILY_KEYS) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import uuid
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from billscope import schema, versions
 from billscope.functions import calendar
 from billscope.operators import aggregates, ledger, quality
 from billscope.sinks import append_event, lease, open_ledger
-from billscope.work import job_folder, materialise
+from billscope.work import delete
 
 STAGE = "stream"
 MONTH = "discharge_month"
@@ -48,22 +48,30 @@ def fold_batch(bills: DataFrame, batch: int, location: str, as_of: date | None =
     before, folder = versions.current(spark, location, below=batch), versions.new_folder()
     standing = before.folders if before else []
     rows = dict(before.notes["rows"]) if before else {}
-    with job_folder(spark, "increment"):
-        own = aggregates.partials(bills).withColumn(MONTH, month)
-        own = materialise(own.groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums()), "sums")
-        accepted = F.when(F.col("reject_reason").isNull(), F.col("discharge_date"))
-        months = day_rows(own).groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"), F.max(accepted).alias("last")).collect()
-        if not months:
-            return None
-        taken = [path for found in months for path in _of_like_size(found[MONTH], found["rows"], standing, rows)]
-        sums = own
-        if taken:
-            earlier = versions.read(spark, location, PARTIALS, pointer=versions.Pointer(batch, taken))
-            sums = own.unionByName(earlier).groupBy(*schema.DAILY_KEYS, MONTH).agg(*_sums())
-        sums.select(*PARTIALS.names).hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{location}/{folder}")
+
+    def stored(paths: list[str]) -> DataFrame:
+        return versions.read(spark, location, PARTIALS, pointer=versions.Pointer(batch, paths))
+
+    _write(aggregates.partials(bills).withColumn(MONTH, month), f"{location}/{folder}")
     now = versions.subfolders(spark, location, folder)
-    made = versions.read(spark, location, PARTIALS, pointer=versions.Pointer(batch, now)).groupBy(MONTH).count()
-    rows |= {f"{folder}/{_folder(found[MONTH])}": found["count"] for found in made.collect()}
+    if not now:
+        delete(spark, f"{location}/{folder}")
+        return None
+    # The batch's sums are one row a key already, so they need no further grouping.
+    accepted = F.when(F.col("reject_reason").isNull(), F.col("discharge_date"))
+    days = _checked_days(aggregates.averaged(stored(now), "average_bill_amount"))
+    months = days.groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"), F.max(accepted).alias("last")).collect()
+    rows |= {f"{folder}/{_folder(found[MONTH])}": found["rows"] for found in months}
+    taken = [path for found in months for path in _of_like_size(found[MONTH], found["rows"], standing, rows)]
+    if taken:
+        joined, named = versions.new_folder(), {path.split("/")[1] for path in taken}
+        again = [path for path in now if path.split("/")[1] in named]
+        _write(stored([*again, *taken]), f"{location}/{joined}")
+        for path in again:
+            delete(spark, f"{location}/{path}")
+        merged = versions.subfolders(spark, location, joined)
+        rows |= {f"{joined}/{_folder(found[MONTH])}": found["count"] for found in stored(merged).groupBy(MONTH).count().collect()}
+        now = [*[path for path in now if path not in again], *merged]
     folders = [*[path for path in standing if path not in taken], *now]
     versions.commit(spark, location, folders, before, batch, rows={path: rows[path] for path in folders})
     return max((found["last"] for found in months if found["last"]), default=None)
@@ -80,8 +88,11 @@ def _of_like_size(month: date | None, size: int, standing: list[str], rows: dict
     return taken
 
 
-def _sums() -> list[Column]:
-    return [F.sum(name).alias(name) for name in ("bill_cents", "bill_count")]
+def _write(parts: DataFrame, location: str) -> None:
+    """Write the sums of ``parts`` by month."""
+    sums = [F.sum(name).alias(name) for name in ("bill_cents", "bill_count")]
+    sums = parts.groupBy(*schema.DAILY_KEYS, MONTH).agg(*sums).select(*PARTIALS.names)
+    sums.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(location)
 
 
 def _folder(month: date | None) -> str:
@@ -90,7 +101,10 @@ def _folder(month: date | None) -> str:
 
 def day_rows(sums: DataFrame) -> DataFrame:
     """Daily averages, checked, from the sums of any number of batches; a date without a month lies in the future."""
-    days = aggregates.roll_up(sums, (*schema.DAILY_KEYS, MONTH), "average_bill_amount")
+    return _checked_days(aggregates.roll_up(sums, (*schema.DAILY_KEYS, MONTH), "average_bill_amount"))
+
+
+def _checked_days(days: DataFrame) -> DataFrame:
     days = days.withColumn("quarter", calendar.quarter_of(F.col("discharge_date")))
     beyond = F.when(F.col("discharge_date").isNotNull() & F.col(MONTH).isNull(), "date_range")
     days = quality.check_rows(days, F.coalesce(quality.reject_reason(), beyond))
