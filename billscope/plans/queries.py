@@ -34,6 +34,8 @@ LAST_LOADED = date(1996, 5, 8)
 EARLIER_CUT = date(1998, 1, 1)
 AS_OF = date(2024, 7, 1)
 FILES_PER_BATCH = 1_000
+#: How large files of lines are written: packed, and of bounded length, as one task reads a packed file.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "1000000"}
 THREE_LABELS, THREE_QUANTILES = ("Low", "Medium", "High"), (0.33, 0.66)
 
 
@@ -428,7 +430,7 @@ def ingest_unreadable(spark, folder):
         "Discharge Date": F.when(cents % 103 == 0, "2019-13-40").otherwise(day.cast("string")),
     }
     for run, test in (("1", day <= EARLIER_CUT), ("2", day > EARLIER_CUT)):
-        lines.filter(test).withColumns(texts).write.option("header", True).csv(f"{home}/{run}")
+        lines.filter(test).withColumns(texts).write.options(header=True, **PACKED).csv(f"{home}/{run}")
         bills = billing_columns(read_encounters(spark, f"{home}/{run}", keep_corrupt=True))
         ingest.ingest(spark, bills, f"{home}/admission", f"{home}/status", run, None)
     rows = read_quarantine(spark, f"{home}/admission").filter(F.col("reject_reason") == "unreadable")
