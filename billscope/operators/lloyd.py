@@ -17,8 +17,10 @@ from operator import add, or_
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billscope import schema
+from billscope.work import job_folder, materialise
 
 AMOUNT = "avg_bill_amount"
 FEATURES = (AMOUNT, "hospital_index", "insurance_index", "quarter")
@@ -26,6 +28,8 @@ FEATURES = (AMOUNT, "hospital_index", "insurance_index", "quarter")
 UNITS = {AMOUNT: 100}
 ROUNDS, TOLERANCE = 20, 1e-4
 SAMPLE, RESTARTS, SAMPLE_ROUNDS = 4096, 8, 100
+#: Row groups of the rounds' work table, small so that a table in few files is still read by many tasks.
+ROW_GROUP = {"parquet.block.size": str(8 * 1024**2)}
 
 
 @dataclass(frozen=True)
@@ -59,6 +63,28 @@ def _nearest(columns: Sequence[str], points: Sequence[Sequence[float]], weights:
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
+def _with_centre(
+    numbers: DataFrame, columns: Sequence[str], points: Sequence[Sequence[float]], weights: Sequence[float]
+) -> DataFrame:
+    """``numbers`` with the number of ``_nearest`` as column ``centre``; a missing feature has none.
+
+    Points come as one broadcast row and not as constants: those would change the generated code with every round, and
+    each round would run code that is compiled anew.
+    """
+    names = [[f"point_{n}_{m}" for m in range(len(columns))] for n in range(len(points))]
+    fields = T.StructType([T.StructField(name, T.DoubleType(), False) for own in names for name in own])
+    values = tuple(float(value) for point in points for value in point)
+    rows = numbers.crossJoin(F.broadcast(numbers.sparkSession.createDataFrame([values], fields)))
+    far, distances = [f"distance_{n}" for n in range(len(points))], []
+    for own in names:
+        differences = [F.col(column) - F.col(name) for column, name in zip(columns, own, strict=True)]
+        distances.append(reduce(add, [d * d * F.lit(float(w)) for d, w in zip(differences, weights, strict=True)]))
+    rows = rows.select(*numbers.columns, *[d.alias(name) for d, name in zip(distances, far, strict=True)])
+    rows = rows.withColumn("least", F.least(*far) if len(far) > 1 else F.col(far[0]))
+    centre = F.coalesce(*[F.when(F.col(name) == F.col("least"), n) for n, name in enumerate(far)])
+    return rows.select(*numbers.columns, centre.alias("centre"))
+
+
 def _scales(rows: DataFrame, columns: Sequence[str], scale: bool) -> list[float]:
     """One over each feature's variance, from exact sums; 0 for a feature that is the same everywhere."""
     if not scale:
@@ -130,13 +156,34 @@ def fit(
         raise ValueError("a feature is missing")
     first = _first_centres(sampled, np.array(weights), k, seed)
     points = [tuple(map(float, point)) for point in first]
-    missing = F.count_if(reduce(or_, [F.col(name).isNull() for name in columns])).alias("missing")
-    sums = [F.sum(_whole(name)).alias(f"sum_{n}") for n, name in enumerate(columns)]
+    if not points or rounds < 1:
+        return Centres(tuple(columns), tuple(sorted(points)), tuple(weights), 0)
+    with job_folder(rows.sparkSession, "fit"):
+        # Rounds read only numbers, converted once.
+        doubles = [F.col(name).cast("double").alias(f"at_{n}") for n, name in enumerate(columns)]
+        whole = [_whole(name).alias(f"whole_{n}") for n, name in enumerate(columns)]
+        numbers = materialise(rows.select(*doubles, *whole), "numbers", **ROW_GROUP)
+        points, done = _rounds(numbers, columns, points, weights, rounds, tolerance)
+    return Centres(tuple(columns), tuple(sorted(points)), tuple(weights), done)
+
+
+def _rounds(
+    numbers: DataFrame,
+    columns: Sequence[str],
+    points: list[tuple[float, ...]],
+    weights: Sequence[float],
+    rounds: int,
+    tolerance: float,
+) -> tuple[list[tuple[float, ...]], int]:
+    """Move the points until they stand still or the rounds are over; returns them and the rounds done."""
+    places = [f"at_{n}" for n in range(len(columns))]
+    missing = F.count_if(reduce(or_, [F.col(place).isNull() for place in places])).alias("missing")
+    sums = [F.sum(f"whole_{n}").alias(f"sum_{n}") for n in range(len(columns))]
     done = 0
-    while points and done < rounds:
+    while done < rounds:
         done += 1
-        centre = _nearest(columns, points, weights).alias("centre")
-        found = rows.groupBy(centre).agg(F.count(F.lit(1)).alias("n"), missing, *sums).collect()
+        near = _with_centre(numbers, places, points, weights)
+        found = near.groupBy("centre").agg(F.count(F.lit(1)).alias("n"), missing, *sums).collect()
         if any(row["missing"] for row in found):
             raise ValueError("a feature is missing")
         moved, now = 0.0, list(points)
@@ -149,7 +196,7 @@ def fit(
         points = now
         if moved <= tolerance**2:
             break
-    return Centres(tuple(columns), tuple(sorted(points)), tuple(weights), done)
+    return points, done
 
 
 def score(centres: Centres, rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from billscope import schema, versions
 from billscope.functions import money
 from billscope.operators import aggregates, ledger, lloyd, quality, segment, sketches
 from billscope.operators.reports import runs
-from billscope.plans import ingest, quarters, report, segmentation
+from billscope.plans import ingest, quarters, queries, report, segmentation
 from billscope.sinks import append, append_event, lease, open_ledger, publish, read_published, replace
 from billscope.sources import (
     billing_columns,
@@ -244,6 +244,22 @@ def test_batches_of_any_size_with_repeats_make_the_batch_table(spark, folder, fe
         assert sizes == sorted(sizes, reverse=True) and len(set(sizes)) == len(sizes)  # runs shrink by powers of two
 
 
+def test_sums_of_a_batch_are_not_grouped_again(spark, folder, monkeypatch):
+    """A batch's sums are one row a key: days and months come from them without a second roll-up."""
+    monkeypatch.setattr(aggregates, "roll_up", lambda *args: pytest.fail("grouped again"))
+    bills = make_bills(spark, 200)
+    for batch in range(2):
+        increments.fold_batch(bills, batch, folder)
+    monkeypatch.undo()
+    twice = expected_rows(bills.unionAll(bills))[0]
+    days = increments.read_days(spark, folder)
+    assert rows_of(days.filter("reject_reason is null").drop("reject_reason")) == rows_of(twice)
+    pointer = versions.current(spark, folder)
+    counted = {path: spark.read.parquet(f"{folder}/{path}").count() for path in pointer.folders}
+    assert counted == pointer.notes["rows"]
+    assert increments.fold_batch(bills.limit(0), 2, folder) is None and versions.current(spark, folder) == pointer
+
+
 def test_untouched_months_are_not_written(spark, folder):
     for batch in range(6):
         bills = [("a", "h", "p", "t", date(2020, 1 + batch % 2, 1 + batch), 100 * batch)]
@@ -476,6 +492,21 @@ def test_unreadable_lines_are_kept(spark, tables, folder):
 # Segmentation
 
 
+def test_files_of_unreadable_lines_are_packed(spark, folder, monkeypatch):
+    days = (date(1997, 1, 1), date(1999, 1, 1))
+    rows = [(f"n{n}", "c", day, "h", "p", Decimal(cents) / 100, "t") for day in days for n, cents in enumerate((101, 250))]
+    names = ("Name", "Medical Condition", "Discharge Date", "Hospital", "Insurance Provider", "Billing Amount", "Admission Type")
+    kinds = ("string", "string", "date", "string", "string", "decimal(18,2)", "string")
+    lines = spark.createDataFrame(rows, ", ".join(f"`{name}` {kind}" for name, kind in zip(names, kinds, strict=True)))
+    known = [F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.ENCOUNTER_FILE]
+    monkeypatch.setattr(queries, "order_encounters", lambda *args: lines.select(*known))
+    monkeypatch.setattr(queries, "new_path", lambda spark, name: f"{folder}/{name}")
+    found = queries.ingest_unreadable(spark, folder).collect()
+    assert sorted(row.discharge_date for row in found) == [str(day) for day in days]
+    files = [path.name for run in "12" for path in Path(f"{folder}/unreadable/{run}").glob("part-*")]
+    assert len(files) >= 2 and all(name.endswith(".csv.gz") for name in files)
+
+
 @pytest.fixture(scope="module")
 def quarter_rows(spark):
     bills = make_bills(spark, 3000)
@@ -579,6 +610,31 @@ def test_rounds_cost_no_more_than_the_library(spark, feature_table):
     assert ours <= 1.02 * theirs
 
 
+def test_rounds_run_the_same_code(spark):
+    """No round's points are constants of its plan; ties go to the first point and a missing feature to none."""
+    rows = spark.createDataFrame([(0.0, 1.0), (5.0, 1.0), (10.0, 1.0), (None, 1.0)], "a double, b double")
+    near = lloyd._with_centre(rows, ("a", "b"), [(0.0, 1.0), (10.0, 1.0), (10.0, 1.0)], (1.0, 0.5))
+    assert [row.centre for row in near.orderBy(F.col("a").asc_nulls_last()).collect()] == [0, 0, 1, None]
+    points = [(123.25, 1.0), (7.5, 2.0)]
+    plan = lloyd._with_centre(rows, ("a", "b"), points, (1.0, 1.0))._jdf.queryExecution().optimizedPlan().toString()
+    assert "123.25" not in plan and "7.5" not in plan
+
+
+def test_rounds_read_numbers_alone(spark, feature_table, monkeypatch):
+    """The rounds' work table has no texts and decimals, and is gone after the fit."""
+    tables, real = [], lloyd.materialise
+    monkeypatch.setattr(lloyd, "materialise", lambda *args, **options: tables.append(real(*args, **options)) or tables[-1])
+    assert lloyd.fit(feature_table).rounds
+    assert {kind for _, kind in tables[0].dtypes} == {"double", "bigint"}
+    assert not Path(tables[0].inputFiles()[0].removeprefix("file:")).exists()
+
+
+def test_rows_get_their_segment_once(spark, quarter_rows):
+    """What follows reads the segment's number and works no distance out again."""
+    plan = segmentation.cluster(quarter_rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" not in plan and "prediction" in plan
+
+
 def test_rounds_with_few_rows(spark, feature_table):
     few = feature_table.orderBy(*schema.QUARTER_KEYS).limit(3)
     assert len(lloyd.fit(few).points) <= 3 and lloyd.score(lloyd.fit(few), few).count() == 3
