@@ -29,7 +29,7 @@ from billscope.llm.components import components
 from billscope.llm.frames import texts_of
 from billscope.llm.groups import roots, runs
 from billscope.llm.shared import SideFiles, located
-from billscope.work import materialise
+from billscope.work import in_few_files, materialise
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 BLOCKS = 5
@@ -195,12 +195,13 @@ def groups(
     text = F.col(f"`{text_col}`").cast("string")
     prints = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), fingerprint_of(text, shingle).alias("fp"))
     prints = materialise(prints, "fingerprints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    rows = prints.count()
+    nodes = materialise(in_few_files(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), rows), "nodes")
     linked = _linked(nodes, radius)
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("fp", "least")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(materialise(named, "named"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(materialise(in_few_files(named, rows), "named"), "fp").select("doc_id", "fp", "component_id")
 
 
 def _linked(nodes: DataFrame, radius: int) -> DataFrame:

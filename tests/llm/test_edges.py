@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from billscope.llm import (
     tokens,
 )
 from billscope.llm.components import components
-from billscope.work import materialise
+from billscope.work import job_folder, materialise
 
 PIECES = [*"ab cE'st\n\t\u00e9\u00c9.,!12I", "\u0301", "\x1c", "\x85", "\u2003", "<|endoftext|>"]
 LONG = "the long words of a text go on and on " * 20_000
@@ -220,6 +221,24 @@ def test_components_of_chain_star_and_ring(spark):
     assert components(links.where("false")).count() == 0
 
 
+def test_components_write_few_files(spark):
+    cores = spark.sparkContext.defaultParallelism
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {key: spark.conf.get(key) for key in changed}
+    links = materialise(spark.range(400).selectExpr("id AS a", "id + 1 AS b"), "chain")
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        with job_folder(spark, "few") as home:
+            found = components(links)
+            assert found.count() == 401 and found.select("root").distinct().count() == 1
+            written = [len([*f.glob("part-*")]) for f in Path(home).iterdir() if not f.name.startswith("links")]
+            assert len(written) > 3 and max(written) <= cores
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+
+
 def test_language(docs, nothing):
     found = language.identify(docs, into="found")
     rows = {(r.doc_id, r.text): r.found for r in found.collect()}
