@@ -31,6 +31,7 @@ from billscope.work import job_folder, materialise, new_path
 THRESHOLD, LONGEST, TOP, SHARE = 10, 3, 2000, 50
 CHUNK_BYTES = 8 << 20  # of text that is counted at once
 PART_BYTES = 8 << 20  # of text whose n-grams make up one hash partition
+SENT_KEYS = 1 << 18  # keys of a chunk that are sorted and sent at a time, about
 CUT_BYTES = 1 << 20  # a longer text is cut at a separator
 UNKNOWN = "und"
 
@@ -87,16 +88,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def hashed(lang: str, words: list[bytes], levels: list[tuple]) -> list[np.ndarray]:
-    """A 64-bit hash of each distinct n-gram, by length."""
+def hashed(lang: str, words: list[bytes], levels: Iterable[tuple]) -> Iterator[tuple[np.ndarray, tuple]]:
+    """A 64-bit hash of each distinct n-gram and the n-grams, length by length."""
     from xxhash import xxh64_intdigest
 
     seed = xxh64_intdigest(lang.encode())
-    word = np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-    out = [word]
-    for before, last, _ in levels[1:]:
-        out.append(mixed(out[-1][before] * np.uint64(0x9E3779B97F4A7C15) + word[last]))
-    return out
+    own = word = np.fromiter((xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    for length, level in enumerate(levels, 1):
+        if length > 1:
+            before, last, _ = level
+            own = mixed(own[before] * np.uint64(0x9E3779B97F4A7C15) + word[last])
+        yield own, level
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -170,27 +172,36 @@ def _places(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], parts: int, longest: int) -> Iterator[pa.RecordBatch]:
-    """Each chunk's n-grams as keys with counts, one row a hash partition."""
+    """Each chunk's n-grams as keys with counts, one row a hash partition, some hash partitions at a time."""
     for chunk, table in _chunks(batches):
         keys, counts = [], []
         for lang, texts in _by_lang(table):
             ids, words = numbered(texts)
-            levels = list(ngrams(ids, len(words), longest))
-            for hashes, (_, _, count) in zip(hashed(lang, words, levels), levels, strict=True):
-                keys.append(_places(hashes, parts)[count > 0])
+            for hashes, (_, _, count) in hashed(lang, words, ngrams(ids, len(words), longest)):
+                keys.append(_places(hashes[count > 0], parts))
                 counts.append(count[count > 0])
-            del ids, words, levels
-        key, count = _summed(np.concatenate(keys), np.concatenate(counts))
-        part = (key >> np.uint64(32)).astype(np.int64)
-        starts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-        rows = [(planes(key[a:b].astype(np.uint32)), planes(count[a:b])) for a, b in zip(starts, starts[1:], strict=False)]
-        columns = [
-            pa.array(part[starts[:-1]]),
-            pa.array(np.full(len(rows), chunk)),
-            pa.array([own for own, _ in rows], pa.binary()),
-            pa.array([own for _, own in rows], pa.binary()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["part", "chunk", "keys", "counts"])
+            del texts, ids, words, hashes, count
+        slices = min(parts, -(-sum(map(len, keys)) // SENT_KEYS))
+        for number in range(slices):
+            low, high = (np.uint64(parts * at // slices << 32) for at in (number, number + 1))
+            some = [(own >= low) & (own < high) for own in keys]
+            key, count = _summed(*(np.concatenate([own[m] for own, m in zip(x, some, strict=True)]) for x in (keys, counts)))
+            if len(key):
+                yield _sent(chunk, key, count)
+
+
+def _sent(chunk: int, key: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """Rows (part, chunk, keys, counts) of sorted keys."""
+    part = (key >> np.uint64(32)).astype(np.int64)
+    starts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    rows = [(planes(key[a:b].astype(np.uint32)), planes(count[a:b])) for a, b in zip(starts, starts[1:], strict=False)]
+    columns = [
+        pa.array(part[starts[:-1]]),
+        pa.array(np.full(len(rows), chunk)),
+        pa.array([own for own, _ in rows], pa.binary()),
+        pa.array([own for _, own in rows], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["part", "chunk", "keys", "counts"])
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,31 +258,29 @@ def _count(texts: pa.Table, verdicts: pa.Table, parts: int, longest: int) -> pa.
         for part, data in zip(verdicts["part"].to_pylist(), as_bytes(verdicts["keys"]), strict=True)
     ]
     known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
-    langs, lengths, phrases, counts = [], [], [], []
+    names, tables = ["lang", "length", "phrase", "n"], []
+
+    def counted(lang: str, length: int, phrases: list[bytes], counts: np.ndarray) -> None:
+        phrase = pa.array(phrases, pa.binary()).cast(pa.string())
+        arrays = [pa.array([lang] * len(phrases), pa.string()), pa.array([length] * len(phrases), pa.int32()), phrase]
+        tables.append(pa.table([*arrays, pa.array(counts, pa.int64())], names))
+
     for lang, own in _by_lang(texts):
         ids, words = numbered(own)
-        levels = list(ngrams(ids, len(words), longest))
-        shown = [words]
-        for length, (hashes, (before, last, count)) in enumerate(zip(hashed(lang, words, levels), levels, strict=True), 1):
+        shown = words
+        for length, (hashes, (before, last, count)) in enumerate(hashed(lang, words, ngrams(ids, len(words), longest)), 1):
             some = np.flatnonzero(count)
             some = some[_among(_places(hashes[some], parts), known)]
             if length > 1:  # a part of a surviving n-gram is as frequent, so it survived and has its text
                 texts_of = dict.fromkeys(some.tolist())
                 for n, b, w in zip(some.tolist(), before[some].tolist(), last[some].tolist(), strict=True):
-                    head = shown[-1][b] if length == 2 else shown[-1].get(b)
+                    head = shown[b] if length == 2 else shown.get(b)
                     texts_of[n] = head and head + b" " + words[w]
                 some = np.array([n for n, text in texts_of.items() if text], np.int64)
-                shown.append(texts_of)
-            langs += [lang] * len(some)
-            lengths += [length] * len(some)
-            phrases += [shown[-1][n] for n in some.tolist()]
-            counts += count[some].tolist()
-        langs.append(lang)
-        lengths.append(0)
-        phrases.append(b"")
-        counts.append(int(np.count_nonzero(ids)))
-    arrays = [pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string())]
-    return pa.table([*arrays, pa.array(counts, pa.int64())], ["lang", "length", "phrase", "n"])
+                shown = texts_of
+            counted(lang, length, [shown[n] for n in some.tolist()], count[some])
+        counted(lang, 0, [b""], np.array([np.count_nonzero(ids)]))
+    return pa.concat_tables(tables).combine_chunks()
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +118,13 @@ def test_scores_are_exact(spark):
     a, l, r = 10**12 + 7, 10**13 + 9, 3 * 10**12 + 1
     frame = spark.createDataFrame([(a, l, r)], "a long, l long, r long")
     assert frame.select(collocations.score(F.col("a"), F.col("l"), F.col("r"))).first()[0] == 10**6 * a * a // (l * r)
+
+
+def test_a_chunk_is_sent_in_small_batches():
+    texts = [b" ".join(b"w%d" % k for k in range(at, at + 1000)) for at in range(0, 250_000, 1000)]
+    table = pa.table({"chunk": [0] * len(texts), "lang": ["en"] * len(texts), "text": pa.array(texts, pa.binary())})
+    sent = [*collocations._summaries(iter(table.to_batches()), 64, 3)]
+    parts = [part for batch in sent for part in batch["part"].to_pylist()]
+    assert parts == [*range(64)] and max(batch.nbytes for batch in sent) < 3_000_000
+    assert sum(len(keys) // 4 for batch in sent for keys in batch["keys"].to_pylist()) > 745_000
+    assert sum(int(collocations.unplaned(own).sum()) for batch in sent for own in batch["counts"].to_pylist()) == 749_250
