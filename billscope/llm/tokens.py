@@ -16,7 +16,8 @@ WORDS, SPACED = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Parts that one Python worker remembers before it starts afresh, for tokenizers that drop white space and
 #: for the others, and bytes of parts.
 MOST_PARTS, MOST_BYTES = (700_000, 1_600_000), 32_000_000
-BATCH_BYTES = 4_000_000
+MOST_MARKS = 8  # bytes of a run of marks whose ids are remembered
+BATCH_BYTES = 64_000  # of texts that are encoded at a time: their parts stay in the cache
 
 # White space as the tokenizers' patterns see it (Unicode White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -26,6 +27,9 @@ LINE, BARE = b"\xff", b"\xfe"  # bytes that UTF-8 never holds
 COMBINING = re.compile(rb"[\xcc\xcd]")
 #: A run of Latin letters, and a run of marks after it that begins no contraction: two tokens before merging.
 WORD_AND_MARKS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?")
+#: The same run in UTF-8, and the marks.
+LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
 def byte_letters() -> dict[int, int]:
@@ -110,23 +114,47 @@ class Encoder:
         self.most = MOST_PARTS[not drops_space]
         self.merge = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
         self.unsafe: set[bytes] = set()  # parts that end in white space
         self.last: set[bytes] = set()
         self.bytes = 0
 
-    def _ids_of_word(self, part: bytes) -> list[int] | None:
-        """Ids of a word with the marks after it, which need no normalising or cutting; None for other parts."""
-        if part.isalpha():
-            letters = self.lead + part.decode()
-            return [token.id for token in self.merge(letters.lower() if self.lowers else letters)]
-        text = self.text(part)
+    def _merged(self, letters: str) -> bytes:
+        return array("I", [token.id for token in self.merge(letters)]).tobytes()
+
+    def _ids_of_word(self, part: bytes) -> bytes | None:
+        """Ids of a word with the marks after it, which need no normalising or cutting; None for other parts.
+
+        Words and marks are looked up and merged each by themselves, so a word is merged once, whatever follows it.
+        """
+        word = part.rstrip(MARKS)
+        marks = part[len(word) :]
+        if marks[:1] == b"'" or not (word.isalpha() or LATIN.fullmatch(word)):
+            return self._ids_of_text(self.text(part))
+        ids = self.known.get(word)
+        if ids is None:
+            letters = word.decode()
+            letters = letters.lower() if self.lowers else letters
+            letters = letters if word.isalpha() else letters.encode().decode("latin-1").translate(LETTERS)
+            ids = self.known[word] = self._merged(self.lead + letters)
+            self.bytes += len(word)
+        if not marks:
+            return ids
+        after = self.marks.get(marks)
+        if after is None:
+            after = self._merged(marks.decode())
+            if len(marks) <= MOST_MARKS and len(self.marks) < self.most:
+                self.marks[marks] = after
+        return ids + after
+
+    def _ids_of_text(self, text: str) -> bytes | None:
+        """The same for a part with or without a space before it."""
         found = WORD_AND_MARKS.fullmatch(text)
         if not found:
             return None
         word, marks = found.groups()
         letters = (word.lower() if self.lowers else word).encode().decode("latin-1").translate(LETTERS)
-        ids = [token.id for token in self.merge(letters)]
-        return ids + [token.id for token in self.merge(marks)] if marks else ids
+        return self._merged(letters) + (self._merged(marks) if marks else b"")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; the library takes what lies between special tokens as texts of their own."""
@@ -167,7 +195,7 @@ class Encoder:
             if ids is None:
                 whole.append(part)
             else:
-                self.known[part] = array("I", ids).tobytes()
+                self.known[part] = ids
         for at in range(0, len(whole), 20_000):
             some = whole[at : at + 20_000]
             written = [self.text(part) for part in some]
@@ -190,7 +218,7 @@ def encoder(name: str, escape: bool = False) -> Encoder:
 def encoded(
     rows: Iterable[tuple], name: str, text_at: int, remember: bool = False, escape: bool = False
 ) -> Iterator[tuple[tuple, bytes]]:
-    """Each row with the ids of its text (None: empty), some megabytes of text at a time.
+    """Each row with the ids of its text (None: empty), some texts at a time.
 
     ``remember`` keeps the words for the worker's next task, as many as ``MOST_PARTS`` allows.
     """
