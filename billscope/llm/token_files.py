@@ -12,6 +12,7 @@ empty document has its end id alone. An empty table gives no documents. Other co
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 import zlib
@@ -33,6 +34,8 @@ BLOCK = 16_384
 MAGIC = b"IDBLOCK1"
 TRAILER = struct.Struct("<IIQQQ8s")  # bits, ids a block, ids, documents, place of the index, magic
 END_ID = 2
+#: Ids that a task reads back at least, where all cores have work, and written files whose rows share a file of the list.
+TASK_IDS, LISTED = 32_000_000, 100_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -172,8 +175,9 @@ def write(
 ) -> DataFrame:
     """Write the ids of all documents to files in ``folder``, in ascending id order over all files.
 
-    Returns one row a file (shard, path, documents, ids), which is stored beside the files. With ``escape``
-    special-token strings inside texts are ordinary text.
+    Returns one row a file (shard, path, documents, ids), which is stored beside the files: apart from the tasks that
+    encode, and in few files, as Spark may start processes for each. With ``escape`` special-token strings inside texts
+    are ordinary text.
     """
     spark = docs.sparkSession
     folder = qualified(spark, folder)
@@ -184,7 +188,8 @@ def write(
     dealt = dealt.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
     job = partial(_write, folder=f"{folder}/data", tokenizer=tokenizer, end_id=end_id, bits=bits, escape=escape)
     files = dealt.mapInArrow(job, "shard int, path string, documents long, ids long")
-    files.write.parquet(f"{folder}/files")
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files.repartition(math.ceil(most / LISTED)).write.parquet(f"{folder}/files")
     return listing(spark, folder)
 
 
@@ -210,11 +215,16 @@ def _read_back(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa
 
 
 def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
-    """One row per document, from the files: where its ids start among all, how many they are, their crc32."""
+    """One row per document, from the files: where its ids start among all, how many they are, their crc32.
+
+    A task reads file after file, some blocks at a time: as many tasks as cores, or one for each ``TASK_IDS``.
+    """
     files = listing(spark, folder)
+    count, ids = files.agg(F.count("*"), F.coalesce(F.sum("ids"), F.lit(0))).first()
+    tasks = min(count, max(spark.sparkContext.defaultParallelism, math.ceil(ids / TASK_IDS)))
     # One row a file: the running total is over files, never over documents.
     before = F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")
     placed = files.select("path", before.alias("before"))
-    dealt = placed.repartition(max(1, files.count()))
+    dealt = placed.repartition(max(1, tasks))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
     return dealt.mapInArrow(partial(_read_back, with_ids=with_ids), schema)

@@ -142,6 +142,27 @@ def test_token_files(spark, docs, nothing, folder):
     assert token_files.read(spark, f"{folder}/none").count() == 0
 
 
+def test_token_files_are_listed_and_read_in_few_files(spark, folder):
+    """Spark may start processes for each file that it writes, so a file for each task that encodes is too many."""
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {key: spark.conf.get(key) for key in changed}
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text of ', id) AS text")
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        files = token_files.write(docs, f"{folder}/ids")
+        token_files.read(spark, f"{folder}/ids").write.parquet(f"{folder}/read")
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    assert files.count() > cores and len([*Path(f"{folder}/ids/files").glob("part-*")]) == 1
+    assert len([*Path(f"{folder}/read").glob("part-*")]) <= cores
+    rows = spark.read.parquet(f"{folder}/read").orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [*range(400)]
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
+
+
 def test_decontamination(spark, docs, nothing):
     items = [(1, "CAT sat on the mat, with the hat and"), (1, "chat"), (2, None), (None, "chien"), (3, "!!")]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("hits", F.lit(0))
