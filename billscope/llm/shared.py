@@ -6,7 +6,9 @@ to side files by file and sorted, and a task reads the parts of one side file th
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyarrow import parquet as pq
 from pyspark.errors import AnalysisException
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from billscope.work import file_system, materialise, new_path
 
 SIDE_ROWS = 1_000_000  # documents whose rows share a side file
+SIDE_BLOCK = 1 << 20  # bytes of a side file that are read at a time
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -56,11 +59,18 @@ class SideFiles:
         self.sides = -(-documents // SIDE_ROWS) or 1
         side = F.pmod("file", F.lit(self.sides)).cast("int")
         dealt = rows.withColumn("side", side).repartition(self.sides, "side")
-        dealt.sortWithinPartitions("side", "file", "place").write.partitionBy("side").parquet(self.path)
+        dealt = dealt.sortWithinPartitions("side", "file", "place")
+        dealt.write.partitionBy("side").option("parquet.block.size", SIDE_BLOCK).parquet(self.path)
 
-    def of(self, file: int, *columns: str) -> pa.Table | None:
-        """Rows of one file; only the parts of a side file that may hold them are read."""
+    def of(self, file: int, places: np.ndarray, *columns: str) -> pa.Table | None:
+        """Rows of one file from the least to the greatest of some places.
+
+        Only the parts of a side file that may hold them are read, so a task that asks batch by batch holds what belongs
+        to a batch, however large its file is.
+        """
         store, path = place(f"{self.path}/side={file % self.sides}")
         if store.get_file_info(path).type == fs.FileType.NotFound:
             return None
-        return pq.read_table(path, filesystem=store, columns=[*columns], filters=[("file", "=", file)], partitioning=None)
+        held = (pc.field("file") == file) & (pc.field("place") >= int(places.min())) & (pc.field("place") <= int(places.max()))
+        wanted = {"columns": [*columns], "filters": held, "partitioning": None}
+        return pq.read_table(path, filesystem=store, use_threads=False, pre_buffer=False, **wanted)

@@ -237,16 +237,14 @@ def _among(sides: SideFiles, file: Column, place: Column) -> Column:
 
     @F.arrow_udf(T.BooleanType())
     def found(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        last, known = None, np.zeros(0, np.int64)
         for files, places in batches:
             own, at = files.to_numpy(), places.to_numpy()
             hit = np.zeros(len(own), bool)
             for number in np.unique(own).tolist():
-                if number != last:
-                    table = sides.of(number, "place")
-                    last, known = number, np.zeros(0, np.int64) if table is None else table["place"].to_numpy()
                 mine = own == number
-                hit[mine] = np.isin(at[mine], known)
+                table = sides.of(number, at[mine], "place")
+                if table is not None:
+                    hit[mine] = np.isin(at[mine], table["place"].to_numpy())
             yield pa.array(hit)
 
     return found(file, place)

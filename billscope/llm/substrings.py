@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope.llm.frames import free_name, rows_of, texts_of
+from billscope.llm.frames import SLICE, free_name, rows_of, texts_of
 from billscope.llm.shared import SideFiles, located
 from billscope.work import materialise
 
@@ -275,9 +275,9 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.table([*map(pa.array, docs), lists], [*KEYS, "starts"])
 
 
-def _starts_of(sides: SideFiles, file: int) -> dict[int, np.ndarray]:
-    """First words of the repeated windows of a file's documents, by their places."""
-    table = sides.of(file, "place", "starts")
+def _starts_of(sides: SideFiles, file: int, places: np.ndarray) -> dict[int, np.ndarray]:
+    """First words of the repeated windows of some of a file's documents, by their places."""
+    table = sides.of(file, places, "place", "starts")
     if table is None or not table.num_rows:
         return {}
     lists = table["starts"].combine_chunks()
@@ -288,28 +288,30 @@ def _starts_of(sides: SideFiles, file: int) -> dict[int, np.ndarray]:
 def _cut(window: int, sides: SideFiles):
     @F.arrow_udf(RESULT)
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        """Words and removed words, and what is left, joined by one space."""
-        last, known = None, {}
-        for batch, files, places in batches:
-            counts, removed, left, digests = [], [], [], []
-            for text, file, place in zip(texts_of(batch), files.to_pylist(), places.to_pylist(), strict=True):
-                if file != last:
-                    last, known = file, _starts_of(sides, file)
-                words, own = (text or b"").split(), known.get(place)
-                counts.append(len(words))
-                if own is not None:
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    own = np.unique(own)
-                    np.add.at(edges, own, 1)
-                    np.add.at(edges, own + window, -1)
-                    kept = np.cumsum(edges[:-1]) == 0
-                    words = [words[k] for k in np.flatnonzero(kept).tolist()]
-                removed.append(counts[-1] - len(words))
-                whole = b" ".join(words)
-                left.append(None if text is None else whole.decode())
-                digests.append(hashlib.sha256(whole).hexdigest())
-            arrays = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.string())]
-            yield pa.StructArray.from_arrays([*arrays, pa.array(digests, pa.string())], names=RESULT.names)
+        """Words and removed words, and what is left, joined by one space; some rows of a batch at a time."""
+        for column, files, places in batches:
+            files, places = files.to_numpy(), places.to_numpy()
+            known = {file: _starts_of(sides, file, places[files == file]) for file in np.unique(files).tolist()}
+            for at in range(0, len(column), SLICE):
+                some = slice(at, at + SLICE)
+                rows = zip(texts_of(column[some]), files[some].tolist(), places[some].tolist(), strict=True)
+                counts, removed, left, digests = [], [], [], []
+                for text, file, place in rows:
+                    words, own = (text or b"").split(), known[file].get(place)
+                    counts.append(len(words))
+                    if own is not None:
+                        edges = np.zeros(len(words) + 1, np.int64)
+                        own = np.unique(own)
+                        np.add.at(edges, own, 1)
+                        np.add.at(edges, own + window, -1)
+                        kept = np.cumsum(edges[:-1]) == 0
+                        words = [words[k] for k in np.flatnonzero(kept).tolist()]
+                    removed.append(counts[-1] - len(words))
+                    rest = b" ".join(words)
+                    left.append(None if text is None else rest.decode())
+                    digests.append(hashlib.sha256(rest).hexdigest())
+                arrays = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.string())]
+                yield pa.StructArray.from_arrays([*arrays, pa.array(digests, pa.string())], names=RESULT.names)
 
     return cut.asNondeterministic()
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyarrow import parquet as pq
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -29,6 +30,7 @@ from billscope.llm import (
     tokens,
 )
 from billscope.llm.components import components
+from billscope.llm.shared import SideFiles, located
 from billscope.work import job_folder, materialise
 
 PIECES = [*"ab cE'st\n\t\u00e9\u00c9.,!12I", "\u0301", "\x1c", "\x85", "\u2003", "<|endoftext|>"]
@@ -383,6 +385,32 @@ def test_substrings(docs, nothing):
     assert substrings.clean(nothing).count() == 0
 
 
+def test_side_files_are_read_by_places(spark):
+    """A task asks for the rows of a batch, of which it gets few more, however many its file has."""
+    rows = spark.range(60_000).selectExpr("1L AS file", "id AS place", "transform(sequence(1, 50), k -> hash(id, k)) AS starts")
+    sides = SideFiles(rows.unionByName(rows.selectExpr("2L AS file", "place", "starts").limit(10)), 60_000, "sides")
+    part = next(Path(sides.path.removeprefix("file:")).glob("side=0/part-*"))
+    assert pq.ParquetFile(part).metadata.num_row_groups > 5
+    found = sides.of(1, np.array([40_100, 40_000]), "place", "starts")
+    assert found["place"].to_pylist() == [*range(40_000, 40_101)] and found.nbytes < 100_000
+    assert sides.of(2, np.arange(8, 99), "place")["place"].to_pylist() == [8, 9]
+    assert sides.of(3, np.arange(9), "place").num_rows == 0
+
+
+def test_cut_answers_some_rows_at_a_time(spark):
+    """Texts that are left are held for a slice of a batch, not for the whole of it; each row gets its own answer."""
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, f"{words} {k}" if k % 3 else None) for k in range(1_000)]
+    docs, file, place = located(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    starts = docs.where("text is not null").select(file.alias("file"), place.alias("place"), F.expr("IF(doc_id = 1, array(), sequence(0, 20))").alias("starts"))
+    cut = substrings._cut(20, SideFiles(starts.selectExpr("file", "place", "CAST(starts AS array<int>) AS starts"), 1_000, "sides"))
+    column = docs.select("text", file.alias("file"), place.alias("place")).toArrow().combine_chunks()
+    parts = [*cut.func(iter([tuple(column[name].chunk(0) for name in ("text", "file", "place"))]))]
+    assert max(map(len, parts)) <= 256 and sum(map(len, parts)) == 1_000
+    found = [row for part in parts for row in part.to_pylist()]
+    assert [r["text"] for r in found] == [(f"{words} 1" if k == 1 else str(k)) if k % 3 else None for k in range(1_000)]
+
+
 def test_a_common_line_is_spread_over_targets(spark, monkeypatch):
     """Repeats of one line in all documents come by document, not by the line's hash."""
     docs = spark.range(4000, numPartitions=2).selectExpr("id AS doc_id", f"concat('a', id, ' {PASSAGE}') AS text")
